@@ -10,6 +10,7 @@ from .decontam import op1_benchmark_leaks
 from .langid import op2_language_id
 from .neardup import op4_bagminhash_near_dups
 from .packing import op7_best_fit_packing
+from .pii import op5_skip_chain_pii
 from .sharding import op3_jump_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_jump_shards,
         op4_bagminhash_near_dups,
+        op5_skip_chain_pii,
         op7_best_fit_packing,
     )
 }
