@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import decontam, langid, neardup, packing
+from newslens.llm import decontam, langid, neardup, packing, pii
 from newslens.llm.common import stash, table
 from newslens.runtime import ship
 
@@ -37,6 +37,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind in brackets; n_chars follows the text."""
+    ship(spark)
+    clean = pii.redact(docs.select(*COLUMNS), pii.learn(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all documents into byte-level sequences."""
     ship(spark)
@@ -47,6 +54,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("language_id", language),
     ("near_dedup", deduplicate),
     ("decontamination", decontaminate),
+    ("personal_data", personal_data),
     ("packing", pack),
 ]
 
