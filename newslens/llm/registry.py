@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat
+from .chat import op6_chat_format
 from .decontam import op1_benchmark_leaks
 from .langid import op2_language_id
 from .neardup import op4_bagminhash_near_dups
@@ -21,8 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_jump_shards,
         op4_bagminhash_near_dups,
         op5_skip_chain_pii,
+        op6_chat_format,
         op7_best_fit_packing,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {**chat.ORACLE_SQL}
