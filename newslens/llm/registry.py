@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat
+from . import chat, topk
 from .chat import op6_chat_format
 from .decontam import op1_benchmark_leaks
+from .html_text import op9_html_main_text
 from .langid import op2_language_id
 from .neardup import op4_bagminhash_near_dups
 from .packing import op7_best_fit_packing
 from .pii import op5_skip_chain_pii
 from .sharding import op3_jump_shards
+from .topk import op10_fagin_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -25,7 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_skip_chain_pii,
         op6_chat_format,
         op7_best_fit_packing,
+        op9_html_main_text,
+        op10_fagin_topk,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**chat.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**chat.ORACLE_SQL, **topk.ORACLE_SQL}
