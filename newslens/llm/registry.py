@@ -14,6 +14,7 @@ from .langid import op2_language_id
 from .neardup import op4_bagminhash_near_dups
 from .packing import op7_best_fit_packing
 from .pii import op5_skip_chain_pii
+from .quality import op8_ordinal_quality
 from .sharding import op3_jump_shards
 from .topk import op10_fagin_topk
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_skip_chain_pii,
         op6_chat_format,
         op7_best_fit_packing,
+        op8_ordinal_quality,
         op9_html_main_text,
         op10_fagin_topk,
     )

@@ -73,8 +73,8 @@ def lower_and_kind(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lower[points], word[points]
 
 
-def _scan(piece: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of a piece."""
+def _scan(piece: str, prefix_of: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of a piece; with prefix_of, hashes of so many first letters."""
     points, word = lower_and_kind(code_points(piece))
     n = len(points)
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).astype(np.int8)))
@@ -82,7 +82,8 @@ def _scan(piece: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = powers(n + 1)
     prefix = np.zeros(n + 1, dtype=U64)
     np.cumsum((points.astype(U64) + U64(0x51ED270B)) * up[:n], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + U64(0x632BE59BD9B4E019)), starts, ends
+    upto = np.minimum(ends, starts + prefix_of) if prefix_of else ends
+    return mix((prefix[upto] - prefix[starts]) * down[starts] + U64(0x632BE59BD9B4E019)), starts, ends
 
 
 def _cut(text: str) -> list[str]:
@@ -98,13 +99,16 @@ def _cut(text: str) -> list[str]:
     return out
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts, and the bounds of each text in them (one more than there are texts)."""
+def words(texts: list[str], prefix_of: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts, and the bounds of each text in them (one more than there are texts).
+
+    With prefix_of, words of the same first letters have the same hash.
+    """
     hashes, counts = [], np.zeros(len(texts) + 1, dtype=np.int64)
     at = 0
     while at < len(texts):
         if len(texts[at]) > PIECE:
-            parts = [_scan(x)[0] for x in _cut(texts[at])]
+            parts = [_scan(x, prefix_of)[0] for x in _cut(texts[at])]
             hashes += parts
             counts[at + 1] = sum(map(len, parts))
             at += 1
@@ -113,7 +117,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         while end < len(texts) and size + len(texts[end]) <= PIECE:
             size += len(texts[end]) + 1
             end += 1
-        found, starts, _ = _scan("\n".join(texts[at:end]))
+        found, starts, _ = _scan("\n".join(texts[at:end]), prefix_of)
         begins = np.cumsum([0, *(len(x) + 1 for x in texts[at:end])])
         hashes.append(found)
         counts[at + 1 : end + 1] = np.diff(np.searchsorted(starts, begins))
