@@ -11,16 +11,21 @@ it passes the largest value of the signature so far.
 
 Signatures are cut into bands; documents with an equal band are candidates,
 and candidates are verified on the multisets themselves. Groups never expand
-into all pairs: in each round every band bucket compares its members with one
-centre, links merge classes, and only members of different classes are looked
-at again; the pairs left between classes are then all verified.
+into all pairs: in each round every band bucket offers its members one centre,
+each document is verified against the most promising centre offered, links
+merge classes, and only members of different classes are looked at again; the
+pairs left between classes are then all verified. A candidate is not verified
+if the sizes forbid the similarity, or if the whole signatures, four bits of
+each value, are five standard deviations below it.
 """
 
 from __future__ import annotations
 
+from math import sqrt
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stash, table, texts_of
@@ -32,8 +37,12 @@ SHINGLE = 5
 SIMILAR = 0.8
 #: Bands and rows of a band: a pair at 0.8 is missed with probability (1 - 0.8**5)**36 = 6e-7.
 BANDS, ROWS = 36, 5
-#: Rounds in which buckets are compared with a centre before the pairs left are verified.
-STAR_ROUNDS = 3
+#: Rounds with centres at most, before the pairs left are verified; they end when a round finds no link.
+STAR_ROUNDS = 5
+#: Values of the finer signature of documents that share a band; it rules out candidates from a similarity of 0.74 down.
+FINE = 1024
+#: Standard deviations by which a sketch may fall short of the similarity.
+SLACK = 5.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,8 +103,37 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each signature value, sixteen to a long."""
+    bits = mix(signatures.astype(np.float32).view(np.uint32).astype(np.uint64)) >> np.uint64(60)
+    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 16))).reshape(len(bits), -1, 16)
+    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def differing(a: Column, b: Column, longs: int) -> Column:
+    """How many four-bit values differ between two sketches of so many longs."""
+
+    def nibbles(x: Column) -> Column:
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+    if longs > 16:  # too many terms for compiled code
+        return F.aggregate(F.zip_with(a, b, lambda x, y: nibbles(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    total = F.lit(0)
+    for k in range(longs):
+        total = total + nibbles(F.get(a, k).bitwiseXOR(F.get(b, k)))
+    return total
+
+
+def most_differing(size: int, similar: float) -> int:
+    """Differing values of a pair of exactly the similarity, and SLACK standard deviations."""
+    same = similar + (1 - similar) / 16
+    return int(size * (1 - same) + SLACK * sqrt(size * same * (1 - same)))
+
+
 def sign(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, k1, k2, n, bands): the keys of the word sequence, the number of shingles, the band hashes.
+    """(doc_id, k1, k2, n, bands, sketch): the keys of the word sequence, the number of shingles, the band hashes.
 
     A text without words has n = 0, no bands, and the hash of the raw text for its keys.
     """
@@ -105,20 +143,23 @@ def sign(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int
         k1, k2 = sequence_keys(hashes, bounds)
         shingle, ends = shingles(hashes, bounds, width)
         owner, element, count = bags(shingle, ends)
-        values = band_hashes(bag_minhash(owner, element, count, batch.num_rows, bands * rows), bands, rows)
+        signatures = bag_minhash(owner, element, count, batch.num_rows, bands * rows)
+        values, drawn = band_hashes(signatures, bands, rows), sketches(signatures)
         n = np.diff(ends)
-        flat = pa.array(values[n > 0].reshape(-1))
-        offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
+        lists = []
+        for found in (values, drawn):
+            offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, found.shape[1], 0)))).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[n > 0].reshape(-1))))
         raw = batch.column("raw").to_numpy(zero_copy_only=False)
         k1, k2 = np.where(n > 0, k1.view(np.int64), raw), np.where(n > 0, k2.view(np.int64), 0)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k1), pa.array(k2), pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["doc_id", "k1", "k2", "n", "bands"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k1), pa.array(k2), pa.array(n), *lists], ["doc_id", "k1", "k2", "n", "bands", "sketch"])
 
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("raw"))
-    return arrow_map(source, run, "doc_id long, k1 long, k2 long, n long, bands array<long>")
+    return arrow_map(source, run, "doc_id long, k1 long, k2 long, n long, bands array<long>, sketch array<long>")
 
 
 def multisets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(node, bag): the sorted shingle multiset as a set, the k-th copy of a shingle with a hash of its own."""
+    """(node, bag, fine): the sorted shingle multiset as a set, the k-th copy of a shingle with a hash of its own; the fine sketch."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         shingle, ends = shingles(*words(texts_of(batch)), width)
@@ -126,9 +167,17 @@ def multisets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         values = mix(np.repeat(element, count) + copy.astype(np.uint64) * _GOLD).view(np.int64)
         order = np.lexsort((values, np.repeat(owner, count)))
-        return pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[order]))], ["node", "bag"])
+        fine = np.concatenate([_fine(owner, element, count, at, min(at + 256, batch.num_rows)) for at in range(0, batch.num_rows, 256)])
+        step = pa.array((np.arange(len(fine) + 1) * fine.shape[1]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[order])), pa.ListArray.from_arrays(step, pa.array(fine.reshape(-1)))]
+        return pa.RecordBatch.from_arrays([batch.column("node"), *lists], ["node", "bag", "fine"])
 
-    return arrow_map(docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")), run, "node long, bag array<long>")
+    return arrow_map(docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")), run, "node long, bag array<long>, fine array<long>")
+
+
+def _fine(owner: np.ndarray, element: np.ndarray, count: np.ndarray, begin: int, end: int) -> np.ndarray:
+    own = slice(*np.searchsorted(owner, [begin, end]))
+    return sketches(bag_minhash(owner[own] - begin, element[own], count[own], end - begin, FINE))
 
 
 def verify(pairs: DataFrame, held: DataFrame, similar: float) -> DataFrame:
@@ -201,38 +250,41 @@ def near_duplicates(
     signed = stash(sign(docs.where(F.col(text).isNotNull()), key, text, width, bands, rows), "signed")
     # one node for each word sequence; equal sequences have equal bands, so any will do
     nodes = stash(
-        signed.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.first("bands").alias("bands")),
+        signed.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
         "nodes",
     )
     members = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "hash"))
     buckets = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band", "hash")
     # only members of buckets of two or more
     shared = stash(members.join(buckets, ["band", "hash"]).distinct(), "shared")
-    wanted = shared.select("node").distinct()
-    held = stash(multisets(docs.where(F.col(text).isNotNull()).join(wanted.withColumnRenamed("node", "_node"), F.col(key) == F.col("_node"), "left_semi"), key, text, width), "bags")
-    classes = stash(wanted.select("node", F.col("node").alias("comp")), "classes")
-
-    sized = f"least(n, m) >= {similar} * greatest(n, m)"
+    wanted = stash(shared.select("node").distinct(), "wanted")
+    sets = stash(multisets(docs.where(F.col(text).isNotNull()).join(wanted.withColumnRenamed("node", "_node"), F.col(key) == F.col("_node"), "left_semi"), key, text, width), "bags")
+    held, fine = sets.select("node", "bag"), sets.select("node", "fine").distinct()
+    sketch = stash(nodes.where("n > 0").select("node", "sketch").join(wanted, "node", "left_semi"), "sketches")
+    classes = wanted.select("node", F.col("node").alias("comp"))
+
+    apart, longs = most_differing(bands * rows, similar), -(-bands * rows // 16)
+    sized = f"least(n, m) >= {similar}D * greatest(n, m)"
     for turn in range(STAR_ROUNDS):
-        known = shared.join(classes, "node")
+        known = stash(shared.join(classes, "node").join(sketch, "node"), "known")
         # the member that comes first by a hash that differs from round to round; the smallest in the first
-        rank = F.struct(F.lit(0).cast("long") if not turn else F.xxhash64("node", F.lit(turn)), "node", "n", "comp")
+        rank = F.struct(F.lit(0).cast("long") if not turn else F.xxhash64("node", F.lit(turn)), "node", "n", "comp", "sketch")
         centres = known.groupBy("band", "hash").agg(F.min(rank).alias("c"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-        centres = centres.select("band", "hash", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.comp").alias("centre_comp"))
-        pairs = stash(
-            known.join(centres, ["band", "hash"]).where(f"comp <> centre_comp and {sized}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(),
-            "pairs",
-        )
-        links = stash(verify(pairs, held, similar), "links")
+        centres = centres.select("band", "hash", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.comp").alias("centre_comp"), F.col("c.sketch").alias("centre_sketch"))
+        offered = known.join(centres, ["band", "hash"]).where(f"comp <> centre_comp and {sized}").select("node", "centre", differing(F.col("sketch"), F.col("centre_sketch"), longs).alias("d"))
+        taken = offered.where(F.col("d") <= apart).groupBy("node").agg(F.min(F.struct("d", "centre")).alias("best"))
+        links = stash(verify(stash(taken.select(F.col("node").alias("a"), F.col("best.centre").alias("b")), "pairs"), held, similar), "links")
         if links.limit(1).count() == 0:
             break
         classes = _relabel(classes, links)
     # what is left between classes: every pair of one bucket, verified
-    known = stash(shared.join(classes, "node"), "known")
+    known = stash(shared.join(classes, "node").join(sketch, "node").join(fine, "node"), "known")
     mixed = known.groupBy("band", "hash").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("band", "hash")
     left = known.join(mixed, ["band", "hash"])
-    right = left.select("band", "hash", F.col("node").alias("node_b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-    rest = stash(left.join(right, ["band", "hash"]).where(f"node < node_b and comp <> comp_b and {sized}").select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
+    right = left.select("band", "hash", F.col("node").alias("node_b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"), F.col("fine").alias("fine_b"))
+    near = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & F.expr(sized) & (differing(F.col("sketch"), F.col("sketch_b"), longs) <= apart)
+    near &= differing(F.col("fine"), F.col("fine_b"), FINE // 16) <= most_differing(FINE, similar)
+    rest = stash(left.join(right, ["band", "hash"]).where(near).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
     links = stash(verify(rest, held, similar), "links")
     if links.limit(1).count():
         classes = _relabel(classes, links)
