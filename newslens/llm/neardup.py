@@ -278,12 +278,16 @@ def near_duplicates(
             break
         classes = _relabel(classes, links)
     # what is left between classes: every pair of one bucket, verified
-    known = stash(shared.join(classes, "node").join(sketch, "node").join(fine, "node"), "known")
+    versions = nodes.where("n > 0").select("node", "bands").join(wanted, "node", "left_semi")
+    known = shared.join(classes, "node").join(sketch, "node").join(fine, "node").join(versions, "node").where(F.get("bands", F.col("band")) == F.col("hash"))
+    known = stash(known, "known")
     mixed = known.groupBy("band", "hash").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("band", "hash")
     left = known.join(mixed, ["band", "hash"])
-    right = left.select("band", "hash", F.col("node").alias("node_b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"), F.col("fine").alias("fine_b"))
+    right = left.select("band", "hash", F.col("node").alias("node_b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"), F.col("fine").alias("fine_b"), F.col("bands").alias("bands_b"))
     near = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & F.expr(sized) & (differing(F.col("sketch"), F.col("sketch_b"), longs) <= apart)
     near &= differing(F.col("fine"), F.col("fine_b"), FINE // 16) <= most_differing(FINE, similar)
+    # a pair comes out of the first band that it shares only
+    near &= F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True) == F.col("band") + 1
     rest = stash(left.join(right, ["band", "hash"]).where(near).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
     links = stash(verify(rest, held, similar), "links")
     if links.limit(1).count():
