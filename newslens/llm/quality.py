@@ -150,7 +150,7 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([thresholds.tolist()], pa.list_(pa.float64()))], ["weights", "thresholds"])
 
     rated.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    fitted = chosen.repartitionByRange(1, "key").sortWithinPartitions("key").mapInArrow(train, "weights binary, thresholds array<double>").collect()
+    fitted = chosen.repartition(1).sortWithinPartitions("key").mapInArrow(train, "weights binary, thresholds array<double>").collect()
     if not fitted:
         return np.zeros(FEATURES, dtype=np.float32), np.arange(grades - 1, dtype=np.float64)
     return np.frombuffer(bytes(fitted[0][0]), dtype=np.float32), np.array(fitted[0][1])
