@@ -122,10 +122,10 @@ def shape(token: str) -> int:
 
 
 def likeness(token: str) -> str:
-    """Equal for tokens that share a skip potential: the digits if there are seven or more, else the local part."""
+    """Equal for tokens that share a skip potential: the digits of long numbers, the last seven of shorter ones (with or without prefix), else the local part."""
     digits = _NOT_DIGIT.sub("", token)
     if len(digits) >= 7 and not any(c.isalpha() for c in token):
-        return digits
+        return digits if len(digits) >= 12 else digits[-7:]
     return token.partition("@")[0].lower().strip(".-()%+_")
 
 
