@@ -714,17 +714,18 @@ def token_chunks(v):
     return v("documents").select("doc_id", F.posexplode(chunks.token_chunks("text")).alias("place", "chunk"))
 
 
-_REPLY = F.concat(F.lit('```json\n{"summary": "'), F.regexp_replace(F.substring("text", 1, 80), r'["\\\s]+', " "), F.lit('",}\n```'))
+def _reply():
+    return F.concat(F.lit('```json\n{"summary": "'), F.regexp_replace(F.substring("text", 1, 80), r'["\\\s]+', " "), F.lit('",}\n```'))
 
 
 @query()
 def llm_json_parse(v):
-    return v("documents").select("doc_id", responses.llm_json(_REPLY).alias("json"))
+    return v("documents").select("doc_id", responses.llm_json(_reply()).alias("json"))
 
 
 @query()
 def llm_response_parse(v):
-    return v("documents").select("doc_id", responses.llm_summary(_REPLY).alias("summary"))
+    return v("documents").select("doc_id", responses.llm_summary(_reply()).alias("summary"))
 
 
 @query()
