@@ -146,10 +146,10 @@ def unprocessed_entries(v):
     return jobs.unprocessed(v("feed_entries"), v("feed_entry_jobs"), RUN, limit=None)
 
 
-@query("SELECT id, content, description FROM feed_entries WHERE id % 10 = 0")
+@query("SELECT id, content, description FROM feed_entries f WHERE EXISTS (SELECT 1 FROM feed_entry_jobs j WHERE j.feed_entry_id = f.id AND j.run_id = 'run_0')")
 def content_batch(v):
-    entries = v("feed_entries")
-    return jobs.content_batch(entries, entries.where("id % 10 = 0").select("id"))
+    wanted = v("feed_entry_jobs").where(F.col("run_id") == RUN).select(F.col("feed_entry_id").alias("id"))
+    return jobs.content_batch(v("feed_entries"), wanted)
 
 
 @query(f"SELECT id, CASE WHEN content IS NOT NULL THEN 'resume' ELSE 'fetch' END AS path {_FREE}")
@@ -158,9 +158,9 @@ def fetch_vs_resume(v):
     return rows.select("id", F.when(F.col("has_content"), "resume").otherwise("fetch").alias("path"))
 
 
-@query("SELECT id, status, title FROM feed_entries JOIN feed_entry_jobs ON feed_entry_id = id WHERE flashpoint_id = 3 AND run_id = 'run_0' AND status IN ('extracted', 'deduped', 'embedded') AND NOT is_duplicate")
+@query("SELECT flashpoint_id, id, status, title FROM feed_entries JOIN feed_entry_jobs ON feed_entry_id = id WHERE run_id = 'run_0' AND status IN ('extracted', 'deduped', 'embedded') AND NOT is_duplicate")
 def entries_for_flashpoint(v):
-    return jobs.entries_of_run(v("feed_entries").where("flashpoint_id = 3"), v("feed_entry_jobs"), RUN).select("id", "status", "title")
+    return jobs.entries_of_run(v("feed_entries"), v("feed_entry_jobs"), RUN).select("flashpoint_id", "id", "status", "title")
 
 
 @query("SELECT id, status FROM feed_entries JOIN feed_entry_jobs ON feed_entry_id = id WHERE run_id = 'run_0' AND status = 'extracted' AND NOT is_duplicate")
@@ -457,11 +457,11 @@ def rank_clusters(v):
     return clusters.cluster(v("feed_entry_vectors"), threshold=THRESHOLD).select("flashpoint_id", "cluster_id", "article_count").distinct()
 
 
-@query(f"WITH RECURSIVE {_CENTROIDS} SELECT flashpoint_id, cluster_id, CAST(i AS INT) AS dim, round(c[i], 5) + 0.0 AS value FROM unit_means, range(1, 65) t(i) WHERE i <= 4")
+@query(f"WITH RECURSIVE {_CENTROIDS} SELECT flashpoint_id, cluster_id, CAST(i AS INT) AS dim, round(c[i], 5) + 0.0 AS value FROM unit_means, range(1, 65) t(i)")
 def cluster_centroids(v):
     vectors = v("feed_entry_vectors")
     found = clusters.centroids(clusters.cluster(vectors, threshold=THRESHOLD), vectors)
-    return found.select("flashpoint_id", "cluster_id", F.posexplode(F.slice("centroid", 1, 4))).select("flashpoint_id", "cluster_id", (F.col("pos") + 1).alias("dim"), (F.round("col", 5) + F.lit(0.0)).alias("value"))
+    return found.select("flashpoint_id", "cluster_id", F.posexplode("centroid")).select("flashpoint_id", "cluster_id", (F.col("pos") + 1).alias("dim"), (F.round("col", 5) + F.lit(0.0)).alias("value"))
 
 
 @query(f"WITH RECURSIVE {_CENTROIDS} SELECT a.flashpoint_id, feed_entry_id, cluster_id, CASE WHEN article_count = 1 THEN 1.0 ELSE round(round(list_sum(list_transform(list_zip(u, c), lambda z: z[1] * z[2])), 6), 4) END AS similarity FROM assigned a JOIN units USING (feed_entry_id) JOIN unit_means USING (cluster_id) WHERE unit_means.flashpoint_id = a.flashpoint_id")
@@ -555,7 +555,7 @@ def top_hotspots(v):
 
 @query()
 def alert_payloads(v):
-    rows = _scored(v).where("score > 0.3").select("flashpoint_id", F.concat(F.lit("Point "), F.col("flashpoint_id").cast("string")).alias("flashpoint_title"), "cluster_id", F.lit("summary").alias("summary"), "article_count", F.col("score").alias("hotspot_score"), F.array().cast("array<string>").alias("top_domains"))
+    rows = _scored(v).select("flashpoint_id", F.concat(F.lit("Point "), F.col("flashpoint_id").cast("string")).alias("flashpoint_title"), "cluster_id", F.lit("summary").alias("summary"), "article_count", F.col("score").alias("hotspot_score"), F.array().cast("array<string>").alias("top_domains"))
     return rows.select("flashpoint_id", "cluster_id", score.webhook_payload().alias("webhook"), score.slack_payload().alias("slack"))
 
 
@@ -660,10 +660,9 @@ def language_resolve(v):
     return v("documents").select("doc_id", text.language_resolve(existing, F.col("text")).alias("language"))
 
 
-@query("SELECT doc_id, CASE WHEN lang = 'en' THEN left(text, 40) ELSE concat('T ', left(text, 40)) END AS title_en FROM documents")
+@query("SELECT id, CASE WHEN language = 'en' THEN title ELSE concat('T ', title) END AS title_en FROM feed_entries")
 def title_en(v):
-    title = F.substring("text", 1, 40)
-    return v("documents").select("doc_id", text.title_en(title, F.col("lang"), F.concat(F.lit("T "), title)).alias("title_en"))
+    return v("feed_entries").select("id", text.title_en(F.col("title"), F.col("language"), F.concat(F.lit("T "), "title")).alias("title_en"))
 
 
 @query("SELECT id, trim(title || '. ' || left(coalesce(content, ''), 1000)) AS text FROM feed_entries")
@@ -688,10 +687,13 @@ def falsy_coalesce(v):
     return v("feed_entries").select("id", text.falsy_coalesce(F.col("content"), F.col("description")).alias("body"))
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(replace(concat('[head]', chr(10), '```json {', text, '}'), chr(10) || '```', chr(10) || ' '), '^\[head\]', ' '), '[{}\[\]<>`=\\/\s]+', ' ', 'g')) AS clean FROM documents WHERE text NOT LIKE '%''%' AND text NOT LIKE '%[%' AND text NOT LIKE '%\"\"\"%'")
+_NOISE = r"""regexp_replace(replace(regexp_replace(concat('[head]', chr(10), '```json {', text, '}'), '\r\n?', chr(10), 'g'), chr(92) || chr(39), chr(39)), '`{3,}', ' ', 'g')"""
+_NOISE = rf"""regexp_replace(regexp_replace({_NOISE}, '(?m)^\s*(\[\[.*?\]\]|\[.*?\])\s*$', ' ', 'g'), '[{{}}\[\]<>`=\\/]', ' ', 'g')"""
+
+
+@query(rf"""SELECT doc_id, trim(regexp_replace(regexp_replace({_NOISE}, concat(repeat(chr(34), 3), chr(124), repeat(chr(39), 3)), ' ', 'g'), '\s+', ' ', 'g')) AS clean FROM documents""")
 def clean_noise(v):
-    rows = v("documents").where(r"text not like '%\'%' and text not like '%[%' and text not like '%" + '"""' + "%'")
-    return rows.select("doc_id", text.clean_noise(F.concat(F.lit("[head]\n```json {"), "text", F.lit("}"))).alias("clean"))
+    return v("documents").select("doc_id", text.clean_noise(F.concat(F.lit("[head]\n```json {"), "text", F.lit("}"))).alias("clean"))
 
 
 @query()
@@ -715,7 +717,7 @@ def token_chunks(v):
 
 
 def _reply():
-    return F.concat(F.lit('```json\n{"summary": "'), F.regexp_replace(F.substring("text", 1, 80), r'["\\\s]+', " "), F.lit('",}\n```'))
+    return F.concat(F.lit('```json\n{"summary": "'), F.regexp_replace("text", r'["\\\s]+', " "), F.lit('",}\n```'))
 
 
 @query()
