@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -17,7 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def _plain(value):
     if value is None or isinstance(value, float) and math.isnan(value):
         return None
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
         return float(value)
     return str(value)
 
