@@ -5,9 +5,12 @@ are named as something else than the article (menus, headers, footers, side
 bars, notices, adverts, forms, scripts, reader comments) are cut. Every node
 left has a density: characters per tag, adjusted by how much of the text is
 links, here and in the whole body. The node whose children's densities have the
-largest sum holds the article; the smallest density on the way from it to the
-body is the threshold under which a part of it that is mostly links is left
-out.
+largest sum lies in the article, which is the article or main element around
+it if there is one. The smallest density on the way from it to the body is the
+threshold under which a part of the article that is mostly links is left out,
+and from which a part of the body beside it counts as well. So do level-one
+headings, parts with half the text for each tag, and what stands between two
+parts that count.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ CLOSES_P = frozenset("address article aside blockquote body center details dialo
 FAMILY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Elements that the search for an open one doesn't leave.
 SCOPE = frozenset("table ul ol dl select html body article section div main td th".split())
+#: Elements that hold a piece of running text; what they stand in holds the article.
+PIECES = frozenset("blockquote dd details dl dt figure h1 h2 h3 h4 h5 h6 li ol p pre table tbody tfoot thead tr ul".split())
 #: Words of class, id or role that name what isn't the article.
 _OTHER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner\w*|breadcrumbs?|comments?|commentlist|disqus|respond|cookies?|consent|gdpr|footer|masthead|menu\w*|nav|navbar|navigation|newsletter|notice|notices|alert|popup|modal|overlay|promo\w*|related|recommended|share|sharing|sidebar\w*|social|sponsor\w*|subscribe|paywall|toolbar|widget\w*|contentinfo|complementary|search|site-header|page-header|login|signup)(?:$|[\s_-])",
@@ -44,13 +49,14 @@ _OTHER = re.compile(
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.links = 0
         self.density = self.total = 0.0
+        self.kept = 0  # 1 if parts of it count, 2 if all of it does
 
 
 def _is_other(tag: str, rest: str, inside: bool) -> bool:
@@ -195,6 +201,21 @@ def composite_density(chars: int, link_chars: int, tags: int, links: int, body_c
     return chars / max(1, tags) * max(0.0, log(freedom)) / log(max(base, 1.001))
 
 
+def _mostly_links(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def _plain_rate(node: Node) -> float:
+    """Characters outside links per tag."""
+    return (node.chars - node.link_chars) / max(1, node.tags)
+
+
+def _free(node: Node) -> bool:
+    """Whether the text right in the node isn't mostly links."""
+    parts = [x for x in node.children if isinstance(x, Node) and not x.cut]
+    return 2 * (node.link_chars - sum(x.link_chars for x in parts)) <= node.chars - sum(x.chars for x in parts)
+
+
 def main_text(html: str) -> str:
     """The article's blocks in page order, joined by blank lines."""
     root, body_chars, body_links = parse(html)
@@ -218,17 +239,61 @@ def main_text(html: str) -> str:
     best = max(filled, key=lambda x: x.total)
     if not best.total:
         best = max(filled, key=lambda x: x.density)
-    threshold, up = best.density, best.parent
+    threshold, rate, up = best.density, _plain_rate(best), best.parent
     while up is not None and up.tag not in ("html", "#root"):
-        threshold = min(threshold, up.density)
+        threshold, rate = min(threshold, up.density), min(rate, _plain_rate(up))
         up = up.parent
-    blocks, todo = [], [best]
+    article = best
+    while article.tag in PIECES and article.parent is not None:
+        article = article.parent
+    around, up = set(), article
+    while up is not None:
+        if up.tag in ("article", "main"):
+            article = up
+        up = up.parent
+    up = article.parent
+    while up is not None:
+        around.add(up)
+        up = up.parent
+
+    def counts(part: Node | str, free: bool) -> bool:
+        """Whether a part counts by itself; free: the lines beside it aren't mostly links."""
+        if isinstance(part, str):
+            return free and 2 * len(part) >= rate
+        return not part.cut and part.kept > 0
+
+    for node in reversed(nodes):
+        if node is article:
+            node.kept = 2
+        elif node.chars and node not in around and (node.density >= threshold > 0 or not _mostly_links(node) and (node.tag == "h1" or 2 * _plain_rate(node) >= rate)):
+            node.kept = 2
+        elif node.chars:
+            free = _free(node)
+            node.kept = int(any(counts(x, free) for x in node.children))
+    blocks: list[str] = []
+    todo: list[Node | str] = [root]
     while todo:
         item = todo.pop()
         if isinstance(item, str):
             blocks.append(item)
-        elif not item.cut and (item is best or item.density >= threshold or 2 * item.link_chars <= item.chars):
-            todo += reversed(item.children)
+        elif item.kept == 2:
+            for x in reversed(item.children):
+                if isinstance(x, str):
+                    todo.append(x)
+                elif not x.cut and (x.density >= threshold or not _mostly_links(x)):
+                    x.kept = 2
+                    todo.append(x)
+        elif item.kept:
+            free = _free(item)
+            at = [k for k, x in enumerate(item.children) if counts(x, free)]
+            for x in reversed(item.children[at[0] : at[-1] + 1]):
+                if isinstance(x, str):
+                    if free:
+                        todo.append(x)
+                elif not x.cut:
+                    if not x.kept and not _mostly_links(x):
+                        x.kept = 2
+                    todo.append(x)
     return "\n\n".join(blocks)
 
 

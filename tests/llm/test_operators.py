@@ -386,6 +386,27 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+_PLAIN, _SHORT = "A" * 300, "b" * 150
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        # a heading beside the text's own block, with and without an article element
+        (f"<article><h1>{'T' * 40}</h1><div>{f'<p>{_PLAIN}</p>' * 8}</div></article>", ["T" * 40] + [_PLAIN] * 8),
+        (f"<body><div><h1>Title</h1><p>by X</p><div>{f'<p>{_PLAIN}</p>' * 8}</div></div><div>Copyright</div></body>", ["Title", "by X"] + [_PLAIN] * 8),
+        # sections
+        (f"<article><h1>{'T' * 40}</h1><section>{f'<p>{_PLAIN}</p>' * 6}</section><section>{f'<p>{_PLAIN}</p>' * 4}</section></article>", ["T" * 40] + [_PLAIN] * 10),
+        (f"<body><div>{f'<p>{_PLAIN}</p>' * 6}</div><h2>Part</h2><div>{f'<p>{_SHORT}x</p>' * 4}</div><div>Copyright</div></body>", [_PLAIN] * 6 + ["Part"] + [_SHORT + "x"] * 4),
+        # a list with more text than the paragraphs beside it
+        (f"<article>{f'<p>{_PLAIN}</p>' * 4}<ul>{f'<li>{_SHORT}</li>' * 12}</ul></article>", [_PLAIN] * 4 + [_SHORT] * 12),
+        (f"<body><div>{f'<p>{_PLAIN}</p>' * 4}<ul>{f'<li>{_SHORT}</li>' * 12}</ul><p>End.</p></div><div><a href=x>{_PLAIN}</a></div></body>", [_PLAIN] * 4 + [_SHORT] * 12 + ["End."]),
+    ],
+)
+def test_main_text_is_the_whole_article(page, want):
+    assert html_text.main_text(page).split("\n\n") == want
+
+
 def test_html_operator_and_depth(spark):
     deep = "<div>" * 20000 + "deep" + "</div>" * 20000
     rows = [(1, "u", None), (2, None, ""), (3, "u", deep), (3, "u", deep), (None, "u", "<p>x<")]
