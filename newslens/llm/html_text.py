@@ -2,7 +2,8 @@
 
 A small tolerant parser builds the tree of a page's block elements. Parts that
 are named as something else than the article (menus, headers, footers, side
-bars, notices, adverts, forms, scripts, reader comments) are cut. Every node
+bars, notices, adverts, forms, scripts, reader comments) are cut, unless a form
+or a part with such a class, id or role turns out to hold the article. Every node
 left has a density: characters per tag, adjusted by how much of the text is
 links, here and in the whole body. The node whose children's densities have the
 largest sum lies in the article, which is the article or main element around
@@ -16,6 +17,7 @@ parts that count.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -32,7 +34,7 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-CUT = frozenset("head script style noscript template textarea title iframe object embed canvas svg math audio video nav footer aside form button select input dialog menu noembed noframes xmp option".split())
+CUT = frozenset("head script style noscript template textarea title iframe object embed canvas svg math audio video nav footer aside button select input dialog menu noembed noframes xmp option".split())
 #: Blocks that a paragraph can't hold: their start ends an open one.
 CLOSES_P = frozenset("address article aside blockquote body center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split())
 #: A start tag that ends an open element of the same family.
@@ -48,19 +50,36 @@ _OTHER = re.compile(
 )
 
 
+#: What stands after these in a name isn't what the part is.
+_NOT_OTHER = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no)[_-]\S*", re.I)
+#: Share of the page's text outside links with which a part isn't something else, and how many times the article's own text it has to hold.
+MOST, TIMES = 0.75, 10
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept", "other", "plain")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.links = 0
         self.density = self.total = 0.0
+        self.other = False  # whether it is named as something else than the article
+        self.plain = 0
         self.kept = 0  # 1 if parts of it count, 2 if all of it does
 
 
-def _is_other(tag: str, rest: str, inside: bool) -> bool:
-    """Whether a start tag begins something else than the article; inside: within article or main."""
+def _preorder(root: Node) -> list[Node]:
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += [x for x in reversed(node.children) if isinstance(x, Node) and not x.cut]
+    return out
+
+
+def _is_cut(tag: str, rest: str, inside: bool) -> bool:
+    """Whether a start tag begins what is never shown or never the article; inside: within article or main."""
     if tag in CUT or tag == "header" and not inside:
         return True
     if not rest or tag in ("html", "body", "article", "main"):
@@ -69,14 +88,65 @@ def _is_other(tag: str, rest: str, inside: bool) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role") and _OTHER.search(value):
-            return True
     return False
 
 
+def _is_other(tag: str, rest: str) -> bool:
+    """Whether a start tag names something else than the article."""
+    if tag == "form":
+        return True
+    if not rest or tag in ("html", "body", "article", "main"):
+        return False
+    return any(m[1].lower() in ("class", "id", "role") and _OTHER.search(_NOT_OTHER.sub("", m[2] or m[3] or m[4] or "")) for m in _ATTRIBUTE.finditer(rest))
+
+
+def _cut_others(root: Node, others: list[Node]) -> None:
+    """Cut the parts named as something else, but for those that hold the article.
+
+    That is the longest article or main element, if there is no longer one
+    outside such parts and no more text right in what is around it; the first
+    h1 if none stands outside; or else most of the text.
+    """
+    nodes = _preorder(root)
+    under: dict[Node | None, Node | None] = {None: None}  # the innermost of others around a node
+    elements = {None: False}  # whether it is in an article or main element
+    beside: Counter[Node | None] = Counter()  # text right in one of others, or in none, but in no such element
+    for node in nodes:
+        under[node] = node if node.other else under[node.parent]
+        elements[node] = elements[node.parent] or node.tag in ("article", "main")
+        node.plain = node.chars - node.link_chars
+        if not elements[node]:
+            beside[under[node]] += node.plain
+    free: dict[Node, int] = {}  # text that doesn't stand in others
+    for node in reversed(nodes):
+        free[node] = (0 if under[node] else node.plain) + sum(free[x] for x in node.children if isinstance(x, Node) and not x.cut)
+        node.plain += sum(x.plain for x in node.children if isinstance(x, Node) and not x.cut)
+    marked = [x for x in nodes if x.tag in ("article", "main")]
+    outside = max((free[x] for x in marked if not under[x]), default=0)
+    holds = []
+    inner = max((x for x in marked if under[x]), key=lambda x: x.plain, default=None)
+    if inner is not None and inner.plain > outside:
+        up, most = under[inner], beside[None]
+        while up is not None:
+            most, up = max(most, beside[up]), under[up.parent]
+        if inner.plain > most:
+            holds.append(inner)
+    titles = [x for x in nodes if x.tag == "h1" and x.plain]
+    if titles and all(under[x] for x in titles):
+        holds.append(titles[0])
+    held = {x for x in others if inner not in holds and x.plain >= max(1, MOST * root.plain, TIMES * outside)}
+    for up in holds:
+        while up is not None:
+            held.add(up)
+            up = up.parent
+    for node in others:
+        node.cut = node not in held
+
+
 def parse(html: str) -> tuple[Node, int, int]:
     """The tree of blocks; characters and link characters of the whole body, cut parts included."""
     root = Node("#root", None, False)
+    others: list[Node] = []
     node, line, link, link_line = root, [], 0, 0
     open_tags: list[tuple[str, Node | None]] = []  # inline elements have no node
     inside = body_chars = body_links = 0
@@ -167,7 +237,10 @@ def parse(html: str) -> tuple[Node, int, int]:
         inside += tag in ("article", "main")
         if tag in ("html", "body") and any(t == tag for t, _ in open_tags):
             continue
-        child = Node(tag, node, node.cut or _is_other(tag, m["rest"], bool(inside)))
+        child = Node(tag, node, node.cut or _is_cut(tag, m["rest"], bool(inside)))
+        if not child.cut and _is_other(tag, m["rest"]):
+            child.other = True
+            others.append(child)
         node.children.append(child)
         if m["rest"].endswith("/") and tag not in RAW and tag not in CLOSES_P:
             continue
@@ -179,18 +252,11 @@ def parse(html: str) -> tuple[Node, int, int]:
             close(len(open_tags) - 1)
     close(0)
     flush()
+    if others:
+        _cut_others(root, others)
     return root, body_chars, body_links
 
 
-def _preorder(root: Node) -> list[Node]:
-    out, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        out.append(node)
-        todo += [x for x in reversed(node.children) if isinstance(x, Node) and not x.cut]
-    return out
-
-
 def composite_density(chars: int, link_chars: int, tags: int, links: int, body_chars: int, body_links: int) -> float:
     """Characters per tag, scaled by a logarithm of the text's and the tags' freedom from links; counts of 0 become 1 where they divide."""
     if not chars:

@@ -407,6 +407,29 @@ def test_main_text_is_the_whole_article(page, want):
     assert html_text.main_text(page).split("\n\n") == want
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "main-content no-comments", "layout_with_social-share", "post social", "content widget", "breadcrumbs"])
+def test_parts_that_hold_the_article_are_not_cut(names):
+    text, side = f"<h1>Title</h1>{f'<p>{_PLAIN}</p>' * 4}", f"<div class=comments><article>{_SHORT}</article></div><div class='sidebar no-print'><p>{_SHORT}</p></div>"
+    want = ["Title"] + [_PLAIN] * 4
+    for page in (
+        f"<body><div class='{names}'><article>{text}</article></div>{side}</body>",
+        f"<body><main><div class='{names}'><article>{text}</article></div></main>{side}</body>",
+        f"<body><section id='{names}'>{text}{side}</section><div>Copyright</div></body>",
+        f"<body><article><h1>Title</h1><div class='{names}'>{f'<p>{_PLAIN}</p>' * 4}</div></article></body>",
+        f"<body><form action=x><input><div class='{names}'><main>{text}</main></div>{side}</form></body>",
+        f"<body><div class='{names}'><h1>Title</h1></div><article>{f'<p>{_PLAIN}</p>' * 4}</article>{side}</body>",
+    ):
+        assert html_text.main_text(page).split("\n\n") == want, page
+
+
+def test_parts_beside_the_article_are_cut():
+    article = f"<article><h1>Title</h1><p>{_PLAIN}</p></article>"
+    for part in ("<div class=comments>{}</div>", "<div class=related><article>{}</article></div>", "<form>{}</form>", "<div id=sidebar-left>{}</div>", "<div class='col sidebar-no-margin'>{}</div>"):
+        assert html_text.main_text(f"<body>{article}{part.format(f'<p>{_SHORT}</p>')}</body>") == f"Title\n\n{_PLAIN}", part
+    page = f"<body><div><h1>Title</h1>{f'<p>{_PLAIN}</p>' * 4}</div><div class=related><article>{_SHORT}</article></div></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title"] + [_PLAIN] * 4
+
+
 def test_html_operator_and_depth(spark):
     deep = "<div>" * 20000 + "deep" + "</div>" * 20000
     rows = [(1, "u", None), (2, None, ""), (3, "u", deep), (3, "u", deep), (None, "u", "<p>x<")]
