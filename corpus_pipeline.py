@@ -33,8 +33,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    """Drop documents that hold a passage of the benchmark, or a whole item of it that is shorter than a passage."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), short=True).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

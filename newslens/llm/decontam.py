@@ -8,7 +8,8 @@ token, and an overlap counts if enough of its tokens agree.
 
 The seeds together find every overlap of OVERLAP tokens (or of a whole item of
 at least LEAST tokens) in which no more than a fifth was substituted: a test
-goes through all such patterns.
+goes through all such patterns. Shorter items can be looked for as well, word
+for word and whole.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SEEDS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 4), (0, 1, 3, 5, 6), (0, 1, 2, 3, 6))
 OVERLAP = 12
 #: Share of its tokens that must agree.
 AGREE = 0.8
-#: Items of fewer tokens say too little to be looked for.
+#: Items of fewer tokens have no overlap that may differ; they are found whole or not at all.
 LEAST = 8
 #: Tokens of the benchmark that are sent to the executors at a time.
 BLOCK_TOKENS = 1_000_000
@@ -53,7 +54,7 @@ def seed_hashes(hashes: np.ndarray, bounds: np.ndarray, seed: Sequence[int], num
 class Index:
     """The seed hashes of a block of benchmark items."""
 
-    def __init__(self, ids: Sequence[int], texts: list[str]) -> None:
+    def __init__(self, ids: Sequence[int], texts: list[str], short: bool = False) -> None:
         self.ids = np.asarray(ids, dtype=np.int64)
         self.hashes, self.bounds = words(texts)
         owner = owners(self.bounds)
@@ -70,6 +71,33 @@ class Index:
         self.owner = owner
         self.bloom = np.zeros(1 << 22, dtype=bool)  # most positions of a corpus end here
         self.bloom[self.keys >> np.uint64(42)] = True
+        #: By length: hashes of the short items, in order, and their numbers.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sizes = np.diff(self.bounds)
+        for size in range(1, LEAST) if short else ():
+            which = np.flatnonzero(sizes == size)
+            if len(which):
+                found, at = seed_hashes(self.hashes, self.bounds, range(size), len(SEEDS) + size)
+                found = found[np.searchsorted(at, self.bounds[which])]
+                order = np.argsort(found, kind="stable")
+                self.short[size] = found[order], which[order]
+
+    def copies(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+        """The first whole copy of each short item in each text, as in overlaps."""
+        out = {}
+        for size, (keys, items) in self.short.items():
+            found, at = seed_hashes(hashes, bounds, range(size), len(SEEDS) + size)
+            low, high = np.searchsorted(keys, found), np.searchsorted(keys, found, side="right")
+            n = high - low
+            if total := int(n.sum()):
+                item = items[np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)]
+                place = np.repeat(at, n)
+                same = np.all([hashes[place + k] == self.hashes[self.bounds[item] + k] for k in range(size)], axis=0)
+                place, item = place[same], item[same]
+                text = np.searchsorted(bounds, place, side="right") - 1
+                pairs, first = np.unique(np.stack([text, item], axis=1), axis=0, return_index=True)
+                out |= {(t, i): (p, 0, size, size) for (t, i), p in zip(pairs.tolist(), (place - bounds[text])[first].tolist(), strict=True)}
+        return out
 
     def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """(position in the texts, position in the items) of all equal seed hashes, one row each."""
@@ -88,12 +116,12 @@ class Index:
     def overlaps(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, place in the text, place in the item, tokens, agreeing tokens): the best overlap of each text and item."""
         hits = self.hits(hashes, bounds)
-        if not len(hits):
+        if not len(hits) and not self.short:
             return []
         texts = np.searchsorted(bounds, hits[:, 0], side="right") - 1
         items = self.owner[hits[:, 1]]
         lines = np.unique(np.stack([texts, items, hits[:, 0] - hits[:, 1]], axis=1), axis=0)
-        best: dict[tuple[int, int], tuple] = {}
+        best: dict[tuple[int, int], tuple] = self.copies(hashes, bounds)
         for text, item, shift in lines.tolist():
             found = self._along(hashes, bounds[text], bounds[text + 1], item, shift)
             if found and ((key := (text, item)) not in best or (found[3], -found[0]) > (best[key][3], -best[key][0])):
@@ -115,7 +143,7 @@ class Index:
         return int(low + at + shift - begin), int(low + at - first), int(size), int(agree[at])
 
 
-def blocks(benchmark: DataFrame, key: str, text: str) -> list[Index]:
+def blocks(benchmark: DataFrame, key: str, text: str, short: bool = False) -> list[Index]:
     """Indexes over blocks of the benchmark, each of about BLOCK_TOKENS tokens; one unless the benchmark is large.
 
     The items are dealt to blocks by a hash. Each block is bounded, and the
@@ -127,11 +155,11 @@ def blocks(benchmark: DataFrame, key: str, text: str) -> list[Index]:
     out = []
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).orderBy("item", "text").collect()
-        out.append(Index([r[0] for r in rows], [r[1] for r in rows]))
+        out.append(Index([r[0] for r in rows], [r[1] for r in rows], short))
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
     """One row for each document and benchmark item that it holds a passage of.
 
     Columns: doc_id, item_id, doc_place and item_place (token numbers of the best
@@ -139,13 +167,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     lower case and without punctuation.
 
     Defined results: null and empty texts hold nothing; items of fewer than
-    LEAST tokens and items without an id are not looked for; repeated documents
-    have their rows each; of equally good overlaps the first counts; an empty
+    LEAST tokens are looked for if ``short``, and then found where all their
+    words follow each other; items without words or without an id are not looked
+    for; repeated documents have their rows each; of equally good overlaps the first counts; an empty
     corpus or benchmark gives no rows; further columns are ignored.
     """
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, item_id long, doc_place int, item_place int, n_tokens int, n_agree int"
     out = None
-    for index in blocks(benchmark, item_key, item_text):
+    for index in blocks(benchmark, item_key, item_text, short):
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, held=held) -> pa.RecordBatch | None:
@@ -161,9 +190,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of docs that hold no benchmark passage, columns unchanged; rows are judged one by one, so keys need not be unique or set."""
-    indexes = [docs.sparkSession.sparkContext.broadcast(x) for x in blocks(benchmark, item_key, item_text)]
+def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
+    """The rows of docs that hold no benchmark passage (nor a whole item of fewer than LEAST tokens, if ``short``), columns unchanged; rows are judged one by one, so keys need not be unique or set."""
+    indexes = [docs.sparkSession.sparkContext.broadcast(x) for x in blocks(benchmark, item_key, item_text, short)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, bounds = words(texts_of(batch, text))
@@ -178,4 +207,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All passages of ``benchmark`` in ``documents``."""
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short=True)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from newslens.llm import chat, decontam, html_text, langid, neardup, packing, pii, quality, sharding, textvec, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node long, a string, band int"
@@ -94,6 +95,19 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0 and decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_are_found_whole(spark, tmp_path):
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(k))) for k in range(1, 9)] + [(20, "i3x0 i3x1 i3x2"), (21, ""), (None, "i2x0 i2x1")]
+    texts = [f"a {item} b {item}".upper() for _, item in items[:8]] + [f"a {item.rpartition(' ')[0]} b" for _, item in items[1:6]] + ["i3x0 i3x1 b i3x2", "i2x0", "i2x1", *ODD]
+    docs, bench = _docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontam.find_leaks(docs, bench, short=True).collect())
+    assert got == sorted([(k - 1, k, 1, 0, k, k) for k in range(1, 9)] + [(2, 20, 1, 0, 3, 3)])
+    assert {r.doc_id for r in decontam.decontaminate(docs, bench, short=True).collect()} == set(range(8, len(texts)))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(tuple(r) for r in decontam.op1_benchmark_leaks(spark, str(tmp_path)).collect()) == got
+    assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()} == set(range(8, len(texts)))
+
+
 # --- 2 language -------------------------------------------------------------------------------------------------------
 
 
