@@ -19,11 +19,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language that the corpus teaches: those with letters whose best cosine is positive."""
+    """Keep documents in a language that the corpus teaches: those with letters whose best cosine is above chance, or too short to tell."""
     ship(spark)
     names, profiles = langid.learn(docs.where(~langid.held_out()))
     found = langid.identify(docs, names, profiles, keep=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
+    return found.where(langid.taught(F.col("text"), F.col("lang_pred"), F.col("score"))).select(*COLUMNS)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

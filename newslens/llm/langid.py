@@ -26,6 +26,10 @@ GRAM = 3
 #: Texts per language, on average, that the profiles are learnt from at most.
 SAMPLE = 2000
 UNKNOWN = "und"
+#: Cosine under which a text is in no language that was learnt: four standard deviations of the cosine with a vector that has nothing to do with it.
+LEAST_COSINE = 4 / DIM**0.5
+#: Letters from which a cosine says so; clean texts of fewer have any.
+SHORT = 20
 #: Cells of the table that finds the distinct n-grams of a block of texts.
 CELLS = 1 << 22
 _BLOCK = 1 << 19
@@ -187,6 +191,12 @@ def identify(docs: DataFrame, names: list[str], profiles: np.ndarray, text: str
     return arrow_map(docs.select(*keep, F.col(text).alias("_text")), run, ", ".join([*(f"`{x}` {kinds[x]}" for x in keep), "lang_pred string", "score double"]))
 
 
+def taught(text: Column, lang_pred: Column, score: Column) -> Column:
+    """Whether a text may be in a language that was learnt: it has letters, and few of them or a cosine above chance."""
+    few = F.length(F.regexp_replace(text, r"\P{L}+", "")) < SHORT
+    return F.coalesce((lang_pred != UNKNOWN) & ((score >= LEAST_COSINE) | few), F.lit(False))
+
+
 def held_out() -> Column:
     """The quarter of documents that is kept from training."""
     return F.coalesce(F.pmod(utf8_crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))

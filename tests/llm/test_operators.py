@@ -147,6 +147,16 @@ def test_language_of_held_out_texts(spark):
     assert {r.lang_pred for r in langid.identify(test, *langid.learn(frame.limit(0))).collect()} == {"und"}
 
 
+def test_unlearnt_scripts_go_and_clean_short_texts_stay(spark):
+    rng = random.Random(6)
+    stems = {"en": ["the", "and", "thing", "tion", "with"], "de": ["und", "schön", "keit", "lich", "für"]}
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    clean = [(k, text(stems[lang], 30), lang) for k in range(200) for lang in [rng.choice(list(stems))]] + [(300 + k, text(stems["en"], 1 + k % 4), "en") for k in range(40)]
+    odd = [(1000 + k, text(["".join(chr(rng.randrange(low, low + 24)) for _ in range(rng.randrange(3, 9))) for _ in range(60)], 40), None) for k in range(100) for low in [rng.choice([0x3B1, 0x430, 0x4E00])]]
+    docs = spark.createDataFrame([(*r[:2], r[2], None, None) for r in clean + odd], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {r[0] for r in clean}
+
+
 # --- 3 sharding -------------------------------------------------------------------------------------------------------
 
 
