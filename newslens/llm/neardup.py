@@ -244,7 +244,7 @@ def near_duplicates(
     Defined results: texts of fewer than ``width`` words have one shingle, of
     all their words; wordless texts (also the empty one) are linked with equal
     texts only; a null text is alone in its class; rows that share a doc_id are
-    one document; a null doc_id has a null class; an empty table gives no rows;
+    one document, which links the classes of its texts; a null doc_id has a null class; an empty table gives no rows;
     texts are read whole, and further columns are ignored.
     """
     signed = stash(sign(docs.where(F.col(text).isNotNull()), key, text, width, bands, rows), "signed")
@@ -296,13 +296,51 @@ def near_duplicates(
     found = nodes.select("k1", "k2", "node").join(classes, "node", "left").select("k1", "k2", F.coalesce("comp", "node").alias("comp"))
     classed = signed.where("doc_id is not null").select("doc_id", "k1", "k2").join(found, ["k1", "k2"]).select("doc_id", "comp")
     bare = docs.where(F.col(text).isNull() | F.col(key).isNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(key).cast("long").alias("comp"))
-    return classed.unionByName(bare).select("doc_id", F.col("comp").alias("class_id"))
+    out = stash(classed.unionByName(bare), "classed")
+    # a document with texts in several classes links them
+    several = out.groupBy("doc_id").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("doc_id", "least")
+    links = stash(out.join(several, "doc_id").where("comp <> least").select(F.col("least").alias("a"), F.col("comp").alias("b")).distinct(), "links")
+    if links.limit(1).count():
+        merged = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+        out = out.join(merged, "comp", "left").select("doc_id", F.coalesce("to", "comp").alias("comp"))
+    return out.select("doc_id", F.col("comp").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is the class's smallest (and rows without a doc_id), columns unchanged."""
-    gone = near_duplicates(docs, key, text).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """One row of docs for each class of near duplicate texts, that of the smallest doc_id, columns unchanged.
+
+    Rows are judged by their own texts, also where they share a doc_id: a text
+    goes only if one like it stays. Of equal rows one stays; rows without a
+    doc_id are compared with each other only, and a row without a text goes only if it
+    repeats one of its doc_id.
+    """
+    h = F.xxhash64(F.col(text))
+    texts = stash(docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id"), h.alias("_hash")).count(), "texts")
+    several = stash(texts.groupBy("_id").count().where("count > 1").select("_id"), "several")
+    repeats = stash(texts.where("count > 1").select("_id", "_hash"), "repeats")
+    keyed = docs.where(F.col(key).isNotNull())
+    if several.limit(1).count():
+        # a number of its own for each text of such an id
+        rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_id"), h.alias("_hash"), F.col(text).alias("_text"))
+        own = several.withColumn("_several", F.lit(True))
+        rows = rows.join(own, "_id", "left").withColumn("_row", F.when(F.col("_several"), F.xxhash64("_id", "_hash")).otherwise(F.col("_id").cast("long")))
+        classes = stash(near_duplicates(rows, "_row", "_text").distinct(), "rows")
+        rows = rows.select("_id", "_hash", F.col("_row").alias("doc_id")).distinct().join(classes, "doc_id")
+        rows = stash(rows, "rows")
+        first = rows.groupBy("class_id").agg(F.min(F.struct("_id", "_hash")).alias("first"))
+        gone = rows.join(first, "class_id").where("struct(_id, _hash) <> first").select(F.col("_id").alias("_gone"), F.col("_hash").alias("_gone_hash"))
+        kept = keyed.join(gone, (F.col(key) == F.col("_gone")) & (h == F.col("_gone_hash")), "left_anti")
+    else:
+        gone = near_duplicates(keyed, key, text).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
+        kept = keyed.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    if repeats.limit(1).count():
+        same = (F.col(key) == F.col("_id")) & (h == F.col("_hash"))
+        kept = kept.join(repeats, same, "left_anti").unionByName(kept.join(repeats, same, "left_semi").dropDuplicates([key, text]))
+    bare = docs.where(F.col(key).isNull())
+    if bare.where(F.col(text).isNotNull()).limit(1).count():
+        rest = keep_one(bare.where(F.col(text).isNotNull()).withColumn("_row", h), "_row", text).drop("_row")
+        bare = rest.unionByName(bare.where(F.col(text).isNull()))
+    return kept.unionByName(bare)
 
 
 def op4_bagminhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,6 +252,21 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_two_texts_is_one_class_and_loses_no_text(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"{x}{rng.randrange(2000)}" for _ in range(80)) for x in "abc")
+    rows = [(5, a), (7, a), (7, b), (9, b + " end"), (11, c), (11, c), (12, None), (12, None), (7, b), (14, None), (14, c + " end")]
+    rows += [(None, c), (None, c + " end"), (None, c), (None, None), (None, None)]
+    docs = _docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = neardup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: {x.class_id for x in got if x.doc_id == r.doc_id} for r in got if r.doc_id is not None} == {5: {5}, 7: {5}, 9: {5}, 11: {11}, 12: {12}, 14: {11}}
+    kept = Counter((r.doc_id, (r.text or "-")[0]) for r in neardup.keep_one(docs).collect())
+    assert kept == {(5, "a"): 1, (7, "b"): 1, (11, "c"): 1, (12, "-"): 1, (14, "-"): 1, (None, "c"): 1, (None, "-"): 2}
+    plain = [(5, a), (7, a), (11, c), (11, c)]
+    assert sorted(r.doc_id for r in neardup.keep_one(_docs(spark, [t for _, t in plain], [i for i, _ in plain])).collect()) == [5, 11]
+
+
 # --- 5 personal data --------------------------------------------------------------------------------------------------
 
 _PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
