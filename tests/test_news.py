@@ -87,6 +87,20 @@ def test_lsh_finds_most_pairs(spark):
     assert len(exact) == 30 and len(exact & found) >= 27
 
 
+def test_lsh_recall_near_the_similarity_is_as_stated(spark):
+    share = lambda s: 1 - (1 - s**dedupe.ROWS) ** dedupe.BANDS
+    for s in ("0.40 at 0.8,", "0.69 at 0.85,", "0.93 at 0.9."):
+        chance, _, at = s.rstrip(",.").partition(" at ")
+        assert s in dedupe.lsh_candidates.__doc__ and round(share(float(at)), 2) == float(chance)
+    rows = []
+    for k in range(300):  # 72 shingles in common of 90: similarity 0.8
+        body = [f"v{k}x{j}" for j in range(74)]
+        rows += [(2 * k, 2 * k, " ".join([*body, *(f"a{k}x{j}" for j in range(9))])), (2 * k + 1, 2 * k + 1, " ".join([*body, *(f"b{k}x{j}" for j in range(9))]))]
+    frame = spark.createDataFrame(rows, "id long, seq long, text string")
+    found = sum(b == a + 1 for a, b in (tuple(r) for r in dedupe.lsh_candidates(frame).collect()))
+    assert abs(found / 300 - share(0.8)) < 0.12
+
+
 def test_components_and_ranks(spark):
     nodes = spark.createDataFrame([(1, k) for k in range(12)], "flashpoint_id int, node long")
     edges = spark.createDataFrame([(1, k, k + 1) for k in range(6)] + [(1, 8, 9), (1, 10, 11), (1, 11, 10)], "flashpoint_id int, src long, dst long")
