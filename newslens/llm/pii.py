@@ -11,7 +11,8 @@ once is recognised where it is written in another way.
 
 The field is learnt by pseudo-likelihood on a bounded sample of documents whose
 carriers carry the base labels: the form of a carrier and the labels of its
-neighbours have to explain its own. Skip potentials start from a prior by which
+neighbours have to explain its own. A carrier outside the base spans that is
+similar to one inside has no known label and is left out. Skip potentials start from a prior by which
 similar carriers agree, and move from it as far as the sample speaks.
 """
 
@@ -250,6 +251,16 @@ def fit(cases: list[tuple[tuple[int, ...], int]], steps: int = 400, ridge: float
     return field
 
 
+def unknown(g: Graph) -> np.ndarray:
+    """Which carriers lie outside the base spans but are joined by skip potentials, over any number, to one inside."""
+    near = g.base > 0
+    for a, b in g.skip.tolist():  # by the second, so one way and back is enough
+        near[b] |= near[a]
+    for a, b in g.skip[::-1].tolist():
+        near[a] |= near[b]
+    return near & (g.base == 0)
+
+
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
     """The field learnt from about ``sample`` documents with a digit or an at sign, chosen by a hash of key and text.
 
@@ -263,11 +274,13 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
         texts = texts_of(batch)
         g = graph(texts, [base_spans(x) for x in texts])
         around = np.full((len(g.spans), 4), -1, dtype=np.int64)
-        around[g.chain[:, 1], 0] = g.base[g.chain[:, 0]]
-        around[g.chain[:, 0], 1] = g.base[g.chain[:, 1]]
-        around[g.skip[:, 1], 2] = g.base[g.skip[:, 0]]
-        around[g.skip[:, 0], 3] = g.base[g.skip[:, 1]]
-        table_ = np.column_stack([g.shapes, around, g.base])
+        open_ = unknown(g)
+        label = np.where(open_, -1, g.base)
+        around[g.chain[:, 1], 0] = label[g.chain[:, 0]]
+        around[g.chain[:, 0], 1] = label[g.chain[:, 1]]
+        around[g.skip[:, 1], 2] = label[g.skip[:, 0]]
+        around[g.skip[:, 0], 3] = label[g.skip[:, 1]]
+        table_ = np.column_stack([g.shapes, around, g.base])[~open_]
         found, count = np.unique(table_, axis=0, return_counts=True) if len(table_) else (table_, np.zeros(0, dtype=np.int64))
         return pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(6)), pa.array(count.astype(np.int64))], ["a", "b", "c", "d", "e", "f", "n"])
 

@@ -306,6 +306,20 @@ def test_skip_edges_carry_labels_through_the_document(spark):
     assert pii.find(frame.limit(0), pii.learn(frame.limit(0))).count() == 0
 
 
+def test_frequent_variants_are_not_learnt_as_no_personal_data(spark):
+    rng = random.Random(5)
+    texts, variants = [], []
+    for _ in range(300):
+        a, b, c = rng.randrange(200, 999), rng.randrange(200, 999), rng.randrange(1000, 9999)
+        variants.append(f"1{a}{b}{c}")
+        texts.append(f"Call +1 ({a}) {b}-{c}. " + "more words here " * 6 + f"or {variants[-1]}, or {variants[-1]}; not {rng.randrange(10, 99)}.5")
+    frame = _docs(spark, texts)
+    field = pii.learn(frame)
+    found = [{t[a:b] for _, a, b in set(spans) - set(base)} for t, (base, spans) in zip(texts, pii.all_spans(texts, field), strict=True)]
+    assert found == [{x} for x in variants]
+    assert not any(x in r.text for r, x in zip(pii.redact(frame, field).orderBy("doc_id").collect(), variants, strict=True))
+
+
 def test_belief_propagation_is_exact_on_a_chain():
     rng = np.random.default_rng(0)
     field = pii.Field(rng.normal(size=(pii.SHAPES, pii.LABELS)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
