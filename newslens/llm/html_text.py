@@ -1,10 +1,11 @@
 """Main-text extraction by composite text density.
 
 A small tolerant parser builds the tree of a page's block elements. Parts that
-are named as something else than the article (menus, headers, footers, side
-bars, notices, adverts, forms, scripts, reader comments) are cut, unless a form
-or a part with such a class, id or role turns out to hold the article. Every node
-left has a density: characters per tag, adjusted by how much of the text is
+are surely named as something else than the article (menus, headers, footers,
+side bars, adverts, forms, scripts, reader comments) are cut, unless a form
+or a part with such a class, id or role turns out to hold the article; a doubtful
+name (share, search, notice) decides only where a part has less text for each
+tag than half the article's. Every node left has a density: characters per tag, adjusted by how much of the text is
 links, here and in the whole body. The node whose children's densities have the
 largest sum lies in the article, which is the article or main element around
 it if there is one. The smallest density on the way from it to the body is the
@@ -17,7 +18,7 @@ parts that count.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from html import unescape
 from math import e, log
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, table
 
 _TAG = re.compile(r"""<(?:!--(?:(?:(?!-->).)*+)(?:-->|$)|!\[CDATA\[(?P<cdata>(?:(?!\]\]>).)*+)(?:\]\]>|$)|[!?][^>]*+>|(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?)>)""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Element names of HTML by how they are treated here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,13 +45,18 @@ FAMILY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPE = frozenset("table ul ol dl select html body article section div main td th".split())
 #: Elements that hold a piece of running text; what they stand in holds the article.
 PIECES = frozenset("blockquote dd details dl dt figure h1 h2 h3 h4 h5 h6 li ol p pre table tbody tfoot thead tr ul".split())
-#: Words of class, id or role that name what isn't the article.
-_OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner\w*|breadcrumbs?|comments?|commentlist|disqus|respond|cookies?|consent|gdpr|footer|masthead|menu\w*|nav|navbar|navigation|newsletter|notice|notices|alert|popup|modal|overlay|promo\w*|related|recommended|share|sharing|sidebar\w*|social|sponsor\w*|subscribe|paywall|toolbar|widget\w*|contentinfo|complementary|search|site-header|page-header|login|signup)(?:$|[\s_-])",
-    re.I,
+#: Elements that may be one link within running text.
+LINES = frozenset("p li dd dt td th blockquote figcaption caption h1 h2 h3 h4 h5 h6".split())
+#: Words that say, alone or with words of the lists below, that a part isn't the article.
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements adsense sponsored breadcrumb breadcrumbs comment comments commentlist disqus consent gdpr footer masthead nav navbar navigation sidebar newsletter popup modal related recommended recommendations contentinfo complementary".split()
 )
-
-
+#: Words that may also name a subject; a part so named stays if it reads like the article.
+DOUBTFUL = frozenset("banner cookie cookies header menu menubar notice notices alert overlay promo promotion share sharing social sponsor sponsors search subscribe subscription paywall toolbar widget widgets login signup register respond tags pagination pager dialog".split())
+#: Words that only say what kind of box it is, or where.
+BOXES = frozenset("area block box container holder wrap wrapper inner outer item items list section slot unit bar module region panel left right top bottom site page global main primary secondary user users reader readers google mobile desktop sticky fixed side".split())
+#: Names that an article element may have too.
+READERS = frozenset(("comment", "comments"))
 #: What stands after these in a name isn't what the part is.
 _NOT_OTHER = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no)[_-]\S*", re.I)
 #: Share of the page's text outside links with which a part isn't something else, and how many times the article's own text it has to hold.
@@ -57,19 +64,19 @@ MOST, TIMES = 0.75, 10
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept", "other", "plain")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept", "other", "doubtful", "plain")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
         self.children: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.links = 0
         self.density = self.total = 0.0
-        self.other = False  # whether it is named as something else than the article
+        self.other = self.doubtful = False  # whether it is named as something else than the article, and by doubtful words only
         self.plain = 0
         self.kept = 0  # 1 if parts of it count, 2 if all of it does
 
 
-def _preorder(root: Node) -> list[Node]:
+def preorder(root: Node) -> list[Node]:
     out, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -78,36 +85,59 @@ def _preorder(root: Node) -> list[Node]:
     return out
 
 
-def _is_cut(tag: str, rest: str, inside: bool) -> bool:
+def _attributes(rest: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)]
+
+
+def _is_cut(tag: str, attributes: list[tuple[str, str]], inside: bool) -> bool:
     """Whether a start tag begins what is never shown or never the article; inside: within article or main."""
     if tag in CUT or tag == "header" and not inside:
         return True
-    if not rest or tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "article", "main"):
         return False
-    for m in _ATTRIBUTE.finditer(rest):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value) for name, value in attributes)
+
 
+def _named(value: str) -> int:
+    """How surely a class, id or role names something else than the article: 2 surely, 1 doubtful, 0 not.
 
-def _is_other(tag: str, rest: str) -> bool:
-    """Whether a start tag names something else than the article."""
+    One of its names has to consist of such words and of boxes throughout, so
+    market-share and related-work are no such names.
+    """
+    found = 0
+    for name in _NOT_OTHER.sub("", value).split():
+        said = [x.lower() for x in _WORD.findall(name)]
+        words = [x for x in said if x not in BOXES]
+        if "".join(said) in NAMES or words and all(x in NAMES or x in DOUBTFUL for x in words) and any(x in NAMES for x in words):
+            return 2
+        # two doubtful words (cookie-banner), or one with a box of the site (site-header), are sure
+        if words and all(x in DOUBTFUL for x in words):
+            found = max(found, 2 if len(words) > 1 or "site" in said or "page" in said else 1)
+    return found
+
+
+def _is_other(tag: str, attributes: list[tuple[str, str]]) -> int:
+    """How surely a start tag names something else than the article, as in _named."""
     if tag == "form":
-        return True
-    if not rest or tag in ("html", "body", "article", "main"):
-        return False
-    return any(m[1].lower() in ("class", "id", "role") and _OTHER.search(_NOT_OTHER.sub("", m[2] or m[3] or m[4] or "")) for m in _ATTRIBUTE.finditer(rest))
+        return 2
+    if tag in ("html", "body"):
+        return 0
+    values = [value for name, value in attributes if name in ("class", "id", "role")]
+    if tag in ("article", "main"):
+        return 2 * any(x in READERS for value in values for x in re.split(r"[\s_-]+", value.lower()))
+    return max(map(_named, values), default=0)
 
 
 def _cut_others(root: Node, others: list[Node]) -> None:
-    """Cut the parts named as something else, but for those that hold the article.
+    """Cut the parts surely named as something else, but for those that hold the article.
+
+    Parts named by doubtful words stay doubtful if they don't hold it.
 
     That is the longest article or main element, if there is no longer one
     outside such parts and no more text right in what is around it; the first
     h1 if none stands outside; or else most of the text.
     """
-    nodes = _preorder(root)
+    nodes = preorder(root)
     under: dict[Node | None, Node | None] = {None: None}  # the innermost of others around a node
     elements = {None: False}  # whether it is in an article or main element
     beside: Counter[Node | None] = Counter()  # text right in one of others, or in none, but in no such element
@@ -140,7 +170,10 @@ def _cut_others(root: Node, others: list[Node]) -> None:
             held.add(up)
             up = up.parent
     for node in others:
-        node.cut = node not in held
+        if node in held:
+            node.doubtful = False
+        elif not node.doubtful:
+            node.cut = True
 
 
 def parse(html: str) -> tuple[Node, int, int]:
@@ -149,8 +182,21 @@ def parse(html: str) -> tuple[Node, int, int]:
     others: list[Node] = []
     node, line, link, link_line = root, [], 0, 0
     open_tags: list[tuple[str, Node | None]] = []  # inline elements have no node
+    # where elements of a name stand in open_tags, those that an inline end tag doesn't end, and those that a start tag looks at: no tag has to go through all that are open
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
+    scopes: list[int] = []
     inside = body_chars = body_links = 0
-    at, size = 0, len(html)
+    at, size, last = 0, len(html), html.rfind(">")
+
+    def opened(tag: str, own: Node | None) -> None:
+        k = len(open_tags)
+        open_tags.append((tag, own))
+        places[tag].append(k)
+        if own is not None and tag != "p":
+            blocks.append(k)
+        if tag == "p" or tag in SCOPE or tag in FAMILY:
+            scopes.append(k)
 
     def flush() -> None:
         nonlocal link_line
@@ -168,6 +214,10 @@ def parse(html: str) -> tuple[Node, int, int]:
         nonlocal node, link, inside
         while len(open_tags) > upto:
             tag, own = open_tags.pop()
+            places[tag].pop()
+            for held in (blocks, scopes):
+                if held and held[-1] == len(open_tags):
+                    held.pop()
             if own is None:
                 link -= tag == "a"
             else:
@@ -187,9 +237,12 @@ def parse(html: str) -> tuple[Node, int, int]:
             link_line += n if link else 0
 
     while at < size:
-        m = _TAG.search(html, at)
-        if m is None:
-            text(html[at:])
+        m = _TAG.search(html, at) if at <= last else None
+        if m is None:  # an open comment or character data reach to the end
+            rest, _, data = html[at:].partition("<!--")[0].partition("<![CDATA[")
+            text(rest)
+            if data:
+                text(data)
             break
         if m.start() > at:
             text(html[at : m.start()])
@@ -202,18 +255,14 @@ def parse(html: str) -> tuple[Node, int, int]:
         if m["close"]:
             if tag == "br" and not node.cut:
                 line.append(" ")
-            if tag == "p" and not any(t == "p" for t, _ in open_tags):
+            if tag == "p" and not places["p"]:
                 flush()
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    close(k)
-                    break
-                if tag in INLINE and open_tags[k][1] is not None and open_tags[k][0] != "p":
-                    break  # an inline end tag doesn't end blocks
+            if places[tag] and not (tag in INLINE and blocks and blocks[-1] > places[tag][-1]):  # an inline end tag doesn't end blocks
+                close(places[tag][-1])
             continue
         if tag in CLOSES_P or tag in FAMILY:
             wanted = FAMILY.get(tag, ())
-            for k in range(len(open_tags) - 1, -1, -1):
+            for k in reversed(scopes):
                 name = open_tags[k][0]
                 if name == "p" and tag in CLOSES_P or name in wanted:
                     close(k)
@@ -230,21 +279,22 @@ def parse(html: str) -> tuple[Node, int, int]:
             if tag == "a":
                 node.links += 1
             if tag not in VOID:
-                open_tags.append((tag, None))
+                opened(tag, None)
                 link += tag == "a"
             continue
         flush()
         inside += tag in ("article", "main")
-        if tag in ("html", "body") and any(t == tag for t, _ in open_tags):
+        if tag in ("html", "body") and places[tag]:
             continue
-        child = Node(tag, node, node.cut or _is_cut(tag, m["rest"], bool(inside)))
-        if not child.cut and _is_other(tag, m["rest"]):
-            child.other = True
+        attributes = _attributes(m["rest"])
+        child = Node(tag, node, node.cut or _is_cut(tag, attributes, bool(inside)))
+        if not child.cut and (surely := _is_other(tag, attributes)):
+            child.other, child.doubtful = True, surely == 1
             others.append(child)
         node.children.append(child)
         if m["rest"].endswith("/") and tag not in RAW and tag not in CLOSES_P:
             continue
-        open_tags.append((tag, child))
+        opened(tag, child)
         node = child
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
@@ -282,10 +332,8 @@ def _free(node: Node) -> bool:
     return 2 * (node.link_chars - sum(x.link_chars for x in parts)) <= node.chars - sum(x.chars for x in parts)
 
 
-def main_text(html: str) -> str:
-    """The article's blocks in page order, joined by blank lines."""
-    root, body_chars, body_links = parse(html)
-    nodes = _preorder(root)
+def measure(nodes: list[Node], body_chars: int, body_links: int) -> None:
+    """Counts, densities and sums of the children's densities of nodes in preorder."""
     for node in reversed(nodes):
         for child in node.children:
             if isinstance(child, Node) and not child.cut:
@@ -299,6 +347,13 @@ def main_text(html: str) -> str:
         own = sum(len(x) for x in node.children if isinstance(x, str))
         if own and node.total:
             node.total += composite_density(own, 0, 1, 0, body_chars, body_links)
+
+
+def main_text(html: str) -> str:
+    """The article's blocks in page order, joined by blank lines."""
+    root, body_chars, body_links = parse(html)
+    nodes = preorder(root)
+    measure(nodes, body_chars, body_links)
     filled = [x for x in nodes if x.chars]
     if not filled:
         return ""
@@ -322,6 +377,10 @@ def main_text(html: str) -> str:
         around.add(up)
         up = up.parent
 
+    for node in nodes:  # names decide only where the text doesn't
+        if node.doubtful and node is not article and node not in around and (_mostly_links(node) or 2 * _plain_rate(node) < _plain_rate(article)):
+            node.cut = True
+
     def counts(part: Node | str, free: bool) -> bool:
         """Whether a part counts by itself; free: the lines beside it aren't mostly links."""
         if isinstance(part, str):
@@ -346,7 +405,7 @@ def main_text(html: str) -> str:
             for x in reversed(item.children):
                 if isinstance(x, str):
                     todo.append(x)
-                elif not x.cut and (x.density >= threshold or not _mostly_links(x)):
+                elif not x.cut and (x.density >= threshold or not _mostly_links(x) or x.tag in LINES and not _mostly_links(item)):
                     x.kept = 2
                     todo.append(x)
         elif item.kept:

@@ -6,7 +6,9 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -483,6 +485,107 @@ def test_parts_beside_the_article_are_cut():
     assert html_text.main_text(page).split("\n\n") == ["Title"] + [_PLAIN] * 4
 
 
+@pytest.mark.parametrize("names", ["plainname", "market-share", "social policy", "search", "related-work", "menu-history", "share", "hero-banner-history"])
+def test_misleading_names_cut_no_paragraphs(names):
+    parts = [f"<p>{_PLAIN}</p>", f"<div class='{names}'><p>{_PLAIN}!</p></div>", f"<p>{_PLAIN}?</p>"]
+    for page in (f"<body><article>{''.join(parts)}</article></body>", f"<body><div>{''.join(parts)}</div></body>"):
+        assert html_text.main_text(page).split("\n\n") == [_PLAIN, _PLAIN + "!", _PLAIN + "?"], page
+
+
+@pytest.mark.parametrize("names", ["share", "social", "notice", "cookie-banner", "ad", "ad-slot", "comments-area", "search", "site-header", "menu", "newsletter", "leftSidebar", "user-comments"])
+def test_small_parts_of_such_names_are_cut(names):
+    page = f"<body><article><h1>Title</h1><p>{_PLAIN}</p><div class='{names}'>Share this page</div><p>{_PLAIN}?</p></article></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", _PLAIN, _PLAIN + "?"]
+
+
+def test_links_within_the_article_stay():
+    page = f"<body><article><h1><a href=a>Linked title</a></h1><p>{_PLAIN}</p><p><a href=x>one link</a></p><ul><li><a href=y>linked item</a></li><li>{_SHORT}</li></ul></article><ul><li><a href=z>menu</a></li></ul></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Linked title", _PLAIN, "one link", "linked item", _SHORT]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<b>{n}</i>{n}", "<p><table><b>{n}<div></div>{n}", "<i><div><b>{n}</i>{n}", "<a {n}", "<!x {n}", "<table>{n}<tr>{n}", "<ul>{n}<li>{n}", "<p>{n}", "<div>{n}</p>{n}", "<!--{n}", "<![CDATA[{n}", "<a b='{n}>"],
+)
+def test_broken_pages_take_linear_time(page):
+    parts = page.split("{n}")
+    began = time.perf_counter()
+    html_text.main_text("".join(x * 100_000 for x in parts[:-1]) + parts[-1])
+    assert time.perf_counter() - began < 20  # minutes if it went with the square
+
+
+class _Dom(HTMLParser):
+    """The whole tree of a well-formed page, every element a node: tag, children, text, text in links."""
+
+    def __init__(self):
+        super().__init__()
+        self.root = self.at = ["#root", [], 0, 0, None]
+        self.link = 0
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, [], 0, 0, self.at]
+        self.at[1].append(node)
+        self.at = node
+        self.link += tag == "a"
+
+    def handle_endtag(self, tag):
+        self.at = self.at[4]
+        self.link -= tag == "a"
+
+    def handle_data(self, data):
+        self.at[2] += len(data)
+        self.at[3] += len(data) * bool(self.link)
+
+
+def test_densities_are_those_of_the_whole_dom():
+    rng = random.Random(7)
+
+    def inline():
+        text = "w" * rng.randrange(1, 60)
+        return rng.choice([text, f"<a>{text}</a>", f"{text}<b>x</b>{text}", f"<i><a>{text}</a></i>y"])
+
+    def block(depth):
+        if not depth or rng.random() < 0.3:
+            return f"<p>{inline()}</p>"
+        return f"<{(tag := rng.choice(['div', 'section', 'ul']))}>{''.join((f'<li>{inline()}</li>' if tag == 'ul' else block(depth - 1)) for _ in range(rng.randrange(1, 5)))}</{tag}>"
+
+    for _ in range(200):
+        page = f"<body>{''.join(block(4) for _ in range(4))}</body>"
+        dom = _Dom()
+        dom.feed(page)
+
+        def measure(node):
+            """(characters, in links, tags, links) below a node."""
+            own = np.array([node[2], node[3], 0, 0])
+            for child in node[1]:
+                own += measure(child) + [0, 0, 1, child[0] == "a"]
+            return own
+
+        whole = measure(dom.root)
+        want = {}
+
+        def visit(node, place):
+            if node[0] not in html_text.INLINE:
+                want[place] = (node[0], html_text.composite_density(*measure(node), whole[0], whole[1]))
+                for k, child in enumerate([x for x in node[1] if x[0] not in html_text.INLINE]):
+                    visit(child, (*place, k))
+
+        visit(dom.root, ())
+        root, chars, links = html_text.parse(page)
+        html_text.measure(html_text.preorder(root), chars, links)
+        got = {}
+
+        def walk(node, place):
+            got[place] = (node.tag, node.density)
+            for k, child in enumerate([x for x in node.children if isinstance(x, html_text.Node)]):
+                walk(child, (*place, k))
+
+        walk(root, ())
+        assert (chars, links) == (whole[0], whole[1])
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(abs(v[1] - want[k][1]) < 1e-9 for k, v in got.items())
+
+
 def test_html_operator_and_depth(spark):
     deep = "<div>" * 20000 + "deep" + "</div>" * 20000
     rows = [(1, "u", None), (2, None, ""), (3, "u", deep), (3, "u", deep), (None, "u", "<p>x<")]
