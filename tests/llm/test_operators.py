@@ -633,7 +633,19 @@ def test_topk_stops_early_and_edges(spark):
         ids, scores = block.search(-1, np.array([5, -2, 0, 0]), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 3)
     finally:
         topk._dot = real
-    assert ids.tolist() == [4999, 4998, 4997] and sum(read) < 100
+    assert ids.tolist() == [4999, 4998, 4997] and sum(read) < 100 and block.read < 100
+    # vectors near each other, and of eight directions in 64 components: most are never read
+    rng = np.random.default_rng(3)
+    centres, spread = rng.normal(size=(300, 8)), rng.normal(size=(8, 64))
+    near = (centres[rng.integers(0, 300, 20000)] + 0.1 * rng.normal(size=(20000, 8))) @ spread
+    rows = np.floor(1024 * near / np.linalg.norm(near, axis=1, keepdims=True)).astype(np.int64)
+    blocks = topk.blocks_of(np.arange(20000), rows, topk.axes_of(rows[:4000]))
+    for q in range(0, 2000, 100):
+        none = np.zeros(0, dtype=np.int64)
+        ids, scores = topk.search_blocks(blocks, q, rows[q], none, none, 10)
+        want = sorted(((-s, i) for i, s in enumerate((rows @ rows[q]).tolist()) if i != q))[:10]
+        assert list(zip((-scores).tolist(), ids.tolist(), strict=True)) == want
+    assert sum(x.read for x in blocks) < 0.5 * sum(x.offered for x in blocks)
     few = spark.createDataFrame([(0, [1e300, -1.0]), (100, [1e300, 2.0]), (7, [0.5])], "vec_id long, embedding array<double>")
     assert topk.search(few, F.col("vec_id") % 100 == 0).count() == 4
     assert topk.search(few.limit(0), F.col("vec_id") % 100 == 0).count() == 0
