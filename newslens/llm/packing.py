@@ -3,20 +3,27 @@
 Texts are measured in tokens (by default bytes of UTF-8 plus an end token, the
 lengths of a byte-level tokenizer), cut into pieces of at most the largest
 permitted sequence length, and packed by best-fit decreasing. Several sequence
-lengths are permitted at once: a piece that fits no open bin opens one of the
-least-cost size, every opening policy is tried on each share of the pieces and
-the cheapest outcome kept, and at the end each bin is downsized to the smallest
-permitted length that holds its contents.
-
-Pieces are dealt to shares of a bounded number of rows by a hash of document
-and piece, so one source or one very long document doesn't make a large share;
-each share is packed alone, and loses at most one partly filled bin per size.
+lengths are permitted at once. A sequence costs its tokens, a share for
+attention that grows with the square of its length, and a fixed overhead, so
+short ones are cheap and long ones have room for long pieces. A piece that fits
+no open bin opens one of the least expected cost: that of the size less the
+price of the tokens that the smaller pieces still to come, and not yet promised
+to open bins, can fill its gap with. Several prices are tried on each share of
+the pieces, from nothing (the tightest size) upwards, and the cheapest outcome
+kept; at the end each bin is downsized to the smallest permitted length that
+holds its contents.
+
+Pieces are dealt to shares of a bounded number of rows by a hash of document,
+piece and number of the copy, so one source, one very long document or one row
+repeated many times doesn't make a large share; each share is packed alone, and
+loses at most a few partly filled bins.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -29,8 +36,14 @@ from .common import stash, table
 CAPACITIES = (2048, 4096, 8192, 16384)
 #: Cost of a bin besides its tokens: a sequence's fixed overhead.
 BIN_COST = 64
+#: Tokens at which a sequence's attention costs as much as the rest of it.
+ATTENTION = 32_768
+#: Prices of a filled token that are tried, in terms of the cheapest size's cost per token.
+PRICES = (0.0, 0.8, 0.9, 0.95, 1.0, 1.1, 1.5)
 #: Pieces that one task packs together.
 SHARE = 20_000
+#: Copies of one row that are expanded by one task.
+RUN = 65_536
 
 
 def byte_tokens(text: Column) -> Column:
@@ -39,7 +52,8 @@ def byte_tokens(text: Column) -> Column:
 
 
 def bin_cost(capacity: int) -> int:
-    return capacity + BIN_COST
+    """Cost of a sequence: its tokens, attention, and overhead."""
+    return capacity + capacity * capacity // ATTENTION + BIN_COST
 
 
 class _Open:
@@ -73,20 +87,33 @@ def downsize(used: int, capacities: Sequence[int]) -> int:
     return capacities[bisect_left(capacities, used)]
 
 
-def best_fit(lengths: Sequence[int], capacities: Sequence[int], opening: int) -> tuple[list[int], list[int], int]:
+def best_fit(lengths: Sequence[int], capacities: Sequence[int], price: float) -> tuple[list[int], list[int], int]:
     """Bin of each piece (lengths descending), the downsized capacities, and the total cost.
 
-    A piece that fits no open bin opens one of size ``capacities[opening]``, or
-    of the smallest larger size that holds it.
+    A piece that fits no open bin opens one of the size whose cost, less
+    ``price`` for each token that smaller pieces can fill of its gap, is least;
+    ties go to the smaller size.
     """
     open_bins, where, used = _Open(), [], []
-    for need in lengths:
+    left = [*accumulate(reversed(lengths), initial=0)][::-1]  # tokens from a piece on
+    negative = [-x for x in lengths]
+    costs = [bin_cost(x) for x in capacities]
+    promised = 0  # free space of open bins
+    for at, need in enumerate(lengths):
         found = open_bins.take(need)
         if found is None:
-            space = capacities[max(opening, bisect_left(capacities, need))]
+
+            def expected(k: int, at=at, need=need) -> float:
+                gap = capacities[k] - need
+                fitting = left[max(at + 1, bisect_left(negative, -gap))]
+                return costs[k] - price * min(gap, max(0, fitting - promised))
+
+            space = capacities[min(range(bisect_left(capacities, need), len(capacities)), key=expected)]
             used.append(0)
             found = (len(used) - 1, space)
+            promised += space
         number, space = found
+        promised -= need
         used[number] += need
         where.append(number)
         open_bins.put(number, space - need)
@@ -95,9 +122,9 @@ def best_fit(lengths: Sequence[int], capacities: Sequence[int], opening: int) ->
 
 
 def pack_share(lengths: Sequence[int], capacities: Sequence[int]) -> tuple[list[int], list[int]]:
-    """The cheapest packing over all opening sizes; ties go to the larger size (fewer bins)."""
-    tried = [best_fit(lengths, capacities, k) for k in range(len(capacities))]
-    where, sizes, _ = min(reversed(tried), key=lambda x: x[2])
+    """The cheapest packing over all prices; ties go to the lower price."""
+    cheapest = min((bin_cost(x) / x for x in capacities))
+    where, sizes, _ = min((best_fit(lengths, capacities, x * cheapest) for x in PRICES), key=lambda x: x[2])
     return where, sizes
 
 
@@ -109,6 +136,16 @@ def pieces(docs: DataFrame, key: str, tokens: Column, longest: int) -> DataFrame
     return cut.select("doc_id", "piece", start.alias("start"), F.least(F.col("_tokens") - start, F.lit(longest)).cast("long").alias("n_tokens"))
 
 
+def _each(cut: DataFrame) -> DataFrame:
+    """Pieces with _copy, which numbers equal rows; they are counted before the shuffle, and many copies are expanded by several tasks."""
+    names = cut.columns
+    counted = stash(cut.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "pieces")
+    single = counted.where("_n = 1").select(*names, F.lit(0).cast("long").alias("_copy"))
+    runs = counted.where("_n > 1").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / RUN).cast("long"))))
+    spread = runs.repartition(*names, "_run").withColumn("_copy", F.explode(F.sequence(F.col("_run") * RUN, F.least((F.col("_run") + 1) * RUN, F.col("_n")) - 1)))
+    return single.unionByName(spread.select(*names, "_copy"))
+
+
 def pack(docs: DataFrame, key: str = "doc_id", tokens: Column | None = None, capacities: Sequence[int] = CAPACITIES, share: int = SHARE) -> DataFrame:
     """One row per piece: its bin, the bin's capacity and fill, and the place in the bin.
 
@@ -119,18 +156,17 @@ def pack(docs: DataFrame, key: str = "doc_id", tokens: Column | None = None, cap
     than the largest capacity is cut, nothing is dropped; repeated rows are packed
     each for itself; null keys are packed like others; an empty table gives no
     rows; further columns are ignored. Order and bins are the same on every run
-    over the same rows.
+    over the same rows, however they are partitioned.
     """
     sizes = sorted(set(capacities))
     if not sizes or sizes[0] < 1:
         raise ValueError("capacities must be positive")
-    cut = stash(pieces(docs, key, byte_tokens(F.col("text")) if tokens is None else tokens, sizes[-1]), "pieces")
+    cut = _each(pieces(docs, key, byte_tokens(F.col("text")) if tokens is None else tokens, sizes[-1]))
     shares = max(1, -(-cut.count() // share))
-    # the row's place in its file spreads copies of one row too
-    dealt = cut.withColumn("_share", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", F.monotonically_increasing_id()), F.lit(shares)).cast("int"))
+    dealt = cut.withColumn("_share", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", "_copy"), F.lit(shares)).cast("int"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        rows = rows.sort_values(["n_tokens", "doc_id", "piece", "_copy"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
         where, capacity = pack_share(rows.n_tokens.tolist(), sizes)
         numbers = np.asarray(where)
         by_bin = rows.groupby(numbers).n_tokens

@@ -373,6 +373,52 @@ def test_best_fit_takes_the_tightest_bin():
     assert packing.pack_share([], [10]) == ([], [])
 
 
+def _least_cost(lengths, capacities):
+    """The optimum by trying every partition of the pieces."""
+    best = [float("inf")]
+
+    def place(at, bins):
+        if at == len(lengths):
+            best[0] = min(best[0], sum(packing.bin_cost(packing.downsize(x, capacities)) for x in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[at] <= capacities[-1]:
+                place(at + 1, [*bins[:k], bins[k] + lengths[at], *bins[k + 1 :]])
+        place(at + 1, [*bins, lengths[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_optimum():
+    rng = random.Random(9)
+    got = want = 0
+    for _ in range(150):
+        lengths = sorted((min(16384, int(rng.lognormvariate(7, 1.3)) + 1) for _ in range(rng.randrange(1, 8))), reverse=True)
+        _, sizes = packing.pack_share(lengths, packing.CAPACITIES)
+        cost, least = sum(map(packing.bin_cost, sizes)), _least_cost(lengths, packing.CAPACITIES)
+        assert least <= cost <= 1.35 * least
+        got, want = got + cost, want + least
+    assert got <= 1.03 * want
+
+
+def test_sizes_compete_and_beat_any_single_one():
+    rng = random.Random(2)
+    lengths = sorted((min(16384, int(rng.lognormvariate(7, 1.3)) + 1) for _ in range(5000)), reverse=True)
+    where, sizes = packing.pack_share(lengths, packing.CAPACITIES)
+    assert min(Counter(sizes)[x] for x in packing.CAPACITIES) >= 10
+    cost = sum(map(packing.bin_cost, sizes))
+    assert cost < 0.9 * sum(map(packing.bin_cost, packing.pack_share(lengths, [16384])[1]))
+    assert cost < 1.05 * sum(lengths) * min(packing.bin_cost(x) / x for x in packing.CAPACITIES) + sum(packing.bin_cost(packing.downsize(x, packing.CAPACITIES)) - x for x in lengths if x > 2048)
+
+
+def test_bins_do_not_depend_on_the_partitioning(spark):
+    rng = random.Random(4)
+    docs = _docs(spark, ["x" * rng.randrange(500) for _ in range(300)] + ["same"] * 100, [*range(300), *[7] * 50, *[None] * 50])
+    first, second = ({(r, n) for r, n in Counter(map(tuple, packing.pack(x, capacities=(128, 512), share=50).collect())).items()} for x in (docs.repartition(1), docs.repartition(7, "text")))
+    assert first == second
+
+
 def test_packing_keeps_everything(spark):
     rng = random.Random(6)
     texts = [*ODD, *("é" * rng.randrange(900) for _ in range(200)), *["same text"] * 50]
