@@ -6,7 +6,9 @@ The expected grade and the probability of the upper grades select documents.
 
 Features are the distinct words of the whole text and their stems (first
 letters), hashed, and the shares of capitals, of each punctuation mark and of
-repeated stems, hashed too.
+repeated stems, hashed too. A feature is scaled by how much its presence shifts
+the odds of the upper grades, so a rare word that tells counts for more than
+frequent ones that don't, however long the text.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ GRADES = 3
 KEEP = 0.5
 STEPS, RATE, MOMENTUM, RIDGE = 300, 60.0, 0.9, 1e-5
 #: A feature counts if so many documents of the sample have it.
-SEEN = 5
+SEEN = 3
+#: Least scale of a feature, in log-odds.
+LEAST_SCALE = 0.5
 #: First letters of a word that are a feature too.
 STEM = 5
 #: Weight of a share of characters against a word.
@@ -94,13 +98,41 @@ def tails(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return _sigmoid(score[:, None] - thresholds[None, :])
 
 
+def scales(at: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, size: int) -> np.ndarray:
+    """For each feature the largest shift, over the cuts between grades, of the log-odds of being above by its presence; at least LEAST_SCALE."""
+    count = np.zeros((grades, size))
+    np.add.at(count, (grade[row], at), 1.0)
+    total = np.bincount(grade, minlength=grades)
+    out = np.full(size, LEAST_SCALE)
+    for k in range(1, grades):
+        above, below = ((count[x].sum(axis=0) + 0.5) / (total[x].sum() + 1.0) for x in (slice(k, None), slice(k)))
+        out = np.maximum(out, np.abs(np.log(above / below)))
+    return out
+
+
+def likelihood(score: np.ndarray, free: np.ndarray, grade: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The mean negative log-likelihood, its slope by each row's score (times the rows) and by ``free``: the first threshold and the logarithms of the gaps."""
+    n, grades = len(grade), len(free) + 1
+    thresholds = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
+    edge = np.concatenate([[-np.inf], thresholds, [np.inf]])
+    high, low = _sigmoid(edge[grade + 1] - score), _sigmoid(edge[grade] - score)
+    high[grade == grades - 1], low[grade == 0] = 1.0, 0.0
+    p = np.maximum(high - low, 1e-12)
+    d_high, d_low = high * (1 - high), low * (1 - low)
+    by_threshold = np.array([(-(d_high / p)[grade == k].sum() + (d_low / p)[grade == k + 1].sum()) / n for k in range(grades - 1)])
+    by_free = np.array([by_threshold.sum(), *(by_threshold[k:].sum() * np.exp(free[k]) for k in range(1, grades - 1))])
+    return float(-np.log(p).mean()), (d_high - d_low) / p, by_free
+
+
 def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int = GRADES, size: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of maximum likelihood, by gradient descent with momentum over all rows at once, with shorter steps where the loss grows."""
-    used, at, times = np.unique(feature, return_inverse=True, return_counts=True)
+    _, at, times = np.unique(feature, return_inverse=True, return_counts=True)
     often = (times >= SEEN)[at]
     row, value = row[often], value[often]
     used, at = np.unique(feature[often], return_inverse=True)
     n = len(grade)
+    scale = scales(at, row, grade, grades, len(used))
+    value = value * scale[at]
     weight = np.zeros(len(used))
     at_least = np.array([(grade >= k).mean() if n else 0.5 for k in range(1, grades)])
     start = -np.log(np.clip(at_least, 0.01, 0.99) / (1 - np.clip(at_least, 0.01, 0.99)))
@@ -108,13 +140,9 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarr
     speed, free_speed = np.zeros(len(used)), np.zeros(grades - 1)
     rate, best, kept = RATE, np.inf, (weight, free)
     for _ in range(STEPS if n else 0):
-        thresholds = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
         score = np.bincount(row, weights=value * weight[at], minlength=n)
-        edge = np.concatenate([[-np.inf], thresholds, [np.inf]])
-        high, low = _sigmoid(edge[grade + 1] - score), _sigmoid(edge[grade] - score)
-        high[grade == grades - 1], low[grade == 0] = 1.0, 0.0
-        p = np.maximum(high - low, 1e-12)
-        loss = -np.log(p).mean() + RIDGE / 2 * (weight**2).sum()
+        loss, slope, by_free = likelihood(score, free, grade)
+        loss += RIDGE / 2 * (weight**2).sum()
         if loss > 1.02 * best + 1e-3:  # a step too far: back, and shorter ones from there
             rate /= 2
             weight, free = kept[0].copy(), kept[1].copy()
@@ -122,18 +150,14 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarr
             continue
         if loss < best:
             best, kept = loss, (weight.copy(), free.copy())
-        d_high, d_low = high * (1 - high), low * (1 - low)
-        slope = (d_high - d_low) / p  # of the loss by the score
         gradient = np.bincount(at, weights=value * slope[row], minlength=len(used)) / n + RIDGE * weight
-        by_threshold = np.array([(-(d_high / p)[grade == k].sum() + (d_low / p)[grade == k + 1].sum()) / n for k in range(grades - 1)])
-        by_free = np.array([by_threshold.sum(), *(by_threshold[k:].sum() * np.exp(free[k]) for k in range(1, grades - 1))])
         speed = MOMENTUM * speed - rate * gradient
         free_speed = MOMENTUM * free_speed - min(0.5, rate) * by_free
         weight += speed
         free += free_speed
     weight, free = kept
     out = np.zeros(size, dtype=np.float32)
-    out[used] = weight
+    out[used] = weight * scale
     return out, free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import time
@@ -445,6 +446,57 @@ def test_sequences_hold_the_texts(spark):
 # --- 8 quality --------------------------------------------------------------------------------------------------------
 
 
+def test_likelihood_is_that_of_the_cumulative_logits():
+    rng = np.random.default_rng(5)
+    score, free, grade = rng.normal(size=40) * 2, np.array([-1.0, 0.3, -0.5]), rng.integers(0, 4, 40)
+    cuts = [-1.0, -1.0 + np.exp(0.3), -1.0 + np.exp(0.3) + np.exp(-0.5)]
+
+    def loss(score, cuts):
+        total = 0.0
+        for s, g in zip(score, grade, strict=True):
+            upto = [0.0, *(1 / (1 + np.exp(s - c)) for c in cuts), 1.0]
+            total -= np.log(upto[g + 1] - upto[g])
+        return total / len(grade)
+
+    found, slope, by_free = quality.likelihood(score, free, grade)
+    assert abs(found - loss(score, cuts)) < 1e-9
+    for k in range(40):
+        moved = score.copy()
+        moved[k] += 1e-5
+        assert abs((loss(moved, cuts) - found) / 1e-5 - slope[k] / 40) < 1e-4
+    for k in range(3):
+        moved = free.copy()
+        moved[k] += 1e-5
+        assert abs((quality.likelihood(score, moved, grade)[0] - found) / 1e-5 - by_free[k]) < 1e-4
+
+
+def test_fit_reaches_the_least_loss_of_a_brute_search():
+    rng = np.random.default_rng(6)
+    grade = rng.integers(0, 3, 200)
+    has = rng.random(200) < np.array([0.1, 0.5, 0.8])[grade]
+    row = np.flatnonzero(has)
+    weights, cuts = quality.fit(row, np.zeros(len(row), dtype=np.int64), np.ones(len(row)), grade, size=4)
+
+    def loss(w, a, gap):
+        return quality.likelihood(w * has, np.array([a, gap]), grade)[0] + quality.RIDGE / 2 * w**2
+
+    least = min(loss(w, a, g) for w in np.linspace(0, 6, 25) for a in np.linspace(-3, 3, 25) for g in np.linspace(-2, 2, 17))
+    assert loss(float(weights[0]), cuts[0], np.log(cuts[1] - cuts[0])) <= least + 1e-3
+
+
+def test_grades_of_the_standard_labels(spark):
+    """Held out documents of the 0.01 tables, grade by grade; a few toxic labels stand on texts without a telling word."""
+    where = "/root/testdata/sf0.01"
+    if not os.path.isdir(where):
+        pytest.skip("no test tables")
+    truth = spark.read.parquet(f"{where}/labels.parquet").select("doc_id", quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade")).where("grade is not null")
+    rows = quality.op8_ordinal_quality(spark, where).join(truth, "doc_id").where(quality.held_out()).collect()
+    kept = Counter((r.grade, r.keep) for r in rows)
+    assert kept[2, True] >= 0.95 * (kept[2, True] + kept[2, False])
+    assert kept[0, True] <= 0.2 * (kept[0, True] + kept[0, False]) and kept[1, True] <= 0.2 * (kept[1, True] + kept[1, False])
+    assert any(r.grade == 0 and round(r.expected_grade) == 0 for r in rows)
+
+
 def test_ordinal_fit_on_held_out(spark):
     rng = random.Random(8)
     rows = []
