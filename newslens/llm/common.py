@@ -9,11 +9,12 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..runtime import ship
 
-#: Rows of one Arrow batch handed to Python; texts are long, so far fewer than Spark's default.
-ARROW_ROWS = 2000
+#: Rows and bytes, about, that a function is handed at a time; Spark's own batches are bounded by rows and bytes too.
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 _FALLBACK: dict[str, str] = {}
 
@@ -24,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and there is one machine only (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="newslens-")
@@ -48,19 +51,39 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """mapInArrow over single batches; fn may return None for "no rows"."""
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about ARROW_ROWS rows and ARROW_BYTES bytes; empty ones left out."""
+    for batch in batches:
+        step = max(1, min(ARROW_ROWS, batch.num_rows * ARROW_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
+    """mapInArrow over slices of bounded size; fn may return None for "no rows"."""
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
+        for batch in slices(batches):
+            if (out := fn(batch)) is not None:
                 yield out
 
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that df doesn't have."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name as F.col and SQL read it whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python strings, null as the empty string."""
     return [x or "" for x in batch.column(name).to_pylist()]

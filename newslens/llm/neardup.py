@@ -13,10 +13,12 @@ Signatures are cut into bands; documents with an equal band are candidates,
 and candidates are verified on the multisets themselves. Groups never expand
 into all pairs: in each round every band bucket offers its members one centre,
 each document is verified against the most promising centre offered, links
-merge classes, and only members of different classes are looked at again; the
-pairs left between classes are then all verified. A candidate is not verified
+merge classes, and only buckets with members of different classes are looked at
+again; the pairs left between classes are then all verified. Large buckets are
+dealt in blocks, so no task has all pairs of one. A candidate is not verified
 if the sizes forbid the similarity, or if the whole signatures, four bits of
-each value, are five standard deviations below it.
+each value, are five standard deviations below it. What is shuffled by bucket
+is narrow (document, size, class, bucket); signatures are joined to the pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stash, table, texts_of
+from .common import arrow_map, quoted, stash, table, texts_of
 from .textvec import mix, owners, sequence_keys, shingles, words
 
 #: Words in a shingle.
@@ -43,6 +45,8 @@ STAR_ROUNDS = 5
 FINE = 1024
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 5.0
+#: Members of a bucket that one task pairs with the others.
+DEAL = 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,7 +137,7 @@ def most_differing(size: int, similar: float) -> int:
 
 
 def sign(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, k1, k2, n, bands, sketch): the keys of the word sequence, the number of shingles, the band hashes.
+    """(doc_id, k1, k2, n, bands, sketch): the keys of the word sequence, the number of shingles, the bands' keys.
 
     A text without words has n = 0, no bands, and the hash of the raw text for its keys.
     """
@@ -144,7 +148,9 @@ def sign(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int
         shingle, ends = shingles(hashes, bounds, width)
         owner, element, count = bags(shingle, ends)
         signatures = bag_minhash(owner, element, count, batch.num_rows, bands * rows)
-        values, drawn = band_hashes(signatures, bands, rows), sketches(signatures)
+        drawn = sketches(signatures)
+        # the number of the band is part of its key
+        values = mix(band_hashes(signatures, bands, rows).view(np.uint64) + np.arange(bands, dtype=np.uint64) * _GOLD).view(np.int64)
         n = np.diff(ends)
         lists = []
         for found in (values, drawn):
@@ -247,55 +253,64 @@ def near_duplicates(
     one document, which links the classes of its texts; a null doc_id has a null class; an empty table gives no rows;
     texts are read whole, and further columns are ignored.
     """
-    signed = stash(sign(docs.where(F.col(text).isNotNull()), key, text, width, bands, rows), "signed")
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))  # other columns could clash
+    whole = docs.where("text is not null")
+    signed = stash(sign(whole, "doc_id", "text", width, bands, rows), "signed")
     # one node for each word sequence; equal sequences have equal bands, so any will do
     nodes = stash(
         signed.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
         "nodes",
     )
-    members = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "hash"))
-    buckets = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band", "hash")
-    # only members of buckets of two or more
-    shared = stash(members.join(buckets, ["band", "hash"]).distinct(), "shared")
+    members = nodes.where("n > 0").select("node", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket")).distinct()
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
+    # only members of buckets of two or more, each in a class of its own
+    shared = stash(members.join(buckets, "bucket").withColumn("comp", F.col("node")), "shared")
     wanted = stash(shared.select("node").distinct(), "wanted")
-    sets = stash(multisets(docs.where(F.col(text).isNotNull()).join(wanted.withColumnRenamed("node", "_node"), F.col(key) == F.col("_node"), "left_semi"), key, text, width), "bags")
+    sets = stash(multisets(whole.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), "doc_id", "text", width), "bags")
     held, fine = sets.select("node", "bag"), sets.select("node", "fine").distinct()
     sketch = stash(nodes.where("n > 0").select("node", "sketch").join(wanted, "node", "left_semi"), "sketches")
     classes = wanted.select("node", F.col("node").alias("comp"))
 
-    apart, longs = most_differing(bands * rows, similar), -(-bands * rows // 16)
     sized = f"least(n, m) >= {similar}D * greatest(n, m)"
+
+    def alike(pairs: DataFrame, held: DataFrame, column: str, longs: int, most: int) -> DataFrame:
+        """pairs (a, b) with d, how many values of their signatures differ, if that is no more than most."""
+        a, b = (held.select(F.col("node").alias(x), F.col(column).alias(f"of_{x}")) for x in "ab")
+        return pairs.join(b, "b").join(a, "a").select("a", "b", differing(F.col("of_a"), F.col("of_b"), longs).alias("d")).where(F.col("d") <= most)
+
+    def coarse(pairs: DataFrame) -> DataFrame:
+        return alike(pairs, sketch, "sketch", -(-bands * rows // 16), most_differing(bands * rows, similar))
+
+    def mixed(shared: DataFrame) -> DataFrame:
+        """Buckets with members of several classes: their number of members."""
+        return shared.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most").select("bucket", "size")
+
     for turn in range(STAR_ROUNDS):
-        known = stash(shared.join(classes, "node").join(sketch, "node"), "known")
         # the member that comes first by a hash that differs from round to round; the smallest in the first
-        rank = F.struct(F.lit(0).cast("long") if not turn else F.xxhash64("node", F.lit(turn)), "node", "n", "comp", "sketch")
-        centres = known.groupBy("band", "hash").agg(F.min(rank).alias("c"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-        centres = centres.select("band", "hash", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.comp").alias("centre_comp"), F.col("c.sketch").alias("centre_sketch"))
-        offered = known.join(centres, ["band", "hash"]).where(f"comp <> centre_comp and {sized}").select("node", "centre", differing(F.col("sketch"), F.col("centre_sketch"), longs).alias("d"))
-        taken = offered.where(F.col("d") <= apart).groupBy("node").agg(F.min(F.struct("d", "centre")).alias("best"))
-        links = stash(verify(stash(taken.select(F.col("node").alias("a"), F.col("best.centre").alias("b")), "pairs"), held, similar), "links")
+        rank = F.struct(F.lit(0).cast("long") if not turn else F.xxhash64("node", F.lit(turn)), "node", "n", "comp")
+        centres = shared.groupBy("bucket").agg(F.min(rank).alias("c"))
+        offered = shared.join(centres, "bucket").select("node", "n", "comp", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.comp").alias("centre_comp"))
+        offered = offered.where(f"comp <> centre_comp and {sized}").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+        taken = coarse(offered).groupBy("a").agg(F.min(F.struct("d", "b")).alias("best"))
+        links = stash(verify(stash(taken.select("a", F.col("best.b").alias("b")), "pairs"), held, similar), "links")
         if links.limit(1).count() == 0:
             break
         classes = _relabel(classes, links)
-    # what is left between classes: every pair of one bucket, verified
-    versions = nodes.where("n > 0").select("node", "bands").join(wanted, "node", "left_semi")
-    known = shared.join(classes, "node").join(sketch, "node").join(fine, "node").join(versions, "node").where(F.get("bands", F.col("band")) == F.col("hash"))
-    known = stash(known, "known")
-    mixed = known.groupBy("band", "hash").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("band", "hash")
-    left = known.join(mixed, ["band", "hash"])
-    right = left.select("band", "hash", F.col("node").alias("node_b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"), F.col("fine").alias("fine_b"), F.col("bands").alias("bands_b"))
-    near = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & F.expr(sized) & (differing(F.col("sketch"), F.col("sketch_b"), longs) <= apart)
-    near &= differing(F.col("fine"), F.col("fine_b"), FINE // 16) <= most_differing(FINE, similar)
-    # a pair comes out of the first band that it shares only
-    near &= F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True) == F.col("band") + 1
-    rest = stash(left.join(right, ["band", "hash"]).where(near).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
-    links = stash(verify(rest, held, similar), "links")
+        shared = stash(shared.drop("comp").join(classes, "node"), "shared")
+        shared = stash(shared.join(mixed(shared).select("bucket"), "bucket", "left_semi"), "shared")
+    # what is left between classes: every pair of one bucket, each verified once
+    blocks = F.ceil(F.col("size") / DEAL).cast("int")
+    left = shared.join(mixed(shared), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    right = left.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    rest = left.join(right, ["bucket", "block"]).where(f"node < b and comp <> comp_b and {sized}").select(F.col("node").alias("a"), "b").distinct()
+    rest = alike(coarse(rest).select("a", "b"), fine, "fine", FINE // 16, most_differing(FINE, similar))
+    links = stash(verify(stash(rest.select("a", "b").distinct(), "rest"), held, similar), "links")
     if links.limit(1).count():
         classes = _relabel(classes, links)
 
     found = nodes.select("k1", "k2", "node").join(classes, "node", "left").select("k1", "k2", F.coalesce("comp", "node").alias("comp"))
     classed = signed.where("doc_id is not null").select("doc_id", "k1", "k2").join(found, ["k1", "k2"]).select("doc_id", "comp")
-    bare = docs.where(F.col(text).isNull() | F.col(key).isNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(key).cast("long").alias("comp"))
+    bare = docs.where("text is null or doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("comp"))
     out = stash(classed.unionByName(bare), "classed")
     # a document with texts in several classes links them
     several = out.groupBy("doc_id").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("doc_id", "least")
@@ -314,31 +329,36 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     doc_id are compared with each other only, and a row without a text goes only if it
     repeats one of its doc_id.
     """
-    h = F.xxhash64(F.col(text))
-    texts = stash(docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id"), h.alias("_hash")).count(), "texts")
-    several = stash(texts.groupBy("_id").count().where("count > 1").select("_id"), "several")
-    repeats = stash(texts.where("count > 1").select("_id", "_hash"), "repeats")
-    keyed = docs.where(F.col(key).isNotNull())
+    hidden = "_"  # inner names start with it and columns of docs don't
+    while any(x.startswith(hidden) for x in docs.columns):
+        hidden += "_"
+    id_, hash_, gone_, gone_hash, own_, row_, text_, kept_ = (hidden + x for x in ("id", "hash", "gone", "gone_hash", "own", "row", "text", "kept"))
+    source = docs
+    docs = docs.select("*", F.col(key).alias(id_), F.xxhash64(F.col(text)).alias(hash_))
+    keyed = docs.where(F.col(id_).isNotNull())
+    texts = stash(keyed.groupBy(id_, hash_).count(), "texts")
+    several = stash(texts.groupBy(id_).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_), "several")
+    repeats = stash(texts.where("count > 1").select(id_, hash_), "repeats")
     if several.limit(1).count():
         # a number of its own for each text of such an id
-        rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_id"), h.alias("_hash"), F.col(text).alias("_text"))
-        own = several.withColumn("_several", F.lit(True))
-        rows = rows.join(own, "_id", "left").withColumn("_row", F.when(F.col("_several"), F.xxhash64("_id", "_hash")).otherwise(F.col("_id").cast("long")))
-        classes = stash(near_duplicates(rows, "_row", "_text").distinct(), "rows")
-        rows = rows.select("_id", "_hash", F.col("_row").alias("doc_id")).distinct().join(classes, "doc_id")
-        rows = stash(rows, "rows")
-        first = rows.groupBy("class_id").agg(F.min(F.struct("_id", "_hash")).alias("first"))
-        gone = rows.join(first, "class_id").where("struct(_id, _hash) <> first").select(F.col("_id").alias("_gone"), F.col("_hash").alias("_gone_hash"))
-        kept = keyed.join(gone, (F.col(key) == F.col("_gone")) & (h == F.col("_gone_hash")), "left_anti")
+        rows = keyed.where(F.col(text).isNotNull()).select(id_, hash_, F.col(text).alias(text_))
+        rows = rows.join(several.withColumn(own_, F.lit(True)), id_, "left").withColumn(row_, F.when(F.col(own_), F.xxhash64(id_, hash_)).otherwise(F.col(id_).cast("long")))
+        classes = stash(near_duplicates(rows, row_, text_).distinct(), "rows")
+        rows = stash(rows.select(id_, hash_, F.col(row_).alias("doc_id")).distinct().join(classes, "doc_id"), "rows")
+        first = rows.groupBy("class_id").agg(F.min(F.struct(id_, hash_)).alias(kept_))
+        gone = rows.join(first, "class_id").where(F.struct(id_, hash_) != F.col(kept_)).select(F.col(id_).alias(gone_), F.col(hash_).alias(gone_hash))
+        kept = keyed.join(gone, (F.col(id_) == F.col(gone_)) & (F.col(hash_) == F.col(gone_hash)), "left_anti")
     else:
-        gone = near_duplicates(keyed, key, text).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-        kept = keyed.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+        gone = near_duplicates(keyed.select(F.col(id_).alias("doc_id"), F.col(text).alias("text"))).where("doc_id <> class_id").select(F.col("doc_id").alias(gone_)).distinct()
+        kept = keyed.join(gone, F.col(id_) == F.col(gone_), "left_anti")
     if repeats.limit(1).count():
-        same = (F.col(key) == F.col("_id")) & (h == F.col("_hash"))
-        kept = kept.join(repeats, same, "left_anti").unionByName(kept.join(repeats, same, "left_semi").dropDuplicates([key, text]))
-    bare = docs.where(F.col(key).isNull())
+        same = repeats.select(F.col(id_).alias(gone_), F.col(hash_).alias(gone_hash))
+        is_same = F.col(id_).eqNullSafe(F.col(gone_)) & (F.col(hash_) == F.col(gone_hash))
+        kept = kept.join(same, is_same, "left_anti").unionByName(kept.join(same, is_same, "left_semi").dropDuplicates([id_, text]))
+    kept = kept.select(*map(quoted, source.columns))
+    bare = source.where(F.col(key).isNull())
     if bare.where(F.col(text).isNotNull()).limit(1).count():
-        rest = keep_one(bare.where(F.col(text).isNotNull()).withColumn("_row", h), "_row", text).drop("_row")
+        rest = keep_one(bare.where(F.col(text).isNotNull()).withColumn(row_, F.xxhash64(F.col(text))), row_, text).drop(row_)
         bare = rest.unionByName(bare.where(F.col(text).isNull()))
     return kept.unionByName(bare)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, arrow_map, table, texts_of, utf8_crc32
+from .common import arrow_map, slices, table, texts_of, utf8_crc32
 from .textvec import PIECE, code_points, lower_and_kind, mix, owners, words
 
 #: Hashed features (a power of two).
@@ -174,7 +174,7 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, seen = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             row, feature, value = features(texts_of(batch))
             parts.append((row + seen, feature, value, batch.column("grade").to_numpy(zero_copy_only=False)))
             seen += batch.num_rows
@@ -183,7 +183,6 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
         weight, thresholds = fit(*(np.concatenate(x) for x in zip(*parts, strict=True)), grades=grades)
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([thresholds.tolist()], pa.list_(pa.float64()))], ["weights", "thresholds"])
 
-    rated.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     fitted = chosen.repartition(1).sortWithinPartitions("key").mapInArrow(train, "weights binary, thresholds array<double>").collect()
     if not fitted:
         return np.zeros(FEATURES, dtype=np.float32), np.arange(grades - 1, dtype=np.float64)

@@ -270,6 +270,37 @@ def test_an_id_with_two_texts_is_one_class_and_loses_no_text(spark):
     assert sorted(r.doc_id for r in neardup.keep_one(_docs(spark, [t for _, t in plain], [i for i, _ in plain])).collect()) == [5, 11]
 
 
+def test_near_duplicates_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(k, f"the same text of some words {k // 2}", "a", "b", "c", 1, "d") for k in range(6)], "doc_id long, text string, _node string, _gone string, `a``b c` string, bucket int, comp string")
+    assert sorted(r.class_id for r in neardup.near_duplicates(docs).collect()) == [0, 0, 2, 2, 4, 4]
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2, 4]
+
+
+def test_large_buckets_are_dealt_in_blocks(spark, monkeypatch):
+    """A chain of near copies that share most bands: classes only come out whole if blocks of a bucket lose no pair."""
+    monkeypatch.setattr(neardup, "DEAL", 4)
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", 0)
+    rng = random.Random(3)
+    body = [f"w{rng.randrange(900)}" for _ in range(120)]
+    rows = []
+    for k in range(60):
+        body = [*body[:k], f"x{k}", *body[k + 1 :]]
+        rows.append((k, " ".join(body)))
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(_docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert got == _classes(rows)
+
+
+def test_classes_of_the_standard_documents_are_those_of_all_pairs(spark):
+    """Every pair of the 0.001 documents, which hold exact and near copies, against the classes: nothing is missed at the similarity."""
+    where = "/root/testdata/sf0.001"
+    if not os.path.isdir(where):
+        pytest.skip("no test tables")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{where}/documents.parquet").collect()]
+    got = {r.doc_id: r.class_id for r in neardup.op4_bagminhash_near_dups(spark, where).collect()}
+    assert got == _classes(rows) and len(set(got.values())) < len(got)
+
+
 # --- 5 personal data --------------------------------------------------------------------------------------------------
 
 _PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
