@@ -4,7 +4,9 @@ A spaced seed looks at some positions of a window of tokens and ignores the
 rest, so a substituted token in an ignored position doesn't hide a copy. The
 hashes of every seed at every position of the benchmark are joined with those
 of the corpus; around each hit the two texts are aligned and compared token by
-token, and an overlap counts if enough of its tokens agree.
+token, and an overlap counts if enough of its tokens agree. Hits of one text and
+item at one shift are compared together, over bounded pieces, so a passage that
+many items share costs an array operation for each alignment and no step of a loop.
 
 The seeds together find every overlap of OVERLAP tokens (or of a whole item of
 at least LEAST tokens) in which no more than a fifth was substituted: a test
@@ -14,14 +16,15 @@ for word and whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import arrow_map, table, texts_of
+from .common import arrow_map, free_name, stash, table, texts_of
 from .textvec import mix, owners, words
 
 #: Positions that each seed looks at.
@@ -32,8 +35,8 @@ OVERLAP = 12
 AGREE = 0.8
 #: Items of fewer tokens have no overlap that may differ; they are found whole or not at all.
 LEAST = 8
-#: Tokens of the benchmark that are sent to the executors at a time.
-BLOCK_TOKENS = 1_000_000
+#: Tokens of the benchmark that are sent to the executors at a time, and hits or tokens that are compared at a time.
+BLOCK_TOKENS, PIECE_HITS = 1_000_000, 1 << 20
 
 
 def seed_hashes(hashes: np.ndarray, bounds: np.ndarray, seed: Sequence[int], number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,52 +102,81 @@ class Index:
                 out |= {(t, i): (p, 0, size, size) for (t, i), p in zip(pairs.tolist(), (place - bounds[text])[first].tolist(), strict=True)}
         return out
 
-    def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """(position in the texts, position in the items) of all equal seed hashes, one row each."""
-        out = [np.zeros((0, 2), dtype=np.int64)]
+    def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        """(position in the texts, position in the items) of all equal seed hashes, a row each, in pieces of about PIECE_HITS by position in the texts."""
+        keys, places = [], []
         for number, seed in enumerate(SEEDS):
             found, at = seed_hashes(hashes, bounds, seed, number)
             near = self.bloom[found >> np.uint64(42)]
-            found, at = found[near], at[near]
-            low, high = np.searchsorted(self.keys, found), np.searchsorted(self.keys, found, side="right")
-            n = high - low
+            keys.append(found[near])
+            places.append(at[near])
+        keys, places = np.concatenate(keys), np.concatenate(places)
+        order = np.argsort(places, kind="stable")
+        keys, places = keys[order], places[order]
+        low = np.searchsorted(self.keys, keys)
+        many = np.searchsorted(self.keys, keys, side="right") - low
+        upto, begin = np.cumsum(many), 0
+        while begin < len(keys):
+            # as many as fit, one at least, which has no more hits than the block has tokens
+            stop = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PIECE_HITS, side="right")))
+            n = many[begin:stop]
             if total := int(n.sum()):
-                which = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
-                out.append(np.stack([np.repeat(at, n), self.places[which]], axis=1))
-        return np.concatenate(out)
+                which = np.repeat(low[begin:stop] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
+                yield np.stack([np.repeat(places[begin:stop], n), self.places[which]], axis=1)
+            begin = stop
 
     def overlaps(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, place in the text, place in the item, tokens, agreeing tokens): the best overlap of each text and item."""
-        hits = self.hits(hashes, bounds)
-        if not len(hits) and not self.short:
-            return []
-        texts = np.searchsorted(bounds, hits[:, 0], side="right") - 1
-        items = self.owner[hits[:, 1]]
-        lines = np.unique(np.stack([texts, items, hits[:, 0] - hits[:, 1]], axis=1), axis=0)
         best: dict[tuple[int, int], tuple] = self.copies(hashes, bounds)
-        for text, item, shift in lines.tolist():
-            found = self._along(hashes, bounds[text], bounds[text + 1], item, shift)
-            if found and ((key := (text, item)) not in best or (found[3], -found[0]) > (best[key][3], -best[key][0])):
-                best[key] = found
+        reach = OVERLAP + max(x[-1] for x in SEEDS)
+        for hits in self.hits(hashes, bounds):
+            texts = np.searchsorted(bounds, hits[:, 0], side="right") - 1
+            items = self.owner[hits[:, 1]]
+            shifts = hits[:, 0] - hits[:, 1]
+            order = np.lexsort((hits[:, 1], shifts, items, texts))
+            texts, items, shifts, places = texts[order], items[order], shifts[order], hits[order, 1]
+            # an overlap lies around a hit: alignments are split where hits lie too far apart to share one
+            new = np.concatenate(([True], (np.diff(texts) != 0) | (np.diff(items) != 0) | (np.diff(shifts) != 0) | (np.diff(places) > 2 * reach)))
+            first = np.flatnonzero(new)
+            last = np.concatenate((first[1:], [len(new)])) - 1
+            text, item, shift = texts[first], items[first], shifts[first]
+            low = np.maximum.reduce([self.bounds[item], bounds[text] - shift, places[first] - reach])
+            high = np.minimum.reduce([self.bounds[item + 1], bounds[text + 1] - shift, places[last] + reach + 1])
+            size = np.minimum(OVERLAP, self.bounds[item + 1] - self.bounds[item])
+            for k, at, agree in self._along(hashes, low, high, shift, size):
+                key, found = (int(text[k]), int(item[k])), (int(low[k] + at + shift[k] - bounds[text[k]]), int(low[k] + at - self.bounds[item[k]]), int(size[k]), agree)
+                if key not in best or (found[3], -found[0]) > (best[key][3], -best[key][0]):
+                    best[key] = found
         return [(t, i, *x) for (t, i), x in sorted(best.items())]
 
-    def _along(self, hashes: np.ndarray, begin: int, end: int, item: int, shift: int) -> tuple[int, int, int, int] | None:
-        """The window with most agreement where item and text lie at a fixed shift, if it is enough."""
-        first, last = self.bounds[item], self.bounds[item + 1]
-        size = min(OVERLAP, last - first)
-        low, high = max(first, begin - shift), min(last, end - shift)
-        if high - low < size:
-            return None
-        same = np.concatenate(([0], np.cumsum(self.hashes[low:high] == hashes[low + shift : high + shift])))
-        agree = same[size:] - same[:-size]
-        at = int(agree.argmax())
-        if agree[at] < -(-size * AGREE // 1):
-            return None
-        return int(low + at + shift - begin), int(low + at - first), int(size), int(agree[at])
+    def _along(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, shift: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(alignment, offset, agreeing tokens) of the first window with most agreement of each alignment, if that is enough."""
+        keep = np.flatnonzero(high - low >= size)
+        lengths = (high - low)[keep]
+        ends = np.cumsum(lengths)
+        begin = 0
+        while begin < len(keep):
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PIECE_HITS, side="right")))
+            own, n = keep[begin:stop], lengths[begin:stop]
+            starts = np.concatenate(([0], np.cumsum(n)))
+            number = np.repeat(np.arange(len(own)), n)
+            offset = np.arange(starts[-1]) - starts[number]
+            place = low[own][number] + offset
+            same = np.concatenate(([0], np.cumsum(self.hashes[place] == hashes[place + shift[own][number]])))
+            inside = offset + size[own][number] <= n[number]
+            window = np.flatnonzero(inside)
+            agree = same[window + size[own][number[window]]] - same[window]
+            # the first of the most agreeing windows of each alignment
+            order = np.lexsort((offset[window], -agree, number[window]))
+            first = order[np.concatenate(([True], np.diff(number[window][order]) != 0))]
+            enough = agree[first] >= np.ceil(size[own][number[window[first]]] * AGREE)
+            for k, at, a in zip(own[number[window[first]]][enough].tolist(), offset[window[first]][enough].tolist(), agree[first][enough].tolist(), strict=True):
+                yield k, at, a
+            begin = stop
 
 
-def blocks(benchmark: DataFrame, key: str, text: str, short: bool = False) -> list[Index]:
-    """Indexes over blocks of the benchmark, each of about BLOCK_TOKENS tokens; one unless the benchmark is large.
+def blocks(benchmark: DataFrame, key: str, text: str, short: bool = False) -> tuple[int, Iterator[Index]]:
+    """How many blocks the benchmark has, each of about BLOCK_TOKENS tokens, and their indexes, made one after the other.
 
     The items are dealt to blocks by a hash. Each block is bounded, and the
     corpus is read once for each.
@@ -152,11 +184,13 @@ def blocks(benchmark: DataFrame, key: str, text: str, short: bool = False) -> li
     items = benchmark.select(F.col(key).cast("long").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("item is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // (6 * BLOCK_TOKENS)))
-    out = []
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).orderBy("item", "text").collect()
-        out.append(Index([r[0] for r in rows], [r[1] for r in rows], short))
-    return out
+
+    def each() -> Iterator[Index]:
+        for k in range(n):
+            rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).orderBy("item", "text").collect()
+            yield Index([r[0] for r in rows], [r[1] for r in rows], short)
+
+    return n, each()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
@@ -172,9 +206,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     for; repeated documents have their rows each; of equally good overlaps the first counts; an empty
     corpus or benchmark gives no rows; further columns are ignored.
     """
-    schema = f"doc_id {docs.schema[key].dataType.simpleString()}, item_id long, doc_place int, item_place int, n_tokens int, n_agree int"
+    source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    schema = StructType([StructField("doc_id", docs.schema[key].dataType), StructField("item_id", LongType()), *(StructField(x, IntegerType()) for x in ("doc_place", "item_place", "n_tokens", "n_agree"))])
     out = None
-    for index in blocks(benchmark, item_key, item_text, short):
+    n, indexes = blocks(benchmark, item_key, item_text, short)
+    for index in indexes:
         held = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, held=held) -> pa.RecordBatch | None:
@@ -183,26 +219,51 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                 return None
             at = np.array(found, dtype=np.int64)
             small = [pa.array(at[:, k], pa.int32()) for k in range(2, 6)]
-            return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at[:, 0])), pa.array(held.value.ids[at[:, 1]]), *small], ["doc_id", "item_id", "doc_place", "item_place", "n_tokens", "n_agree"])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at[:, 0])), pa.array(held.value.ids[at[:, 1]]), *small], [x.name for x in schema])
 
-        part = arrow_map(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), run, schema)
+        part = arrow_map(source, run, schema)
+        if n > 1:  # one block at a time is on driver and executors
+            part = stash(part, "leaks")
+            held.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
-    """The rows of docs that hold no benchmark passage (nor a whole item of fewer than LEAST tokens, if ``short``), columns unchanged; rows are judged one by one, so keys need not be unique or set."""
-    indexes = [docs.sparkSession.sparkContext.broadcast(x) for x in blocks(benchmark, item_key, item_text, short)]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, bounds = words(texts_of(batch, text))
-        clean = np.ones(batch.num_rows, dtype=bool)
-        for held in indexes:
-            for found in held.value.overlaps(hashes, bounds):
+    """The rows of docs that hold no benchmark passage (nor a whole item of fewer than LEAST tokens, if ``short``), columns unchanged.
+
+    Defined results: rows are judged one by one by their text, so keys need not
+    be unique or set, and repeated rows stay or go together; null and empty texts
+    stay; an empty benchmark keeps everything; an empty table gives no rows;
+    texts are read whole; further columns, of any name, go through unchanged.
+    """
+    n, indexes = blocks(benchmark, item_key, item_text, short)
+    if n == 1:
+        only = docs.sparkSession.sparkContext.broadcast(next(indexes))
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            for found in only.value.overlaps(*words(texts_of(batch, text))):
                 clean[found[0]] = False
-        return batch.filter(pa.array(clean))
+            return batch.filter(pa.array(clean))
+
+        return arrow_map(docs, run, docs.schema)
+    # several blocks: the keys of the texts that each finds, then one join; the corpus is written once only
+    one, two = free_name(docs, "_text_key"), free_name(docs, "_text_check")
+    keyed = docs.withColumns({one: F.xxhash64(F.col(text)), two: F.xxhash64(F.lit(1), F.col(text))})
+    source = keyed.select(F.col(text).alias("text"), F.col(one).alias("one"), F.col(two).alias("two"))
+    gone = None
+    for index in indexes:
+        held = docs.sparkSession.sparkContext.broadcast(index)
+
+        def leaks(batch: pa.RecordBatch, held=held) -> pa.RecordBatch | None:
+            found = sorted({x[0] for x in held.value.overlaps(*words(texts_of(batch)))})
+            return batch.select(["one", "two"]).take(pa.array(found, pa.int64())) if found else None
 
-    return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+        part = stash(arrow_map(source, leaks, "one long, two long").distinct(), "leaks")
+        held.destroy()
+        gone = part if gone is None else gone.unionByName(part)
+    return keyed.join(gone.distinct().withColumnsRenamed({"one": one, "two": two}), [one, two], "left_anti").drop(one, two)
 
 
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,23 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0 and decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_are_the_same_in_pieces_and_blocks(spark, monkeypatch):
+    rng = random.Random(13)
+    shared = " ".join(f"s{k}" for k in range(14))
+    items = [(k, " ".join([shared, *(f"i{k}x{j}" for j in range(25))])) for k in range(20)]
+    texts = [*ODD, *(f"a b {shared} c {' '.join(items[rng.randrange(20)][1].split()[rng.randrange(20):])}" for _ in range(30)), None, shared + " z " + shared]
+    docs, bench = _docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.find_leaks(docs, bench).collect()))
+    assert {r[:2] for r in whole} == _leaks(texts, items)
+    clean = sorted(r.doc_id for r in decontam.decontaminate(docs, bench).collect())
+    monkeypatch.setattr(decontam, "PIECE_HITS", 3)
+    assert sorted(map(tuple, decontam.find_leaks(docs, bench).collect())) == whole
+    monkeypatch.setattr(decontam, "BLOCK_TOKENS", 100)
+    assert sorted(map(tuple, decontam.find_leaks(docs, bench).collect())) == whole
+    kept = decontam.decontaminate(docs.withColumn("a`b", F.lit(1)).withColumn("one", F.lit(2)), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == clean == sorted(set(range(len(texts))) - {i for i, _ in _leaks(texts, items)})
+
+
 def test_short_items_are_found_whole(spark, tmp_path):
     items = [(k, " ".join(f"i{k}x{j}" for j in range(k))) for k in range(1, 9)] + [(20, "i3x0 i3x1 i3x2"), (21, ""), (None, "i2x0 i2x1")]
     texts = [f"a {item} b {item}".upper() for _, item in items[:8]] + [f"a {item.rpartition(' ')[0]} b" for _, item in items[1:6]] + ["i3x0 i3x1 b i3x2", "i2x0", "i2x1", *ODD]
