@@ -130,7 +130,15 @@ _EXTRA = r"""SELECT cast(-1 as bigint) AS conv_id, cast(turn as bigint) AS turn,
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -1, formatted, and what is read back from the output."""
+    """All conversations and conversation -1, formatted, and what is read back from the output.
+
+    Defined results: rows are in order of turn, role and text, nulls first; a
+    null role or text is empty; equal rows are turns of their own; rows with a
+    null conv_id are one conversation, whose conv_id is null; without
+    conversations there is conversation -1 only; texts are formatted whole;
+    further columns are ignored. A conversation is one row of the output, so its
+    turns, and those only, meet in one task.
+    """
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(_EXTRA))
     back = read_back(format_trees(stash(as_replies(rows), "replies"), branches=1))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

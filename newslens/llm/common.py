@@ -60,15 +60,17 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
-    """mapInArrow over slices of bounded size; fn may return None for "no rows"."""
+    """mapInArrow over slices of bounded size, columns of any name; fn may return None for "no rows"."""
     ship(df.sparkSession)
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            if (out := fn(batch)) is not None:
+            if (out := fn(batch.rename_columns(names))) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    # mapInArrow itself can't take all names
+    return df.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(run, schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -25,8 +25,9 @@ from math import e, log
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import arrow_map, table
+from .common import arrow_map, free_name, quoted, table
 
 _TAG = re.compile(r"""<(?:!--(?:(?:(?!-->).)*+)(?:-->|$)|!\[CDATA\[(?P<cdata>(?:(?!\]\]>).)*+)(?:\]\]>|$)|[!?][^>]*+>|(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?)>)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
@@ -428,15 +429,17 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     Defined results: null and empty pages, and pages without an article, have
     text '' and n_chars 0; unclosed and misnested tags are closed as browsers
     do for blocks; repeated rows have equal results; an empty table gives no
-    rows; whole pages are read, however long.
+    rows; whole pages are read, however long; ``keep`` names the columns that go
+    through, text and n_chars not among them, and further ones are ignored.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
+    inner = free_name(pages, "_html")
+    schema = StructType([*(pages.schema[x] for x in keep), StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [main_text(x) if x else "" for x in batch.column("_html").to_pylist()]
+        texts = [main_text(x) if x else "" for x in batch.column(inner).to_pylist()]
         return pa.RecordBatch.from_arrays([*(batch.column(x) for x in keep), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*keep, "text", "n_chars"])
 
-    return arrow_map(pages.select(*keep, F.col(html).alias("_html")), run, ", ".join([*(f"`{x}` {kinds[x]}" for x in keep), "text string", "n_chars long"]))
+    return arrow_map(pages.select(*map(quoted, keep), F.col(html).alias(inner)), run, schema)
 
 
 def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_map, table, texts_of, utf8_crc32
+from .common import arrow_map, free_name, quoted, table, texts_of, utf8_crc32
 from .textvec import PIECE, code_points, lower_and_kind, mix
 
 #: Components of the vectors.
@@ -166,18 +167,24 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     return names, (profiles / np.maximum(np.sqrt((profiles**2).sum(axis=1, keepdims=True)), 1e-12)).astype(np.float32)
 
 
-def identify(docs: DataFrame, names: list[str], profiles: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gram: int = GRAM) -> DataFrame:
-    """The columns ``keep`` with lang_pred and score (the cosine, 0 to 1).
+def identify(
+    docs: DataFrame, names: list[str], profiles: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",), gram: int = GRAM, found: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` with lang_pred and score (the cosine, 0 to 1), under the names ``found``, which keep mustn't have.
 
     Defined results: null, empty and letterless texts are ``und`` with score 0,
     as is everything if no language was learnt; ties go to the name that sorts
-    first; repeated rows get equal results; texts are read whole.
+    first; repeated rows get equal results; null keys are kept; an empty table
+    gives no rows; texts are read whole; further columns are ignored.
     """
+    if taken := {x.lower() for x in keep} & {x.lower() for x in found}:
+        raise ValueError(f"columns of that name are kept already: {sorted(taken)}")
     dim = profiles.shape[1]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = StructType([*(docs.schema[x] for x in keep), StructField(found[0], StringType()), StructField(found[1], DoubleType())])
+    inner = free_name(docs, "_text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        vectors, some = bundle(texts_of(batch, "_text"), gram, dim)
+        vectors, some = bundle(texts_of(batch, inner), gram, dim)
         best, score = np.zeros(len(some), dtype=np.int64), np.zeros(len(some))
         if names:
             norm = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
@@ -186,9 +193,9 @@ def identify(docs: DataFrame, names: list[str], profiles: np.ndarray, text: str
             score = np.clip(cosine.max(axis=1), 0, 1)
         some = some & bool(names)
         label = np.where(some, np.array(names or [UNKNOWN], dtype=object)[best], UNKNOWN)
-        return pa.RecordBatch.from_arrays([*(batch.column(x) for x in keep), pa.array(label, pa.string()), pa.array(np.where(some, score, 0.0))], [*keep, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*(batch.column(x) for x in keep), pa.array(label, pa.string()), pa.array(np.where(some, score, 0.0))], [*keep, *found])
 
-    return arrow_map(docs.select(*keep, F.col(text).alias("_text")), run, ", ".join([*(f"`{x}` {kinds[x]}" for x in keep), "lang_pred string", "score double"]))
+    return arrow_map(docs.select(*map(quoted, keep), F.col(text).alias(inner)), run, schema)
 
 
 def taught(text: Column, lang_pred: Column, score: Column) -> Column:

@@ -341,7 +341,13 @@ def find(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text")
 
 
 def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind in brackets, as [EMAIL]; overlapping spans become one; null texts stay null."""
+    """docs with every span replaced by its kind in brackets, as [EMAIL].
+
+    Defined results: spans that overlap become one, of the kind that starts
+    first; null texts stay null and empty ones empty; repeated rows get equal
+    texts; an empty table gives no rows; texts are read whole; further columns,
+    of any name, go through unchanged.
+    """
     held = docs.sparkSession.sparkContext.broadcast(field)
 
     def clean(whole: str, spans: list[tuple[int, int, int]]) -> str:
@@ -359,7 +365,7 @@ def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
         at = batch.schema.get_field_index(text)
         return batch.set_column(at, text, pa.array(new, pa.string()))
 
-    return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return arrow_map(docs, run, docs.schema)
 
 
 def op5_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

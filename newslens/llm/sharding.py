@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import stash, table, utf8_crc32
 
 SHARDS = 8
-#: Ranges of keys that are numbered apart; more only make the pieces smaller.
+#: Ranges of rows that are numbered apart; more only make the pieces smaller.
 RANGES = 512
 #: Copies of one row that a single array may hold while they are numbered.
 RUN = 65536
@@ -53,28 +53,22 @@ def jump_shard(key: Column, shards: int) -> Column:
 def number_rows(rows: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... within each value of ``group`` by ``order`` (nulls first), without a task for a whole group.
 
-    The first ordering column, a long, is cut into RANGES ranges at its
-    approximate quantiles; rows are numbered within a range and shifted by the
-    counts of the ranges before. Repeated rows are counted before the shuffle
-    and expanded afterwards, so that many copies don't meet in one task.
+    The rows are cut into RANGES ranges by all ordering columns together, so
+    many different rows of one key are several ranges; rows are numbered within
+    a range and shifted by the counts of the ranges before. Repeated rows are
+    counted before the shuffle and expanded afterwards, so that many copies don't
+    meet in one task. ``order`` has to tell apart all rows of a group that differ.
     """
     names = rows.columns
-    lead = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 63)))
-    counted = stash(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "slots")
-    cuts = counted.agg(F.percentile_approx(lead, [i / RANGES for i in range(1, RANGES)], 20000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    edges = np.array(cuts, dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def place(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, keys.to_numpy(dtype=np.int64)).astype(np.int32))
-
-    ranged = counted.withColumn("_range", place(lead))
+    by = [F.col(c).asc_nulls_first() for c in order]
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    # written, so that the numbers of the ranges are the same whenever they are read
+    ranged = stash(counted.repartitionByRange(RANGES, *by).withColumn("_range", F.spark_partition_id()), "slots")
     totals = ranged.groupBy(group, "_range").agg(F.sum("_n").alias("_total"))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # at most (values of group) x RANGES rows
     offsets = totals.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    inner = Window.partitionBy(group, "_range").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(group, "_range").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         ranged.withColumn("_start", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
         .join(F.broadcast(offsets), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
@@ -93,7 +87,13 @@ def shard(rows: DataFrame, key: str, shards: int, grown: int | None = None) -> D
 
 
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in one of 8 shards by its doc_id, numbered within the shard by (doc_id, size, CRC)."""
+    """Every document in one of 8 shards by its doc_id, numbered within the shard by (doc_id, size, CRC).
+
+    Defined results: a null doc_id is sharded as key 0 and stays null; a null
+    text has size 1 and a null CRC, an empty one size 1 and CRC 0; equal rows
+    share a shard and take neighbouring slots, nulls come first; an empty table
+    gives no rows; texts are measured whole; further columns are ignored.
+    """
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
