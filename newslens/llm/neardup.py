@@ -18,7 +18,8 @@ again; the pairs left between classes are then all verified. Large buckets are
 dealt in blocks, so no task has all pairs of one. A candidate is not verified
 if the sizes forbid the similarity, or if the whole signatures, four bits of
 each value, are five standard deviations below it. What is shuffled by bucket
-is narrow (document, size, class, bucket); signatures are joined to the pairs.
+is narrow (document, size, class, bucket); signatures are joined to the pairs
+that the centres make, and at the end to the members of mixed buckets.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ FINE = 1024
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 5.0
 #: Members of a bucket that one task pairs with the others.
-DEAL = 512
+DEAL = 4096
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -273,13 +274,11 @@ def near_duplicates(
 
     sized = f"least(n, m) >= {similar}D * greatest(n, m)"
 
-    def alike(pairs: DataFrame, held: DataFrame, column: str, longs: int, most: int) -> DataFrame:
-        """pairs (a, b) with d, how many values of their signatures differ, if that is no more than most."""
-        a, b = (held.select(F.col("node").alias(x), F.col(column).alias(f"of_{x}")) for x in "ab")
-        return pairs.join(b, "b").join(a, "a").select("a", "b", differing(F.col("of_a"), F.col("of_b"), longs).alias("d")).where(F.col("d") <= most)
-
     def coarse(pairs: DataFrame) -> DataFrame:
-        return alike(pairs, sketch, "sketch", -(-bands * rows // 16), most_differing(bands * rows, similar))
+        """pairs (a, b) with d, how many values of their signatures differ, if these may be similar."""
+        a, b = (sketch.select(F.col("node").alias(x), F.col("sketch").alias(f"of_{x}")) for x in "ab")
+        d = differing(F.col("of_a"), F.col("of_b"), -(-bands * rows // 16))
+        return pairs.join(b, "b").join(a, "a").select("a", "b", d.alias("d")).where(F.col("d") <= most_differing(bands * rows, similar))
 
     def mixed(shared: DataFrame) -> DataFrame:
         """Buckets with members of several classes: their number of members."""
@@ -298,12 +297,18 @@ def near_duplicates(
         classes = _relabel(classes, links)
         shared = stash(shared.drop("comp").join(classes, "node"), "shared")
         shared = stash(shared.join(mixed(shared).select("bucket"), "bucket", "left_semi"), "shared")
-    # what is left between classes: every pair of one bucket, each verified once
+    # what is left between classes: every pair of one bucket; only here, and only for mixed buckets, rows carry their signatures
     blocks = F.ceil(F.col("size") / DEAL).cast("int")
+    drawn = nodes.where("n > 0").select("node", "bands", "sketch").join(wanted, "node", "left_semi").join(fine, "node")
     left = shared.join(mixed(shared), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    right = left.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    rest = left.join(right, ["bucket", "block"]).where(f"node < b and comp <> comp_b and {sized}").select(F.col("node").alias("a"), "b").distinct()
-    rest = alike(coarse(rest).select("a", "b"), fine, "fine", FINE // 16, most_differing(FINE, similar))
+    left = stash(left.join(drawn, "node").where(F.array_contains("bands", F.col("bucket"))), "left")
+    right = left.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *(F.col(x).alias(f"{x}_b") for x in ("node", "n", "comp", "sketch", "fine", "bands")))
+    near = F.expr(f"node < node_b and comp <> comp_b and least(n, n_b) >= {similar}D * greatest(n, n_b)")
+    near &= differing(F.col("sketch"), F.col("sketch_b"), -(-bands * rows // 16)) <= most_differing(bands * rows, similar)
+    near &= differing(F.col("fine"), F.col("fine_b"), FINE // 16) <= most_differing(FINE, similar)
+    # a pair comes out of the first band that it shares only
+    near &= F.get("bands", F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True) - 1) == F.col("bucket")
+    rest = left.join(right, ["bucket", "block"]).where(near).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
     links = stash(verify(stash(rest.select("a", "b").distinct(), "rest"), held, similar), "links")
     if links.limit(1).count():
         classes = _relabel(classes, links)
