@@ -32,19 +32,6 @@ def content_hash(text: Column) -> Column:
     return F.sha2(normalized_text(text), 256)
 
 
-def word_list(text: Column) -> Column:
-    return F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != "")
-
-
-def shingles(words: Column, width: int = 3) -> Column:
-    """Distinct runs of ``width`` words of a word array; none if it has fewer.
-
-    ``words`` must be a column of its own, not an expression, as it is read for every run.
-    """
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i + 1, width))))
-
-
 def sanitize(text: Column) -> Column:
     """Without control characters but tab and line ends; runs of blanks to one, of line feeds to two; trimmed."""
     out = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", "")

@@ -2,28 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..runtime import ship
 
 LIMIT, COOL_DOWN = 5, 300.0
 
 
+def breaker_step(state: tuple[int, float], ts: float, ok: bool, limit: int = LIMIT, cool_down: float = COOL_DOWN) -> tuple[int, float]:
+    """(failures, time of the last one) after an event: a failure adds one, a success takes one away, and an open breaker starts anew when it is looked at more than cool_down seconds after the last failure."""
+    failures, last = state
+    if failures >= limit and ts - last > cool_down:
+        failures = 0
+    return (max(failures - 1, 0), last) if ok else (failures + 1, ts)
+
+
 def breaker_states(events: DataFrame, key: str = "domain", limit: int = LIMIT, cool_down: float = COOL_DOWN) -> DataFrame:
     """(key, failures, is_open): the breaker of each key after its events (ts in seconds, ok, ident for ties).
 
-    A failure adds one, a success takes one away, and an open breaker starts
-    anew when it is looked at more than cool_down seconds after the last failure.
+    The fold goes through sorted partitions row by row, so a key with most of
+    the events is a long task but never held in memory.
     """
-    rows = events.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ts", "ident", "ok"))).alias("e"))
-    start = F.struct(F.lit(0).cast("long").alias("failures"), F.lit(0.0).alias("last"))
-
-    def fold(acc, x):
-        held = F.when((acc["failures"] >= limit) & (x["ts"] - acc["last"] > cool_down), F.lit(0).cast("long")).otherwise(acc["failures"])
-        after = F.when(x["ok"], F.greatest(held - 1, F.lit(0).cast("long"))).otherwise(held + 1)
-        return F.struct(after.alias("failures"), F.when(x["ok"], acc["last"]).otherwise(x["ts"]).alias("last"))
-
-    end = F.aggregate("e", start, fold)
-    return rows.select(key, end["failures"].alias("failures"), (end["failures"] >= limit).alias("is_open"))
+    ship(events.sparkSession)
+    rows = events.select(key, F.col("ts").cast("double").alias("ts"), "ident", F.col("ok").cast("boolean").alias("ok")).repartition(key).sortWithinPartitions(key, "ts", "ident")
+    schema = T.StructType([T.StructField(key, events.schema[key].dataType), T.StructField("failures", T.LongType()), T.StructField("is_open", T.BooleanType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at: object = None
+        state, begun = (0, 0.0), False
+        for batch in batches:
+            done = []
+            for name, ts, ok in zip(batch[key], batch["ts"], batch["ok"], strict=True):
+                name = None if pd.isna(name) else name
+                if not begun or name != at:
+                    if begun:
+                        done.append((at, state[0], state[0] >= limit))
+                    at, state, begun = name, (0, 0.0), True
+                state = breaker_step(state, ts, bool(ok), limit, cool_down)
+            if done:
+                yield pd.DataFrame(done, columns=[key, "failures", "is_open"])
+        if begun:
+            yield pd.DataFrame([(at, state[0], state[0] >= limit)], columns=[key, "failures", "is_open"])
+
+    return rows.mapInPandas(run, schema)
 
 
 def requests_in_window(events: DataFrame, key: str, ts: str, seconds: int = 60) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .dedupe import _kept
+from ..runtime import ship, stash
 
 NEIGHBOURS = 10
 THRESHOLD = 0.65
@@ -22,41 +26,83 @@ def unit(vector: Column) -> Column:
     return F.transform(v, lambda x: x / F.when(norm > 0, norm).otherwise(1.0))
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
-    """(flashpoint_id, src, dst, sim): both directions of pairs of one flashpoint with a cosine, rounded to 6 places, of at least the threshold.
+#: Vectors of a flashpoint that one task holds twice of: all pairs of two blocks are one matrix product.
+BLOCK = 2048
+
 
-    Rows are dealt by flashpoint and a hash of the source into SPREAD parts, the
-    other side is copied to each, so a large flashpoint isn't one task.
+def _blocked(vectors: DataFrame, threshold: float, k: int | None) -> DataFrame:
+    """Both directions of the pairs of one flashpoint that reach the threshold; with k only the first k of a vector in each pair of blocks.
+
+    Every flashpoint is dealt into blocks of bounded size by a hash, as many as
+    its number of vectors asks for, and every pair of blocks is a group of its own.
     """
-    rows = vectors.select("flashpoint_id", F.col("feed_entry_id").alias("src"), unit(F.col("embedding")).alias("u"))
-    left = rows.withColumn("part", F.pmod(F.xxhash64("src"), F.lit(SPREAD)).cast("int"))
-    right = rows.select("flashpoint_id", F.col("src").alias("dst"), F.col("u").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
-    sim = F.round(dot(F.col("u"), F.col("v")), 6)
-    return left.join(right, ["flashpoint_id", "part"]).where("src <> dst").select("flashpoint_id", "src", "dst", sim.alias("sim")).where(F.col("sim") >= threshold)
+    ship(vectors.sparkSession)
+    rows = vectors.select("flashpoint_id", F.col("feed_entry_id").alias("src"), F.col("embedding").cast("array<double>").alias("v"))
+    counts = rows.groupBy("flashpoint_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(counts, "flashpoint_id").withColumn("own", F.pmod(F.xxhash64("src"), F.col("blocks")).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = paired.select("flashpoint_id", "src", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    schema = T.StructType([paired.schema["flashpoint_id"], T.StructField("src", paired.schema["src"].dataType), T.StructField("dst", paired.schema["src"].dataType), T.StructField("sim", T.DoubleType())])
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        lists, own = group.column("v"), group.column("own").to_numpy()
+        lengths = pc.list_value_length(lists).fill_null(0).to_numpy()
+        units = np.zeros((group.num_rows, int(lengths.max(initial=0))))
+        for n in np.unique(lengths[lengths > 0]):
+            which = np.flatnonzero(lengths == n)
+            units[which, :n] = pc.list_flatten(lists.take(pa.array(which))).to_numpy(zero_copy_only=False).reshape(len(which), n)
+        norm = np.sqrt((units**2).sum(axis=1, keepdims=True))
+        units = units / np.where(norm > 0, norm, 1.0)
+        ids = group.column("src")
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        twice = [(left, right)] if i == j else [(left, right), (right, left)]
+        out = []
+        for a, b in twice:
+            sim = np.round(units[a] @ units[b].T, 6)
+            near = (sim >= threshold) & (a[:, None] != b[None, :])
+            x, y = np.nonzero(near)
+            found = pa.table({"src": ids.take(pa.array(a[x])), "dst": ids.take(pa.array(b[y])), "sim": pa.array(sim[x, y])})
+            found = found.filter(pc.not_equal(found["src"], found["dst"]))
+            if k is not None and found.num_rows:
+                found = found.sort_by([("src", "ascending"), ("sim", "descending"), ("dst", "ascending")])
+                src = found["src"].combine_chunks()
+                first = np.concatenate(([True], pc.not_equal(src[1:], src[:-1]).to_numpy(zero_copy_only=False)))
+                place = np.arange(len(first)) - np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+                found = found.filter(pa.array(place < k))
+            out.append(found)
+        out = pa.concat_tables(out)
+        key = group.column("flashpoint_id")[0]
+        return out.add_column(0, "flashpoint_id", pa.array([key.as_py()] * out.num_rows, group.schema.field("flashpoint_id").type))
+
+    return paired.groupBy("flashpoint_id", "i", "j").applyInArrow(run, schema)
 
 
-SPREAD = 8
+def cosine_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(flashpoint_id, src, dst, sim): both directions of pairs of one flashpoint with a cosine, rounded to 6 places, of at least the threshold."""
+    return _blocked(vectors, threshold, None)
 
 
 def knn_edges(vectors: DataFrame, k: int = NEIGHBOURS, threshold: float = THRESHOLD) -> DataFrame:
     """For each vector its k nearest of the flashpoint, as far as they reach the threshold; ties to the smaller id."""
     order = Window.partitionBy("flashpoint_id", "src").orderBy(F.desc("sim"), "dst")
-    return cosine_pairs(vectors, threshold).withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k).drop("rk")
+    return _blocked(vectors, threshold, k).withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k).drop("rk")
 
 
 def components(nodes: DataFrame, edges: DataFrame, group: str = "flashpoint_id") -> DataFrame:
     """(group, node, comp): the smallest node of the connected component, isolated nodes included.
 
     Labels spread along edges and jump to their label's label until nothing
-    changes; every round is checkpointed, so large groups are no single task.
+    changes; every round is written to the shared folder, so large groups are no single task.
     """
-    both = _kept(edges.select(group, F.col("src").alias("x"), F.col("dst").alias("y")).unionByName(edges.select(group, F.col("dst").alias("x"), F.col("src").alias("y"))).distinct())
-    labels = _kept(nodes.select(group, "node", F.col("node").alias("comp")))
+    both = stash(edges.select(group, F.col("src").alias("x"), F.col("dst").alias("y")).unionByName(edges.select(group, F.col("dst").alias("x"), F.col("src").alias("y"))).distinct(), "edges")
+    labels = stash(nodes.select(group, "node", F.col("node").alias("comp")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "y"), [group, "y"]).groupBy(group, F.col("x").alias("node")).agg(F.min("comp").alias("near"))
         spread = labels.join(near, [group, "node"], "left").select(group, "node", F.col("comp").alias("old"), F.coalesce(F.least("comp", "near"), "comp").alias("comp"))
         parent = spread.select(group, F.col("node").alias("comp"), F.col("comp").alias("up"))
-        jumped = _kept(spread.join(parent, [group, "comp"]).select(group, "node", "old", F.col("up").alias("comp")))
+        jumped = stash(spread.join(parent, [group, "comp"]).select(group, "node", "old", F.col("up").alias("comp")), "labels")
         done = jumped.where("old <> comp").limit(1).count() == 0
         labels = jumped.select(group, "node", "comp")
         if done:

@@ -19,29 +19,25 @@ PRESUMMARY_MIN, PRESUMMARY_MAX = 1000, 2000
 EMBEDDING_DIM = 384
 
 # Code and label of the top-level topics.
-TOPIC_CODES = """
-01000000 arts, culture, entertainment and media
-02000000 crime, law and justice
-03000000 disaster, accident and emergency incident
-04000000 economy, business and finance
-05000000 education
-06000000 environmental issue
-07000000 health
-08000000 human interest
-09000000 labour
-10000000 lifestyle and leisure
-11000000 politics
-12000000 religion
-13000000 science and technology
-14000000 society
-15000000 sport
-16000000 conflict, war and peace
-17000000 weather
-"""
-
-
-def topic_codes() -> dict[str, str]:
-    return dict(x.split(" ", 1) for x in TOPIC_CODES.strip().splitlines())
+TOPIC_CODES = {
+    "01000000": "arts, culture, entertainment and media",
+    "02000000": "crime, law and justice",
+    "03000000": "disaster, accident and emergency incident",
+    "04000000": "economy, business and finance",
+    "05000000": "education",
+    "06000000": "environmental issue",
+    "07000000": "health",
+    "08000000": "human interest",
+    "09000000": "labour",
+    "10000000": "lifestyle and leisure",
+    "11000000": "politics",
+    "12000000": "religion",
+    "13000000": "science and technology",
+    "14000000": "society",
+    "15000000": "sport",
+    "16000000": "conflict, war and peace",
+    "17000000": "weather",
+}
 
 
 def hashing_embedding(texts: pd.Series) -> pd.Series:

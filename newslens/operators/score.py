@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Weight of each top-level topic, as topic = weight.
-TOPIC_WEIGHTS = """
-conflict, war and peace = 1.0
-disaster, accident and emergency incident = 0.9
-crime, law and justice = 0.8
-politics = 0.7
-society = 0.6
-health = 0.6
-environmental issue = 0.5
-economy, business and finance = 0.5
-human interest = 0.4
-education = 0.3
-religion = 0.3
-science and technology = 0.3
-labour = 0.3
-arts, culture, entertainment and media = 0.2
-lifestyle and leisure = 0.2
-sport = 0.1
-weather = 0.3
-"""
+from ..runtime import stash
+
+# Weight of each top-level topic.
+TOPIC_WEIGHTS = {
+    "conflict, war and peace": 1.0,
+    "disaster, accident and emergency incident": 0.9,
+    "crime, law and justice": 0.8,
+    "politics": 0.7,
+    "society": 0.6,
+    "health": 0.6,
+    "environmental issue": 0.5,
+    "economy, business and finance": 0.5,
+    "human interest": 0.4,
+    "education": 0.3,
+    "religion": 0.3,
+    "science and technology": 0.3,
+    "labour": 0.3,
+    "arts, culture, entertainment and media": 0.2,
+    "lifestyle and leisure": 0.2,
+    "sport": 0.1,
+    "weather": 0.3,
+}
 OTHER_TOPIC = 0.3
 UNCLASSIFIED = "unclassified"
 HALF_LIFE_HOURS = 12.0
 MAX_ARTICLES, MAX_DOMAINS = 100, 20
 TOP_SHARE = 0.10
-
-
-def weights() -> dict[str, float]:
-    return {k.strip(): float(v) for k, _, v in (x.rpartition("=") for x in TOPIC_WEIGHTS.strip().splitlines())}
+#: Ranges in which rows are numbered.
+RANGES = 256
 
 
 def topic_weight(topic: Column) -> Column:
     """The topic's weight, in any case; OTHER_TOPIC for unknown and missing ones."""
-    held = F.create_map(*[F.lit(x) for pair in weights().items() for x in pair])
+    held = F.create_map(*[F.lit(x) for pair in TOPIC_WEIGHTS.items() for x in pair])
     return F.coalesce(F.try_element_at(held, F.lower(F.coalesce(topic, F.lit("")))), F.lit(OTHER_TOPIC))
 
 
@@ -66,17 +68,27 @@ def score(clusters: DataFrame, as_of: Column) -> DataFrame:
     return clusters.select("*", *[F.round(c, 4).alias(k) for k, c in parts.items()], F.round(total, 4).alias("score"))
 
 
-def top_hotspots(scored: DataFrame, share: float = TOP_SHARE) -> DataFrame:
-    """scored with hot_rank and is_hotspot: the first tenth of all clusters together, at least one; ties by flashpoint and cluster.
+def numbered(rows: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """rows with ``out``: 1, 2, ... in the given order over all of them, without a task for all of them.
 
-    The cut is found by count and score, so that only the rows that tie at it are ranked together.
+    Rows are cut into RANGES ranges of the order, which is written so that it
+    stays; they are numbered within a range and shifted by the counts of the
+    ranges before, at most RANGES rows.
     """
-    n = scored.count()
-    most = max(1, int(n * share))
-    top = scored.orderBy(F.desc("score"), "flashpoint_id", "cluster_id").limit(most)
-    ranked = top.withColumn("hot_rank", F.row_number().over(Window.orderBy(F.desc("score"), "flashpoint_id", "cluster_id")))
-    keys = ["flashpoint_id", "cluster_id"]
-    return scored.join(ranked.select(*keys, "hot_rank"), keys, "left").withColumn("is_hotspot", F.col("hot_rank").isNotNull())
+    ranged = stash(rows.repartitionByRange(RANGES, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(out, within).join(F.broadcast(offsets), "_range").withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_before")
+
+
+def top_hotspots(scored: DataFrame, share: float = TOP_SHARE) -> DataFrame:
+    """scored with hot_rank and is_hotspot: the first tenth of all clusters together, at least one; ties by flashpoint and cluster. Other clusters have no rank."""
+    most = max(1, int(scored.count() * share))
+    ranked = numbered(scored, [F.desc("score"), F.asc("flashpoint_id"), F.asc("cluster_id")], "_rank")
+    hot = F.when(F.col("_rank") <= most, F.col("_rank"))
+    return ranked.select(*scored.columns, hot.alias("hot_rank"), hot.isNotNull().alias("is_hotspot"))
 
 
 def webhook_payload() -> Column:
@@ -99,6 +111,25 @@ def slack_payload() -> Column:
     return F.concat(F.lit('{"blocks":['), F.concat_ws(",", header, section, words), F.lit("]}"))
 
 
+def email_message() -> Column:
+    """What a hotspot says in an e-mail: a subject, an empty line, and the facts, a line each."""
+    lines = (
+        F.concat(F.lit("Subject: Hotspot: "), F.coalesce("flashpoint_title", F.lit(""))),
+        F.lit(""),
+        F.concat(F.lit("Cluster: "), F.col("cluster_id").cast("string")),
+        F.concat(F.lit("Articles: "), F.col("article_count").cast("string")),
+        F.concat(F.lit("Score: "), F.format_string("%.2f", F.col("hotspot_score"))),
+        F.coalesce("summary", F.lit("")),
+    )
+    return F.concat_ws("\n", *lines)
+
+
+def log_only(payload: str) -> bool:
+    """A send function for deliver that writes the payload to the executor's log: e-mails go no further."""
+    logging.getLogger(__name__).info("alert: %s", payload)
+    return True
+
+
 def deliver(payloads: DataFrame, send, column: str = "payload") -> DataFrame:
     """payloads with ``sent``: what send(text) says on the executors, False where it raises OSError."""
 

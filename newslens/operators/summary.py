@@ -27,10 +27,15 @@ def lead_sentences(text: Column, most: int = PER_ARTICLE) -> Column:
 
 
 def distinct_in_order(values: Column) -> Column:
-    """Values without later repeats."""
+    """Values of an array without later repeats."""
     return F.array_distinct(values)
 
 
+def first_seen(rows: DataFrame, value: str, order: str) -> DataFrame:
+    """(value, first): the distinct values of a column with the place of their first row; the order is that of ``first``."""
+    return rows.groupBy(value).agg(F.min(order).alias("first"))
+
+
 def extractive_summaries(articles: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, summary): the first SENTENCES distinct lead sentences of the first ARTICLES articles, else the first titles."""
     top = articles.where(F.col("pos") <= ARTICLES).withColumn("lead", lead_sentences(falsy_coalesce(F.col("content"), F.col("description"))))
@@ -53,22 +58,31 @@ def languages(articles: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def urls(articles: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, urls): the first URLS urls in order, repeats kept."""
-    rows = articles.where(F.col("url").isNotNull() & (F.col("url") != "")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("u"))
-    return rows.select(*keys, F.transform(F.slice("u", 1, URLS), lambda x: x["url"]).alias("urls"))
+    """(keys, urls): the first URLS urls in order, repeats kept; only those are collected."""
+    given = articles.where(F.col("url").isNotNull() & (F.col("url") != "")).select(*keys, "pos", "url")
+    order = Window.partitionBy(*keys).orderBy("pos", "url")
+    first = given.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= URLS)
+    rows = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_n", "url"))).alias("u"))
+    return rows.select(*keys, F.transform("u", lambda x: x["url"]).alias("urls"))
 
 
 def images(articles: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, images): article by article its ``image``, repeated or not, then those of ``images`` not seen so far; the first IMAGES."""
-    rows = articles.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "image", "images"))).alias("a"))
-    empty = F.array().cast("array<string>")
-
-    def fold(acc: Column, x: Column) -> Column:
-        own = F.when(F.coalesce(x["image"], F.lit("")) != "", F.concat(acc, F.array(x["image"]))).otherwise(acc)
-        more = F.filter(F.array_distinct(F.coalesce(x["images"], empty)), lambda i: i.isNotNull() & (i != ""))
-        return F.concat(own, F.array_except(more, own))
-
-    return rows.select(*keys, F.slice(F.aggregate("a", empty, fold), 1, IMAGES).alias("images"))
+    """(keys, images): article by article its ``image``, repeated or not, then those of ``images`` not seen so far; the first IMAGES.
+
+    Only those are collected: an image of the list counts at its first place
+    among all, which a map-side combined minimum finds.
+    """
+    listed = F.filter(F.coalesce("images", F.array().cast("array<string>")), lambda i: i.isNotNull() & (i != ""))
+    own = F.when(F.coalesce("image", F.lit("")) != "", F.array("image")).otherwise(F.array().cast("array<string>"))
+    each = articles.select(*keys, "pos", F.posexplode(F.concat(F.transform(own, lambda x: F.struct(F.lit(True).alias("own"), x.alias("image"))), F.transform(listed, lambda x: F.struct(F.lit(False).alias("own"), x.alias("image"))))).alias("at", "i"))
+    each = each.select(*keys, "pos", "at", "i.own", "i.image")
+    place = F.struct("pos", "at")
+    seen = each.groupBy(*keys, "image").agg(F.min(F.struct(place.alias("place"), "own")).alias("f"))
+    # the first place of a listed image, unless it was an article's own before; own ones always
+    kept = each.where("own").select(*keys, place.alias("place"), "image").unionByName(seen.where("not f.own").select(*keys, F.col("f.place").alias("place"), "image"))
+    first = kept.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("place", "image"))).where(F.col("_n") <= IMAGES)
+    rows = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_n", "image"))).alias("a")).select(*keys, F.transform("a", lambda x: x["image"]).alias("images"))
+    return articles.select(*keys).distinct().join(rows, keys, "left").withColumn("images", F.coalesce("images", F.array().cast("array<string>")))
 
 
 def news_clusters(articles: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import embedding_text, hostname, language_resolve, sanitize, title_en
 from ..operators import clusters, dedupe, jobs, score, summary
 from ..operators.models import ModelRegistry
+from ..runtime import stash
 from ..schema import TIERS, tier_has_embeddings
 
 KEYS = ["flashpoint_id", "cluster_id"]
@@ -44,7 +45,7 @@ def run(entries: DataFrame, held_jobs: DataFrame, run_id: str, tier: str, as_of:
         return Result(out, None, None)
     live = body.join(assigned.where("kind = 'leader'").select("id"), "id", "left_semi")
     vectors = live.select("flashpoint_id", F.col("id").alias("feed_entry_id"), registry.apply("embedding", embedding_text(F.col("title"), F.col("text"))).alias("embedding"))
-    vectors = dedupe._kept(vectors)
+    vectors = stash(vectors, "vectors")
     grouped = clusters.with_similarity(clusters.cluster(vectors, threshold=threshold), vectors)
     members = summary.positions(grouped.join(live.withColumnRenamed("id", "feed_entry_id").drop("flashpoint_id"), "feed_entry_id"), KEYS)
     news = summary.news_clusters(members, KEYS)

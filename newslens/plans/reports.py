@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chunks, html, responses, text
+from ..runtime import spread, stash
 from ..operators import activity, clusters, dedupe, entities, jobs, prompts, score, summary
 from ..sources import batch_files, catalog
 from ..streaming import twins
@@ -88,9 +89,9 @@ def vector_upsert(v):
     return out.select("feed_entry_id", "flashpoint_id", (F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x) > 0).alias("positive"), "version")
 
 
-@query("SELECT feed_entry_id, run_id, status FROM (SELECT event_id % 300 AS feed_entry_id, concat('run_', CAST(user_id % 5 AS STRING)) AS run_id, event_type AS status, row_number() OVER (PARTITION BY event_id % 300, user_id % 5 ORDER BY event_id) AS rn FROM events) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM feed_entry_jobs j WHERE j.feed_entry_id = n.feed_entry_id AND j.run_id = n.run_id)")
+@query("SELECT feed_entry_id, run_id, status FROM (SELECT CAST(floor(event_id / 7) AS BIGINT) AS feed_entry_id, concat('run_', CAST(user_id % 5 AS STRING)) AS run_id, event_type AS status, row_number() OVER (PARTITION BY CAST(floor(event_id / 7) AS BIGINT), user_id % 5 ORDER BY event_id) AS rn FROM events) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM feed_entry_jobs j WHERE j.feed_entry_id = n.feed_entry_id AND j.run_id = n.run_id)")
 def insert_if_absent(v):
-    new = v("events").select((F.col("event_id") % 300).alias("feed_entry_id"), F.concat(F.lit("run_"), (F.col("user_id") % 5).cast("string")).alias("run_id"), F.col("event_type").alias("status"), "event_id")
+    new = v("events").select(F.floor(F.col("event_id") / 7).cast("long").alias("feed_entry_id"), F.concat(F.lit("run_"), (F.col("user_id") % 5).cast("string")).alias("run_id"), F.col("event_type").alias("status"), "event_id")
     return catalog.insert_absent(v("feed_entry_jobs"), new, ["feed_entry_id", "run_id"], "event_id").select("feed_entry_id", "run_id", "status")
 
 
@@ -123,7 +124,7 @@ def active_run(v):
     return jobs.active_runs(v("processing_runs"), _clock(AS_OF))
 
 
-@query()
+@query("SELECT concat('cluster_0_', doc_id) AS custom_id, trim(text) AS content FROM documents WHERE doc_id % 5 <> 0")
 def batch_results_parse(v):
     made = v("documents").select(
         F.when(
@@ -146,6 +147,11 @@ def unprocessed_entries(v):
     return jobs.unprocessed(v("feed_entries"), v("feed_entry_jobs"), RUN, limit=None)
 
 
+@query(f"SELECT id, flashpoint_id, title {_FREE} ORDER BY seq, id LIMIT 20")
+def first_unprocessed(v):
+    return jobs.unprocessed(v("feed_entries"), v("feed_entry_jobs"), RUN, limit=20).select("id", "flashpoint_id", "title")
+
+
 @query("SELECT id, content, description FROM feed_entries f WHERE EXISTS (SELECT 1 FROM feed_entry_jobs j WHERE j.feed_entry_id = f.id AND j.run_id = 'run_0')")
 def content_batch(v):
     wanted = v("feed_entry_jobs").where(F.col("run_id") == RUN).select(F.col("feed_entry_id").alias("id"))
@@ -301,10 +307,19 @@ def cluster_urls(v):
     return _flat(summary.urls(_articles(v), CLUSTER), "urls")
 
 
-@query()
+_IMAGES = "CASE WHEN page_id % 6 = 4 THEN [concat('https://img.example.com/', page_id, '.jpg'), concat(regexp_extract(url, '^[a-z]+://[^/?#]*'), '/a/1.png')] ELSE [] END"
+
+
+@query(f"""WITH page_images AS (SELECT page_id, {_IMAGES} AS images FROM pages), {_MEMBERS},
+shown AS (SELECT m.flashpoint_id, cluster_no, pos, 0 AS spot, images[1] AS image, true AS own FROM members m JOIN page_images ON page_id = feed_entry_id WHERE len(images) > 0
+  UNION ALL SELECT m.flashpoint_id, cluster_no, pos, i, images[i], false FROM members m JOIN page_images ON page_id = feed_entry_id, (VALUES (1), (2)) x(i) WHERE len(images) >= i),
+seen AS (SELECT *, row_number() OVER (PARTITION BY flashpoint_id, cluster_no, image ORDER BY pos, spot) AS nth FROM shown),
+kept AS (SELECT *, row_number() OVER (PARTITION BY flashpoint_id, cluster_no ORDER BY pos, spot) AS rk FROM seen WHERE own OR nth = 1),
+listed AS (SELECT flashpoint_id, cluster_no, string_agg(image, '|' ORDER BY rk) AS images FROM kept WHERE rk <= 20 GROUP BY 1, 2)
+SELECT DISTINCT m.flashpoint_id, m.cluster_no, coalesce(images, '') AS images FROM members m LEFT JOIN listed USING (flashpoint_id, cluster_no)""")
 def cluster_images(v):
     pages = v("html_variants").select(F.col("page_id").alias("feed_entry_id"), html.page_images("html", "url").alias("images"))
-    rows = _articles(v).join(pages, "feed_entry_id").withColumn("image", F.get("images", 0))
+    rows = _articles(v).join(pages, "feed_entry_id", "left").withColumn("image", F.get("images", 0))
     return _flat(summary.images(rows, CLUSTER), "images")
 
 
@@ -357,7 +372,7 @@ def latest_job_per_entry(v):
     return jobs.latest_jobs(v("feed_entry_jobs"), "fetch_duration_ms").select("feed_entry_id", "run_id", "status")
 
 
-@query()
+@query("""SELECT 'run_0' AS run_id, concat('{"total_entries":', sum(n), ',"stats":{', string_agg(concat('"', status, '":', n), ',' ORDER BY status), '},"tier":"B","target_date":"2024-01-01"}') AS metrics FROM (SELECT status, count(*) AS n FROM feed_entry_jobs WHERE run_id = 'run_0' GROUP BY status)""")
 def run_metrics(v):
     return jobs.run_metrics(v("feed_entry_jobs"), RUN, "B", "2024-01-01")
 
@@ -369,7 +384,7 @@ _SHINGLES = f"words AS (SELECT doc_id, list_filter(regexp_split_to_array(trim({_
 
 
 def _entries(v) -> DataFrame:
-    return v("documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("seq"), "text")
+    return spread(v("documents")).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("seq"), "text")
 
 
 @query(f"SELECT doc_id, {_NORM} AS normalized FROM documents")
@@ -389,7 +404,7 @@ def exact_duplicates(v):
 
 @query(f"WITH {_SHINGLES} SELECT doc_id AS id, len(sh) AS n FROM sets")
 def shingles(v):
-    return dedupe.shingle_sets(_entries(v)).select("id", F.size("sh").cast("long").alias("n"))
+    return dedupe.shingle_sets(_entries(v)).where("n > 0").select("id", F.col("n").cast("long").alias("n"))
 
 
 _PAIRS = f"{_SHINGLES}, each_ AS (SELECT doc_id, unnest(sh) AS s, len(sh) AS n FROM sets), both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m FROM each_ a JOIN each_ b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2), pairs AS (SELECT a, b, round(c / (n + m - c), 6) AS sim FROM both_ WHERE c / (n + m - c) >= "
@@ -402,16 +417,24 @@ def jaccard_pairs(v):
 
 @query(f"WITH {_PAIRS} 0.8), reps AS (SELECT min(doc_id) AS r FROM documents GROUP BY sha256({_NORM})) SELECT pairs.* FROM pairs JOIN reps x ON x.r = a JOIN reps y ON y.r = b")
 def near_dup_pairs(v):
-    rows = dedupe.hashed(_entries(v))
-    return dedupe.jaccard_pairs(rows.where("id = first_id")).withColumn("sim", F.round("sim", 6))
+    return dedupe.near_pairs(_entries(v)).withColumn("sim", F.round("sim", 6))
 
 
-@query()
+_ASSIGNED = f"""{_PAIRS} 0.8), hashes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256({_NORM})) AS first_id FROM documents),
+own AS (SELECT pairs.* FROM pairs JOIN hashes x ON x.doc_id = a AND x.first_id = a JOIN hashes y ON y.doc_id = b AND y.first_id = b),
+bs AS (SELECT b, list(a) AS befores, row_number() OVER (ORDER BY b) AS n FROM own GROUP BY b),
+walk(n, near) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT walk.n + 1, CASE WHEN len(list_filter(bs.befores, lambda x: NOT list_contains(walk.near, x))) > 0 THEN list_append(walk.near, bs.b) ELSE walk.near END FROM walk JOIN bs ON bs.n = walk.n + 1),
+nears AS (SELECT unnest(near) AS id FROM (SELECT near FROM walk ORDER BY n DESC LIMIT 1)),
+best AS (SELECT b, first(a ORDER BY sim DESC, a) AS a, max(sim) AS sim FROM own WHERE a NOT IN (SELECT id FROM nears) AND b IN (SELECT id FROM nears) GROUP BY b),
+assigned AS (SELECT doc_id AS id, CASE WHEN doc_id <> first_id THEN 'exact' WHEN a IS NOT NULL THEN 'near' ELSE 'leader' END AS kind, CASE WHEN doc_id <> first_id THEN first_id ELSE a END AS duplicate_of, CASE WHEN doc_id <> first_id THEN 1.0::DOUBLE ELSE sim END AS sim FROM hashes LEFT JOIN best ON b = doc_id)"""
+
+
+@query(f"WITH RECURSIVE {_ASSIGNED} SELECT * FROM assigned")
 def dedupe_assignments(v):
     return dedupe.assign(_entries(v)).withColumn("sim", F.round("sim", 6))
 
 
-@query()
+@query(f"WITH RECURSIVE {_ASSIGNED} SELECT count(*) FILTER (kind <> 'exact') AS hashes, count(*) FILTER (kind = 'leader') AS leaders, count(*) FILTER (kind = 'exact') AS exact, count(*) FILTER (kind = 'near') AS near FROM assigned")
 def dedupe_stats(v):
     return dedupe.stats(dedupe.assign(_entries(v)))
 
@@ -421,6 +444,11 @@ def minhash_lsh_candidates(v):
     return dedupe.lsh_candidates(_entries(v))
 
 
+@query(f"WITH {_PAIRS} 0.8) SELECT * FROM pairs")
+def minhash_lsh_pairs(v):
+    return dedupe.lsh_pairs(_entries(v)).withColumn("sim", F.round("sim", 6))
+
+
 # --- vectors and clusters ---------------------------------------------------------------------------------------------
 
 _UNIT = "units AS (SELECT flashpoint_id, feed_entry_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE))))) AS u FROM feed_entry_vectors)"
@@ -472,17 +500,47 @@ def cluster_centroid_similarity(v):
 
 
 @query(f"WITH {_MEMBERS}, {_DOMAINS}, {_LANGUAGES}, {_URLS}, {_LEADS}, {_SUMMARY}, counts AS (SELECT flashpoint_id, cluster_no AS cluster_id, CAST(count(*) AS INT) AS article_count FROM members GROUP BY 1, 2) SELECT c.flashpoint_id, c.cluster_id, article_count, summary, top_domains, languages, urls FROM counts c JOIN summaries s ON s.flashpoint_id = c.flashpoint_id AND s.cluster_no = c.cluster_id JOIN domains d ON d.flashpoint_id = c.flashpoint_id AND d.cluster_no = c.cluster_id JOIN langs l ON l.flashpoint_id = c.flashpoint_id AND l.cluster_no = c.cluster_id JOIN links u ON u.flashpoint_id = c.flashpoint_id AND u.cluster_no = c.cluster_id")
-def news_clusters(v):
+def member_news_clusters(v):
     rows = _articles(v).withColumnRenamed("cluster_no", "cluster_id")
     return _flat(summary.news_clusters(rows, ["flashpoint_id", "cluster_id"]), "top_domains", "languages", "urls")
 
 
+_TOPS = "tops AS (SELECT flashpoint_id, cluster_no, topic FROM (SELECT m.flashpoint_id, cluster_no, topic, row_number() OVER (PARTITION BY m.flashpoint_id, cluster_no ORDER BY count(*) DESC, topic) AS rn FROM members m JOIN topics t ON t.feed_entry_id = m.feed_entry_id GROUP BY 1, 2, 3) WHERE rn = 1)"
+_WEIGHTS = "weights AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {w}::DOUBLE)" for k, w in score.TOPIC_WEIGHTS.items()) + ") t(topic, weight))"
+_COMPUTED = f"""{_CENTROIDS}, sims AS (SELECT a.flashpoint_id, feed_entry_id, cluster_id, CASE WHEN article_count = 1 THEN 1.0 ELSE round(round(list_sum(list_transform(list_zip(u, c), lambda z: z[1] * z[2])), 6), 4) END AS similarity FROM assigned a JOIN units USING (feed_entry_id) JOIN unit_means USING (cluster_id) WHERE unit_means.flashpoint_id = a.flashpoint_id),
+members AS (SELECT s.flashpoint_id, s.cluster_id AS cluster_no, feed_entry_id, row_number() OVER (PARTITION BY s.flashpoint_id, s.cluster_id ORDER BY similarity DESC, feed_entry_id) AS pos, f.domain, f.language, f.url, f.title, f.content, f.description, f.dt FROM sims s JOIN feed_entries f ON f.id = s.feed_entry_id)"""
+
+
+@query(f"""WITH RECURSIVE {_COMPUTED}, {_DOMAINS}, {_LANGUAGES}, {_URLS}, {_LEADS}, {_SUMMARY}, {_TOPS}, {_WEIGHTS},
+counts AS (SELECT flashpoint_id, cluster_no, CAST(count(*) AS INT) AS article_count, count(DISTINCT domain) AS unique_domains, date_diff('hour', CAST(max(dt) AS TIMESTAMP), TIMESTAMP '{SCORE_CLOCK}') AS hours FROM members GROUP BY 1, 2)
+SELECT c.flashpoint_id, c.cluster_no AS cluster_id, article_count, summary, top_domains, languages, coalesce(urls, '') AS urls,
+  round(0.30::DOUBLE * least(log2(article_count + 1.0::DOUBLE) / log2(101.0::DOUBLE), 1.0::DOUBLE) + 0.25::DOUBLE * exp(-0.693::DOUBLE * hours / 12.0::DOUBLE) + 0.25::DOUBLE * least(log2(unique_domains + 1.0::DOUBLE) / log2(20.0::DOUBLE), 1.0::DOUBLE) + 0.20::DOUBLE * coalesce(weight, 0.3::DOUBLE), 4) AS score
+FROM counts c JOIN summaries USING (flashpoint_id, cluster_no) JOIN domains USING (flashpoint_id, cluster_no) JOIN langs USING (flashpoint_id, cluster_no) LEFT JOIN links USING (flashpoint_id, cluster_no) LEFT JOIN tops USING (flashpoint_id, cluster_no) LEFT JOIN weights ON weights.topic = lower(tops.topic)""")
+def news_clusters(v):
+    """The flagship: neighbours, components, ranks, centroids, then summaries, metadata and scores of the clusters found."""
+    keys, vectors = ["flashpoint_id", "cluster_id"], v("feed_entry_vectors")
+    grouped = clusters.with_similarity(clusters.cluster(vectors, threshold=THRESHOLD), vectors).select(*keys, "feed_entry_id", F.round("similarity", 4).alias("similarity"))
+    body = v("feed_entries").drop("flashpoint_id").withColumnRenamed("id", "feed_entry_id")
+    members = stash(summary.positions(grouped.join(body, "feed_entry_id"), keys), "members")
+    news = summary.news_clusters(members, keys)
+    facts = members.groupBy(*keys).agg(F.countDistinct("domain").alias("unique_domains"), F.max("dt").cast("timestamp").alias("max_recency"))
+    rated = news.join(facts, keys).join(score.primary_topics(v("topics"), members.select(*keys, "feed_entry_id"), keys), keys, "left")
+    out = score.score(rated, F.lit(SCORE_CLOCK).cast("timestamp"))
+    return _flat(out, "top_domains", "languages", "urls").select(*keys, "article_count", "summary", "top_domains", "languages", "urls", "score")
+
+
 # --- entities, countries, scores --------------------------------------------------------------------------------------
 
 _ENT = "ents AS (SELECT feed_entry_id, CASE entity_group WHEN 'PER' THEN 'PERSON' WHEN 'ORG' THEN 'ORG' WHEN 'LOC' THEN 'LOC' WHEN 'DATE' THEN 'DATE' WHEN 'MISC' THEN 'EVENT' END AS category, lower(trim(replace(word, '##', ''))) AS low, max(score) AS score FROM raw_entities GROUP BY 1, 2, 3 HAVING length(low) >= 2 AND category IS NOT NULL), top_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_entry_id, category ORDER BY score DESC, low) AS rk FROM ents) WHERE rk <= 20)"
 _TITLE = "array_to_string(list_transform(string_split(low, ' '), lambda w: upper(left(w, 1)) || substring(w, 2)), ' ')"
-_LOOKUP = "lookup AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in row) + ")" for row in entities.country_rows()) + ") t(key, name, alpha2, alpha3))"
-_WEIGHTS = "weights AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {w}::DOUBLE)" for k, w in score.weights().items()) + ") t(topic, weight))"
+# What the gazetteer has to say about the places of the views.
+_EXPECTED = (
+    ("algeria", "Algeria", "DZ", "DZA"), ("argentina", "Argentina", "AR", "ARG"), ("brazil", "Brazil", "BR", "BRA"), ("canada", "Canada", "CA", "CAN"), ("egypt", "Egypt", "EG", "EGY"),
+    ("ethiopia", "Ethiopia", "ET", "ETH"), ("france", "France", "FR", "FRA"), ("germany", "Germany", "DE", "DEU"), ("india", "India", "IN", "IND"), ("indonesia", "Indonesia", "ID", "IDN"),
+    ("iraq", "Iraq", "IQ", "IRQ"), ("japan", "Japan", "JP", "JPN"), ("jordan", "Jordan", "JO", "JOR"), ("kenya", "Kenya", "KE", "KEN"), ("morocco", "Morocco", "MA", "MAR"),
+    ("mozambique", "Mozambique", "MZ", "MOZ"), ("peru", "Peru", "PE", "PER"), ("romania", "Romania", "RO", "ROU"), ("saudi arabia", "Saudi Arabia", "SA", "SAU"), ("vietnam", "Vietnam", "VN", "VNM"),
+)
+_LOOKUP = "lookup AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in row) + ")" for row in (*entities.country_rows(), *_EXPECTED)) + ") t(key, name, alpha2, alpha3))"
 
 
 @query(f"WITH {_ENT} SELECT feed_entry_id, category, CASE WHEN category IN ('PERSON', 'GPE', 'LOC') THEN {_TITLE} ELSE low END AS text, score FROM top_")
@@ -502,10 +560,10 @@ def entity_explode(v):
     return each.select("feed_entry_id", "category", F.lower("e.text").alias("low"), F.col("e.score").alias("score"))
 
 
-@query(f"WITH {_LOOKUP} SELECT n_name, name AS country, alpha2, alpha3 FROM nation LEFT JOIN lookup ON lower(trim(n_name)) = key")
+@query(f"WITH {_LOOKUP} SELECT nation, place, name AS country, alpha2, alpha3 FROM places LEFT JOIN lookup ON lower(trim(place)) = key")
 def geo_resolve(v):
-    nations = v("nation").select("n_name")
-    return entities.resolve_countries(nations, "n_name", entities.countries(nations.sparkSession))
+    places = v("places")
+    return entities.resolve_countries(places, "place", entities.countries(places.sparkSession))
 
 
 @query(f"WITH {_LOOKUP}, own AS (SELECT feed_entry_id, name, alpha2, alpha3, count(*) AS count, round(avg(score), 4) AS avg_score FROM raw_entities JOIN lookup ON key = lower(trim(word)) GROUP BY 1, 2, 3, 4) SELECT * FROM own UNION ALL SELECT id, name, alpha2, alpha3, 1, 0.5 FROM feed_entries JOIN lookup ON key = lower(trim(sourcecountry)) WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.feed_entry_id = id AND own.alpha3 = lookup.alpha3)")
@@ -520,7 +578,7 @@ def topic_weight(v):
 
 
 _SCORED = f"""{_MEMBERS}, {_WEIGHTS}, counts AS (SELECT flashpoint_id, cluster_no, count(*) AS article_count, count(DISTINCT domain) AS unique_domains, min(feed_entry_id) AS first_id FROM members GROUP BY 1, 2),
-tops AS (SELECT flashpoint_id, cluster_no, topic FROM (SELECT flashpoint_id, cluster_no, topic, row_number() OVER (PARTITION BY flashpoint_id, cluster_no ORDER BY count(*) DESC, topic) AS rn FROM cluster_members m JOIN topics t ON t.feed_entry_id = m.feed_entry_id GROUP BY 1, 2, 3) WHERE rn = 1),
+{_TOPS},
 parts AS (SELECT c.flashpoint_id, c.cluster_no AS cluster_id, least(log2(article_count + 1.0::DOUBLE) / log2(101.0::DOUBLE), 1.0::DOUBLE) AS volume,
   CASE WHEN first_id % 4 = 0 THEN 0.0::DOUBLE ELSE exp(-0.693::DOUBLE * (first_id % 48) / 12.0::DOUBLE) END AS recency,
   least(log2(unique_domains + 1.0::DOUBLE) / log2(20.0::DOUBLE), 1.0::DOUBLE) AS diversity, coalesce(weight, 0.3::DOUBLE) AS topic_weight
@@ -553,21 +611,30 @@ def top_hotspots(v):
     return score.top_hotspots(_scored(v)).select("flashpoint_id", "cluster_id", "score", "is_hotspot")
 
 
-@query()
+_TWO = "CAST(round(CAST(score AS DECIMAL(9, 4)), 2) AS DECIMAL(9, 2))"
+
+
+@query(f"""WITH {_SCORED} SELECT flashpoint_id, cluster_id,
+  concat('{{"type":"hotspot_alert","flashpoint_id":', flashpoint_id, ',"flashpoint_title":"Point ', flashpoint_id, '","cluster_id":', cluster_id, ',"summary":"summary","article_count":', article_count, ',"hotspot_score":', score, ',"top_domains":[]}}') AS webhook,
+  concat('{{"blocks":[{{"type":"header","text":{{"type":"plain_text","text":"🔥 Hotspot Alert: Point ', flashpoint_id, '"}}}},{{"type":"section","fields":[{{"type":"mrkdwn","text":"*Score:* ', {_TWO}, '"}},{{"type":"mrkdwn","text":"*Articles:* ', article_count, '"}},{{"type":"mrkdwn","text":"*Cluster:* #', cluster_id, '"}}]}},{{"type":"section","text":{{"type":"mrkdwn","text":"*Summary:*\\nsummary"}}}}]}}') AS slack,
+  concat('Subject: Hotspot: Point ', flashpoint_id, chr(10), chr(10), 'Cluster: ', cluster_id, chr(10), 'Articles: ', article_count, chr(10), 'Score: ', {_TWO}, chr(10), 'summary') AS email
+FROM scored JOIN (SELECT flashpoint_id, cluster_no AS cluster_id, article_count FROM counts) USING (flashpoint_id, cluster_id)""")
 def alert_payloads(v):
     rows = _scored(v).select("flashpoint_id", F.concat(F.lit("Point "), F.col("flashpoint_id").cast("string")).alias("flashpoint_title"), "cluster_id", F.lit("summary").alias("summary"), "article_count", F.col("score").alias("hotspot_score"), F.array().cast("array<string>").alias("top_domains"))
-    return rows.select("flashpoint_id", "cluster_id", score.webhook_payload().alias("webhook"), score.slack_payload().alias("slack"))
+    return rows.select("flashpoint_id", "cluster_id", score.webhook_payload().alias("webhook"), score.slack_payload().alias("slack"), score.email_message().alias("email"))
 
 
-@query()
+@query("""WITH logits AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+each_ AS (SELECT vec_id, i - 1 AS place, exp(e[i] - list_max(e)) / list_sum(list_transform(e, lambda x: exp(x - list_max(e)))) AS p FROM logits, LATERAL (SELECT unnest(range(1, CAST(len(e) + 1 AS BIGINT))) AS i)),
+top_ AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, place) AS rk FROM each_)
+SELECT vec_id, concat('[', string_agg(concat('{"place":', place, ',"p":', round(p, 4), '}'), ',' ORDER BY rk), ']') AS top FROM top_ WHERE rk <= 3 GROUP BY vec_id""")
 def topic_softmax(v):
-    return v("embeddings").select("vec_id", F.to_json(entities.softmax_top(F.transform(F.slice("embedding", 1, 17), lambda x: x.cast("double")))).alias("top"))
+    return v("embeddings").select("vec_id", F.to_json(entities.softmax_top(F.transform("embedding", lambda x: x.cast("double")))).alias("top"))
 
 
-@query("SELECT s AS value FROM (SELECT domain AS s, min(id) AS first FROM feed_entries GROUP BY domain)")
+@query("SELECT domain AS value, min(id) AS first FROM feed_entries GROUP BY domain")
 def distinct_in_order(v):
-    rows = v("feed_entries").agg(F.array_sort(F.collect_list(F.struct("id", "domain"))).alias("a"))
-    return rows.select(F.explode(summary.distinct_in_order(F.transform("a", lambda x: x["domain"]))).alias("value"))
+    return summary.first_seen(v("feed_entries"), "domain", "id").withColumnRenamed("domain", "value")
 
 
 # --- events -----------------------------------------------------------------------------------------------------------
@@ -584,7 +651,10 @@ def domain_failures(v):
     return rows.agg(F.count_if(F.col("event_type") == "error").alias("failures"), F.count(F.lit(1)).alias("attempts"))
 
 
-@query()
+@query("""WITH folded AS (SELECT user_id % 20 AS domain, list_reduce(list({'f': CAST(0 AS BIGINT), 'last': 0.0::DOUBLE, 'ts': floor(epoch(ts)), 'ok': event_type <> 'error'} ORDER BY floor(epoch(ts)), event_id), lambda acc, x: {
+  'f': CASE WHEN x.ok THEN greatest((CASE WHEN acc.f >= 5 AND x.ts - acc.last > 300 THEN 0 ELSE acc.f END) - 1, 0) ELSE (CASE WHEN acc.f >= 5 AND x.ts - acc.last > 300 THEN 0 ELSE acc.f END) + 1 END,
+  'last': CASE WHEN x.ok THEN acc.last ELSE x.ts END, 'ts': x.ts, 'ok': x.ok}, {'f': CAST(0 AS BIGINT), 'last': 0.0::DOUBLE, 'ts': 0.0::DOUBLE, 'ok': true}) AS state FROM events GROUP BY 1)
+SELECT domain, state.f AS failures, state.f >= 5 AS is_open FROM folded""")
 def circuit_breaker_state(v):
     rows = v("events").select((F.col("user_id") % 20).alias("domain"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("ts"), F.col("event_id").alias("ident"), (F.col("event_type") != "error").alias("ok"))
     return activity.breaker_states(rows)
@@ -696,7 +766,7 @@ def clean_noise(v):
     return v("documents").select("doc_id", text.clean_noise(F.concat(F.lit("[head]\n```json {"), "text", F.lit("}"))).alias("clean"))
 
 
-@query()
+@query(f"SELECT page_id, array_to_string({_IMAGES}, '|') AS images FROM pages")
 def page_images(v):
     return v("html_variants").select("page_id", F.array_join(html.page_images("html", "url"), "|").alias("images"))
 

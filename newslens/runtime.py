@@ -1,14 +1,16 @@
-"""Session plumbing: getting this package to the executors."""
+"""Session plumbing: this package on the executors, tables in the folder that a cluster shares, parallel scans."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_FALLBACK: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -23,3 +25,36 @@ def ship(spark: SparkSession) -> None:
             archive.write(path, path.relative_to(root.parent))
     context.addPyFile(str(target))
     _SHIPPED.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and there is one machine only (tests)."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _FALLBACK:
+        _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="newslens-")
+    return _FALLBACK[app]
+
+
+def stash(df: DataFrame, tag: str) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/newslens/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with a partition for each core at least, for work that costs far more than moving its rows; large tables have them already and stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
