@@ -14,7 +14,7 @@ CHUNK_TOKENS, OVERLAP_TOKENS = 900, 80
 
 
 def text_chunks_of(text: str, most: int = CHUNK_CHARS) -> list[str]:
-    """Chunks of at most ``most`` characters: whole paragraphs together, long ones by sentence, too long sentences cut."""
+    """Chunks of at most ``most`` characters: whole paragraphs together, long ones by sentence, too long sentences in pieces of that size; nothing is lost."""
     if len(text) <= most:
         return [text] if text.strip() else []
     units: list[tuple[str, str]] = []
@@ -22,7 +22,9 @@ def text_chunks_of(text: str, most: int = CHUNK_CHARS) -> list[str]:
         if len(paragraph) <= most:
             units.append((paragraph, "\n\n"))
         else:
-            units += [(x[:most], ". " if k else "\n\n") for k, x in enumerate(paragraph.split(". "))]
+            for k, sentence in enumerate(paragraph.split(". ")):
+                pieces = [sentence[at : at + most] for at in range(0, max(1, len(sentence)), most)]
+                units += [(x, "" if n else ". " if k else "\n\n") for n, x in enumerate(pieces)]
     out, held = [], ""
     for unit, glue in units:
         if held and len(held) + len(glue) + len(unit) > most:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,21 +55,27 @@ def netloc(url: Column) -> Column:
     return F.try_parse_url(url, F.lit("AUTHORITY"))
 
 
+def _reserved(a: Column, b: Column) -> Column:
+    """Whether the first two bytes of an IPv4 address are of a private, loopback, link-local or reserved block."""
+    return a.isin(0, 10, 127) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31)) | ((a == 192) & (b == 168)) | ((a == 100) & b.between(64, 127)) | (a >= 224)
+
+
 def unsafe_literal_ip(host: Column) -> Column:
-    """Whether a host is a literal IPv4 address that is private, loopback, link-local or reserved."""
+    """Whether a host is a literal address that is private, loopback, link-local or reserved: IPv4 in four parts or as one decimal or hexadecimal number, or IPv6 outside the global unicast block."""
     octet = lambda k: F.split_part(host, F.lit("."), F.lit(k)).try_cast("int")
-    a, b = octet(1), octet(2)
-    inside = (a.isin(0, 10, 127)) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31)) | ((a == 192) & (b == 168)) | ((a == 100) & b.between(64, 127)) | (a >= 224)
-    return host.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") & inside
+    number = F.when(host.rlike(r"^\d{1,10}$"), host.try_cast("long")).when(host.rlike(r"^0[xX][0-9a-fA-F]{1,8}$"), F.conv(F.substring(host, 3, 8), 16, 10).try_cast("long"))
+    whole = F.coalesce(_reserved(F.shiftright(number, 24), F.shiftright(number, 16).bitwiseAND(255)), F.lit(False))
+    global_v6 = host.rlike(r"^\[[23][0-9a-fA-F]{3}:") & ~host.rlike(r"(?i)^\[(2001:0?db8|2001:0{0,3}:|2002):")
+    return (host.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") & _reserved(octet(1), octet(2))) | whole | (F.startswith(host, F.lit("[")) & ~global_v6)
 
 
 def url_safety(url: Column) -> Column:
-    """'ok', or why a URL must not be fetched; hosts that are names count as public, as unresolvable ones do."""
+    """'ok', or why a URL must not be fetched. Names are not resolved here, that is for the executors that fetch; only those of the machine itself are known."""
     scheme, host = F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))), hostname(url)
     return (
         F.when(~F.coalesce(scheme, F.lit("")).isin("http", "https"), "scheme")
         .when(F.coalesce(host, F.lit("")) == "", "host")
-        .when(unsafe_literal_ip(host) | (host == "localhost"), "private")
+        .when(unsafe_literal_ip(host) | host.rlike(r"^(.*\.)?(localhost|localdomain)\.?$"), "private")
         .otherwise("ok")
     )
 
@@ -113,15 +120,21 @@ def extraction_failure(message: Column) -> Column:
     return F.when(message.contains("js_required"), "js_required").when(message.contains("consent"), "consent").when(message.contains("paywall"), "paywall").otherwise("no_text")
 
 
+# What is noise in a model's output, and what takes its place, in order; read alike by Java and Python.
+NOISE = (
+    (r"\r\n?", "\n"),
+    (r"\\'", "'"),
+    (r"`{3,}", " "),
+    (r"(?m)^\s*(?:\[\[.*?\]\]|\[.*?\])\s*$", " "),
+    (r"[{}\[\]<>`=\\/]", " "),
+    ("\"\"\"|'''", " "),
+    (r"\s+", " "),
+)
+
+
 def clean_noise(text: Column) -> Column:
     """Model output without fences, bracket-only lines, structural characters and repeated white space."""
-    out = F.regexp_replace(text, r"\r\n?", "\n")
-    out = F.replace(out, F.lit("\\'"), F.lit("'"))
-    out = F.regexp_replace(out, "`{3,}", " ")
-    out = F.regexp_replace(out, r"(?m)^\s*(\[\[.*?\]\]|\[.*?\])\s*$", " ")
-    out = F.regexp_replace(out, r"[{}\[\]<>`=\\/]", " ")
-    out = F.regexp_replace(out, "\"\"\"|'''", " ")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    return F.trim(reduce(lambda out, rule: F.regexp_replace(out, *rule), NOISE, text))
 
 
 def error_text(message: Column, chars: int = ERROR_CHARS) -> Column:

@@ -6,11 +6,14 @@ sources.catalog's part. Times come in as literals, so a run can be repeated.
 
 from __future__ import annotations
 
+import secrets
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import error_text
-from ..schema import READY, TERMINAL
+from ..schema import READY, RUN_STATUSES, TERMINAL
 
 LIGHT = ("id", "flashpoint_id", "url", "title", "language", "domain", "sourcecountry")
 
@@ -59,6 +62,35 @@ def transition(jobs: DataFrame, changes: DataFrame) -> DataFrame:
     return joined.withColumn("status", F.coalesce("new_status", "status")).withColumn("last_error", error_text(F.col("error"))).drop("new_status", "error")
 
 
+def run_id(at: datetime, mark: str | None = None) -> str:
+    """run_, the day, the second and eight hexadecimal digits, random if not given."""
+    return f"run_{at:%Y%m%d_%H%M%S}_{mark or secrets.token_hex(4)}"
+
+
+def create_run(runs: DataFrame, ident: str, tier: str, day: str | None, at: Column) -> DataFrame:
+    """runs with a new one, pending from the time given; other columns are null. ValueError if there is one of that id."""
+    if runs.where(F.col("run_id") == ident).limit(1).count():
+        raise ValueError(f"run {ident} exists")
+    given = {"run_id": F.lit(ident), "status": F.lit("pending"), "pipeline_tier": F.lit(tier), "target_date": F.lit(day), "started_at": at}
+    new = runs.sparkSession.range(1).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in runs.schema])
+    return runs.unionByName(new)
+
+
+def update_run(runs: DataFrame, ident: str, status: str, **changes: Column) -> DataFrame:
+    """runs with the status, and other columns, of one changed."""
+    if status not in RUN_STATUSES:
+        raise ValueError(status)
+    own = F.col("run_id") == ident
+    kinds = {f.name: f.dataType for f in runs.schema}
+    new = {"status": F.lit(status), **changes}
+    return runs.withColumns({name: F.when(own, value.cast(kinds[name])).otherwise(F.col(name)) for name, value in new.items()})
+
+
+def complete_run(runs: DataFrame, ident: str, metrics: str, at: Column) -> DataFrame:
+    """runs with one completed at the time given, with its metrics."""
+    return update_run(runs, ident, "completed", completed_at=at, metrics=F.lit(metrics))
+
+
 def active_runs(runs: DataFrame, as_of: Column, hours: int = 2) -> DataFrame:
     """One row: how many runs are running and began within the hours."""
     return runs.where((F.col("status") == "running") & (F.col("started_at") >= as_of - F.make_dt_interval(hours=F.lit(hours)))).agg(F.count(F.lit(1)).alias("active"))

@@ -15,8 +15,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.chunks import token_chunks_of
+
 PRESUMMARY_MIN, PRESUMMARY_MAX = 1000, 2000
 EMBEDDING_DIM = 384
+CHUNK_FALLBACK = 500
 
 # Code and label of the top-level topics.
 TOPIC_CODES = {
@@ -59,6 +62,23 @@ def presummary(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: (x or "") if len(x or "") < PRESUMMARY_MIN else x[:PRESUMMARY_MAX])
 
 
+def chunked_presummary(model: Callable[[str], str], tokens: Callable[[str], list] = str.split) -> Callable[[pd.Series], pd.Series]:
+    """A "presummary" that gives long texts to a model chunk by chunk and joins its words; a chunk that fails becomes its first CHUNK_FALLBACK characters."""
+
+    def chunk(text: str) -> str:
+        try:
+            return model(text)
+        except (OSError, ValueError, RuntimeError):
+            return text[:CHUNK_FALLBACK]
+
+    def one(text: str | None) -> str:
+        if len(text or "") < PRESUMMARY_MIN:
+            return text or ""
+        return " ".join(chunk(x) for x in token_chunks_of(text, encode=tokens)).strip()
+
+    return lambda texts: texts.map(one)
+
+
 #: name: (function over a batch of texts, type of its result); None as function means "no model".
 DEFAULTS: dict[str, tuple[Callable[[pd.Series], pd.Series] | None, str]] = {
     "language": (None, "string"),

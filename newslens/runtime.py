@@ -5,10 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a batch handed to Python while a table is written; texts and sets are long, so far fewer than Spark's default.
+ARROW_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 _FALLBACK: dict[str, str] = {}
 
@@ -40,6 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _FALLBACK[app]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ARROW_ROWS rows at most for what runs inside; the session's own setting comes back."""
+    held = spark.conf.get(_BATCH)
+    if 0 < int(held) <= ARROW_ROWS:
+        yield
+        return
+    spark.conf.set(_BATCH, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, held)
+
+
 def stash(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
 
@@ -47,7 +66,8 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/newslens/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)

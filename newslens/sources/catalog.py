@@ -8,9 +8,13 @@ table name is built except where one is asked for.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..schema import NEWS_CLUSTER
 
 
 def partition_name(base: str, day: Column) -> Column:
@@ -64,6 +68,27 @@ def resolve(spark: SparkSession, root: str, day: str | None = None) -> Tables:
     return Tables(day, *held, f"{root}/news_clusters")
 
 
+def table_exists(spark: SparkSession, place: str) -> bool:
+    """Whether a table of that name is in the catalog, or data at that path."""
+    if "/" not in place:
+        return spark.catalog.tableExists(place)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def ensure_output(spark: SparkSession, root: str, day: date | None = None) -> str:
+    """Make the clusters' table under root if there is none, empty and with its columns; the name of the day's partition, today's by default."""
+    path = f"{root}/news_clusters"
+    if not table_exists(spark, path):
+        spark.createDataFrame([], T.StructType([*NEWS_CLUSTER, T.StructField("dt", T.DateType())])).write.mode("ignore").parquet(path)
+    return f"news_clusters_{day or date.today():%Y%m%d}"
+
+
+def append_topics(topics: DataFrame, path: str) -> None:
+    """Add rows (feed_entry_id, iptc_top_level, iptc_path, confidence); what is there stays, repeated rows too."""
+    topics.select("feed_entry_id", "iptc_top_level", "iptc_path", "confidence").write.mode("append").parquet(path)
+
+
 def write_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
     """Replace exactly the partitions that rows hold; the others stay, so a run can be repeated."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
@@ -90,7 +115,23 @@ def merge_sparse(held: DataFrame, changes: DataFrame, key: str, fields: list[str
     return joined.select(*rest, *[F.coalesce(f"_{x}", x).alias(x) for x in fields], F.when(given, now).otherwise(F.col("updated_at")).alias("updated_at"))
 
 
+#: What a run adds to an entry.
+ENRICHED = ("content", "title_en", "hostname", "summary", "entities", "geo_entities", "images")
+
+
 def reset_enrichment(entries: DataFrame, fields: list[str]) -> DataFrame:
     """entries with the fields set to null, for a run from scratch."""
     kinds = {f.name: f.dataType for f in entries.schema}
     return entries.withColumns({x: F.lit(None).cast(kinds[x]) for x in fields})
+
+
+def reset(entries: DataFrame, jobs: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the three tables are before the first run: entries without what runs add, no jobs, no runs."""
+    return reset_enrichment(entries, [x for x in ENRICHED if x in entries.columns]), jobs.limit(0), runs.limit(0)
+
+
+def reseed(entries: DataFrame, most: int) -> DataFrame:
+    """A small set to try runs on: the first entries of each flashpoint, reset."""
+    place = F.row_number().over(Window.partitionBy("flashpoint_id").orderBy("seq", "id"))
+    few = entries.where("flashpoint_id is not null").withColumn("_n", place).where(F.col("_n") <= most).drop("_n")
+    return reset_enrichment(few, [x for x in ENRICHED if x in few.columns])

@@ -1,21 +1,31 @@
 """Pages over HTTP: a partitioned source with retries, a circuit breaker and a limit per host.
 
 URLs of one host go to one partition, in order, so the breaker's state of a
-host lives in one task; a busy host is spread over ``spread`` partitions. Where
-pages have been fetched already the ``pages`` table stands in for this source.
+host lives in one task; a busy host is spread over ``spread`` partitions, which
+is how many requests it gets at a time, and there are never more requests than
+partitions. Addresses are looked up on the executors before each request, those
+that a page redirects to as well. Where pages have been fetched already the
+``pages`` table stands in for this source.
 """
 
 from __future__ import annotations
 
+import http.client
+import ipaddress
+import socket
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hostname, url_safety
+from ..runtime import ship
 
 ATTEMPTS = 3
 FAILURES, COOL_DOWN = 5, 300.0
@@ -53,19 +63,76 @@ def retry_wait(attempt: int, status: int, retry_after: str | None) -> float:
     return wait
 
 
+def resolves_privately(host: str) -> bool:
+    """Whether any address of a host is private, loopback, link-local or reserved; a host without one counts as public, fetching it fails by itself."""
+    try:
+        found = {x[4][0] for x in socket.getaddrinfo(host.strip("[]"), None, type=socket.SOCK_STREAM)}
+        places = [ipaddress.ip_address(x.partition("%")[0]) for x in found]
+    except (OSError, ValueError, UnicodeError):
+        return False
+    return any(x.is_private or x.is_loopback or x.is_link_local or x.is_reserved for x in places)
+
+
+class UnsafeAddress(OSError):
+    """A URL, or one that it redirects to, that must not be fetched."""
+
+
+def check_address(url: str) -> None:
+    parts = urlsplit(url)
+    if parts.scheme not in ("http", "https") or not parts.hostname or resolves_privately(parts.hostname):
+        raise UnsafeAddress(url)
+
+
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    def redirect_request(self, req, fp, code, msg, headers, newurl):  # noqa: ANN001, ANN201
+        check_address(newurl)
+        return super().redirect_request(req, fp, code, msg, headers, newurl)
+
+
+@dataclass
+class HttpGet:
+    """``get`` for fetch_pages by the standard library: checks addresses, follows redirects, reads at most ``most`` bytes (a longer page is an error), waits ``delay`` seconds after each success."""
+
+    timeout: float = 30.0
+    delay: float = 0.25
+    agent: str = "Mozilla/5.0 (compatible; newslens)"
+    most: int = 64 << 20
+    sleep: Callable[[float], None] = time.sleep
+
+    def __call__(self, url: str) -> tuple[int, str, str | None]:
+        check_address(url)
+        headers = {"User-Agent": self.agent, "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en-US,en;q=0.9"}
+        try:
+            with urllib.request.build_opener(_Redirects).open(urllib.request.Request(url, headers=headers), timeout=self.timeout) as reply:
+                data = reply.read(self.most + 1)
+                if len(data) > self.most:
+                    raise OSError("page too long")
+                body = data.decode(reply.headers.get_content_charset() or "utf-8", "replace")
+                status = reply.status
+        except urllib.error.HTTPError as failure:
+            return failure.code, "", failure.headers.get("Retry-After")
+        except (ValueError, LookupError, http.client.HTTPException) as failure:
+            raise OSError(str(failure)) from failure
+        self.sleep(self.delay)
+        return status, body, None
+
+
 def fetch_pages(urls: DataFrame, get: Callable[[str], tuple[int, str, str | None]], url: str = "url", partitions: int = 64, spread: int = 4, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """(url, html, outcome): outcome is ok, unsafe, breaker, http or network.
 
     ``get`` returns status, body and the Retry-After header of one request, or
-    raises OSError; it runs on the executors.
+    raises OSError; it runs on the executors. HttpGet() is one.
     """
     host = F.coalesce(hostname(F.col(url)), F.lit(""))
+    ship(urls.sparkSession)
     dealt = urls.select(F.col(url).alias("url"), host.alias("host"), url_safety(F.col(url)).alias("safety")).repartition(partitions, "host", F.pmod(F.xxhash64("url"), F.lit(spread)))
 
     def one(address: str, breaker: Breaker) -> tuple[str | None, str]:
         for attempt in range(1, ATTEMPTS + 1):
             try:
                 status, body, after = get(address)
+            except UnsafeAddress:
+                return None, "unsafe"
             except OSError:
                 breaker.failed()
                 return None, "network"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
+from ..operators.activity import COOL_DOWN, LIMIT, breaker_step
 
 
 def tumbling_counts(events: DataFrame, width: str = "1 hour") -> DataFrame:
@@ -51,6 +52,29 @@ def job_states(changes: DataFrame, key: str = "feed_entry_id") -> DataFrame:
     return changes.groupBy(key).applyInPandasWithState(step, f"{key} long, status string, n long", "status string, n long", "update", "NoTimeout")
 
 
+def breaker_stream(events: DataFrame, key: str = "domain", limit: int = LIMIT, cool_down: float = COOL_DOWN) -> DataFrame:
+    """A stream of (key, failures, is_open): each key's breaker after the events so far, folded as in activity.breaker_states.
+
+    events: a stream with the key (string), ts in seconds, ident for ties, and ok.
+    Events are in order within a micro-batch; one that comes later than its
+    successors is folded when it comes.
+    """
+
+    def step(keys: tuple[Any, ...], batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else (0, 0.0)
+        for row in pd.concat(list(batches)).sort_values(["ts", "ident"]).itertuples(index=False):
+            held = breaker_step(held, float(row.ts), bool(row.ok), limit, cool_down)
+        state.update(held)
+        yield pd.DataFrame({key: [keys[0]], "failures": [held[0]], "is_open": [held[0] >= limit]})
+
+    return events.groupBy(key).applyInPandasWithState(step, f"{key} string, failures long, is_open boolean", "failures long, last double", "update", "NoTimeout")
+
+
+def request_rates(events: DataFrame, key: str, width: str = "60 seconds", step: str = "10 seconds") -> DataFrame:
+    """(key, start, n): requests of each key in windows that slide; on a stream put a watermark on ts first."""
+    return events.groupBy(key, F.window("ts", width, step).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), "n")
+
+
 def write_idempotent(stream: DataFrame, path: str, by: list[str], checkpoint: str):
     """A query that replaces exactly the partitions of each micro-batch; a repeated batch changes nothing."""
     from ..sources.catalog import write_partitions
