@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import decontam, langid, neardup, packing, pii
-from newslens.llm.common import stash, table
+from newslens.llm.common import spread, stash, table
 from newslens.runtime import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -83,7 +83,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..runtime import ship
+from ..runtime import ARROW_ROWS, ship, spread, stash
 
-#: Rows and bytes, about, that a function is handed at a time; Spark's own batches are bounded by rows and bytes too.
-ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
+__all__ = ["arrow_map", "free_name", "quoted", "slices", "spread", "stash", "table", "texts_of", "utf8_crc32"]
 
-_FALLBACK: dict[str, str] = {}
+#: Bytes, about, that a function is handed at a time; Spark's own batches are bounded by rows and bytes too.
+ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,33 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and there is one machine only (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _FALLBACK:
-        _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="newslens-")
-    return _FALLBACK[app]
-
-
-def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/newslens/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches cut to about ARROW_ROWS rows and ARROW_BYTES bytes; empty ones left out."""
     for batch in batches:

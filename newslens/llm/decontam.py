@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import arrow_map, free_name, stash, table, texts_of
+from .common import arrow_map, free_name, spread, stash, table, texts_of
 from .textvec import mix, owners, words
 
 #: Positions that each seed looks at.
@@ -268,4 +268,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All passages of ``benchmark`` in ``documents``."""
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short=True)
+    return find_leaks(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), short=True)

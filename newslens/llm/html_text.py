@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import arrow_map, free_name, quoted, table
+from .common import arrow_map, free_name, quoted, spread, table
 
 _TAG = re.compile(r"""<(?:!--(?:(?:(?!-->).)*+)(?:-->|$)|!\[CDATA\[(?P<cdata>(?:(?!\]\]>).)*+)(?:\]\]>|$)|[!?][^>]*+>|(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?)>)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
@@ -444,4 +444,4 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
 
 def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
-    return extract(table(spark, sf_dir, "pages"))
+    return extract(spread(table(spark, sf_dir, "pages")))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_map, free_name, quoted, table, texts_of, utf8_crc32
+from .common import arrow_map, free_name, quoted, spread, table, texts_of, utf8_crc32
 from .textvec import PIECE, code_points, lower_and_kind, mix
 
 #: Components of the vectors.
@@ -211,7 +211,7 @@ def held_out() -> Column:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole document; profiles from the documents that aren't held out."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     names, profiles = learn(docs.where(~held_out()))
     out = identify(docs.withColumn("held_out", held_out()), names, profiles, keep=("doc_id", "held_out"))
     return out.select("doc_id", "held_out", "lang_pred", "score")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, quoted, stash, table, texts_of
+from .common import arrow_map, quoted, spread, stash, table, texts_of
 from .textvec import mix, owners, sequence_keys, shingles, words
 
 #: Words in a shingle.
@@ -370,4 +370,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def op4_bagminhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(spread(table(spark, sf_dir, "documents")))

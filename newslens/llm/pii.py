@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, texts_of
+from .common import arrow_map, spread, table, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Label 0 is "no personal data", label k + 1 is KINDS[k].
@@ -370,5 +370,5 @@ def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
 
 def op5_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole document; the n_ columns count base spans, ``spans`` lists all."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return find(docs, learn(docs))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, slices, table, texts_of, utf8_crc32
+from .common import arrow_map, slices, spread, table, texts_of, utf8_crc32
 from .textvec import PIECE, code_points, lower_and_kind, mix, owners, words
 
 #: Hashed features (a power of two).
@@ -223,7 +223,7 @@ def held_out() -> Column:
 
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every whole document, fitted to the ratings in ``labels``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     ratings = table(spark, sf_dir, "labels").select("doc_id", grade_of(F.col("quality"), F.col("toxic")).alias("grade")).where("grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     weights, thresholds = learn(docs.where(~held_out()).select("doc_id", "text").join(ratings, "doc_id"))
     return score(docs, weights, thresholds)

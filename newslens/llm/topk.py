@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import ship
-from .common import arrow_map, stash, table
+from .common import arrow_map, spread, stash, table
 
 SCALE = 1024.0
 TOP = 10
@@ -317,7 +317,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 def op10_fagin_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every vector whose id is divisible by 100 the 10 others of highest score."""
-    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return search(spread(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
 
 ORACLE_SQL = {

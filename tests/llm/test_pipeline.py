@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from newslens import runtime
 from newslens.llm import common, langid, packing, pii
 from tests.llm.test_operators import ODD, _classes, _leaks
 
@@ -165,10 +166,10 @@ def _session(master, **conf):
 
 
 def test_intermediate_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
-    assert common.shared_dir(_session("spark://host:7077", spark_checkpoint_dir="s3a://b/c/")) == "s3a://b/c"
+    assert runtime.shared_dir(_session("spark://host:7077", spark_checkpoint_dir="s3a://b/c/")) == "s3a://b/c"
     with pytest.raises(RuntimeError):  # a cluster without one
-        common.shared_dir(_session("spark://host:7077"))
-    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+        runtime.shared_dir(_session("spark://host:7077"))
+    monkeypatch.setattr(runtime, "shared_dir", lambda _: f"file://{tmp_path}")
     out = common.stash(spark.range(5).withColumn("x", F.lit(1)), "probe")
     assert out.count() == 5 and [x.partition("-")[0] for x in os.listdir(tmp_path / "newslens")] == ["probe"]
 
