@@ -269,3 +269,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All passages of ``benchmark`` in ``documents``."""
     return find_leaks(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), short=True)
+
+
+#: Alignments that share three tokens in a row, as every overlap of 8 tokens or more does; shorter items by any token. Every window of each is counted.
+ORACLE_SQL = {
+    "op1_benchmark_leaks": r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+), d AS (
+  SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM docs
+), i AS (
+  SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) AS p, len(w) AS n, least(12, len(w)) AS size FROM items
+), three AS (
+  SELECT doc_id, p, concat_ws(' ', t, lead(t) OVER o, lead(t, 2) OVER o) AS g FROM d WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), item_three AS (
+  SELECT item_id, p, n, concat_ws(' ', t, lead(t) OVER o, lead(t, 2) OVER o) AS g FROM i WINDOW o AS (PARTITION BY item_id ORDER BY p)
+), lines AS (
+  SELECT doc_id, item_id, three.p - item_three.p AS shift FROM three JOIN item_three USING (g) WHERE n >= 8
+  UNION SELECT doc_id, item_id, d.p - i.p FROM d JOIN i USING (t) WHERE n < 8
+), same AS (
+  SELECT doc_id, item_id, shift, i.p, n, size, CAST(d.t = i.t AS INT) AS eq FROM lines JOIN i USING (item_id) JOIN d USING (doc_id) WHERE d.p = i.p + shift
+), wins AS (
+  SELECT *, sum(eq) OVER f AS agree, count(*) OVER f AS held FROM same WINDOW f AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND size - 1 FOLLOWING)
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY agree DESC, p + shift, shift) AS rk FROM wins WHERE held = size AND agree >= CASE WHEN n < 8 THEN n ELSE ceil(0.8 * size) END
+)
+SELECT doc_id, item_id, CAST(p + shift - 1 AS INT) AS doc_place, CAST(p - 1 AS INT) AS item_place, CAST(size AS INT) AS n_tokens, CAST(agree AS INT) AS n_agree FROM best WHERE rk = 1"""
+}

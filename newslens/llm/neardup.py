@@ -371,3 +371,26 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def op4_bagminhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near_duplicates(spread(table(spark, sf_dir, "documents")))
+
+
+#: Every pair that shares a shingle, by the Jaccard of the multisets; wordless texts by equality.
+ORACLE_SQL = {
+    "op4_bagminhash_near_dups": r"""
+WITH RECURSIVE word_lists AS (
+  SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), runs AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [concat('!', text)] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, CAST(len(w) - 3 AS BIGINT)), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS run FROM word_lists
+), bags AS (
+  SELECT doc_id, run, count(*) AS c, sum(count(*)) OVER (PARTITION BY doc_id) AS n FROM runs GROUP BY doc_id, run
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM bags a JOIN bags b ON a.run = b.run AND a.doc_id < b.doc_id GROUP BY 1, 2
+  HAVING sum(least(a.c, b.c)) >= 0.8::DOUBLE * (any_value(a.n) + any_value(b.n) - sum(least(a.c, b.c)))
+), sides AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a AS node, a AS other FROM sides UNION SELECT reach.node, sides.b FROM reach JOIN sides ON sides.a = reach.other
+), classes AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id FROM documents LEFT JOIN classes ON node = doc_id"""
+}

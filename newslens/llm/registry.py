@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, topk
+from . import chat, decontam, neardup, sharding, topk
 from .chat import op6_chat_format
 from .decontam import op1_benchmark_leaks
 from .html_text import op9_html_main_text
@@ -34,4 +34,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**chat.ORACLE_SQL, **topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**decontam.ORACLE_SQL, **sharding.ORACLE_SQL, **neardup.ORACLE_SQL, **chat.ORACLE_SQL, **topk.ORACLE_SQL}

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from .common import stash, table, utf8_crc32
 
 SHARDS = 8
-#: Ranges of rows that are numbered apart; more only make the pieces smaller.
-RANGES = 512
 #: Copies of one row that a single array may hold while they are numbered.
 RUN = 65536
 
@@ -53,7 +51,7 @@ def jump_shard(key: Column, shards: int) -> Column:
 def number_rows(rows: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... within each value of ``group`` by ``order`` (nulls first), without a task for a whole group.
 
-    The rows are cut into RANGES ranges by all ordering columns together, so
+    The rows are cut into as many ranges as Spark shuffles to, by all ordering columns together, so
     many different rows of one key are several ranges; rows are numbered within
     a range and shifted by the counts of the ranges before. Repeated rows are
     counted before the shuffle and expanded afterwards, so that many copies don't
@@ -63,10 +61,10 @@ def number_rows(rows: DataFrame, group: str, order: list[str], out: str) -> Data
     by = [F.col(c).asc_nulls_first() for c in order]
     counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     # written, so that the numbers of the ranges are the same whenever they are read
-    ranged = stash(counted.repartitionByRange(RANGES, *by).withColumn("_range", F.spark_partition_id()), "slots")
+    ranged = stash(counted.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()), "slots")
     totals = ranged.groupBy(group, "_range").agg(F.sum("_n").alias("_total"))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # at most (values of group) x RANGES rows
+    # a row for each value of group and range
     offsets = totals.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     inner = Window.partitionBy(group, "_range").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
@@ -102,3 +100,29 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(docs, "doc_id", SHARDS, SHARDS + 1)
     numbered = number_rows(placed, "shard", ["doc_id", "size", "text_crc32"], "slot")
     return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
+
+
+#: Jump hash with 128-bit integers, and the CRC from the UTF-8 bytes by the table of its polynomial.
+ORACLE_SQL = {
+    "op3_jump_shards": """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t FROM range(256) x(b)
+), points AS (
+  SELECT doc_id, text, list_transform(string_split(text, ''), lambda c: CAST(unicode(c) AS BIGINT)) AS p FROM documents
+), utf8 AS (
+  SELECT doc_id, text, flatten(list_transform(p, lambda u: CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 + (u >> 6), 128 + (u & 63)] WHEN u < 65536 THEN [224 + (u >> 12), 128 + ((u >> 6) & 63), 128 + (u & 63)]
+    ELSE [240 + (u >> 18), 128 + ((u >> 12) & 63), 128 + ((u >> 6) & 63), 128 + (u & 63)] END)) AS b FROM points
+), sized AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size,
+    CASE WHEN text = '' THEN 0 WHEN text IS NOT NULL THEN xor(list_reduce(b, lambda c, x: xor(t[CAST(xor(c, x) & 255 AS INT) + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295) END AS text_crc32 FROM utf8, crc_table
+), jump(k, n, key, b, j) AS (
+  SELECT DISTINCT coalesce(doc_id, 0), n, CASE WHEN coalesce(doc_id, 0) < 0 THEN CAST(doc_id AS HUGEINT) + 18446744073709551616 ELSE CAST(coalesce(doc_id, 0) AS HUGEINT) END, CAST(-1 AS BIGINT), CAST(0 AS BIGINT) FROM documents, (VALUES (8), (9)) x(n)
+  UNION ALL
+  SELECT k, n, key, b, CAST(floor((b + 1) * (2147483648.0::DOUBLE / (CAST(key // 8589934592 AS DOUBLE) + 1))) AS BIGINT)
+  FROM (SELECT k, n, (key * 2862933555777941757 + 1) % 18446744073709551616 AS key, j AS b FROM jump WHERE j < n)
+), shards AS (
+  SELECT k, CAST(max(b) FILTER (n = 8) AS INT) AS shard, CAST(max(b) FILTER (n = 9) AS INT) AS grown_shard FROM jump GROUP BY k
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32 NULLS FIRST) - 1 AS slot, grown_shard
+FROM sized JOIN shards ON k = coalesce(doc_id, 0)"""
+}
