@@ -34,8 +34,6 @@ UNCLASSIFIED = "unclassified"
 HALF_LIFE_HOURS = 12.0
 MAX_ARTICLES, MAX_DOMAINS = 100, 20
 TOP_SHARE = 0.10
-#: Ranges in which rows are numbered.
-RANGES = 256
 
 
 def topic_weight(topic: Column) -> Column:
@@ -71,11 +69,11 @@ def score(clusters: DataFrame, as_of: Column) -> DataFrame:
 def numbered(rows: DataFrame, order: list[Column], out: str) -> DataFrame:
     """rows with ``out``: 1, 2, ... in the given order over all of them, without a task for all of them.
 
-    Rows are cut into RANGES ranges of the order, which is written so that it
-    stays; they are numbered within a range and shifted by the counts of the
-    ranges before, at most RANGES rows.
+    Rows are cut into as many ranges of the order as Spark shuffles to, which are
+    written so that they stay; rows are numbered within a range and shifted by the
+    counts of the ranges before, a row for each range.
     """
-    ranged = stash(rows.repartitionByRange(RANGES, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    ranged = stash(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

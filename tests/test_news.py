@@ -322,8 +322,7 @@ def test_lsh_pairs_are_the_exact_ones(spark):
     assert exact and sorted((a, b, round(s, 9)) for a, b, s in map(tuple, dedupe.lsh_pairs(frame).collect())) == exact
 
 
-def test_ranges_number_all_rows(spark, monkeypatch):
-    monkeypatch.setattr(score, "RANGES", 5)
+def test_ranges_number_all_rows(spark):
     frame = spark.createDataFrame([(k % 7, k % 3, k) for k in range(200)], "score long, flashpoint_id long, cluster_id long")
     rows = score.top_hotspots(frame).collect()
     order = sorted(rows, key=lambda r: (-r.score, r.flashpoint_id, r.cluster_id))
