@@ -790,17 +790,20 @@ def _reply():
     return F.concat(F.lit('```json\n{"summary": "'), F.regexp_replace("text", r'["\\\s]+', " "), F.lit('",}\n```'))
 
 
-@query()
+_SAID = r"""regexp_replace(text, '["\\\s]+', ' ', 'g')"""
+
+
+@query(f"""SELECT doc_id, '{{"summary": "' || {_SAID} || '"}}' AS json FROM documents""")
 def llm_json_parse(v):
     return v("documents").select("doc_id", responses.llm_json(_reply()).alias("json"))
 
 
-@query()
+@query(f"""SELECT doc_id, CASE WHEN trim({_SAID}) <> '' THEN trim({_SAID}) WHEN text IS NULL THEN '' ELSE 'json "summary": "' || {_SAID} || '",' END AS summary FROM documents""")
 def llm_response_parse(v):
     return v("documents").select("doc_id", responses.llm_summary(_reply()).alias("summary"))
 
 
-@query()
+@query("""SELECT doc_id, '{"doc_id": ' || doc_id || ', "meta": {"score": 1.0}' || CASE WHEN text IS NULL THEN '' ELSE ', "text": ' || CAST(to_json(text) AS VARCHAR) END || '}' AS json FROM documents""")
 def toml_roundtrip(v):
     return v("documents").select("doc_id", responses.toml_roundtrip(F.to_json(F.struct("doc_id", "text", F.lit(None).cast("string").alias("none"), F.struct(F.lit(1).alias("score")).alias("meta")))).alias("json"))
 
