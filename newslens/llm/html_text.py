@@ -4,8 +4,8 @@ A small tolerant parser builds the tree of a page's block elements. Parts that
 are surely named as something else than the article (menus, headers, footers,
 side bars, adverts, forms, scripts, reader comments) are cut, unless a form
 or a part with such a class, id or role turns out to hold the article; a doubtful
-name (share, search, notice) decides only where a part has less text for each
-tag than half the article's. Every node left has a density: characters per tag, adjusted by how much of the text is
+name (share, search, widget) decides within the article only where a part has
+less text for each tag than half the article's. Every node left has a density: characters per tag, adjusted by how much of the text is
 links, here and in the whole body. The node whose children's densities have the
 largest sum lies in the article, which is the article or main element around
 it if there is one. The smallest density on the way from it to the body is the
@@ -50,12 +50,16 @@ PIECES = frozenset("blockquote dd details dl dt figure h1 h2 h3 h4 h5 h6 li ol p
 LINES = frozenset("p li dd dt td th blockquote figcaption caption h1 h2 h3 h4 h5 h6".split())
 #: Words that say, alone or with words of the lists below, that a part isn't the article.
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertisements adsense sponsored breadcrumb breadcrumbs comment comments commentlist disqus consent gdpr footer masthead nav navbar navigation sidebar newsletter popup modal related recommended recommendations contentinfo complementary".split()
+    "ad ads advert adverts advertisement advertisements adsense sponsored breadcrumb breadcrumbs comment comments commentlist disqus consent gdpr footer masthead nav navbar navigation sidebar aside newsletter notice notices popup modal related recommended recommendations".split()
 )
 #: Words that may also name a subject; a part so named stays if it reads like the article.
-DOUBTFUL = frozenset("banner cookie cookies header menu menubar notice notices alert overlay promo promotion share sharing social sponsor sponsors search subscribe subscription paywall toolbar widget widgets login signup register respond tags pagination pager dialog".split())
+DOUBTFUL = frozenset("banner cookie cookies header menu menubar alert overlay promo promotion share sharing social sponsor sponsors search subscribe subscription paywall toolbar widget widgets login signup register respond tags pagination pager dialog".split())
 #: Words that only say what kind of box it is, or where.
-BOXES = frozenset("area block box container holder wrap wrapper inner outer item items list section slot unit bar module region panel left right top bottom site page global main primary secondary user users reader readers google mobile desktop sticky fixed side".split())
+BOXES = frozenset("area block box container holder wrap wrapper inner outer item items list section slot unit bar module region panel form button buttons icons left right top bottom site page global main primary secondary user users reader readers google mobile desktop sticky fixed side".split())
+#: What the first are often named with, and what of these makes them sure.
+TEASERS, TEASED = frozenset("posts articles stories content links news".split()), frozenset("related recommended recommendations sponsored popular latest".split())
+#: Values of role that are surely not the article.
+ROLES = frozenset("banner navigation contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 #: Names that an article element may have too.
 READERS = frozenset(("comment", "comments"))
 #: What stands after these in a name isn't what the part is.
@@ -107,8 +111,9 @@ def _named(value: str) -> int:
     """
     found = 0
     for name in _NOT_OTHER.sub("", value).split():
-        said = [x.lower() for x in _WORD.findall(name)]
-        words = [x for x in said if x not in BOXES]
+        said = [x.lower() for x in _WORD.findall(name) if len(x) > 1]
+        teased = any(x in TEASED for x in said)
+        words = [x for x in said if x not in BOXES and not (teased and x in TEASERS)]
         if "".join(said) in NAMES or words and all(x in NAMES or x in DOUBTFUL for x in words) and any(x in NAMES for x in words):
             return 2
         # two doubtful words (cookie-banner), or one with a box of the site (site-header), are sure
@@ -123,9 +128,11 @@ def _is_other(tag: str, attributes: list[tuple[str, str]]) -> int:
         return 2
     if tag in ("html", "body"):
         return 0
-    values = [value for name, value in attributes if name in ("class", "id", "role")]
+    values = [value for name, value in attributes if name in ("class", "id")]
     if tag in ("article", "main"):
         return 2 * any(x in READERS for value in values for x in re.split(r"[\s_-]+", value.lower()))
+    if any(name == "role" and value.strip().lower() in ROLES for name, value in attributes):
+        return 2
     return max(map(_named, values), default=0)
 
 
@@ -378,8 +385,9 @@ def main_text(html: str) -> str:
         around.add(up)
         up = up.parent
 
-    for node in nodes:  # names decide only where the text doesn't
-        if node.doubtful and node is not article and node not in around and (_mostly_links(node) or 2 * _plain_rate(node) < _plain_rate(article)):
+    within = set(preorder(article))
+    for node in nodes:  # within the article doubtful names decide only where the text doesn't
+        if node.doubtful and node is not article and node not in around and (node not in within or _mostly_links(node) or 2 * _plain_rate(node) < _plain_rate(article)):
             node.cut = True
 
     def counts(part: Node | str, free: bool) -> bool:

@@ -638,12 +638,24 @@ def test_misleading_names_cut_no_paragraphs(names):
         assert html_text.main_text(page).split("\n\n") == [_PLAIN, _PLAIN + "!", _PLAIN + "?"], page
 
 
-@pytest.mark.parametrize("names", ["share", "social", "notice", "cookie-banner", "ad", "ad-slot", "comments-area", "search", "site-header", "menu", "newsletter", "leftSidebar", "user-comments"])
+@pytest.mark.parametrize("names", ["share", "social", "notice", "cookie-banner", "ad", "ad-slot", "comments-area", "search", "site-header", "menu", "newsletter", "leftSidebar", "user-comments", "ad-300x250", "related-articles", "sponsored-content", "share-buttons", "footer-widgets"])
 def test_small_parts_of_such_names_are_cut(names):
     page = f"<body><article><h1>Title</h1><p>{_PLAIN}</p><div class='{names}'>Share this page</div><p>{_PLAIN}?</p></article></body>"
     assert html_text.main_text(page).split("\n\n") == ["Title", _PLAIN, _PLAIN + "?"]
 
 
+@pytest.mark.parametrize("part", ["<div class=comments>{}</div>", "<section id='comments-area'>{}</section>", "<article class='comment'>{}</article>", "<div role=complementary>{}</div>", "<div class='cookie-notice'>{}</div>", "<div class=notice>{}</div>", "<aside>{}</aside>", "<div class='top-ad'>{}</div>"])
+def test_long_parts_of_sure_names_are_cut(part):
+    page = f"<body><article><h1>Title</h1>{f'<p>{_PLAIN}</p>' * 3}{part.format(f'<p>{_PLAIN}!</p>')}<p>{_PLAIN}?</p></article></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", *[_PLAIN] * 3, _PLAIN + "?"]
+
+
+@pytest.mark.parametrize("names", ["article-header", "entry-header", "post-header", "content-header"])
+def test_headers_of_the_article_stay(names):
+    page = f"<body><div class='site-header'><h1>Site</h1></div><article><div class='{names}'><h1>Title of the article</h1><p>By somebody, today</p></div>{f'<p>{_PLAIN}</p>' * 3}</article></body>"
+    assert html_text.main_text(page).split("\n\n") == ["Title of the article", "By somebody, today", *[_PLAIN] * 3]
+
+
 def test_links_within_the_article_stay():
     page = f"<body><article><h1><a href=a>Linked title</a></h1><p>{_PLAIN}</p><p><a href=x>one link</a></p><ul><li><a href=y>linked item</a></li><li>{_SHORT}</li></ul></article><ul><li><a href=z>menu</a></li></ul></body>"
     assert html_text.main_text(page).split("\n\n") == ["Linked title", _PLAIN, "one link", "linked item", _SHORT]
