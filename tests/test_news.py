@@ -86,6 +86,32 @@ def test_dedupe_follows_the_sequential_rule(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_dedupe_in_any_number_of_rounds(spark, monkeypatch, rounds):
+    """Chains, in which what is near depends on what isn't, and a large group of near copies."""
+    monkeypatch.setattr(dedupe, "ROUNDS", rounds)
+    rng = random.Random(rounds)
+    words = [f"w{k}" for k in range(400)]
+    rows = []
+    for _ in range(6):
+        base = [rng.choice(words) for _ in range(45)]
+        for _ in range(12):  # each a little further from the first
+            base = list(base)
+            for _ in range(rng.randrange(1, 3)):
+                base[rng.randrange(len(base))] = rng.choice(words)
+            rows.append(" ".join(base))
+    body = [rng.choice(words) for _ in range(60)]
+    rows += [" ".join([*body[:k], f"x{k}", *body[k + 1 :]]) for k in range(40)]
+    rng.shuffle(rows)
+    rows = [(k, k, t) for k, t in enumerate(rows)]
+    seen = []
+    verified = dedupe._verified
+    monkeypatch.setattr(dedupe, "_verified", lambda pairs, *rest: (seen.append(pairs.count()), verified(pairs, *rest))[1])
+    got = {r.id: (r.kind, r.duplicate_of) for r in dedupe.assign(spark.createDataFrame(rows, "id long, seq long, text string")).collect()}
+    assert got == _sequential([(i, t) for i, _, t in rows])
+    assert rounds < 4 or sum(seen) < 400  # of 40 * 39 / 2 pairs in the group alone
+
+
 def test_dedupe_empty(spark):
     assert dedupe.assign(spark.createDataFrame([], "id long, seq long, text string")).count() == 0
 
