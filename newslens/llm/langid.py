@@ -137,7 +137,7 @@ def _bundle(pieces: list[tuple[int, str]], gram: int, dim: int, out: np.ndarray,
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE, gram: int = GRAM, dim: int = DIM) -> tuple[list[str], np.ndarray]:
     """Language names and unit profiles, learnt from about ``sample`` texts of each language.
 
-    The texts are chosen by a hash of the key, the same on every run. What
+    The texts are chosen by a hash of key and text, the same on every run. What
     comes to the driver is one vector for each language and partition.
     """
     rows = labelled.where(F.col(lang).isNotNull())
@@ -145,7 +145,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     if not counts:
         return [], np.zeros((0, dim), dtype=np.float32)
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])[F.col(lang)]
-    chosen = rows.where((F.xxhash64(key).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < share).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    chosen = rows.where((F.xxhash64(key, text).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < share).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
 
     def part(batch: pa.RecordBatch) -> pa.RecordBatch:
         vectors, some = bundle(texts_of(batch), gram, dim)

@@ -268,7 +268,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     """
     some = docs.where(F.col(text).rlike("[0-9@]"))
     n = some.count()
-    chosen = some.where((F.xxhash64(key, F.length(text)).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < (min(1.0, sample / n) if n else 1.0)).select(F.col(text).alias("text"))
+    chosen = some.where((F.xxhash64(key, text).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < (min(1.0, sample / n) if n else 1.0)).select(F.col(text).alias("text"))
 
     def cases(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = texts_of(batch)

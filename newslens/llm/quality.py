@@ -162,7 +162,7 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarr
 
 
 def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", grades: int = GRADES, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds from about ``sample`` rated documents, chosen by a hash of the key.
+    """Weights and thresholds from about ``sample`` rated documents, chosen by a hash of key and text; equal rows count once.
 
     One task fits the model to the sample; the driver receives the weights,
     which have a fixed size.
@@ -170,7 +170,7 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
     rows = rated.where(F.col(grade).isNotNull())
     n = rows.count()
     share = min(1.0, sample / n) if n else 1.0
-    chosen = rows.where((F.xxhash64(key).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < share).select(F.col(text).alias("text"), F.col(grade).cast("long").alias("grade"), F.col(key).alias("key"))
+    chosen = rows.where((F.xxhash64(key, text).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)) < share).select(F.col(text).alias("text"), F.col(grade).cast("long").alias("grade"), F.col(key).alias("key")).distinct()
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, seen = [], 0
@@ -183,7 +183,7 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
         weight, thresholds = fit(*(np.concatenate(x) for x in zip(*parts, strict=True)), grades=grades)
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([thresholds.tolist()], pa.list_(pa.float64()))], ["weights", "thresholds"])
 
-    fitted = chosen.repartition(1).sortWithinPartitions("key").mapInArrow(train, "weights binary, thresholds array<double>").collect()
+    fitted = chosen.repartition(1).sortWithinPartitions("key", "text", "grade").mapInArrow(train, "weights binary, thresholds array<double>").collect()
     if not fitted:
         return np.zeros(FEATURES, dtype=np.float32), np.arange(grades - 1, dtype=np.float64)
     return np.frombuffer(bytes(fitted[0][0]), dtype=np.float32), np.array(fitted[0][1])

@@ -30,8 +30,8 @@ SCALE = 1024.0
 TOP = 10
 #: Queries sent to the executors at a time; the candidates are read once for each such block.
 QUERY_BLOCK = 16384
-#: Vectors that share sorted lists at most, and those that a task holds at a time.
-LISTS, PART = 2048, 65536
+#: Vectors that share sorted lists at most, and components that a task holds at a time, or are sent with a block of queries.
+LISTS, CELLS = 2048, 1 << 22
 #: Least depth to which a list is read; the planned depths are this and its doubles.
 DEPTH = 16
 #: Vectors, about, that axes and first bounds come from.
@@ -236,12 +236,12 @@ def search(vectors: DataFrame, asks: Column, k: int = TOP, key: str = "vec_id",
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     known = rows.where(whole)
     sizes = known.agg(F.count(F.lit(1)), F.count_if("asks")).first()
-    blocks = max(1, -(-sizes[1] // QUERY_BLOCK))
     if not sizes[1]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    # axes and first bounds from rows chosen by a hash, the same on every run
-    some = known.where(F.xxhash64("vec_id", "v").bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31) < min(1.0, SAMPLE / sizes[0])).select("vec_id", "v").toArrow()
+    # axes and first bounds from rows chosen by a hash, the same on every run; equal rows count once, so that many copies of one don't come
+    some = known.where(F.xxhash64("vec_id", "v").bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31) < min(1.0, SAMPLE / sizes[0])).select("vec_id", "v").distinct().toArrow()
     sample = to_ints(some.column("v").combine_chunks())[0]
+    blocks = -(-sizes[1] // max(1, min(QUERY_BLOCK, CELLS // max(1, sample.shape[1]))))
     start = spark.sparkContext.broadcast((some.column("vec_id").to_numpy(), sample, axes_of(sample)))
 
     def first(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -295,7 +295,7 @@ def _wide(rows: np.ndarray, width: int) -> np.ndarray:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The usable vectors, about PART at a time."""
+    """The usable vectors, about CELLS components at a time, so that their length doesn't matter."""
     ids, rows, n = [], [], 0
 
     def joined() -> tuple[np.ndarray, np.ndarray]:
@@ -308,7 +308,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
             ids.append(batch.column("vec_id").to_numpy()[good])
             rows.append(part[good])
             n += int(good.sum())
-        if n >= PART:
+        if n and n * max(x.shape[1] for x in rows) >= CELLS:
             yield joined()
             ids, rows, n = [], [], 0
     if n:
