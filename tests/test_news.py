@@ -252,6 +252,14 @@ def test_breaker_fold(spark):
     assert got == {"a": (5, True), "b": (1, False), "c": (0, False)}
 
 
+def test_requests_in_window_over_spans(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.randrange(2), rng.randrange(-4000, 4000)) for k in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, at long").withColumn("ts", F.timestamp_seconds("at"))
+    got = {r.event_id: r.in_window for r in activity.requests_in_window(events, "user_id", "ts", 60).collect()}
+    assert got == {k: sum(v == u and a - 60 < b <= a for _, v, b in rows) for k, u, a in rows}
+
+
 def test_html(spark):
     page = "<html><head><title>x</title></head><body><nav><a>menu</a></nav><article><h1>Head</h1><p>" + "Words of the article. " * 20 + "</p></article></body></html>"
     rows = [(1, page), (2, ""), (3, "<body>Subscribe to continue</body>"), (4, '<body><div id="app"></div></body>'), (5, None), (6, "<div class='cookie-banner'>")]
