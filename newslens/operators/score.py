@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import stash
+from .ranks import numbered
 
 # Weight of each top-level topic.
 TOPIC_WEIGHTS = {
@@ -66,21 +66,6 @@ def score(clusters: DataFrame, as_of: Column) -> DataFrame:
     return clusters.select("*", *[F.round(c, 4).alias(k) for k, c in parts.items()], F.round(total, 4).alias("score"))
 
 
-def numbered(rows: DataFrame, order: list[Column], out: str) -> DataFrame:
-    """rows with ``out``: 1, 2, ... in the given order over all of them, without a task for all of them.
-
-    Rows are cut into as many ranges of the order as Spark shuffles to, which are
-    written so that they stay; rows are numbered within a range and shifted by the
-    counts of the ranges before, a row for each range.
-    """
-    ranged = stash(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn(out, within).join(F.broadcast(offsets), "_range").withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_before")
-
-
 def top_hotspots(scored: DataFrame, share: float = TOP_SHARE) -> DataFrame:
     """scored with hot_rank and is_hotspot: the first tenth of all clusters together, at least one; ties by flashpoint and cluster. Other clusters have no rank."""
     most = max(1, int(scored.count() * share))

@@ -10,14 +10,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import falsy_coalesce
+from .ranks import numbered
 
 DOMAINS, URLS, IMAGES = 10, 50, 20
 ARTICLES, PER_ARTICLE, SENTENCES, MIN_CHARS, TITLES = 10, 2, 5, 30, 5
 
 
 def positions(members: DataFrame, keys: list[str], score: str = "similarity", ident: str = "feed_entry_id") -> DataFrame:
-    """members with pos: 1, 2, ... by similarity, then id."""
-    return members.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(score), ident)))
+    """members with pos: 1, 2, ... by similarity, then id, which has to be unique in a cluster.
+
+    Only keys, similarity and id are ranked, in ranges, so a cluster with most of
+    the articles is no single task, and articles themselves move once.
+    """
+    placed = numbered(members.select(*keys, score, ident), [F.desc(score), F.asc(ident)], "pos", keys)
+    return members.join(placed.select(*keys, ident, F.col("pos").cast("int").alias("pos")), [*keys, ident])
 
 
 def lead_sentences(text: Column, most: int = PER_ARTICLE) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from newslens import runtime, schema
 from newslens.functions import chunks, html, responses, text
-from newslens.operators import activity, clusters, dedupe, entities, jobs, models, score, summary
+from newslens.operators import activity, clusters, dedupe, entities, jobs, models, ranks, score, summary
 from newslens.operators.models import ModelRegistry
 from newslens.plans import pipeline, service
 from newslens.sources import batch_files, catalog, fetch, timings
@@ -364,6 +364,18 @@ def test_ranges_number_all_rows(spark):
     assert score.top_hotspots(frame.limit(1)).first().is_hotspot and score.top_hotspots(frame.limit(0)).count() == 0
 
 
+def test_ranges_number_within_groups(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 1, 1, 1, 2, 3]), rng.randrange(5), k) for k in range(300)]
+    frame = spark.createDataFrame(rows, "g int, v int, id int").repartition(3)
+    got = {r.id: r.n for r in ranks.numbered(frame, [F.desc("v"), F.asc("id")], "n", ["g"]).collect()}
+    want = {}
+    for group in {g for g, _, _ in rows}:
+        for n, (_, _, k) in enumerate(sorted((r for r in rows if r[0] == group), key=lambda r: (-r[1], r[2])), 1):
+            want[k] = n
+    assert got == want
+
+
 def test_runs_from_start_to_end(spark):
     runs = spark.createDataFrame([], "run_id string, status string, pipeline_tier string, target_date string, started_at timestamp_ntz, completed_at timestamp_ntz, metrics string")
     ident = jobs.run_id(datetime(2024, 1, 2, 3, 4, 5), "0badcafe")
