@@ -208,7 +208,10 @@ def verify(pairs: DataFrame, held: DataFrame, similar: float) -> DataFrame:
             return None
         return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
-    sides = pairs.join(held.withColumnsRenamed({"node": "b", "bag": "bag_b"}), "b").join(held.withColumnsRenamed({"node": "a", "bag": "bag_a"}), "a")
+    sides = pairs
+    for x in "ba":  # only sets that a pair asks for are shuffled
+        asked = held.withColumnsRenamed({"node": x, "bag": f"bag_{x}"}).join(pairs.select(x).distinct(), x, "left_semi")
+        sides = sides.join(asked, x)
     return arrow_map(sides.select("a", "b", "bag_a", "bag_b"), run, "a long, b long")
 
 
@@ -262,7 +265,7 @@ def near_duplicates(
         signed.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
         "nodes",
     )
-    members = nodes.where("n > 0").select("node", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket")).distinct()
+    members = nodes.where("n > 0").select("node", F.col("n").cast("int").alias("n"), F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     # only members of buckets of two or more, each in a class of its own
     shared = stash(members.join(buckets, "bucket").withColumn("comp", F.col("node")), "shared")
