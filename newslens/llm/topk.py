@@ -160,23 +160,25 @@ class Block:
         For every length > 0 the sum of _most and reach ** 2 / (2 * length) bounds the score of any
         unread vector whose values are up to the edges, whatever else is known of it.
         """
+        if lengths[0] <= 0:  # all vectors of the block, or the query, are where the axes meet
+            return None if under <= 0 else at
+        # the deepest reading there is short of whole lists, for all lengths at once
+        slack = under - self.length**2 / (2 * lengths)
+        able = _most(w[:, None], edges[:, -1:], lengths[None, :]).sum(axis=0) < slack
+        if not able.any():
+            return None
         best, fewest = None, len(self.rows)
         held = np.arange(len(self.depths))[None, :] < at[:, None]
         done = int(self.depths[at].sum())
         rows = np.arange(len(w))
-        for length in lengths:
-            if length <= 0:
-                return None if under <= 0 else at
+        for length, room in zip(lengths[able], slack[able], strict=True):
             most = np.where(held, np.inf, _most(w[:, None], edges, length))
-            slack = under - self.length**2 / (2 * length)
-            if most.min(axis=1, initial=np.inf).sum() >= slack:
-                continue
-            if most[rows, at].sum() < slack:
+            if most[rows, at].sum() < room:
                 return at
             scale = max(1.0, float(np.abs(most[np.isfinite(most)]).max(initial=1.0))) / len(self.rows)
             taken = (most[None] + (_PRICES * scale)[:, None, None] * self.depths).argmin(axis=2)
             entries = self.depths[taken].sum(axis=1) - done
-            good = (most[rows, taken].sum(axis=1) < slack) & (entries < fewest)
+            good = (most[rows, taken].sum(axis=1) < room) & (entries < fewest)
             if good.any():
                 pick = int(np.where(good, entries, np.iinfo(np.int64).max).argmin())
                 best, fewest = taken[pick], int(entries[pick])
