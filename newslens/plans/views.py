@@ -24,7 +24,7 @@ FROM documents d LEFT JOIN pages p ON p.page_id = CAST(floor(d.doc_id / 4) AS BI
     CASE event_type WHEN 'view' THEN 'extracted' WHEN 'click' THEN 'embedded' WHEN 'purchase' THEN 'summarized' WHEN 'signup' THEN 'skipped_duplicate' ELSE 'failed' END AS status,
     event_type = 'signup' AS is_duplicate,
     CASE WHEN event_type = 'error' THEN CASE event_id % 4 WHEN 0 THEN 'no_text' WHEN 1 THEN 'paywall' WHEN 2 THEN 'js_required' ELSE 'http_error' END END AS failure_reason,
-    CASE WHEN event_type <> 'error' THEN CASE event_id % 4 WHEN 0 THEN 'trafilatura' WHEN 1 THEN 'readability' WHEN 2 THEN 'justext' ELSE 'boilerpy3' END END AS extraction_method,
+    CASE WHEN event_type <> 'error' THEN CASE event_id % 4 WHEN 0 THEN 'article_scope' WHEN 1 THEN 'densest_block' WHEN 2 THEN 'stop_words' ELSE 'whole_body' END END AS extraction_method,
     CAST(floor(value * 10) AS INT) AS fetch_duration_ms,
     row_number() OVER (PARTITION BY CAST(floor(event_id / 10) AS BIGINT), user_id % 5 ORDER BY event_id) AS rn FROM events) t WHERE rn = 1""",
     "feed_entry_vectors": "SELECT vec_id AS feed_entry_id, label AS flashpoint_id, embedding FROM embeddings",
