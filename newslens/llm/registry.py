@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, neardup, sharding, topk
+from . import chat, decontam, neardup, periodic, sharding, topk
 from .chat import op6_chat_format
 from .decontam import op1_benchmark_leaks
 from .html_text import op9_html_main_text
 from .langid import op2_language_id
 from .neardup import op4_bagminhash_near_dups
 from .packing import op7_best_fit_packing
+from .periodic import op11_periodic_runs
 from .pii import op5_skip_chain_pii
 from .quality import op8_ordinal_quality
 from .sharding import op3_jump_shards
@@ -31,7 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ordinal_quality,
         op9_html_main_text,
         op10_fagin_topk,
+        op11_periodic_runs,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**decontam.ORACLE_SQL, **sharding.ORACLE_SQL, **neardup.ORACLE_SQL, **chat.ORACLE_SQL, **topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**decontam.ORACLE_SQL, **sharding.ORACLE_SQL, **neardup.ORACLE_SQL, **chat.ORACLE_SQL, **topk.ORACLE_SQL, **periodic.ORACLE_SQL}

@@ -34,7 +34,7 @@ def test_standard_tables(spark, name):
     _same(spark, name, SF_DIR)
 
 
-@pytest.mark.parametrize("name", ["op1_benchmark_leaks", "op3_jump_shards", "op4_bagminhash_near_dups"])
+@pytest.mark.parametrize("name", ["op1_benchmark_leaks", "op3_jump_shards", "op4_bagminhash_near_dups", "op11_periodic_runs"])
 def test_odd_rows(spark, tmp_path, name):
     rng = random.Random(17)
     word = lambda: f"w{rng.randrange(200)}"
@@ -46,7 +46,9 @@ def test_odd_rows(spark, tmp_path, name):
         for k in range(rng.randrange(3)):
             part[rng.randrange(len(part))] = word()
         texts += [" ".join(body + part), " ".join([*body, *part, word()])]
-    if name == "op3_jump_shards":
+    if name == "op11_periodic_runs":
+        texts += [" \t\u00a0 ", "a\x0bb\x0cc " * 9, *(" ".join((words := [word() for _ in range(rng.randrange(1, 40))]) * 4 + words[: rng.randrange(40)]) for _ in range(60))]
+    if name in ("op3_jump_shards", "op11_periodic_runs"):
         docs = [(rng.choice([None, -5, 7, 1 << 60, k]), t) for k, t in enumerate(texts + texts)]
     else:
         docs = list(enumerate(texts))
