@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, neardup, periodic, sharding, topk
+from . import chat, collocations, decontam, neardup, periodic, sharding, topk
 from .chat import op6_chat_format
+from .collocations import op12_collocations
 from .decontam import op1_benchmark_leaks
 from .html_text import op9_html_main_text
 from .langid import op2_language_id
@@ -33,7 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_main_text,
         op10_fagin_topk,
         op11_periodic_runs,
+        op12_collocations,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**decontam.ORACLE_SQL, **sharding.ORACLE_SQL, **neardup.ORACLE_SQL, **chat.ORACLE_SQL, **topk.ORACLE_SQL, **periodic.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**decontam.ORACLE_SQL, **sharding.ORACLE_SQL, **neardup.ORACLE_SQL, **chat.ORACLE_SQL, **topk.ORACLE_SQL, **periodic.ORACLE_SQL, **collocations.ORACLE_SQL}
