@@ -19,6 +19,7 @@ from .pii import op5_skip_chain_pii
 from .quality import op8_ordinal_quality
 from .sharding import op3_jump_shards
 from .topk import op10_fagin_topk
+from .toxicity import op13_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_fagin_topk,
         op11_periodic_runs,
         op12_collocations,
+        op13_toxicity,
     )
 }
 
