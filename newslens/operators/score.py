@@ -6,7 +6,9 @@ import logging
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..runtime import with_computed
 from .ranks import numbered
 
 # Weight of each top-level topic.
@@ -116,15 +118,13 @@ def log_only(payload: str) -> bool:
 def deliver(payloads: DataFrame, send, column: str = "payload") -> DataFrame:
     """payloads with ``sent``: what send(text) says on the executors, False where it raises OSError."""
 
-    def run(batches):
-        for batch in batches:
-            sent = []
-            for text in batch[column]:
-                try:
-                    sent.append(bool(send(text)))
-                except OSError:
-                    sent.append(False)
-            yield batch.assign(sent=sent)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in payloads.schema)
-    return payloads.mapInPandas(run, f"{schema}, sent boolean")
+    def tried(texts: list) -> list[list[bool]]:
+        sent = []
+        for text in texts:
+            try:
+                sent.append(bool(send(text)))
+            except OSError:
+                sent.append(False)
+        return [sent]
+
+    return with_computed(payloads, column, tried, T.StructType([T.StructField("sent", T.BooleanType())]))

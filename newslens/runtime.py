@@ -5,15 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 #: Rows of a batch handed to Python while a table is written; texts and sets are long, so far fewer than Spark's default.
 ARROW_ROWS = 2000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of such a batch; a row that is longer is a batch of its own.
+ARROW_BYTES = 16 << 20
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
 _SHIPPED: set[str] = set()
 _FALLBACK: dict[str, str] = {}
 
@@ -47,16 +51,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Batches of ARROW_ROWS rows at most for what runs inside; the session's own setting comes back."""
-    held = spark.conf.get(_BATCH)
-    if 0 < int(held) <= ARROW_ROWS:
-        yield
-        return
-    spark.conf.set(_BATCH, str(ARROW_ROWS))
+    """Batches of ARROW_ROWS rows and ARROW_BYTES bytes at most for what runs inside; the session's own settings come back."""
+    held = {key: spark.conf.get(key, None) for key in _BATCH}
+    for key, most in _BATCH.items():
+        if not (held[key] or "").isdigit() or not 0 < int(held[key]) <= most:
+            spark.conf.set(key, str(most))
     try:
         yield
     finally:
-        spark.conf.set(_BATCH, held)
+        for key, value in held.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
@@ -78,3 +82,24 @@ def spread(scan: DataFrame) -> DataFrame:
     """A scan with a partition for each core at least, for work that costs far more than moving its rows; large tables have them already and stay as they are."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def with_computed(df: DataFrame, column: str, fn: Callable[[list], Sequence[list]], added: StructType) -> DataFrame:
+    """df with the columns ``added``: lists of values that fn makes of the values of ``column``, a batch at a time.
+
+    The other columns go through as Arrow has them, so integers beside a null stay exact; columns may have any name.
+    """
+    ship(df.sparkSession)
+    at, inner = df.columns.index(column), [f"c{k}" for k in range(len(df.columns))]
+    fields = [StructField(x, f.dataType) for x, f in zip(inner, df.schema, strict=True)]
+    schema = StructType([*fields, *(StructField(f"a{k}", f.dataType) for k, f in enumerate(added))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [to_arrow_type(f.dataType) for f in added]
+        for batch in batches:
+            made = [pa.array(x, kind) for x, kind in zip(fn(batch.column(at).to_pylist()), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
+
+    return df.toDF(*inner).mapInArrow(run, schema).toDF(*df.columns, *added.names)

@@ -589,3 +589,11 @@ def test_the_rest_works_without_the_corpus_operators(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e, bench; q, o = e.queries(), e.oracle_sql(); print(len(q), set(o) <= set(q), any(x.startswith('op') or x == 'pipeline' for x in q))"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120, check=True)
     n, held, corpus = said.stdout.split()
     assert int(n) > 100 and (held, corpus) == ("True", "False")
+
+
+def test_integers_beside_a_null_stay_exact(spark):
+    big = (1 << 53) + 1
+    rows = spark.createDataFrame([(big, "<article>" + "word " * 60 + "</article>"), (None, None), (big + 2, "x")], "`a.id` long, html string").coalesce(1)
+    assert {r["a.id"] for r in html.extract_articles(rows).collect()} == {big, None, big + 2}
+    sent = score.deliver(rows.withColumnRenamed("html", "payload"), lambda text: text == "x").collect()
+    assert {(r["a.id"], r.sent) for r in sent} == {(big, False), (None, False), (big + 2, True)}
