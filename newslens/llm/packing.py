@@ -26,10 +26,12 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import ship
 from .common import stash, table
 
 #: Permitted sequence lengths in tokens.
@@ -165,26 +167,28 @@ def pack(docs: DataFrame, key: str = "doc_id", tokens: Column | None = None, cap
     shares = max(1, -(-cut.count() // share))
     dealt = cut.withColumn("_share", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", "_copy"), F.lit(shares)).cast("int"))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "piece", "_copy"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        where, capacity = pack_share(rows.n_tokens.tolist(), sizes)
-        numbers = np.asarray(where)
-        by_bin = rows.groupby(numbers).n_tokens
-        return pd.DataFrame(
-            {
-                "doc_id": rows.doc_id,
-                "piece": rows.piece,
-                "start": rows.start,
-                "n_tokens": rows.n_tokens,
-                "bin_id": numbers + (rows._share.to_numpy(dtype=np.int64) << 32),
-                "capacity": np.asarray(capacity)[numbers],
-                "bin_tokens": by_bin.transform("sum"),
-                "bin_offset": by_bin.cumsum() - rows.n_tokens,
-            }
-        )
-
+    def run(rows: pa.Table) -> pa.Table:
+        # keys stay in Arrow: pandas would make doubles of integers beside a null
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("_copy", "ascending")])).combine_chunks()
+        lengths = rows.column("n_tokens").to_numpy()
+        where, capacity = pack_share(lengths.tolist(), sizes)
+        numbers = np.asarray(where, dtype=np.int64)
+        order = np.argsort(numbers, kind="stable")
+        first = np.concatenate(([0], np.cumsum(np.bincount(numbers))))
+        upto = np.concatenate(([0], np.cumsum(lengths[order])))
+        offsets = np.empty(len(numbers), dtype=np.int64)
+        offsets[order] = upto[:-1] - upto[first[numbers[order]]]
+        columns = {
+            "bin_id": numbers + (rows.column("_share").to_numpy().astype(np.int64) << 32),
+            "capacity": np.asarray(capacity, dtype=np.int32)[numbers],
+            "bin_tokens": np.diff(upto[first])[numbers],
+            "bin_offset": offsets,
+        }
+        return pa.table({**{x: rows.column(x) for x in ("doc_id", "piece", "start", "n_tokens")}, **columns})
+
+    ship(docs.sparkSession)
     kind = cut.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("_share").applyInPandas(run, f"doc_id {kind}, piece long, start long, n_tokens long, bin_id long, capacity int, bin_tokens long, bin_offset long")
+    return dealt.groupBy("_share").applyInArrow(run, f"doc_id {kind}, piece long, start long, n_tokens long, bin_id long, capacity int, bin_tokens long, bin_offset long")
 
 
 def sequences(packed: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:

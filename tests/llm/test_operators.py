@@ -468,6 +468,15 @@ def test_bins_do_not_depend_on_the_partitioning(spark):
     assert first == second
 
 
+def test_packing_keeps_keys_beside_nulls_exact(spark):
+    big = (1 << 53) + 1
+    docs = spark.createDataFrame([(big, "x" * 9), (None, "y" * 5), (big, "x" * 9), (big + 2, None)], "doc_id long, text string")
+    rows = packing.pack(docs, capacities=(16, 32), share=100).collect()
+    assert sorted(((r.doc_id or 0), r.n_tokens) for r in rows) == [(0, 6), (big, 10), (big, 10), (big + 2, 1)]
+    strings = packing.pack(docs.withColumn("doc_id", F.concat(F.lit("k"), "doc_id")), capacities=(16, 32)).collect()
+    assert Counter(r.doc_id for r in strings) == {f"k{big}": 2, None: 1, f"k{big + 2}": 1}
+
+
 def test_packing_keeps_everything(spark):
     rng = random.Random(6)
     texts = [*ODD, *("é" * rng.randrange(900) for _ in range(200)), *["same text"] * 50]
