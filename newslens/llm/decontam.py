@@ -54,6 +54,22 @@ def seed_hashes(hashes: np.ndarray, bounds: np.ndarray, seed: Sequence[int], num
     return mix(acc[at]), at
 
 
+#: Tokens on either side of a hit within which all overlaps around it lie.
+REACH = OVERLAP + max(x[-1] for x in SEEDS)
+
+
+def surroundings(hashes: np.ndarray, bounds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of the text's number and of the REACH tokens on either side of each place, or the end of the text there."""
+    owner = np.searchsorted(bounds, places, side="right") - 1
+    first, last = bounds[owner], bounds[owner + 1]
+    acc = mix(owner.astype(np.uint64) + np.uint64(1))
+    for k in range(-REACH, REACH + 1):
+        at = places + k
+        token = np.where((at >= first) & (at < last), hashes[np.clip(at, 0, len(hashes) - 1)], np.uint64(k & 0xFF))
+        acc = acc * np.uint64(0xD1342543DE82EF95) + token
+    return mix(acc)
+
+
 class Index:
     """The seed hashes of a block of benchmark items."""
 
@@ -69,6 +85,11 @@ class Index:
             keys.append(found[good])
             places.append(at[good])
         keys, places = np.concatenate(keys), np.concatenate(places)
+        # of places of an item with equal surroundings the last is enough: it has the least shift
+        held = np.unique(places)[::-1]
+        held = held[np.unique(surroundings(self.hashes, self.bounds, held), return_index=True)[1]] if len(held) else held
+        last = np.isin(places, held)
+        keys, places = keys[last], places[last]
         order = np.argsort(keys, kind="stable")
         self.keys, self.places = keys[order], places[order]
         self.owner = owner
@@ -103,7 +124,12 @@ class Index:
         return out
 
     def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-        """(position in the texts, position in the items) of all equal seed hashes, a row each, in pieces of about PIECE_HITS by position in the texts."""
+        """(position in the texts, position in the items) of equal seed hashes, a row each, in pieces of about PIECE_HITS by position in the texts.
+
+        Of a text's positions with equal surroundings only the first is taken:
+        around the others lie the same overlaps, later in the text. So a line
+        that is repeated doesn't meet each of its repetitions.
+        """
         keys, places = [], []
         for number, seed in enumerate(SEEDS):
             found, at = seed_hashes(hashes, bounds, seed, number)
@@ -115,6 +141,11 @@ class Index:
         keys, places = keys[order], places[order]
         low = np.searchsorted(self.keys, keys)
         many = np.searchsorted(self.keys, keys, side="right") - low
+        held = np.unique(places[many > 0])
+        if len(held):
+            held = held[np.unique(surroundings(hashes, bounds, held), return_index=True)[1]]
+            first = (many > 0) & np.isin(places, held)
+            keys, places, low, many = keys[first], places[first], low[first], many[first]
         upto, begin = np.cumsum(many), 0
         while begin < len(keys):
             # as many as fit, one at least, which has no more hits than the block has tokens
@@ -128,7 +159,6 @@ class Index:
     def overlaps(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, place in the text, place in the item, tokens, agreeing tokens): the best overlap of each text and item."""
         best: dict[tuple[int, int], tuple] = self.copies(hashes, bounds)
-        reach = OVERLAP + max(x[-1] for x in SEEDS)
         for hits in self.hits(hashes, bounds):
             texts = np.searchsorted(bounds, hits[:, 0], side="right") - 1
             items = self.owner[hits[:, 1]]
@@ -136,16 +166,16 @@ class Index:
             order = np.lexsort((hits[:, 1], shifts, items, texts))
             texts, items, shifts, places = texts[order], items[order], shifts[order], hits[order, 1]
             # an overlap lies around a hit: alignments are split where hits lie too far apart to share one
-            new = np.concatenate(([True], (np.diff(texts) != 0) | (np.diff(items) != 0) | (np.diff(shifts) != 0) | (np.diff(places) > 2 * reach)))
+            new = np.concatenate(([True], (np.diff(texts) != 0) | (np.diff(items) != 0) | (np.diff(shifts) != 0) | (np.diff(places) > 2 * REACH)))
             first = np.flatnonzero(new)
             last = np.concatenate((first[1:], [len(new)])) - 1
             text, item, shift = texts[first], items[first], shifts[first]
-            low = np.maximum.reduce([self.bounds[item], bounds[text] - shift, places[first] - reach])
-            high = np.minimum.reduce([self.bounds[item + 1], bounds[text + 1] - shift, places[last] + reach + 1])
+            low = np.maximum.reduce([self.bounds[item], bounds[text] - shift, places[first] - REACH])
+            high = np.minimum.reduce([self.bounds[item + 1], bounds[text + 1] - shift, places[last] + REACH + 1])
             size = np.minimum(OVERLAP, self.bounds[item + 1] - self.bounds[item])
             for k, at, agree in self._along(hashes, low, high, shift, size):
                 key, found = (int(text[k]), int(item[k])), (int(low[k] + at + shift[k] - bounds[text[k]]), int(low[k] + at - self.bounds[item[k]]), int(size[k]), agree)
-                if key not in best or (found[3], -found[0]) > (best[key][3], -best[key][0]):
+                if key not in best or (found[3], -found[0], found[1]) > (best[key][3], -best[key][0], best[key][1]):
                     best[key] = found
         return [(t, i, *x) for (t, i), x in sorted(best.items())]
 

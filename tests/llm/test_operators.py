@@ -128,6 +128,48 @@ def test_short_items_are_found_whole(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()} == set(range(8, len(texts)))
 
 
+def _best_overlaps(text, items):
+    """The best window of each item of at least LEAST words, of all pairs of places."""
+    a, out = text.split(), []
+    for i, item in items:
+        b = item.split()
+        size = min(decontam.OVERLAP, len(b))
+        tried = [(-n, u, u - v) for u in range(len(a) - size + 1) for v in range(len(b) - size + 1) if (n := sum(map(str.__eq__, a[u : u + size], b[v : v + size]))) >= -(-size * 4 // 5)] if len(b) >= decontam.LEAST else []
+        if tried:
+            n, u, shift = min(tried)
+            out.append((i, u, u - shift, size, -n))
+    return out
+
+
+def test_repeated_lines_are_compared_as_by_brute_force(monkeypatch):
+    rng, total = random.Random(2), 0
+
+    def repeating(n, letters):
+        out = []
+        while len(out) < n:
+            out += [f"w{rng.randrange(letters)}" for _ in range(rng.randrange(1, 9))] * rng.randrange(1, 6)
+        return " ".join(out[:n])
+
+    for k in range(60):
+        monkeypatch.setattr(decontam, "PIECE_HITS", rng.choice([5, 1 << 20]))
+        items = [(i, repeating(rng.randrange(6, 40), 1 + k % 4)) for i in range(3)]
+        docs = [repeating(rng.randrange(70), 1 + k % 4) for _ in range(3)]
+        index = decontam.Index([i for i, _ in items], [x for _, x in items])
+        want = [(d, *x) for d, text in enumerate(docs) for x in _best_overlaps(text, items)]
+        assert [(d, int(index.ids[i]), *x) for d, i, *x in index.overlaps(*textvec.words(docs))] == want
+        total += len(want)
+    assert total > 100
+
+
+def test_hot_seeds_take_no_square_time():
+    began = time.perf_counter()
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen "
+    index = decontam.Index([1, 2], ["a " * 2000, line * 150])
+    found = index.overlaps(*textvec.words(["a " * 20_000, "x " + line * 2000]))
+    assert [(d, i, at, n) for d, i, at, _, _, n in found] == [(0, 0, 0, 12), (1, 1, 1, 12)]
+    assert time.perf_counter() - began < 1
+
+
 # --- 2 language -------------------------------------------------------------------------------------------------------
 
 
