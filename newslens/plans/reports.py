@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chunks, html, responses, text
 from ..runtime import spread, stash
-from ..operators import activity, clusters, dedupe, entities, jobs, prompts, score, summary
+from ..operators import activity, clusters, dedupe, entities, jobs, mentions, prompts, score, summary
 from ..sources import batch_files, catalog
 from ..streaming import twins
 from .views import oracle, view
@@ -560,6 +560,46 @@ def entity_explode(v):
     return each.select("feed_entry_id", "category", F.lower("e.text").alias("low"), F.col("e.score").alias("score"))
 
 
+_MENTIONS = r"""names AS (SELECT w, min(name) AS name FROM (SELECT name, regexp_extract_all(lower(name), '[\p{L}\p{N}]+') AS w FROM gazetteer) WHERE len(w) > 0 GROUP BY w),
+ split AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+ begins AS (SELECT doc_id, w, unnest(range(len(w))) AS place FROM split),
+ found AS (SELECT doc_id, place, len(n.w) AS n_words, n.name, row_number() OVER (PARTITION BY doc_id, place ORDER BY len(n.w) DESC) AS rk FROM begins b JOIN names n ON n.w[1] = b.w[place + 1] AND n.w = b.w[place + 1:place + len(n.w)]),
+ longest AS (SELECT doc_id, place, n_words, name, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS o FROM found WHERE rk = 1),
+ following AS (SELECT a.*, min(b.o) AS following FROM longest a LEFT JOIN longest b ON b.doc_id = a.doc_id AND b.place >= a.place + a.n_words AND b.o <= a.o + 3 GROUP BY ALL),
+ taken AS (SELECT doc_id, o, following FROM following WHERE o = 1 UNION ALL SELECT f.doc_id, f.o, f.following FROM taken t JOIN following f ON f.doc_id = t.doc_id AND f.o = t.following),
+ mentioned AS (SELECT doc_id AS feed_entry_id, place, n_words, name FROM longest JOIN taken USING (doc_id, o)),
+ raw_mentions AS (SELECT feed_entry_id, entity_group, place_name AS word, least(1.0, round(0.5 + n_words / 10, 1)) AS score FROM mentioned JOIN (SELECT name, entity_group, place AS place_name FROM gazetteer) USING (name))"""
+
+
+def _mentions(v) -> DataFrame:
+    return mentions.find_mentions(v("documents").withColumnRenamed("doc_id", "feed_entry_id"), v("gazetteer"), key="feed_entry_id")
+
+
+def _mentioned(v) -> DataFrame:
+    return mentions.as_entities(_mentions(v), v("gazetteer"), key="feed_entry_id", word="place")
+
+
+@query(f"WITH RECURSIVE {_MENTIONS} SELECT feed_entry_id, place, n_words, name FROM mentioned")
+def entity_mentions(v):
+    return _mentions(v)
+
+
+@query(f"WITH RECURSIVE {_MENTIONS}, {_ENT.replace('raw_entities', 'raw_mentions')} SELECT feed_entry_id, category, CASE WHEN category IN ('PERSON', 'GPE', 'LOC') THEN {_TITLE} ELSE low END AS text, score FROM top_")
+def mentioned_entities(v):
+    return entities.merge_entities(_mentioned(v))
+
+
+_OWN = "own AS (SELECT feed_entry_id, lookup.name, alpha2, alpha3, count(*) AS count, round(avg(score), 4) AS avg_score FROM raw_entities JOIN lookup ON key = lower(trim(word)) GROUP BY 1, 2, 3, 4)"
+
+
+@query(
+    f"WITH RECURSIVE {_MENTIONS}, {_LOOKUP}, {_OWN.replace('raw_entities', '(SELECT * FROM raw_mentions WHERE entity_group = \'LOC\')')} SELECT * FROM own UNION ALL SELECT id, lookup.name, alpha2, alpha3, 1, 0.5 FROM feed_entries JOIN lookup ON key = lower(trim(sourcecountry)) WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.feed_entry_id = id AND own.alpha3 = lookup.alpha3)"
+)
+def mentioned_countries(v):
+    sources = v("feed_entries").select(F.col("id").alias("feed_entry_id"), "sourcecountry")
+    return entities.geo_aggregate(_mentioned(v).where("entity_group = 'LOC'"), sources, entities.countries(sources.sparkSession))
+
+
 @query(f"WITH {_LOOKUP} SELECT nation, place, name AS country, alpha2, alpha3 FROM places LEFT JOIN lookup ON lower(trim(place)) = key")
 def geo_resolve(v):
     places = v("places")

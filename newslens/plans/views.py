@@ -32,6 +32,10 @@ FROM documents d LEFT JOIN pages p ON p.page_id = CAST(floor(d.doc_id / 4) AS BI
   CAST(o_orderdate AS DATE) AS target_date, o_orderdate AS started_at FROM orders""",
     "raw_entities": f"""SELECT CAST(floor(c.c_custkey / 3) AS BIGINT) AS feed_entry_id, CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'PER' WHEN 'BUILDING' THEN 'ORG' WHEN 'MACHINERY' THEN 'LOC' WHEN 'HOUSEHOLD' THEN 'MISC' ELSE 'DATE' END AS entity_group,
   CASE WHEN c.c_custkey % 2 = 0 THEN lower({_PLACE}) ELSE {_PLACE} END AS word, abs(c.c_acctbal) / 10000 AS score FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+    # names that the texts hold: the first words of benchmark passages, each of which stands for a place
+    "gazetteer": f"""SELECT name, CASE item % 5 WHEN 0 THEN 'PER' WHEN 1 THEN 'ORG' WHEN 2 THEN 'MISC' ELSE 'LOC' END AS entity_group, {_PLACE} AS place FROM (
+  SELECT name, min(item_id) AS item FROM (SELECT item_id, regexp_extract(text, CASE item_id % 3 WHEN 0 THEN '^([^ ]+)' WHEN 1 THEN '^([^ ]+ [^ ]+)' ELSE '^([^ ]+ [^ ]+ [^ ]+)' END, 1) AS name FROM benchmark) b GROUP BY name) g
+  JOIN nation n ON n.n_nationkey = g.item % 25""",
     "html_variants": """SELECT page_id, url, CASE page_id % 6 WHEN 0 THEN '' WHEN 1 THEN concat(html, '<div>Subscribe to continue</div>') WHEN 2 THEN concat(html, '<div class="cookie-banner"></div>')
   WHEN 3 THEN '<html><body><div id="app"></div><script>window.__NUXT__={}</script></body></html>'
   WHEN 4 THEN concat('<meta property="og:image" content="https://img.example.com/', CAST(page_id AS STRING), '.jpg">', html, '<img src="/a/1.png"><img src="//cdn.example.com/pixel.gif">') ELSE html END AS html FROM pages""",
