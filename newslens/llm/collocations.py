@@ -42,6 +42,8 @@ UNKNOWN = "und"
 CHUNK = 1 << 16
 #: Arrays that are added in one task on each level of the tree, about.
 FAN = 16
+#: Bytes of text that become words, as objects, at a time.
+TEXT_BYTES = 2 << 20
 _BREAK = b"\xff"  # in no UTF-8 text
 _TABLE = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256))
 
@@ -71,7 +73,7 @@ def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes | None]]]
 
 def _map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, TEXT_BYTES):
             yield from fn(batch)
 
     return df.mapInArrow(run, schema)
@@ -92,66 +94,84 @@ def _counted_words(source: DataFrame, salt: int) -> DataFrame:
 
 def _squeezed(numbers: np.ndarray) -> np.ndarray:
     """-1 once only where several follow each other."""
-    return numbers[(numbers >= 0) | np.concatenate(([True], numbers[:-1] >= 0))]
+    return numbers[(numbers >= 0) | np.append(True, numbers[:-1] >= 0)[: len(numbers)]]
 
 
-def _arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    return (np.frombuffer(x, np.int64) for x in batch.column("ids").to_pylist())
+def _kind(total: int) -> type:
+    """Integers that hold so many numbers."""
+    return np.int32 if total < 1 << 31 else np.int64
 
 
-def _numbered(pairs: DataFrame, hashes: PerfectHash, block: int, tag: str) -> DataFrame:
-    """(ids): arrays of the numbers of the pairs (first, second); -1, once only in a row, for those that are no keys. A pass for each block of the hash."""
-    spans = hashes.spans(block)
-    rows = pairs
+def _arrays(batch: pa.RecordBatch, kind: type) -> Iterator[np.ndarray]:
+    return (np.frombuffer(x, kind).astype(np.int64) for x in batch.column("ids").to_pylist())
+
+
+Pairs = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def _numbered(source: DataFrame, pairs: Pairs, hashes: PerfectHash, block: int, tag: str) -> DataFrame:
+    """(ids): arrays of the numbers of the pairs that each batch has, in order; -1, once only in a row, for those that are no keys.
+
+    With several blocks of the hash the pairs are written, and there is a pass over them for each block.
+    """
+    spans, kind = hashes.spans(block), _kind(len(hashes))
+    rows = source
     for k, held in enumerate(hashes.blocks(block)):
-        last, shared = k == len(spans) - 1, pairs.sparkSession.sparkContext.broadcast(held)
+        alone, last, shared = len(spans) == 1, k == len(spans) - 1, source.sparkSession.sparkContext.broadcast(held)
 
-        def number(batch: pa.RecordBatch, shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+        def written(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             for x in batch.to_pylist():
-                first = np.frombuffer(x["first"], np.int64)
-                second = np.frombuffer(x["second"], np.int64) if x["second"] is not None else np.zeros_like(first)
+                yield tuple(np.frombuffer(x[side], np.int64) for side in ("first", "second", "ids"))
+
+        def number(batch: pa.RecordBatch, shared=shared, alone=alone, last=last) -> Iterator[pa.RecordBatch]:
+            for first, second, *before in pairs(batch) if alone else written(batch):
                 ids = shared.value.numbers(first, second)
-                if x["ids"] is not None:
-                    ids = np.maximum(ids, np.frombuffer(x["ids"], np.int64))
+                if before:
+                    ids = np.maximum(ids, before[0])
                 if last:
-                    yield pa.RecordBatch.from_arrays([pa.array([_squeezed(ids).tobytes()], pa.binary())], ["ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array([_squeezed(ids).astype(kind).tobytes()], pa.binary())], ["ids"])
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array([y], pa.binary()) for y in (x["first"], x["second"], ids.tobytes())], ["first", "second", "ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (first, second, ids)], ["first", "second", "ids"])
 
+        def plain(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for first, second in pairs(batch):
+                yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (first, second, np.full(len(first), -1))], ["first", "second", "ids"])
+
+        if not alone and k == 0:
+            rows = stash(_map(rows, plain, "first binary, second binary, ids binary"), tag)
         rows = stash(_map(rows, number, "ids binary" if last else "first binary, second binary, ids binary"), tag)
         shared.destroy()
     return rows
 
 
-def _pairs_of_words(source: DataFrame, salt: int) -> DataFrame:
-    """(first, second, ids): the keys of all words in order; 0 where a piece ends, which no word has."""
+def _pairs_of_words(salt: int) -> Pairs:
+    """The keys of all words in order, with nothing; 0 where a piece ends, which no frequent word has."""
 
-    def keys(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for group, raws in _by_group(batch):
             at, words = tokens(raws)
             own = word_keys(words, group, salt)
             own[0] = 0
-            yield pa.RecordBatch.from_arrays([pa.array([own[at].tobytes()], pa.binary()), *[pa.array([None], pa.binary())] * 2], ["first", "second", "ids"])
+            yield own[at], np.zeros(len(at), dtype=np.int64)
 
-    return _map(source, keys, "first binary, second binary, ids binary")
+    return pairs
 
 
-def _pairs_of(ids: DataFrame) -> DataFrame:
-    """(first, second, ids): the numbers at every place and at the next one."""
+def _pairs_of(kind: type) -> Pairs:
+    """The numbers at every place and at the next one."""
 
-    def pair(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for x in _arrays(batch):
-            columns = [x[:-1].tobytes(), x[1:].tobytes(), None] if len(x) > 1 else [b"", b"", None]
-            yield pa.RecordBatch.from_arrays([pa.array([y], pa.binary()) for y in columns], ["first", "second", "ids"])
+    def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for x in _arrays(batch, kind):
+            yield x[:-1], x[1:]
 
-    return _map(ids, pair, "first binary, second binary, ids binary")
+    return pairs
 
 
-def _candidates(ids: DataFrame, least: int) -> DataFrame:
+def _candidates(ids: DataFrame, kind: type, least: int) -> DataFrame:
     """(first, second): pairs of numbers that follow each other so often."""
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for x in _arrays(batch):
+        for x in _arrays(batch, kind):
             good = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
             first, second = x[good], x[good + 1]
             order = np.lexsort((second, first))
@@ -172,7 +192,7 @@ def _summed(parts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _counts(ids: DataFrame, total: int, block: int) -> DataFrame:
     """(id, a): how often each number stands in the arrays, by arrays of mappers that are added as a tree."""
-    out = None
+    out, kind = None, _kind(total)
     cores = ids.sparkSession.sparkContext.defaultParallelism
     # each mapper sends one array for each block, so there are not more of them than keep the cores busy
     few = ids.coalesce(2 * cores) if ids.rdd.getNumPartitions() > 2 * cores else ids
@@ -182,9 +202,9 @@ def _counts(ids: DataFrame, total: int, block: int) -> DataFrame:
 
         def count(batches: Iterator[pa.RecordBatch], low=low, size=size) -> Iterator[pa.RecordBatch]:
             acc, mapper = np.zeros(size, dtype=np.int64), 0
-            for batch in slices(batches):
+            for batch in slices(batches, TEXT_BYTES):
                 mapper = batch.column("mapper")[0].as_py()
-                for x in _arrays(batch):
+                for x in _arrays(batch, kind):
                     at = x[(x >= low) & (x < low + size)] - low
                     acc += np.bincount(at, minlength=size)
             for at in range(0, size, CHUNK):
@@ -227,17 +247,17 @@ def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", l
     frequent = words.where(F.col("f") >= least)
     n = frequent.count()
     hashes = perfect_hash(frequent.select("key", F.lit(0).cast("long").alias("second")), n)
-    ids = _numbered(_pairs_of_words(source, salt), hashes, block, "words")
+    ids = _numbered(source, _pairs_of_words(salt), hashes, block, "words")
     held = hashes.keys().join(_counts(ids, n, block), "id").join(frequent, F.col("first") == F.col("key"))
     null = F.lit(None).cast("long")
     out = [stash(held.select("id", "group", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", null.alias("first"), null.alias("second"), F.array("a").alias("heads"), F.array("a").alias("tails")), "phrases")]
     for size in range(2, longest + 1):
-        pairs = stash(_candidates(ids, least), "candidates")
-        n = pairs.count()
+        pairs = stash(_candidates(ids, _kind(n), least), "candidates")
+        kind, n = _kind(n), pairs.count()
         if not n:
             break
         hashes = perfect_hash(pairs, n)
-        ids = _numbered(_pairs_of(ids), hashes, block, f"phrases{size}")
+        ids = _numbered(ids, _pairs_of(kind), hashes, block, f"phrases{size}")
         held = hashes.keys().join(_counts(ids, n, block), "id")
         first = out[-1].select(F.col("id").alias("first"), "group", F.col("phrase").alias("head"), "heads")
         second = out[-1].select(F.col("id").alias("second"), "last", "tails")
