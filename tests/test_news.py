@@ -17,6 +17,7 @@ from datetime import date, datetime
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
@@ -597,3 +598,53 @@ def test_integers_beside_a_null_stay_exact(spark):
     assert {r["a.id"] for r in html.extract_articles(rows).collect()} == {big, None, big + 2}
     sent = score.deliver(rows.withColumnRenamed("html", "payload"), lambda text: text == "x").collect()
     assert {(r["a.id"], r.sent) for r in sent} == {(big, False), (None, False), (big + 2, True)}
+
+
+def _vectors_near_centres(spark, n, centres, noise, dim=16, odd=True):
+    rng = np.random.default_rng(n + centres)
+    middle = rng.normal(size=(centres, dim))
+    rows = [(k % 2, k, (middle[k % centres] + noise * rng.normal(size=dim)).tolist()) for k in range(n)]
+    if odd:
+        rows += [(0, n, [0.0] * dim), (0, n + 1, None), (0, n + 2, [1.0, None] + [0.0] * (dim - 2)), (0, n + 3, rows[0][2]), (1, n + 4, rows[1][2][:5])]
+    return spark.createDataFrame(rows, "flashpoint_id int, feed_entry_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("threshold", [-0.2, 0.0, 0.5, 0.95, 1.0])
+def test_pivots_lose_no_pair(spark, monkeypatch, threshold):
+    vectors = _vectors_near_centres(spark, 160, 8, 0.3)
+    whole = sorted(map(tuple, clusters.cosine_pairs(vectors, threshold).collect()))
+    monkeypatch.setattr(clusters, "BLOCK", 9)
+    assert sorted(map(tuple, clusters.cosine_pairs(vectors, threshold).collect())) == whole
+    assert whole or threshold > 0.9
+
+
+def test_pivots_skip_blocks_far_from_each_other(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "BLOCK", 25)
+    shares = []
+    for centres, noise in ((12, 0.02), (1000, 1.0)):
+        vectors = _vectors_near_centres(spark, 1000, centres, noise, odd=False)
+        dealt, pairs = clusters._pairs_of_blocks(vectors.selectExpr("flashpoint_id", "feed_entry_id AS src", "embedding AS v"), 0.8)
+        blocks = {r.flashpoint_id: r.n for r in dealt.groupBy("flashpoint_id").agg(F.countDistinct("own").alias("n")).collect()}
+        assert dealt.groupBy("flashpoint_id", "own").count().agg(F.max("count")).first()[0] <= 60
+        shares.append(pairs.count() / sum(n * (n + 1) // 2 for n in blocks.values()))
+    print("share of pairs of blocks, clustered and random:", shares)
+    assert shares[0] < 0.35 and shares[1] <= 1
+
+
+@pytest.mark.parametrize("small", [0, 3, 1000])
+def test_components_of_small_and_large_groups(spark, small):
+    rng = random.Random(small)
+    names = [f"n{k}" for k in range(60)]
+    links = [(g, *rng.sample(names, 2)) for g in "xyz" for _ in range({"x": 2, "y": 25, "z": 60}[g])]
+    want = {}
+    for g in "xyz":
+        root = {n: n for n in names}
+        find = lambda n, root=root: n if root[n] == n else find(root[n], root)
+        for h, a, b in links:
+            if h == g:
+                a, b = sorted((find(a), find(b)))
+                root[b] = a
+        want |= {(g, n): find(n) for n in names}
+    nodes = spark.createDataFrame([(g, n) for g in "xyz" for n in names], "g string, node string")
+    edges = spark.createDataFrame(links, "g string, src string, dst string")
+    assert {(r.g, r.node): r.comp for r in clusters.components(nodes, edges, "g", small).collect()} == want
