@@ -2,7 +2,8 @@
 
 A small tolerant parser builds the tree of a page's block elements. Parts that
 are surely named as something else than the article (menus, headers, footers,
-side bars, adverts, forms, scripts, reader comments) are cut, unless a form
+side bars, adverts, forms, scripts, reader comments) are cut, and so are threads
+of readers and boxes that ask for consent, unless a form
 or a part with such a class, id or role turns out to hold the article; a doubtful
 name (share, search, widget) decides within the article only where a part has
 less text for each tag than half the article's. Every node left has a density: characters per tag, adjusted by how much of the text is
@@ -10,7 +11,8 @@ links, here and in the whole body. The node whose children's densities have the
 largest sum lies in the article, which is the article or main element around
 it if there is one. The smallest density on the way from it to the body is the
 threshold under which a part of the article that is mostly links is left out,
-and from which a part of the body beside it counts as well. So do level-one
+and from which a part of the body beside it counts as well. Lists of links that
+belong to the article stay. So do level-one
 headings, parts with half the text for each tag, and what stands between two
 parts that count.
 """
@@ -53,23 +55,31 @@ NAMES = frozenset(
     "ad ads advert adverts advertisement advertisements adsense sponsored breadcrumb breadcrumbs comment comments commentlist disqus consent gdpr footer masthead nav navbar navigation sidebar aside newsletter notice notices popup modal related recommended recommendations".split()
 )
 #: Words that may also name a subject; a part so named stays if it reads like the article.
-DOUBTFUL = frozenset("banner cookie cookies header menu menubar alert overlay promo promotion share sharing social sponsor sponsors search subscribe subscription paywall toolbar widget widgets login signup register respond tags pagination pager dialog".split())
+DOUBTFUL = frozenset("banner cc cookie cookies window header menu menubar alert overlay promo promotion share sharing social sponsor sponsors search subscribe subscription paywall toolbar widget widgets login signup register respond tags pagination pager dialog".split())
 #: Words that only say what kind of box it is, or where.
 BOXES = frozenset("area block box container holder wrap wrapper inner outer item items list section slot unit bar module region panel form button buttons icons left right top bottom site page global main primary secondary user users reader readers google mobile desktop sticky fixed side".split())
 #: What the first are often named with, and what of these makes them sure.
 TEASERS, TEASED = frozenset("posts articles stories content links news".split()), frozenset("related recommended recommendations sponsored popular latest".split())
 #: Values of role that are surely not the article.
-ROLES = frozenset("banner navigation contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
+ROLES = frozenset("banner navigation contentinfo complementary search dialog alert alertdialog status menu menubar toolbar".split())
 #: Names that an article element may have too.
 READERS = frozenset(("comment", "comments"))
+#: Words of names that say that readers speak in a part: surely, or if it holds several parts of one class.
+SPEAKERS, THREADS = frozenset("comment comments commentlist disqus".split()), frozenset("discussion discussions replies responses reactions feedback reviews thread threads forum".split())
+#: What a short part beside the article speaks of, with a button in it, when it asks for consent; and how long it is at most.
+CONSENT, SHORT = re.compile(r"\b(?:cookies?|consent|gdpr)\b", re.I), 800
+#: A heading over links to other articles, and one over those that belong to this.
+ELSEWHERE = re.compile(r"\b(?:related|recommended|popular|trending|latest|more (?:from|on|in|stories|articles|news)|read (?:more|next|also)|see also|you may)\b", re.I)
+SOURCES = re.compile(r"\b(?:sources?|references?|notes|footnotes|bibliography|further reading|links|quellen|literatur|fuentes|sources)\b", re.I)
 #: What stands after these in a name isn't what the part is.
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NOT_OTHER = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no)[_-]\S*", re.I)
-#: Share of the page's text outside links with which a part isn't something else, and how many times the article's own text it has to hold.
+#: Share of the page's text outside links with which a part isn't something else, where no article, main or h1 with text stands outside such parts, or where it stands in one itself and holds so many times its other text.
 MOST, TIMES = 0.75, 10
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept", "other", "doubtful", "plain")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "link_chars", "tags", "links", "density", "total", "kept", "other", "doubtful", "plain", "speakers", "buttons", "name")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
@@ -78,6 +88,9 @@ class Node:
         self.density = self.total = 0.0
         self.other = self.doubtful = False  # whether it is named as something else than the article, and by doubtful words only
         self.plain = 0
+        self.speakers = False  # whether it is named as what readers say
+        self.buttons = 0
+        self.name = ""
         self.kept = 0  # 1 if parts of it count, 2 if all of it does
 
 
@@ -100,7 +113,11 @@ def _is_cut(tag: str, attributes: list[tuple[str, str]], inside: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    return any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value) for name, value in attributes)
+    return _is_hidden(attributes)
+
+
+def _is_hidden(attributes: list[tuple[str, str]]) -> bool:
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value) is not None for name, value in attributes)
 
 
 def _named(value: str) -> int:
@@ -111,7 +128,7 @@ def _named(value: str) -> int:
     """
     found = 0
     for name in _NOT_OTHER.sub("", value).split():
-        said = [x.lower() for x in _WORD.findall(name) if len(x) > 1]
+        said = _words_in(name)
         teased = any(x in TEASED for x in said)
         words = [x for x in said if x not in BOXES and not (teased and x in TEASERS)]
         if "".join(said) in NAMES or words and all(x in NAMES or x in DOUBTFUL for x in words) and any(x in NAMES for x in words):
@@ -136,6 +153,41 @@ def _is_other(tag: str, attributes: list[tuple[str, str]]) -> int:
     return max(map(_named, values), default=0)
 
 
+def _words_in(name: str) -> list[str]:
+    return [x.lower() for x in _WORD.findall(name) if len(x) > 1]
+
+
+def _is_thread(node: Node) -> bool:
+    """Whether a part is named like a discussion and holds several blocks of one element and class: what readers say."""
+    if not any(x in THREADS for name in node.name.split() for x in _words_in(name)) or node.tag in ("html", "body", "article", "main"):
+        return False
+    alike = Counter((x.tag, x.name) for x in preorder(node)[1:] if x.tag in ("li", "article") or x.name)
+    return bool(alike) and max(alike.values()) > 1
+
+
+def _asks_for_consent(node: Node) -> bool:
+    """Whether a part is a short text about cookies or consent with a button."""
+    held = preorder(node)
+    return 0 < sum(x.chars for x in held) <= SHORT and CONSENT.search(" ".join(x for y in held for x in y.children if isinstance(x, str))) is not None
+
+
+def _further_others(root: Node) -> list[Node]:
+    """Parts that are something else than the article by what they hold: threads, and boxes with a button that ask for consent, none of them within an article or main element."""
+    found, inside = [], {None: False}
+    for node in preorder(root):
+        inside[node] = inside[node.parent] or node.tag in ("article", "main")
+        if inside[node] or node.other or node.tag in ("html", "body", "#root"):
+            continue
+        if _is_thread(node):
+            node.speakers = True
+            found.append(node)
+        elif node.buttons and _asks_for_consent(node):
+            found.append(node)
+    for node in found:
+        node.other, node.doubtful = True, False
+    return found
+
+
 def _cut_others(root: Node, others: list[Node]) -> None:
     """Cut the parts surely named as something else, but for those that hold the article.
 
@@ -143,14 +195,19 @@ def _cut_others(root: Node, others: list[Node]) -> None:
 
     That is the longest article or main element, if there is no longer one
     outside such parts and no more text right in what is around it; the first
-    h1 if none stands outside; or else most of the text.
+    h1 if none stands outside; or else, where no article, main or h1 with text
+    stands outside, most of the text. A part within an article or main element
+    that has nearly all text of the page is its body, whatever its name. What
+    readers say holds the article only where nothing else does.
     """
     nodes = preorder(root)
     under: dict[Node | None, Node | None] = {None: None}  # the innermost of others around a node
+    spoken = {None: False}  # whether it is what readers say
     elements = {None: False}  # whether it is in an article or main element
     beside: Counter[Node | None] = Counter()  # text right in one of others, or in none, but in no such element
     for node in nodes:
         under[node] = node if node.other else under[node.parent]
+        spoken[node] = node.speakers or spoken[node.parent]
         elements[node] = elements[node.parent] or node.tag in ("article", "main")
         node.plain = node.chars - node.link_chars
         if not elements[node]:
@@ -162,7 +219,7 @@ def _cut_others(root: Node, others: list[Node]) -> None:
     marked = [x for x in nodes if x.tag in ("article", "main")]
     outside = max((free[x] for x in marked if not under[x]), default=0)
     holds = []
-    inner = max((x for x in marked if under[x]), key=lambda x: x.plain, default=None)
+    inner = max((x for x in marked if under[x] and not spoken[x]), key=lambda x: x.plain, default=None)
     if inner is not None and inner.plain > outside:
         up, most = under[inner], beside[None]
         while up is not None:
@@ -170,9 +227,11 @@ def _cut_others(root: Node, others: list[Node]) -> None:
         if inner.plain > most:
             holds.append(inner)
     titles = [x for x in nodes if x.tag == "h1" and x.plain]
-    if titles and all(under[x] for x in titles):
-        holds.append(titles[0])
-    held = {x for x in others if inner not in holds and x.plain >= max(1, MOST * root.plain, TIMES * outside)}
+    told = [x for x in titles if not spoken[x]]
+    if told and all(under[x] for x in titles):
+        holds.append(told[0])
+    shown = outside > 0 or any(not under[x] for x in titles)
+    held = {x for x in others if x.plain >= max(1, MOST * root.plain) and (not holds and not shown or elements[x] and not spoken[x] and x.plain >= TIMES * outside)}
     for up in holds:
         while up is not None:
             held.add(up)
@@ -195,6 +254,7 @@ def parse(html: str) -> tuple[Node, int, int]:
     blocks: list[int] = []
     scopes: list[int] = []
     inside = body_chars = body_links = 0
+    hidden: list[int] = []  # where inline elements that aren't shown stand in open_tags
     at, size, last = 0, len(html), html.rfind(">")
 
     def opened(tag: str, own: Node | None) -> None:
@@ -228,6 +288,8 @@ def parse(html: str) -> tuple[Node, int, int]:
                     held.pop()
             if own is None:
                 link -= tag == "a"
+                if hidden and hidden[-1] == len(open_tags):
+                    hidden.pop()
             else:
                 flush()
                 inside -= tag in ("article", "main")
@@ -240,7 +302,7 @@ def parse(html: str) -> tuple[Node, int, int]:
         n = len(" ".join(part.split()))
         body_chars += n
         body_links += n if link else 0
-        if not node.cut:
+        if not node.cut and not hidden:
             line.append(part)
             link_line += n if link else 0
 
@@ -286,16 +348,22 @@ def parse(html: str) -> tuple[Node, int, int]:
             node.tags += 1
             if tag == "a":
                 node.links += 1
+            node.buttons += tag == "input"
             if tag not in VOID:
+                if ("hidden" in m["rest"] or "none" in m["rest"]) and _is_hidden(_attributes(m["rest"])):
+                    hidden.append(len(open_tags))
                 opened(tag, None)
                 link += tag == "a"
             continue
         flush()
+        node.buttons += tag == "button"
         inside += tag in ("article", "main")
         if tag in ("html", "body") and places[tag]:
             continue
         attributes = _attributes(m["rest"])
-        child = Node(tag, node, node.cut or _is_cut(tag, attributes, bool(inside)))
+        child = Node(tag, node, node.cut or bool(hidden) or _is_cut(tag, attributes, bool(inside)))
+        child.name = " ".join(value for name, value in attributes if name in ("class", "id"))
+        child.speakers = any(x in SPEAKERS for name in child.name.split() for x in _words_in(name))
         if not child.cut and (surely := _is_other(tag, attributes)):
             child.other, child.doubtful = True, surely == 1
             others.append(child)
@@ -310,6 +378,7 @@ def parse(html: str) -> tuple[Node, int, int]:
             close(len(open_tags) - 1)
     close(0)
     flush()
+    others += _further_others(root)
     if others:
         _cut_others(root, others)
     return root, body_chars, body_links
@@ -357,6 +426,29 @@ def measure(nodes: list[Node], body_chars: int, body_links: int) -> None:
             node.total += composite_density(own, 0, 1, 0, body_chars, body_links)
 
 
+def _text_in(node: Node) -> str:
+    return " ".join(x for y in preorder(node) for x in y.children if isinstance(x, str))
+
+
+def _lists_of_the_article(article: Node) -> set[Node]:
+    """Lists of links that belong to the article: in an article or main element those after its first text, elsewhere those over which SOURCES stands.
+
+    Lists under a heading that leads ELSEWHERE don't.
+    """
+    out: set[Node] = set()
+    marked, heading, begun = article.tag in ("article", "main"), "", False
+    for node in preorder(article)[1:]:
+        if re.fullmatch(r"h[1-6]", node.tag):
+            heading, begun = _text_in(node), True
+        elif node.tag == "p" and not _mostly_links(node) and node.chars:
+            begun = True
+            heading = heading if node.chars < 40 else ""
+        elif node.tag in ("ul", "ol", "dl") and _mostly_links(node) and begun and not node.doubtful:
+            if not ELSEWHERE.search(heading) and (marked or SOURCES.search(heading)):
+                out.add(node)
+    return out
+
+
 def main_text(html: str) -> str:
     """The article's blocks in page order, joined by blank lines."""
     root, body_chars, body_links = parse(html)
@@ -404,6 +496,7 @@ def main_text(html: str) -> str:
         elif node.chars:
             free = _free(node)
             node.kept = int(any(counts(x, free) for x in node.children))
+    told = _lists_of_the_article(article)
     blocks: list[str] = []
     todo: list[Node | str] = [root]
     while todo:
@@ -414,8 +507,10 @@ def main_text(html: str) -> str:
             for x in reversed(item.children):
                 if isinstance(x, str):
                     todo.append(x)
-                elif not x.cut and (x.density >= threshold or not _mostly_links(x) or x.tag in LINES and not _mostly_links(item)):
+                elif not x.cut and (x in told or item in told or x.density >= threshold or not _mostly_links(x) or x.tag in LINES and not _mostly_links(item)):
                     x.kept = 2
+                    if item in told:
+                        told.add(x)
                     todo.append(x)
         elif item.kept:
             free = _free(item)
