@@ -189,6 +189,19 @@ def learn(rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str
     return np.frombuffer(bytes(fitted[0][0]), dtype=np.float32), np.array(fitted[0][1])
 
 
+def some_rated(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", grade: str = "grade", sample: int = SAMPLE) -> DataFrame:
+    """(key, text, grade) of about ``sample`` rated documents, chosen by a hash of the key.
+
+    The keys are chosen among the ratings, before any text is read, so the
+    documents meet a table of bounded size, which is sent to every executor.
+    """
+    rows = ratings.where(F.col(grade).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(grade).alias(grade))
+    n = rows.count()
+    share = min(1.0, sample / n) if n else 1.0
+    chosen = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30) < share)
+    return docs.select(key, "text").join(F.broadcast(chosen), key)
+
+
 def score(docs: DataFrame, weights: np.ndarray, thresholds: np.ndarray, key: str = "doc_id", text: str = "text", keep: float = KEEP) -> DataFrame:
     """Per document: doc_id, expected_grade, p_poor (lowest grade), p_good (highest grade), keep.
 
@@ -224,6 +237,6 @@ def held_out() -> Column:
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every whole document, fitted to the ratings in ``labels``."""
     docs = spread(table(spark, sf_dir, "documents"))
-    ratings = table(spark, sf_dir, "labels").select("doc_id", grade_of(F.col("quality"), F.col("toxic")).alias("grade")).where("grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    weights, thresholds = learn(docs.where(~held_out()).select("doc_id", "text").join(ratings, "doc_id"))
+    ratings = table(spark, sf_dir, "labels").select("doc_id", grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    weights, thresholds = learn(some_rated(docs.where(~held_out()), ratings.where(~held_out())), sample=2 * SAMPLE)
     return score(docs, weights, thresholds)

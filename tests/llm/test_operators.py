@@ -510,6 +510,17 @@ def test_bins_do_not_depend_on_the_partitioning(spark):
     assert first == second
 
 
+def test_ratings_are_chosen_before_texts_are_read(spark):
+    docs = _docs(spark, [f"text {k}" for k in range(400)] + ["twice", None], ids=[*range(400), 5, None])
+    ratings = spark.createDataFrame([(k % 600, k % 3) for k in range(900)] + [(None, 1), (7, None)], "doc_id long, grade int")
+    rows = quality.some_rated(docs, ratings, sample=150).collect()
+    ids = {r.doc_id for r in rows}
+    assert 70 <= len(ids) <= 140 and {r.grade for r in rows} <= {0, 1, 2}
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, quality.some_rated(docs.repartition(5), ratings.repartition(3), sample=150).collect()))
+    assert len(quality.some_rated(docs, ratings, sample=10_000).collect()) == 401
+    assert quality.some_rated(docs, ratings.limit(0)).collect() == []
+
+
 def test_packing_keeps_keys_beside_nulls_exact(spark):
     big = (1 << 53) + 1
     docs = spark.createDataFrame([(big, "x" * 9), (None, "y" * 5), (big, "x" * 9), (big + 2, None)], "doc_id long, text string")
