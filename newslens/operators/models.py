@@ -88,8 +88,12 @@ DEFAULTS: dict[str, tuple[Callable[[pd.Series], pd.Series] | None, str]] = {
     "embedding": (hashing_embedding, "array<double>"),
     "presummary": (presummary, "string"),
     "summary": (None, "string"),
+    "summary_fallback": (None, "string"),
 }
 
+#: Attempts at a summary, and seconds before the second; the wait doubles with each.
+ATTEMPTS, WAIT = 3, 1.0
+
 
 class ModelRegistry:
     """Functions by name; register() replaces a default."""
@@ -119,25 +123,19 @@ class ModelRegistry:
 
         return F.pandas_udf(series, kind)(text)
 
-    def summarize(self, text: Column, attempts: int = 3) -> Column:
-        """A language model's summary: two attempts of "summary", then one of "summary_fallback" if registered; null if all fail."""
-        function, kind = self.held["summary"]
-        if function is None:
+    def summarize(self, text: Column, attempts: int = ATTEMPTS, wait: float = WAIT) -> Column:
+        """A language model's summary: attempts of "summary", the last one of "summary_fallback" if registered; null if all fail.
+
+        Waits double between attempts. ``calls.summarised`` keeps to a rate as well, and gives another summary instead of null.
+        """
+        from .calls import called
+
+        first, kind = self.held["summary"]
+        second = self.held["summary_fallback"][0]
+        if first is None and second is None:
             return F.lit(None).cast(kind)
-        fallback = self.held.get("summary_fallback", (None, kind))[0]
 
         def series(s: pd.Series) -> pd.Series:
-            def one(x: str | None) -> str | None:
-                for k in range(attempts):
-                    chosen = function if k < attempts - 1 else fallback
-                    if chosen is None:
-                        continue
-                    try:
-                        return chosen(pd.Series([x])).iloc[0]
-                    except (OSError, ValueError, RuntimeError):
-                        continue
-                return None
-
-            return s.map(one)
+            return s.map(lambda x: called(x, first or second, second, attempts, wait)[0])
 
         return F.pandas_udf(series, kind)(text)

@@ -12,6 +12,7 @@ import shutil
 import subprocess
 import sys
 import threading
+import time
 import urllib.request
 from datetime import date, datetime
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newslens import runtime, schema
 from newslens.functions import chunks, html, responses, text
-from newslens.operators import activity, clusters, dedupe, entities, jobs, models, ranks, score, summary
+from newslens.operators import activity, calls, clusters, dedupe, entities, jobs, models, ranks, score, summary
 from newslens.operators.models import ModelRegistry
 from newslens.plans import pipeline, service
 from newslens.sources import batch_files, catalog, fetch, timings
@@ -648,3 +649,70 @@ def test_components_of_small_and_large_groups(spark, small):
     nodes = spark.createDataFrame([(g, n) for g in "xyz" for n in names], "g string, node string")
     edges = spark.createDataFrame(links, "g string, src string, dst string")
     assert {(r.g, r.node): r.comp for r in clusters.components(nodes, edges, "g", small).collect()} == want
+
+
+def _failing(times, then):
+    """A model that fails so often in each worker's process, then answers."""
+    count = {"n": 0}
+
+    def model(texts):
+        count["n"] += 1
+        if count["n"] <= times:
+            raise RuntimeError("busy")
+        return texts.map(lambda x: then if then is None else f"{then}: {x}")
+
+    return model
+
+
+def test_attempts_waits_and_the_second_model():
+    waits = []
+    asked = lambda first, second, attempts=3: calls.called("t", first, second, attempts, 1.0, None, waits.append)
+    assert asked(_failing(0, "a"), None) == ("a: t", "model", 1) and waits == []
+    assert asked(_failing(1, "a"), _failing(0, "b")) == ("a: t", "model", 2) and waits == [1.0]
+    waits.clear()
+    assert asked(_failing(9, "a"), _failing(0, "b")) == ("b: t", "fallback", 3) and waits == [1.0, 2.0]
+    assert asked(_failing(2, "a"), None) == ("a: t", "model", 3)
+    assert asked(_failing(9, "a"), _failing(9, "b")) == (None, None, 3)
+    assert asked(lambda s: s.map(lambda _: " "), None, 2) == (None, None, 2)
+
+
+def test_summaries_fall_back_to_extracts(spark):
+    rows = spark.createDataFrame([(1, "p", "lead"), ((1 << 53) + 1, "q", "other"), (None, None, None)], "id long, prompt string, extractive string")
+    registry = models.ModelRegistry()
+    plain = calls.summarised(rows, registry)
+    assert {(r.id, r.summary, r.summary_method, r.attempts) for r in plain.collect()} == {(1, "lead", "extractive", 0), ((1 << 53) + 1, "other", "extractive", 0), (None, None, "extractive", 0)}
+    registry.register("summary", _failing(99, "a"))
+    failed = calls.summarised(rows, registry, wait=0.0, most_tasks=1)
+    assert {(r.id, r.summary, r.summary_method, r.attempts) for r in failed.collect()} == {(1, "lead", "extractive", 3), ((1 << 53) + 1, "other", "extractive", 3), (None, None, "extractive", 3)}
+    registry.register("summary_fallback", _failing(0, "b"))
+    assert {(r.summary, r.summary_method) for r in calls.summarised(rows, registry, wait=0.0).collect()} == {("b: p", "fallback"), ("b: q", "fallback"), ("b: None", "fallback")}
+    assert [r[0] for r in rows.where("id = 1").select(registry.summarize(F.col("prompt"), wait=0.0)).collect()] == ["b: p"]
+    assert calls.summarised(rows.limit(0), registry).collect() == []
+
+
+@pytest.mark.parametrize("tasks", [1, 4, 16])
+def test_no_window_has_more_calls_than_its_limit(spark, tmp_path, tasks):
+    limit, window = 16, 1.0
+
+    def model(texts):
+        with open(f"{tmp_path}/{time.time_ns()}-{random.random()}", "w"):
+            return texts.map(str)
+
+    registry = models.ModelRegistry()
+    registry.register("summary", model)
+    rows = spark.range(48).selectExpr("id", "cast(id as string) AS prompt", "'x' AS extractive")
+    assert calls.summarised(rows, registry, limit=limit, window=window, most_tasks=tasks).count() == 48
+    at = sorted(int(x.name.split("-")[0]) / 1e9 for x in tmp_path.iterdir())
+    assert len(at) == 48 and all(at[k + limit] - at[k] >= window - 0.05 for k in range(len(at) - limit))
+
+
+def test_a_pacer_counts_by_sliding_windows():
+    now, passed = [0.0], []
+    pacer = calls.Pacer(3, 10.0, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))
+    for gap in [0, 1, 1, 1, 0, 7, 0, 30, 0, 0, 0]:
+        now[0] += gap
+        pacer.wait()
+        passed.append(now[0])
+    assert all(passed[k + 3] - passed[k] >= 10 for k in range(len(passed) - 3))
+    with pytest.raises(ValueError):
+        calls.Pacer(0)
