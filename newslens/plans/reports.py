@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chunks, html, responses, text
 from ..runtime import spread, stash
-from ..operators import activity, clusters, dedupe, entities, jobs, mentions, prompts, score, summary
+from ..operators import activity, clusters, dedupe, entities, jobs, mentions, prompts, score, sentences, summary
 from ..sources import batch_files, catalog
 from ..streaming import twins
 from .views import oracle, view
@@ -330,6 +331,47 @@ def lead_sentences(v):
     return rows.select(*CLUSTER, "pos", lead.alias("lead")).where(F.size("lead") > 0).withColumn("lead", F.array_join("lead", "|"))
 
 
+_CORE = """regexp_replace({}, '^["''(\\[{{«„“‘]+|["'')\\]}}»“”’,;:]+$', '', 'g')"""
+_PERIOD = "(ends_with({0}, '.') AND NOT ends_with({0}, '..'))"
+_TYPE = "CASE WHEN regexp_matches(lower(regexp_replace({0}, '[.!?]+$', '')), '\\p{{L}}') THEN lower(regexp_replace({0}, '[.!?]+$', '')) END"
+_RATIO = "2 * (xl(ab, ab / a) + xl(a - ab, 1 - ab / a) + xl(b - ab, (b - ab) / (n - a)) + xl(n - a - b + ab, 1 - (b - ab) / (n - a)) - xl(b, b / n) - xl(n - b, 1 - b / n))"
+_RATIO = re.sub(r"xl\(((?:[^(),]|\([^()]*\))+), ((?:[^(),]|\([^()]*\))+)\)", r"(CASE WHEN (\1) = 0 THEN 0.0 ELSE (\1) * ln(\2) END)", _RATIO)
+_LEARNT = f"""cores AS (SELECT {_CORE.format('w')} AS core FROM (SELECT unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w FROM documents)),
+ types AS (SELECT {_TYPE.format('core')} AS type, count(*) AS n, count(*) FILTER ({_PERIOD.format('core')}) AS wp FROM cores GROUP BY 1),
+ totals AS (SELECT CAST(sum(n) AS DOUBLE) AS n, least(greatest(sum(wp) / sum(n), 1e-9), 1 - 1e-9) AS rate FROM types),
+ shapes AS (SELECT type, t.n AS c, wp, t.n - wp AS wo, length(type) - length(replace(type, '.', '')) AS dots, rate FROM types t, totals WHERE type IS NOT NULL AND wp > 0),
+ abbreviations AS (SELECT * FROM (SELECT type, round(2 * (wp * ln(0.99 / rate) + wo * ln((1 - 0.99) / (1 - rate))) * exp(-(length(type) - dots)::DOUBLE) * (1 + dots) * pow((length(type) - dots)::DOUBLE, -wo::DOUBLE), 6) AS score FROM shapes) WHERE score >= 0.3),
+ cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(coalesce(text, ''), '([.!?]["'')\\]»”’]*)[\\x20\\x09-\\x0D]+', '\\1' || chr(1), 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS f FROM documents),
+ frags AS (SELECT doc_id, unnest(f) AS frag, unnest(f[2:] || [NULL]) AS following, unnest(range(len(f))) AS place FROM cut),
+ ends AS (SELECT doc_id, place, frag, {_CORE.format("regexp_extract(frag, '([^ ]+)$', 1)")} AS core, {_CORE.format("regexp_extract(following, '^([^ ]+)', 1)")} AS next_core FROM frags),
+ told AS (SELECT *, {_TYPE.format('core')} AS type, {_TYPE.format('next_core')} AS next_type FROM ends),
+ followed AS (SELECT t.*, {_PERIOD.format('core')} AND a.type IS NOT NULL AS short FROM told t LEFT JOIN abbreviations a ON a.type = t.type WHERE next_core <> ''),
+ after AS (SELECT next_type AS type, count(*) AS ab FROM followed WHERE NOT short AND next_type IS NOT NULL GROUP BY 1),
+ starters AS (SELECT type, score FROM (SELECT type, round({_RATIO}, 4) AS score, ab / a > b / n AS more FROM (SELECT s.type, s.ab, (SELECT count(*) FROM followed WHERE NOT short)::DOUBLE AS a, t.n::DOUBLE AS b, totals.n FROM after s JOIN types t ON t.type = s.type, totals)) WHERE more AND score >= 30),
+ around AS (SELECT type, next_type, count(*) AS ab FROM followed WHERE short AND next_type IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1),
+ collocations AS (SELECT first, second, score FROM (SELECT first, second, round({_RATIO}, 4) AS score, ab / a > b / n AS more FROM (SELECT x.type AS first, x.next_type AS second, x.ab, t.n::DOUBLE AS a, u.n::DOUBLE AS b, totals.n FROM around x JOIN types t ON t.type = x.type JOIN types u ON u.type = x.next_type, totals)) WHERE more AND score >= 7.88),
+ marks AS (SELECT t.*, coalesce({_PERIOD.format('core')} AND ((a.type IS NOT NULL OR coalesce(regexp_matches(t.type, '^\\p{{L}}$'), FALSE)) AND NOT (s.type IS NOT NULL AND coalesce(regexp_matches(next_core, '^\\p{{Lu}}'), FALSE)) OR c.first IS NOT NULL OR regexp_matches(next_core, '^\\p{{Ll}}')), FALSE) AS goes_on
+   FROM told t LEFT JOIN abbreviations a ON a.type = t.type LEFT JOIN starters s ON s.type = t.next_type LEFT JOIN collocations c ON c.first = t.type AND c.second = t.next_type),
+ numbered AS (SELECT doc_id, place, frag, coalesce(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM marks),
+ sentences AS (SELECT doc_id, k, string_agg(frag, ' ' ORDER BY place) AS sentence FROM numbered GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_LEARNT} SELECT 'abbreviation' AS kind, type AS first, NULL::VARCHAR AS second, score FROM abbreviations UNION ALL SELECT 'starter', type, NULL, score FROM starters UNION ALL SELECT 'collocation', first, second, score FROM collocations")
+def sentence_statistics(v):
+    model = sentences.learn(v("documents"))
+    none = F.lit(None).cast("string").alias("second")
+    parts = [model[name].select(F.lit(kind).alias("kind"), F.col("type").alias("first"), none, "score") for name, kind in (("abbreviations", "abbreviation"), ("starters", "starter"))]
+    return parts[0].unionByName(parts[1]).unionByName(model["collocations"].select(F.lit("collocation").alias("kind"), "first", "second", "score"))
+
+
+@query(f"WITH {_LEARNT} SELECT d.doc_id, coalesce(n, 0) AS n_sentences, sha256(coalesce(whole, '')) AS sentences_sha256, coalesce(lead, '') AS lead FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(sentence, chr(10) ORDER BY k) AS whole, string_agg(sentence, '|' ORDER BY k) FILTER (k < 2 AND length(sentence) > 30) AS lead FROM sentences GROUP BY 1) s ON s.doc_id = d.doc_id")
+def learnt_sentences(v):
+    docs = v("documents")
+    found = sentences.split(docs, sentences.learn(docs))
+    lead = F.array_join(sentences.lead(F.col("sentences"), summary.PER_ARTICLE, summary.MIN_CHARS), "|")
+    return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.sha2(F.array_join("sentences", "\n"), 256).alias("sentences_sha256"), lead.alias("lead"))
+
+
 @query(f"WITH {_MEMBERS}, {_LEADS}, {_SUMMARY} SELECT * FROM summaries")
 def extractive_summary(v):
     return summary.extractive_summaries(_articles(v), CLUSTER)
