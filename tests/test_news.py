@@ -14,7 +14,7 @@ import sys
 import threading
 import time
 import urllib.request
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from pathlib import Path
 
@@ -716,3 +716,40 @@ def test_a_pacer_counts_by_sliding_windows():
     assert all(passed[k + 3] - passed[k] >= 10 for k in range(len(passed) - 3))
     with pytest.raises(ValueError):
         calls.Pacer(0)
+
+
+def _rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def test_stuck_jobs_fail_by_event_time(spark, tmp_path):
+    _rocks(spark)
+    try:
+        # runs that began at any time; the last event moves the watermark, 10 minutes behind it
+        began = [(k, f"2024-01-01 {k % 12:02}:{7 * k % 60:02}:00") for k in range(1, 40)]
+        last = "2024-01-01 13:00:00"
+        rows = [(k, "fetching", at, 1) for k, at in began] + [(k, "extracted", "2024-01-01 12:30:00", 2) for k, at in began if k % 4 == 0] + [(0, "fetching", last, 1)]
+        changes = spark.createDataFrame(rows, "feed_entry_id long, status string, ts string, seq long").withColumn("ts", F.col("ts").cast("timestamp"))
+        runtime.ship(spark)
+        found = _stream(spark, tmp_path, "timed", changes, twins.timed_job_states, "update")
+        states = {}
+        for r in spark.table("timed").collect():
+            states[r.feed_entry_id] = max(states.get(r.feed_entry_id, (0, "")), (r.n, r.status))
+        runs = spark.createDataFrame([(k, "running", at) for k, at in [*began, (0, last)] if k % 4 or not k], "run_id long, status string, started_at string").withColumn("started_at", F.col("started_at").cast("timestamp_ntz"))
+        stale = {r.run_id: r.was_stale for r in jobs.fail_stale(runs, F.lit("2024-01-01 12:50:00").cast("timestamp_ntz")).collect()}
+        assert {k: states[k][1] == "failed" for k in stale} == stale and 10 < sum(stale.values()) < len(stale)
+        # a change that comes after a job has been stuck for too long finds it failed
+        for k, at in began:
+            if k % 4 == 0:
+                late = datetime.fromisoformat("2024-01-01 12:30:00") - datetime.fromisoformat(at) > timedelta(hours=2)
+                assert states[k] == (2, "failed" if late else "extracted")
+        assert len(found) > len(states)
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_job_steps():
+    assert twins.job_step(("queued", 0, 0.0), "fetching", 5.0) == ("fetching", 1, 5.0)
+    assert twins.job_step(("fetching", 1, 5.0), "extracted", 5.0 + 7200) == ("extracted", 2, 7205.0)
+    assert twins.job_step(("fetching", 1, 5.0), "extracted", 6.0 + 7200) == ("failed", 2, 7205.0)
+    assert twins.job_step(("extracted", 2, 5.0), "fetching", 1e9) == ("extracted", 2, 5.0)
