@@ -29,7 +29,9 @@ def unit(vector: Column) -> Column:
 
 
 #: Vectors of a flashpoint that one task holds twice of: all pairs of two blocks are one matrix product.
-BLOCK = 2048
+BLOCK = 8192
+#: Vectors of a block that are multiplied with another block at a time.
+ROWS = 1024
 #: Pivots of a flashpoint for each of its blocks, and at most.
 PIVOTS, MOST_PIVOTS = 3, 192
 #: Distances are compared with this much room for rounding, of cosines to 6 places among others.
@@ -154,7 +156,7 @@ def _blocked(vectors: DataFrame, threshold: float, k: int | None) -> DataFrame:
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         twice = [(left, right)] if i == j else [(left, right), (right, left)]
         out = []
-        for a, b in twice:
+        for a, b in ((whole[at : at + ROWS], b) for whole, b in twice for at in range(0, len(whole), ROWS)):
             sim = np.round(units[a] @ units[b].T, 6)
             near = (sim >= threshold) & (a[:, None] != b[None, :])
             x, y = np.nonzero(near)
@@ -167,7 +169,7 @@ def _blocked(vectors: DataFrame, threshold: float, k: int | None) -> DataFrame:
                 place = np.arange(len(first)) - np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
                 found = found.filter(pa.array(place < k))
             out.append(found)
-        out = pa.concat_tables(out)
+        out = pa.concat_tables(out) if out else pa.table({"src": ids.slice(0, 0), "dst": ids.slice(0, 0), "sim": pa.array([], pa.float64())})
         key = group.column("flashpoint_id")[0]
         return out.add_column(0, "flashpoint_id", pa.array([key.as_py()] * out.num_rows, group.schema.field("flashpoint_id").type))
 

@@ -332,6 +332,7 @@ def test_neighbours_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
     vectors = spark.createDataFrame(rows, "flashpoint_id int, feed_entry_id long, embedding array<float>")
     whole, few = (sorted(map(tuple, x.collect())) for x in (clusters.cosine_pairs(vectors, 0.3), clusters.knn_edges(vectors, 3, 0.3)))
     monkeypatch.setattr(clusters, "BLOCK", 7)
+    monkeypatch.setattr(clusters, "ROWS", 3)
     assert sorted(map(tuple, clusters.cosine_pairs(vectors, 0.3).collect())) == whole
     assert sorted(map(tuple, clusters.knn_edges(vectors, 3, 0.3).collect())) == few
     want = set()
@@ -753,3 +754,57 @@ def test_job_steps():
     assert twins.job_step(("fetching", 1, 5.0), "extracted", 5.0 + 7200) == ("extracted", 2, 7205.0)
     assert twins.job_step(("fetching", 1, 5.0), "extracted", 6.0 + 7200) == ("failed", 2, 7205.0)
     assert twins.job_step(("extracted", 2, 5.0), "fetching", 1e9) == ("extracted", 2, 5.0)
+
+
+def _day(spark, root):
+    """A day's tables: entries with their text, with a page, with a page that gives nothing, and with copies."""
+    story = lambda k: f"Officials of Iran met in South Korea about matter {k % 6}. They spoke for hours about trade number {k % 6} and left in the evening without a word."
+    rows, page_rows = [], []
+    for k in range(36):
+        url = f"http://h{k}.org/a"
+        body = story(k) + f" Report {k} came from the town hall of place {k}, where many had waited. " * 2
+        kind = k % 4
+        rows.append((k, k, k % 2, f"Meeting {k % 6}", body if kind < 2 else None, None if kind > 1 else "about it", url, f"h{k % 5}.org", "en", "Iran" if k % 3 else "nowhere", f"2024-01-0{1 + k % 2} 00:00:00"))
+        if kind == 2:
+            page_rows.append((url, f"<html><body><nav>Home</nav><article><h1>Meeting {k}</h1><p>{body}</p><p>{body}</p></article></body></html>"))
+        if kind == 3:
+            page_rows.append((url, "<html><body><div>Subscribe to continue</div></body></html>" if k % 8 == 3 else None))
+    rows.append((36, 36, 0, "Meeting 0", rows[0][4], None, "http://copy.org", "copy.org", "en", None, None))
+    entries = spark.createDataFrame(rows, "id long, seq long, flashpoint_id int, title string, content string, description string, url string, domain string, language string, sourcecountry string, published_at string").withColumn("dt", F.lit("2024-01-02").cast("date"))
+    entries.write.partitionBy("dt").parquet(f"{root}/feed_entries")
+    spark.createDataFrame([(0, "x"), (1, "y")], "id int, title string").withColumn("dt", F.lit("2024-01-02").cast("date")).write.partitionBy("dt").parquet(f"{root}/flash_point")
+    return spark.createDataFrame(page_rows, "url string, html string")
+
+
+def test_a_day_is_run_to_its_end(spark, tmp_path):
+    root = str(tmp_path)
+    pages = _day(spark, root)
+    names = entities.countries(spark).select(F.col("key").alias("name"), F.lit("LOC").alias("entity_group"))
+    registry = models.ModelRegistry()
+    registry.register("topics", lambda s: s.map(lambda x: {"topic": "politics" if "matter" in x else "sport", "code": "11000000", "confidence": 1.0}))
+    registry.register("summary", lambda s: s.map(lambda x: '{"summary": "A meeting was held."}' if "matter 1" in x else None))
+    run = lambda ident, tier="C": pipeline.run_day(spark, root, ident, tier, "2024-01-02 12:00:00", registry=registry, pages=pages, names=names, threshold=0.3, wait=0.0)
+    first = run("1")
+    states = {r.feed_entry_id: r for r in spark.read.parquet(f"{root}/feed_entry_jobs").collect()}
+    assert len(states) == 37 and {k for k, r in states.items() if r.status == "failed"} == {k for k in range(36) if k % 4 == 3}
+    assert {states[k].failure_reason for k in range(3, 36, 8)} == {"paywall"} and {states[k].failure_reason for k in range(7, 36, 8)} == {"no_text"}
+    assert (states[36].status, states[36].duplicate_of) == ("skipped_duplicate", 0) and states[2].status == "summarized"
+    written = spark.read.parquet(f"{root}/news_clusters").collect()
+    assert len(written) == first.news_clusters.count() > 1 and {str(r.dt) for r in written} == {"2024-01-02"}
+    assert sum(r.article_count for r in written) == sum(r.status == "summarized" for r in states.values())
+    methods = {(r.summary_method, r.summary == "A meeting was held.") for r in first.news_clusters.collect()}
+    assert methods == {("model", True), ("extractive", False)}
+    scored = first.scored.collect()
+    assert {r.topic for r in scored} == {"politics"} and sum(r.is_hotspot for r in scored) == 1 and all(0 < r.recency <= 1 for r in scored)
+    places = {(r.feed_entry_id, r.alpha3) for r in spark.read.parquet(f"{root}/countries").collect()}
+    assert {(2, "IRN"), (2, "KOR"), (0, "IRN"), (0, "KOR")} <= places and {a for _, a in places} == {"IRN", "KOR"}
+    assert {r.text for r in spark.read.parquet(f"{root}/entities").collect()} == {"Iran", "South Korea"}
+    stages = [r.stage for r in spark.read.json(f"{root}/timings").orderBy("place").collect()]
+    assert stages == ["select", "read", "dedupe", "enrich", "embed", "cluster", "summarise", "score", "write"]
+    # the same run again finds nothing to do, and what it has written stays
+    again = run("1")
+    assert again.jobs.count() == 0 and len(spark.read.parquet(f"{root}/feed_entry_jobs").collect()) == 37
+    assert sorted(map(str, spark.read.parquet(f"{root}/news_clusters").collect())) == sorted(map(str, written))
+    # another run takes what no run has finished
+    other = run("2", "A")
+    assert {r.feed_entry_id for r in other.jobs.collect()} == {k for k, r in states.items() if r.status not in schema.TERMINAL}
