@@ -21,6 +21,10 @@ from ..operators import jobs
 from ..schema import TIERS
 
 
+#: Runs on a page of the list.
+PAGE = 1000
+
+
 class Service:
     """Answers requests; ``runs`` reads the runs table anew each time, ``save`` writes it, ``start`` begins a run."""
 
@@ -46,15 +50,18 @@ class Service:
         found = self._rows(self.runs().where(F.col("run_id") == run_id))
         return (200, found[0]) if found else (404, {"detail": f"no run {run_id}"})
 
-    def _rows(self, runs: DataFrame) -> list[dict]:
-        return [json.loads(r[0]) for r in runs.orderBy(F.desc("started_at"), "run_id").limit(1000).select(F.to_json(F.struct(*runs.columns))).collect()]
+    def _rows(self, runs: DataFrame, page: int = 0) -> list[dict]:
+        return [json.loads(r[0]) for r in runs.orderBy(F.desc("started_at"), "run_id").offset(page * PAGE).limit(PAGE).select(F.to_json(F.struct(*runs.columns))).collect()]
 
     def _list(self, query: dict[str, list[str]], _: str) -> tuple[int, object]:
-        day = query.get("date", [""])[0]
+        """The runs of a day, newest first, PAGE of them from ``page`` (0 if not given) on; the page after the last one is empty."""
+        day, page = query.get("date", [""])[0], query.get("page", ["0"])[0]
         if not day:
             return 422, {"detail": "date is required"}
-        found = self._rows(self.runs().where(F.col("target_date").cast("string") == day))
-        return (200, found) if found else (404, {"detail": f"no run for {day}"})
+        if not page.isascii() or not page.isdigit() or len(page) > 6:
+            return 422, {"detail": "page has to be a number"}
+        found = self._rows(self.runs().where(F.col("target_date").cast("string") == day), int(page))
+        return (200, found) if found or int(page) else (404, {"detail": f"no run for {day}"})
 
     def _trigger(self, _: dict[str, list[str]], body: str) -> tuple[int, object]:
         try:

@@ -430,7 +430,7 @@ def test_timings(spark, tmp_path):
     assert timings.as_text({"dedupe": 61.5}) == "dedupe" + "." * 24 + " 1m 01.50s"
 
 
-def test_service(spark):
+def test_service(spark, monkeypatch):
     runs = spark.createDataFrame([("a", "completed", "2024-01-02", datetime(2024, 1, 2, 3)), ("b", "running", "2024-01-02", datetime(2024, 1, 2, 4))], "run_id string, status string, target_date string, started_at timestamp_ntz")
     held, started = [runs], []
     now = [datetime(2024, 1, 2, 5)]
@@ -440,6 +440,9 @@ def test_service(spark):
     assert web.answer("GET", "/pipeline/runs/a", "secret")[1]["status"] == "completed" and web.answer("GET", "/pipeline/runs/x", "secret")[0] == 404
     assert [r["run_id"] for r in web.answer("GET", "/pipeline/runs?date=2024-01-02", "secret")[1]] == ["b", "a"] and web.answer("GET", "/pipeline/runs?date=2024-05-05", "secret")[0] == 404
     assert web.answer("GET", "/pipeline/runs", "secret")[0] == 422
+    monkeypatch.setattr(service, "PAGE", 1)
+    assert [[r["run_id"] for r in web.answer("GET", f"/pipeline/runs?date=2024-01-02&page={k}", "secret")[1]] for k in range(3)] == [["b"], ["a"], []]
+    assert web.answer("GET", "/pipeline/runs?date=2024-01-02&page=-1", "secret")[0] == 422
     ask = '{"target_date": "2024-01-02", "tier": "B"}'
     assert web.answer("POST", "/pipeline/run", "secret", ask)[0] == 409 and not started
     now[0] = datetime(2024, 1, 2, 9)  # the running one is stale by now
