@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ARROW_ROWS rows and ``size`` bytes; empty ones left out."""
+def slices(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about ARROW_ROWS rows and ``size`` bytes (ARROW_BYTES by default); empty ones left out."""
+    size = ARROW_BYTES if size is None else size
     for batch in batches:
         step = max(1, min(ARROW_ROWS, batch.num_rows * size // max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
