@@ -14,8 +14,8 @@ and candidates are verified on the multisets themselves. Groups never expand
 into all pairs: in each round every band bucket offers its members one centre,
 each document is verified against the most promising centre offered, links
 merge classes, and only buckets with members of different classes are looked at
-again; the pairs left between classes are then all verified. Large buckets are
-dealt in blocks, so no task has all pairs of one. A candidate is not verified
+again; when a round links little the pairs left between classes are all
+verified. Large buckets are dealt in blocks, so no task has all pairs of one. A candidate is not verified
 if the sizes forbid the similarity, or if the whole signatures, four bits of
 each value, are five standard deviations below it. What is shuffled by bucket
 is narrow (document, size, class, bucket); signatures are joined to the pairs
@@ -24,6 +24,7 @@ that the centres make, and at the end to the members of mixed buckets.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import sqrt
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, quoted, spread, stash, table, texts_of
+from .common import arrow_map, quoted, ship, spread, stash, table, texts_of
 from .textvec import mix, owners, sequence_keys, shingles, words
 
 #: Words in a shingle.
@@ -40,14 +41,16 @@ SHINGLE = 5
 SIMILAR = 0.8
 #: Bands and rows of a band: a pair at 0.8 is missed with probability (1 - 0.8**5)**36 = 6e-7.
 BANDS, ROWS = 36, 5
-#: Rounds with centres at most, before the pairs left are verified; they end when a round finds no link.
-STAR_ROUNDS = 5
+#: Rounds with centres at most, before the pairs left are verified; they end when a round links less than this share of its pairs.
+STAR_ROUNDS, WORTH = 5, 0.1
 #: Values of the finer signature of documents that share a band; it rules out candidates from a similarity of 0.74 down.
 FINE = 1024
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 5.0
-#: Members of a bucket that one task pairs with the others.
+#: Members of a block: larger buckets are dealt in blocks, and every two blocks are paired by themselves.
 DEAL = 4096
+#: Pairs whose sketches are compared at a time.
+_PAIRS = 1 << 15
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,6 +218,72 @@ def verify(pairs: DataFrame, held: DataFrame, similar: float) -> DataFrame:
     return arrow_map(sides.select("a", "b", "bag_a", "bag_b"), run, "a long, b long")
 
 
+def between(left: DataFrame, similar: float, size: int) -> DataFrame:
+    """(a, b), a < b: the pairs of one bucket, of different classes, that sizes and sketches don't rule out; each from the first band that it shares.
+
+    left has bucket, size (its members), node, n, comp, bands, sketch, fine.
+    Rows are shuffled once, to the pairs of blocks that they are in, and paired
+    as they come in order.
+    """
+    names = ["bucket", "cell", "block", "node", "n", "comp"]
+
+    def some(a: np.ndarray, b: np.ndarray, g: dict[str, np.ndarray]) -> pa.RecordBatch:
+        for name, most in (("sketch", most_differing(size, similar)), ("fine", most_differing(FINE, similar))):
+            x = (g[name][a] ^ g[name][b]).view(np.uint64)
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            good = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64) <= most
+            a, b = a[good], b[good]
+        first = (g["bands"][a] == g["bands"][b]).argmax(axis=1)
+        good = g["bands"][a, first] == g["bucket"][a]
+        x, y = g["node"][a[good]], g["node"][b[good]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    def paired(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        g = {x: batch.column(x).to_numpy() for x in names} | {x: batch.column(x).flatten().to_numpy().reshape(batch.num_rows, -1) for x in ("bands", "sketch", "fine")}
+        at = np.arange(batch.num_rows)
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(g["bucket"]) != 0) | (np.diff(g["cell"]) != 0), [True])))
+        after = np.repeat(new[1:], np.diff(new)) - at - 1  # rows of its group that follow each
+        upto, low = np.concatenate(([0], np.cumsum(after))), 0
+        while low < len(at):
+            high = max(low + 1, int(np.searchsorted(upto, upto[low] + _PAIRS, "right")) - 1)
+            a = np.repeat(at[low:high], after[low:high])
+            b = a + 1 + np.arange(len(a)) - np.repeat(upto[low:high] - upto[low], after[low:high])
+            n, m = g["n"][a], g["n"][b]
+            good = (g["comp"][a] != g["comp"][b]) & (np.minimum(n, m) >= similar * np.maximum(n, m))
+            good &= (g["cell"][a] < 0) | (g["block"][a] != g["block"][b])
+            if good.any():
+                yield some(a[good], b[good], g)
+            low = high
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            # the last group may go on in the next batch
+            key = [batch.column(x).to_numpy() for x in names[:2]]
+            same = (key[0] == key[0][-1]) & (key[1] == key[1][-1]) if batch.num_rows else np.zeros(0, dtype=bool)
+            if not len(same):
+                continue
+            begin = len(same) - int(same.sum())
+            if held and begin == 0 and (held[-1].column("bucket")[-1].as_py(), held[-1].column("cell")[-1].as_py()) == (key[0][-1], key[1][-1]):
+                held.append(batch)
+                continue
+            held.append(batch.slice(0, begin))
+            yield from paired(pa.concat_batches(held))
+            held = [batch.slice(begin)]
+        if held:
+            yield from paired(pa.concat_batches(held))
+
+    # a block with itself is a cell below 0: all its pairs; a cell of two blocks has the pairs between them
+    blocks = F.ceil(F.col("size") / DEAL).cast("int")
+    dealt = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.when(F.col("block") == F.col("other"), -1 - F.col("block").cast("long")).otherwise(F.least("block", "other").cast("long") * F.col("blocks") + F.greatest("block", "other"))
+    rows = dealt.select("bucket", cell.alias("cell"), "block", "node", F.col("n").cast("int").alias("n"), "comp", "bands", "sketch", "fine")
+    ship(left.sparkSession)
+    return rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each connected component, for the nodes of the edges (a, b).
 
@@ -294,25 +363,19 @@ def near_duplicates(
         offered = shared.join(centres, "bucket").select("node", "n", "comp", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.comp").alias("centre_comp"))
         offered = offered.where(f"comp <> centre_comp and {sized}").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
         taken = coarse(offered).groupBy("a").agg(F.min(F.struct("d", "b")).alias("best"))
-        links = stash(verify(stash(taken.select("a", F.col("best.b").alias("b")), "pairs"), held, similar), "links")
-        if links.limit(1).count() == 0:
+        pairs = stash(taken.select("a", F.col("best.b").alias("b")), "pairs")
+        links = stash(verify(pairs, held, similar), "links")
+        if (many := links.count()) == 0:
             break
         classes = _relabel(classes, links)
         shared = stash(shared.drop("comp").join(classes, "node"), "shared")
+        if many < WORTH * pairs.count():
+            break
         shared = stash(shared.join(mixed(shared).select("bucket"), "bucket", "left_semi"), "shared")
     # what is left between classes: every pair of one bucket; only here, and only for mixed buckets, rows carry their signatures
-    blocks = F.ceil(F.col("size") / DEAL).cast("int")
     drawn = nodes.where("n > 0").select("node", "bands", "sketch").join(wanted, "node", "left_semi").join(fine, "node")
-    left = shared.join(mixed(shared), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    left = stash(left.join(drawn, "node").where(F.array_contains("bands", F.col("bucket"))), "left")
-    right = left.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *(F.col(x).alias(f"{x}_b") for x in ("node", "n", "comp", "sketch", "fine", "bands")))
-    near = F.expr(f"node < node_b and comp <> comp_b and least(n, n_b) >= {similar}D * greatest(n, n_b)")
-    near &= differing(F.col("sketch"), F.col("sketch_b"), -(-bands * rows // 16)) <= most_differing(bands * rows, similar)
-    near &= differing(F.col("fine"), F.col("fine_b"), FINE // 16) <= most_differing(FINE, similar)
-    # a pair comes out of the first band that it shares only
-    near &= F.get("bands", F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), True) - 1) == F.col("bucket")
-    rest = left.join(right, ["bucket", "block"]).where(near).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
-    links = stash(verify(stash(rest.select("a", "b").distinct(), "rest"), held, similar), "links")
+    left = shared.join(mixed(shared), "bucket").join(drawn, "node").where(F.array_contains("bands", F.col("bucket")))
+    links = stash(verify(stash(between(left, similar, bands * rows).distinct(), "rest"), held, similar), "links")
     if links.limit(1).count():
         classes = _relabel(classes, links)
 

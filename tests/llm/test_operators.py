@@ -869,3 +869,43 @@ def test_topk_stops_early_and_edges(spark):
     few = spark.createDataFrame([(0, [1e300, -1.0]), (100, [1e300, 2.0]), (7, [0.5])], "vec_id long, embedding array<double>")
     assert topk.search(few, F.col("vec_id") % 100 == 0).count() == 4
     assert topk.search(few.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_near_dup_rounds_end_when_they_link_little_and_the_pairs_left_are_paired_in_cells(spark, monkeypatch):
+    """Pairs of one bucket by blocks are those of brute force; a round that links less than its share is the last."""
+    rng = np.random.default_rng(5)
+    rows, size = [], 180
+    for node in range(40):
+        base = 7 if node % 3 else node
+        values = np.where(np.random.default_rng(node).random(size) < 0.1, rng.random(size), np.random.default_rng(base).random(size))[None]
+        fine = np.where(np.random.default_rng(node).random(neardup.FINE) < 0.1, rng.random(neardup.FINE), np.random.default_rng(base).random(neardup.FINE))[None]
+        bands = neardup.band_hashes(values, 36, 5)[0] + np.arange(36)
+        rows += [(int(b), 12, node, 100 + node % 20, node % 5, bands.tolist(), neardup.sketches(values)[0].tolist(), neardup.sketches(fine)[0].tolist()) for b in bands]
+    left = spark.createDataFrame(rows, "bucket long, size long, node long, n int, comp long, bands array<long>, sketch array<long>, fine array<long>").repartition(3)
+    nibbles = lambda x, y: sum(bin(((d := (a ^ b) & (1 << 64) - 1) | d >> 1 | d >> 2 | d >> 3) & 0x1111111111111111).count("1") for a, b in zip(x, y, strict=True))
+    own = {r[2]: r for r in rows}
+    want = {
+        (a, b)
+        for a in own
+        for b in own
+        if a < b
+        and own[a][4] != own[b][4]
+        and min(own[a][3], own[b][3]) >= 0.8 * max(own[a][3], own[b][3])
+        and any(x == y for x, y in zip(own[a][5], own[b][5], strict=True))
+        and nibbles(own[a][6], own[b][6]) <= neardup.most_differing(size, 0.8)
+        and nibbles(own[a][7], own[b][7]) <= neardup.most_differing(neardup.FINE, 0.8)
+    }
+    assert len(want) > 100
+    for deal in (4096, 5):
+        monkeypatch.setattr(neardup, "DEAL", deal)
+        found = [tuple(r) for r in neardup.between(left, 0.8, size).collect()]
+        assert len(found) == len(set(found)) and set(found) == want
+    # texts around one, each too far from all others: no round links, and a pair that does link is found
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(w if (k * 7 + j) % 60 else f"x{j}.{k}" for k, w in enumerate(words)) for j in range(30)]
+    docs = spark.createDataFrame([(j, x) for j, x in enumerate([*texts, texts[9].replace("w199", "y")])], "doc_id long, text string")
+    tags = []
+    monkeypatch.setattr(neardup, "stash", lambda df, tag, put=neardup.stash: (tags.append(tag), put(df, tag))[1])
+    classes = dict(map(tuple, neardup.near_duplicates(docs).collect()))
+    assert classes[30] == classes[9]
+    assert tags.count("pairs") <= 2
