@@ -811,3 +811,27 @@ def test_a_day_is_run_to_its_end(spark, tmp_path):
     # another run takes what no run has finished
     other = run("2", "A")
     assert {r.feed_entry_id for r in other.jobs.collect()} == {k for k, r in states.items() if r.status not in schema.TERMINAL}
+
+
+def test_similar_pairs_are_compared_once_for_all_copies_and_bitmaps_lose_none(spark, monkeypatch):
+    """Pairs of exact copies come without a join of sets; sizes and bitmaps only rule out what can't be similar."""
+    from newslens.operators import dedupe
+
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words[k:k + 60] + [f"x{k}"] * (k % 4)) for k in range(0, 60, 3)] + [" ".join(rng.choice(words, 50)) for _ in range(10)]
+    texts += [texts[0]] * 12 + [texts[3].upper()] * 3 + ["too short"] * 3 + [None]
+    order = rng.permutation(len(texts))
+    entries = spark.createDataFrame([(int(k), int(order[k]), x) for k, x in enumerate(texts)], "id long, seq long, text string")
+    sets = {r["id"]: (r["seq"], frozenset(r["sh"]), r["bits"]) for r in dedupe.shingle_sets(entries).collect() if r["n"]}
+    want = {}
+    for (a, (seq, x, p)), (b, (after, y, q)) in itertools.product(sets.items(), sets.items()):
+        assert sum(((c ^ d) & (1 << 64) - 1).bit_count() for c, d in zip(p, q, strict=True)) <= len(x ^ y)
+        if (seq, a) < (after, b) and len(x & y) >= 0.5 * len(x | y):
+            want[a, b] = len(x & y) / len(x | y)
+    asked = []
+    monkeypatch.setattr(dedupe, "_verified", lambda candidates, *rest, held=dedupe._verified: (asked.extend(map(tuple, candidates.collect())), held(candidates, *rest))[1])
+    assert {(r["a"], r["b"]): r["sim"] for r in dedupe.jaccard_pairs(entries, similar=0.5).collect()} == want
+    assert len(asked) == len(set(asked)) < len(want) - 60
+    high = {k: v for k, v in want.items() if v >= 0.8}
+    assert {(r["a"], r["b"]): r["sim"] for r in dedupe.lsh_pairs(entries).collect()} == high
