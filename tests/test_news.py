@@ -835,3 +835,14 @@ def test_similar_pairs_are_compared_once_for_all_copies_and_bitmaps_lose_none(sp
     assert len(asked) == len(set(asked)) < len(want) - 60
     high = {k: v for k, v in want.items() if v >= 0.8}
     assert {(r["a"], r["b"]): r["sim"] for r in dedupe.lsh_pairs(entries).collect()} == high
+
+
+def test_texts_become_words_in_pieces_of_bounded_size():
+    import pyarrow as pa
+
+    from newslens.operators import dedupe
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10000)), pa.array(["word " * 400] * 10000)], ["id", "plain"])
+    cut = list(dedupe.pieces(iter([batch, batch.slice(0, 0)])))
+    assert pa.concat_batches([x for x in cut if x.num_rows]).equals(batch)
+    assert max(x.nbytes for x in cut) <= 1.1 * dedupe.PIECE
