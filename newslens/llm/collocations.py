@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -44,6 +45,10 @@ CHUNK = 1 << 16
 FAN = 16
 #: Bytes of text that become words, as objects, at a time.
 TEXT_BYTES = 2 << 20
+#: Numbers of a row of the corpus, about.
+ROW = 1 << 16
+#: A reader holds a row group, and a writer looks at its size after so many rows: both are bounded for rows as long as these.
+LONG_ROWS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 8, "parquet.page.size.row.check.min": 2, "parquet.enable.dictionary": "false"}
 _BREAK = b"\xff"  # in no UTF-8 text
 _TABLE = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256))
 
@@ -106,40 +111,59 @@ def _arrays(batch: pa.RecordBatch, kind: type) -> Iterator[np.ndarray]:
     return (np.frombuffer(x, kind).astype(np.int64) for x in batch.column("ids").to_pylist())
 
 
-Pairs = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
+def _parts(numbers: np.ndarray, end: int) -> Iterator[np.ndarray]:
+    """The numbers in arrays of about ROW, cut behind ``end`` only, over which no phrase goes."""
+    ends, low = np.flatnonzero(numbers == end) + 1, 0
+    while len(numbers) - low > ROW:
+        k = int(np.searchsorted(ends, low + ROW))
+        high = int(ends[k]) if k < len(ends) else len(numbers)
+        yield numbers[low:high]
+        low = high
+    if low < len(numbers):
+        yield numbers[low:]
+
+
+@dataclass(frozen=True)
+class Pairs:
+    """How rows become pairs: arrays of a batch, cut at ``end``, and the pair at every place of such an array."""
+
+    arrays: Callable[[pa.RecordBatch], Iterator[np.ndarray]]
+    pair: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+    end: int
+    kind: type
 
 
 def _numbered(source: DataFrame, pairs: Pairs, hashes: PerfectHash, block: int, tag: str) -> DataFrame:
     """(ids): arrays of the numbers of the pairs that each batch has, in order; -1, once only in a row, for those that are no keys.
 
-    With several blocks of the hash the pairs are written, and there is a pass over them for each block.
+    With several blocks of the hash there is a pass for each; the arrays go from
+    one to the next beside their numbers so far, in rows and row groups of bounded size.
     """
     spans, kind = hashes.spans(block), _kind(len(hashes))
     rows = source
     for k, held in enumerate(hashes.blocks(block)):
-        alone, last, shared = len(spans) == 1, k == len(spans) - 1, source.sparkSession.sparkContext.broadcast(held)
-
-        def written(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-            for x in batch.to_pylist():
-                yield tuple(np.frombuffer(x[side], np.int64) for side in ("first", "second", "ids"))
-
-        def number(batch: pa.RecordBatch, shared=shared, alone=alone, last=last) -> Iterator[pa.RecordBatch]:
-            for first, second, *before in pairs(batch) if alone else written(batch):
-                ids = shared.value.numbers(first, second)
-                if before:
-                    ids = np.maximum(ids, before[0])
+        begun, last, shared = k == 0, k == len(spans) - 1, source.sparkSession.sparkContext.broadcast(held)
+
+        def read(batch: pa.RecordBatch, begun=begun) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+            if begun:
+                for x in pairs.arrays(batch):
+                    for part in _parts(x, pairs.end):
+                        yield part, None
+            else:
+                for x, ids in zip(batch.column("held"), batch.column("ids"), strict=True):
+                    yield np.frombuffer(x.as_py(), pairs.kind), np.frombuffer(ids.as_py(), kind)
+
+        def number(batch: pa.RecordBatch, shared=shared, last=last, read=read) -> Iterator[pa.RecordBatch]:
+            for x, before in read(batch):
+                ids = shared.value.numbers(*pairs.pair(x.astype(np.int64)))
+                if before is not None:
+                    ids = np.maximum(ids, before)
                 if last:
                     yield pa.RecordBatch.from_arrays([pa.array([_squeezed(ids).astype(kind).tobytes()], pa.binary())], ["ids"])
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (first, second, ids)], ["first", "second", "ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array([x.astype(pairs.kind).tobytes()], pa.binary()), pa.array([ids.astype(kind).tobytes()], pa.binary())], ["held", "ids"])
 
-        def plain(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for first, second in pairs(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (first, second, np.full(len(first), -1))], ["first", "second", "ids"])
-
-        if not alone and k == 0:
-            rows = stash(_map(rows, plain, "first binary, second binary, ids binary"), tag)
-        rows = stash(_map(rows, number, "ids binary" if last else "first binary, second binary, ids binary"), tag)
+        rows = stash(_map(rows, number, "ids binary" if last else "held binary, ids binary"), tag, LONG_ROWS)
         shared.destroy()
     return rows
 
@@ -147,24 +171,19 @@ def _numbered(source: DataFrame, pairs: Pairs, hashes: PerfectHash, block: int,
 def _pairs_of_words(salt: int) -> Pairs:
     """The keys of all words in order, with nothing; 0 where a piece ends, which no frequent word has."""
 
-    def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for group, raws in _by_group(batch):
             at, words = tokens(raws)
             own = word_keys(words, group, salt)
             own[0] = 0
-            yield own[at], np.zeros(len(at), dtype=np.int64)
+            yield own[at]
 
-    return pairs
+    return Pairs(arrays, lambda x: (x, np.zeros(len(x), dtype=np.int64)), 0, np.int64)
 
 
 def _pairs_of(kind: type) -> Pairs:
     """The numbers at every place and at the next one."""
-
-    def pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for x in _arrays(batch, kind):
-            yield x[:-1], x[1:]
-
-    return pairs
+    return Pairs(lambda batch: _arrays(batch, kind), lambda x: (x[:-1], x[1:]), -1, kind)
 
 
 def _candidates(ids: DataFrame, kind: type, least: int) -> DataFrame:
@@ -204,9 +223,8 @@ def _counts(ids: DataFrame, total: int, block: int) -> DataFrame:
             acc, mapper = np.zeros(size, dtype=np.int64), 0
             for batch in slices(batches, TEXT_BYTES):
                 mapper = batch.column("mapper")[0].as_py()
-                for x in _arrays(batch, kind):
-                    at = x[(x >= low) & (x < low + size)] - low
-                    acc += np.bincount(at, minlength=size)
+                x = np.concatenate(list(_arrays(batch, kind)))
+                acc += np.bincount(x[(x >= low) & (x < low + size)] - low, minlength=size)
             for at in range(0, size, CHUNK):
                 if (part := acc[at : at + CHUNK]).any():
                     yield pa.RecordBatch.from_arrays([pa.array([low + at]), pa.array([mapper // FAN]), pa.array([part.tobytes()], pa.binary())], ["chunk", "branch", "counts"])

@@ -5,12 +5,14 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from newslens.llm import collocations, perfect_hash
+from newslens.runtime import stash
 
 DOCS = "doc_id long, text string, lang string, `n` int, `group` string, ids int, `a.b` string"
 
@@ -105,3 +107,27 @@ def test_keys_of_equal_hash_get_another_salt(spark, monkeypatch):
     docs = spark.createDataFrame([("a b " * 40, "en")], "text string, lang string").withColumnRenamed("lang", "group")
     words, salt = collocations._words(docs.coalesce(1), 30)
     assert salt == 1 and words.count() == 2
+
+
+def test_passes_over_several_blocks_write_rows_of_bounded_size(spark, monkeypatch):
+    """The corpus as numbers, between the blocks of a hash too, lies in rows of a few hundred KB and row groups that follow their size."""
+    written = []
+
+    def kept(df, tag, options=None):
+        out = stash(df, tag, options)
+        if {x.dataType.typeName() for x in df.schema} == {"binary"}:
+            written.append((out, options))
+        return out
+
+    monkeypatch.setattr(collocations, "stash", kept)
+    monkeypatch.setattr(perfect_hash.perfect_hash, "__defaults__", (20,))
+    rng = random.Random(2)
+    text = "".join(f"w{rng.randrange(30)}" + rng.choice([" ", " ", "."]) for _ in range(400_000))
+    docs = spark.createDataFrame([(text, "en")], "text string, lang string")
+    got = collocations.collocations(docs, least=300, longest=2, block=20).select("group", "phrase", "a").collect()
+    counts = Counter(f"{a} {b}" for piece in text.split(".") for a, b in pairwise(piece.split(" ")) if a and b)
+    assert {r.phrase: r.a for r in got} == {p: n for p, n in counts.items() if n >= 300}
+    assert any(len(df.columns) == 2 for df, _ in written)
+    for df, options in written:
+        assert options == collocations.LONG_ROWS
+        assert all(n is None or n <= 9 * collocations.ROW for n in df.agg(*(F.max(F.length(c)) for c in df.columns)).first())
