@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..runtime import LONG_ROWS
 from .common import quoted, slices, spread, stash, table
 from .perfect_hash import BLOCK, PerfectHash, perfect_hash
 
@@ -47,8 +48,6 @@ FAN = 16
 TEXT_BYTES = 2 << 20
 #: Numbers of a row of the corpus, about.
 ROW = 1 << 16
-#: A reader holds a row group, and a writer looks at its size after so many rows: both are bounded for rows as long as these.
-LONG_ROWS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 8, "parquet.page.size.row.check.min": 2, "parquet.enable.dictionary": "false"}
 _BREAK = b"\xff"  # in no UTF-8 text
 _TABLE = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256))
 

@@ -10,16 +10,19 @@ rather than told. The threshold on the odds is calibrated for each language on
 documents that the fit doesn't see, and scores are shifted so that it lies at
 THRESHOLD in every language.
 
-Only words and beginnings that the sample has several times get embeddings; they
+It learns from all labelled documents: words are counted by an aggregation, tasks
+train on shards from common parameters, each of which then moves by the mean of the
+shards that moved it, and thresholds are read from counts of log-odds.
+
+Only words and beginnings that several documents have get embeddings; they
 are found by their full hash, so an unknown word is never taken for a known one.
 Embeddings start from the shift of the log-odds that their presence makes.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +30,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from .common import arrow_map, free_name, quoted, slices, spread, table, texts_of, utf8_crc32
+from ..runtime import LONG_ROWS, small_batches
+from .common import arrow_map, free_name, quoted, spread, stash, table, texts_of, utf8_crc32
 from .textvec import PIECE, U64, code_points, lower_and_kind, mix, powers
 
-#: Labelled documents of each class that the model is trained and calibrated on, about.
-SAMPLE = 3000
+#: Documents of a shard, and characters of it, about: a task trains on a shard at a time.
+SHARD, SHARD_CHARS = 2000, 1 << 24
+#: Times that the parameters of all shards are averaged.
+ROUNDS = 4
+#: Words and beginnings with embeddings at most; of more, those that fewer documents have go.
+KEYS = 1 << 17
+#: Labels up to which they are sent to the documents; more meet them by a shuffle.
+SENT = 4_000_000
+#: Parameters that are added together, and parts of the log-odds that thresholds tell apart.
+CHUNK, FINE = 1 << 16, 1000
 #: Components of an embedding, filters of each width, and the widths in words, ascending.
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 #: First letters of a word that have an embedding too, in words longer than that.
 STEMS = (5, 7)
 #: Words of a segment.
 SEGMENT = 64
-#: Documents of the sample that a word has to be in.
+#: Labelled documents that a word has to be in.
 SEEN = 3
 #: Documents that stand for a word's being as toxic as any, against those that it is seen in.
 PRIOR = 10.0
@@ -50,7 +62,7 @@ NOISE = 0.1
 THRESHOLD = 0.7
 #: Toxic documents that a language needs for a threshold of its own.
 OWN = 15
-#: Times that the sample is gone through at least, and steps that are taken at least.
+#: Times that a shard is gone through at least, and steps that are taken at least.
 EPOCHS, STEPS = 12, 150
 BATCH, RATE, RIDGE = 48, 0.08, 1e-4
 #: Slots of the table that finds a hash.
@@ -169,29 +181,31 @@ def _pooled(model: Model, rows: np.ndarray, empty: np.ndarray, begins: np.ndarra
     return np.concatenate([whole, mean], axis=1)
 
 
-def _outputs(model: Model, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The log-odds of toxicity and the number of the likeliest language of each text."""
+def _outputs(model: Model, rows: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The log-odds of toxicity and the number of the likeliest language of each text, given as rows of embeddings."""
     if len(bounds) == 1:
         return np.zeros(0), np.zeros(0, dtype=np.int64)
-    pooled = _pooled(model, *_laid_out(model.rows(hashes), bounds))
+    pooled = _pooled(model, *_laid_out(rows, bounds))
     odds = (pooled @ model.toxic + model.toxic_bias).astype(np.float64)
     return odds, (pooled @ model.lang + model.lang_bias).argmax(axis=1)
 
 
-def _vocabulary(hashes: np.ndarray, bounds: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that SEEN texts have, with the shift of the log-odds that each makes."""
+def _seen(hashes: np.ndarray, bounds: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All hashes, in how many texts each is, and in how many toxic ones."""
     owner = np.repeat(np.arange(len(toxic)), np.diff(bounds) * hashes.shape[1])
     flat = hashes.ravel()
     order = np.lexsort((owner, flat))
     flat, owner = flat[order], owner[order]
     new = np.concatenate(([True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1]))) & (flat != 0) if len(flat) else np.zeros(0, dtype=bool)
     keys, at, times = np.unique(flat[new], return_inverse=True, return_counts=True)
-    with_toxic = np.bincount(at, weights=toxic[owner[new]], minlength=len(keys))
-    base = min(max(toxic.mean() if len(toxic) else 0.5, 0.01), 0.99)
+    return keys, times, np.bincount(at, weights=toxic[owner[new]], minlength=len(keys)).astype(np.int64)
+
+
+def _shift(times: np.ndarray, with_toxic: np.ndarray, base: float) -> np.ndarray:
+    """The shift of the log-odds that each hash makes, where ``base`` of all texts are toxic."""
+    base = min(max(base, 0.01), 0.99)
     p = (with_toxic + PRIOR * base) / (times + PRIOR)
-    shift = np.log(p / (1 - p)) - np.log(base / (1 - base))
-    often = times >= SEEN
-    return keys[often], shift[often]
+    return np.log(p / (1 - p)) - np.log(base / (1 - base))
 
 
 def _new_model(keys: np.ndarray, shift: np.ndarray, langs: list[str], rng: np.random.Generator) -> Model:
@@ -211,9 +225,8 @@ def _new_model(keys: np.ndarray, shift: np.ndarray, langs: list[str], rng: np.ra
 
 
 class _Adagrad:
-    def __init__(self, *parameters: np.ndarray) -> None:
-        self.parameters = parameters
-        self.seen = [np.full_like(x, 1e-3) for x in parameters]
+    def __init__(self, parameters: list[np.ndarray], seen: list[np.ndarray]) -> None:
+        self.parameters, self.seen = parameters, seen
 
     def step(self, gradients: list[np.ndarray]) -> None:
         for x, seen, g in zip(self.parameters, self.seen, gradients, strict=True):
@@ -226,12 +239,32 @@ class _Adagrad:
         x[rows] -= RATE * g / np.sqrt(seen[rows])
 
 
-def _train(model: Model, rows: np.ndarray, bounds: np.ndarray, toxic: np.ndarray, lang: np.ndarray, weight: np.ndarray, rng: np.random.Generator) -> None:
-    """Gradient descent on the loss of both outputs, over whole texts."""
-    bias = np.zeros(1, dtype=np.float32)
-    ada = _Adagrad(model.embedding, *model.filters, model.bias, model.toxic, bias, model.lang, model.lang_bias)
+def _parameters(model: Model) -> list[np.ndarray]:
+    return [model.embedding, *model.filters, model.bias, model.toxic, np.array([model.toxic_bias], dtype=np.float32), model.lang, model.lang_bias]
+
+
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([x.ravel() for x in parts])
+
+
+def _split(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    ends = np.cumsum([x.size for x in like])
+    return [flat[e - x.size : e].reshape(x.shape).copy() for e, x in zip(ends, like, strict=True)]
+
+
+def _with(model: Model, parameters: list[np.ndarray]) -> Model:
+    """The model with other parameters."""
+    embedding, *filters, bias, toxic, toxic_bias, lang, lang_bias = parameters
+    return replace(model, embedding=embedding, filters=filters, bias=bias, toxic=toxic, toxic_bias=float(toxic_bias[0]), lang=lang, lang_bias=lang_bias)
+
+
+def _train(model: Model, seen: list[np.ndarray], rows: np.ndarray, bounds: np.ndarray, toxic: np.ndarray, lang: np.ndarray, weight: np.ndarray, rng: np.random.Generator, epochs: int) -> list[np.ndarray]:
+    """The parameters after gradient descent on the loss of both outputs, over whole texts; the model's own and ``seen``, the squares so far, change in place."""
+    parameters = _parameters(model)
+    bias = parameters[-3]
+    ada = _Adagrad(parameters, seen)
     n_filters = FILTERS * len(WIDTHS)
-    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(toxic))) if len(toxic) else 0):
+    for _ in range(epochs):
         order = rng.permutation(len(toxic))
         for low in range(0, len(order), BATCH):
             docs = order[low : low + BATCH]
@@ -294,7 +327,7 @@ def _train(model: Model, rows: np.ndarray, bounds: np.ndarray, toxic: np.ndarray
             for k, (x, grad) in enumerate(zip(rest, gradients, strict=True), 1):
                 ada.seen[k] += grad * grad
                 x -= (RATE / 2 * grad / np.sqrt(ada.seen[k])).astype(np.float32)
-    model.toxic_bias = float(bias[0])
+    return parameters
 
 
 def best_threshold(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float:
@@ -311,66 +344,161 @@ def best_threshold(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> f
     return float((edge[k] + edge[k + 1]) / 2)
 
 
-def train(texts: list[str], toxic: np.ndarray, langs: list[str | None], weight: np.ndarray, check: np.ndarray) -> Model:
-    """A model of the texts, calibrated on those where ``check``; ``weight`` is how many documents each stands for."""
-    rng = np.random.default_rng(13)
-    hashes, bounds = word_features(texts)
-    names = sorted({x for x in langs if x is not None})
-    number = {x: k for k, x in enumerate(names)}
-    lang = np.array([number.get(x, -1) for x in langs])
-    fit = np.flatnonzero(~check)
-    rows_of = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in fit]) if len(fit) else np.zeros(0, dtype=np.int64)
-    own_bounds = np.concatenate(([0], np.cumsum(np.diff(bounds)[fit]))).astype(np.int64)
-    own, y = hashes[rows_of], toxic[fit].astype(np.float64)
-    model = _new_model(*_vocabulary(own, own_bounds, y), names, rng)
-    # both classes weigh the same
-    balance = np.where(y > 0, len(y) / 2 / max(1.0, y.sum()), len(y) / 2 / max(1.0, (1 - y).sum()))
-    _train(model, model.rows(own), own_bounds, y, lang[fit], balance, rng)
-    odds, read = _outputs(model, hashes, bounds)
-    some = np.flatnonzero(check)
-    if not len(some) or not toxic[some].any():
-        some = np.arange(len(texts))
-    if len(some):
-        common = best_threshold(odds[some], toxic[some], weight[some])
-        model.thresholds[""] = common
-        for k, name in enumerate(names):
-            of = some[read[some] == k]
-            if toxic[of].sum() >= OWN and not toxic[of].all():
-                model.thresholds[name] = best_threshold(odds[of], toxic[of], weight[of])
-    return model
+def _thresholds(counts: list[tuple[bool, int, int, int, int]], names: list[str]) -> dict[str, float]:
+    """The common threshold and those of languages, from (check, language read, log-odds in parts of FINE, documents, toxic ones); of documents not in the check if that has no toxic one."""
+    checked = [x for x in counts if x[0]]
+    held = checked if any(x[4] for x in checked) else counts
+
+    def best(rows: list[tuple[bool, int, int, int, int]]) -> float:
+        odds = np.array([x[2] for x in rows] * 2) / FINE
+        toxic, n = np.array([x[4] for x in rows], dtype=float), np.array([x[3] for x in rows], dtype=float)
+        return best_threshold(odds, np.repeat([1.0, 0.0], len(rows)), np.concatenate((toxic, n - toxic)))
+
+    out = {"": best(held)} if held else {}
+    for k, name in enumerate(names):
+        of = [x for x in held if x[1] == k]
+        toxic = sum(x[4] for x in of)
+        if OWN <= toxic < sum(x[3] for x in of):
+            out[name] = best(of)
+    return out
+
+
+def _word_table(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes that SEEN of the documents have (at most KEYS, those in most documents), ascending, in how many each is, and in how many toxic ones."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, times, with_toxic = _seen(*word_features(texts_of(batch)), batch.column("toxic").to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times.astype(np.int64)), pa.array(with_toxic)], ["hash", "times", "toxic"])
 
+    counted = arrow_map(labelled.select("text", "toxic"), count, "hash long, times long, toxic long").groupBy("hash").agg(F.sum("times").alias("times"), F.sum("toxic").alias("toxic"))
+    counted = stash(counted.where(F.col("times") >= SEEN), "words")
+    least, total = SEEN, 0
+    for times, n in sorted(counted.groupBy(F.least("times", F.lit(1 << 20))).count().collect(), reverse=True):
+        total += n
+        if total > KEYS:
+            least = times + 1
+            break
+    rows = counted.where(F.col("times") >= least).toArrow()
+    keys = rows.column("hash").to_numpy().view(U64)
+    order = np.argsort(keys)
+    return keys[order], rows.column("times").to_numpy()[order], rows.column("toxic").to_numpy()[order]
 
-def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
-    """A model from about ``sample`` labelled documents of each class, chosen by a hash of the key; None if nothing is labelled.
 
-    The keys are chosen before the texts are read; that many are small enough to
-    send to every executor. One task trains on the sample, a quarter of it kept
-    for the thresholds; the driver receives the parameters.
+_ENCODED = "shard long, rows binary, sizes binary, toxic binary, lang binary, check binary"
+
+
+def _encoded(labelled: DataFrame, model: Model) -> DataFrame:
+    """A row for each shard: the rows of the embeddings of all its words, how many words each text has, and what the labels say."""
+    number = {x: k for k, x in enumerate(model.langs)}
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.sort_by([(x, "ascending") for x in ("key", "text", "lang")])
+        hashes, bounds = word_features([x or "" for x in group.column("text").to_pylist()])
+        lang = np.array([number.get(x, -1) for x in group.column("lang").to_pylist()], dtype=np.int64)
+        parts = [shared.value.rows(hashes).astype(np.int32), np.diff(bounds).astype(np.int64), group.column("toxic").to_numpy().astype(np.int64), lang, group.column("check").to_numpy().astype(np.int64)]
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["shard", "rows", "sizes", "toxic", "lang", "check"])
+
+    return stash(labelled.groupBy("shard").applyInArrow(run, _ENCODED), "encoded", LONG_ROWS)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shard, rows, bounds, toxic, lang, check) of every row of ``_encoded``."""
+    for batch in batches:
+        for x in zip(*batch.columns, strict=True):
+            shard, rows, sizes, toxic, lang, check = (y.as_py() for y in x)
+            sizes, toxic, lang, check = (np.frombuffer(y, np.int64) for y in (sizes, toxic, lang, check))
+            yield shard, np.frombuffer(rows, np.int32).reshape(-1, 1 + len(STEMS)), np.concatenate(([0], np.cumsum(sizes))), toxic, lang, check > 0
+
+
+def _round(encoded: DataFrame, model: Model, flat: np.ndarray, balance: tuple[float, float], epochs: int, number: int) -> np.ndarray:
+    """All parameters, and the squares of their gradients, after every shard has been trained on; each moves by the mean of the shards that moved it."""
+    bare = replace(model, keys=model.keys[:0], slots=model.slots[:0])
+    shared = encoded.sparkSession.sparkContext.broadcast((bare, flat))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bare, flat = shared.value
+        like = _parameters(bare)
+        half = len(flat) // 2
+        total, moved = np.zeros(len(flat)), np.zeros(half, dtype=np.int32)
+        for shard, rows, bounds, toxic, lang, check in _shards(batches):
+            fit = np.flatnonzero(~check)
+            own = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in fit]) if len(fit) else np.zeros(0, dtype=np.int64)
+            both = _split(flat, like + like)
+            start, seen = _with(bare, both[: len(like)]), both[len(like) :]
+            y = toxic[fit].astype(np.float64)
+            new = _train(start, seen, rows[own], np.concatenate(([0], np.cumsum(np.diff(bounds)[fit]))), y, lang[fit], np.where(y > 0, *balance), np.random.default_rng([13, number, shard]), epochs)
+            change = _flat(new + seen) - flat
+            total += change
+            moved += change[half:] != 0  # squares grow wherever there is a gradient
+        for at in range(0, half, CHUNK):
+            if moved[at : at + CHUNK].any():
+                parts = (total[:half].astype(np.float32), total[half:].astype(np.float32), moved)
+                yield pa.RecordBatch.from_arrays([pa.array([at]), *(pa.array([x[at : at + CHUNK].tobytes()], pa.binary()) for x in parts)], ["at", "total", "squares", "moved"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, squares, moved = 0.0, 0.0, 0
+        for batch in batches:
+            for a, b, c in zip(batch.column("total"), batch.column("squares"), batch.column("moved"), strict=True):
+                total, squares, moved = total + np.frombuffer(a.as_py(), np.float32).astype(np.float64), squares + np.frombuffer(b.as_py(), np.float32).astype(np.float64), moved + np.frombuffer(c.as_py(), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), *(pa.array([(x / np.maximum(moved, 1)).astype(np.float32).tobytes()], pa.binary()) for x in (total, squares))], ["at", "change", "squares"])
+
+    # each task sends all parameters, so there are not more of them than cores
+    few = encoded.coalesce(encoded.sparkSession.sparkContext.defaultParallelism)
+    out = flat.copy()
+    with small_batches(encoded.sparkSession):
+        for at, *both in few.mapInArrow(run, "at long, total binary, squares binary, moved binary").groupBy("at").applyInArrow(add, "at long, change binary, squares binary").collect():
+            for low, change in zip((at, at + len(flat) // 2), (np.frombuffer(bytes(x), np.float32) for x in both), strict=True):
+                out[low : low + len(change)] += change
+    shared.destroy()
+    return out
+
+
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang") -> Model | None:
+    """A model from all labelled documents, a quarter of them kept for the thresholds; None if nothing is labelled.
+
+    Shards of about SHARD documents are trained on by tasks, and averaged ROUNDS
+    times. The driver receives the words that have embeddings, the averaged
+    parameters, and the documents counted by language and log-odds; all three are
+    bounded whatever the number of documents.
     """
     rated = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max((F.col(label) > 0).cast("int")).alias("toxic"))
-    counts = dict(rated.groupBy("toxic").count().collect())
-    if not counts:
+    n = rated.count()
+    if not n:
         return None
-    share = F.when(F.col("toxic") == 1, min(1.0, sample / counts.get(1, 1))).otherwise(min(1.0, sample / counts.get(0, 1)))
-    chosen = rated.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20) < share).withColumn("weight", 1 / share)
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = texts.join(F.broadcast(chosen), "key").distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, toxic, langs, weight, check = [], [], [], [], []
-        for batch in slices(batches):
-            held += texts_of(batch)
-            toxic += batch.column("toxic").to_pylist()
-            langs += batch.column("lang").to_pylist()
-            weight += batch.column("weight").to_pylist()
-            check += batch.column("check").to_pylist()
-        if held:
-            model = train(held, np.array(toxic), langs, np.array(weight), np.array(check, dtype=bool))
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
-
-    split = rows.withColumn("check", F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(4)) == 0)
-    fitted = split.repartition(1).sortWithinPartitions("key", "text", "lang").mapInArrow(run, "model binary").collect()
-    return pickle.loads(bytes(fitted[0][0])) if fitted else None
+    rows = texts.join(F.broadcast(rated) if n <= SENT else rated, "key").distinct()
+    labelled = stash(rows.withColumn("check", (F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(4)) == 0).cast("int")), "labelled")
+    fit = F.col("check") == 0
+    n, chars, fitted, toxic = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count_if(fit), F.count_if(fit & (F.col("toxic") == 1))).first()
+    if not n:
+        return None
+    shards = max(1, round(n / SHARD), -(-chars // SHARD_CHARS))
+    labelled = labelled.withColumn("shard", F.pmod(F.xxhash64(F.lit(2), "key"), F.lit(shards)))
+    names = sorted(x for (x,) in labelled.select("lang").distinct().collect() if x is not None)
+    keys, times, with_toxic = _word_table(labelled.where(fit))
+    model = _new_model(keys, _shift(times, with_toxic, toxic / fitted if fitted else 0.5), names, np.random.default_rng(13))
+    encoded = _encoded(labelled, model)
+    # both classes weigh the same
+    balance = fitted / 2 / max(1, toxic), fitted / 2 / max(1, fitted - toxic)
+    epochs = -(-max(EPOCHS, -(-STEPS * BATCH * shards // max(1, fitted))) // ROUNDS)
+    like = _parameters(model)
+    flat = _flat([*like, *(np.full_like(x, 1e-3) for x in like)])
+    for number in range(ROUNDS):
+        flat = _round(encoded, model, flat, balance, epochs, number)
+    model = _with(model, _split(flat[: len(flat) // 2], like))
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, keys=model.keys[:0], slots=model.slots[:0]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows, bounds, toxic, _, check in _shards(batches):
+            odds, langs = _outputs(shared.value, rows, bounds)
+            fine = np.round(np.clip(odds, -30, 30) * FINE).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (check, langs.astype(np.int64), fine, toxic)], ["check", "read", "odds", "toxic"])
+
+    counted = encoded.mapInArrow(read, "check boolean, read long, odds long, toxic long").groupBy("check", "read", "odds").agg(F.count(F.lit(1)), F.sum("toxic"))
+    with small_batches(docs.sparkSession):
+        model.thresholds = _thresholds(sorted(map(tuple, counted.collect())), names)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -391,7 +519,8 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[
         if held is None:
             n = batch.num_rows
             return pa.RecordBatch.from_arrays([*(batch.column(x) for x in keep), pa.nulls(n, pa.string()), pa.array(np.zeros(n)), pa.array(np.zeros(n, dtype=np.int32))], names)
-        odds, read = _outputs(held, *word_features(texts_of(batch, inner)))
+        hashes, bounds = word_features(texts_of(batch, inner))
+        odds, read = _outputs(held, held.rows(hashes), bounds)
         langs = [held.langs[k] if held.langs else None for k in read]
         common = held.thresholds.get("", 0.0)
         shift = np.array([held.thresholds.get(x, common) for x in langs])

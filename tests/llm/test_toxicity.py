@@ -128,3 +128,25 @@ def test_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(k).encode()) % 3 == 1) for k, r in found.items())
     held = [(found[r.doc_id].predicted, r.toxic) for r in labels if found[r.doc_id].held_out]
     assert sum(p and t for p, t in held) >= 0.75 * sum(t for _, t in held) and sum(p and not t for p, t in held) <= 2
+
+
+def test_every_labelled_document_counts(spark, monkeypatch):
+    """A word of three documents among 8000 labelled ones, of which a sample would miss some, has an embedding; shards agree on what all need."""
+    rng = random.Random(11)
+    rows = [(k, " ".join(f"en{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}" for _ in range(6)) + (" vile" if k % 4 == 0 else ""), "en", int(k % 4 == 0)) for k in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    fit = [r.doc_id for r in docs.where(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4)) != 0).where("doc_id % 4 = 1").orderBy(F.xxhash64("doc_id")).collect()]
+    rare = fit[-3:]
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(rare), F.concat("text", F.lit(" seldom"))).otherwise(F.col("text")))
+    model = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    hashes, _ = toxicity.word_features(["seldom vile"])
+    assert (model.rows(hashes[:, 0]) > 0).all()
+    wrong = toxicity.score(docs, model, keep=("doc_id", "toxic")).where("predicted <> toxic").count()
+    assert wrong == 0
+
+
+def test_thresholds_come_from_counts():
+    counts = [(True, 0, -2000, 50, 0), (True, 0, 1000, 20, 20), (True, 1, 3000, 40, 0), (True, 1, 5000, 30, 30), (False, 0, 0, 9, 9)]
+    found = toxicity._thresholds(counts, ["a", "b", "c"])
+    assert found["a"] == -0.5 and found["b"] == 4.0 and set(found) == {"", "a", "b"}
+    assert toxicity._thresholds([(True, 0, 0, 5, 0), (False, 0, 1000, 5, 5)], ["a"]) == {"": 0.5}
