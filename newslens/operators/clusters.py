@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,8 +32,8 @@ def unit(vector: Column) -> Column:
 
 #: Vectors of a flashpoint that one task holds twice of: all pairs of two blocks are one matrix product.
 BLOCK = 8192
-#: Vectors of a block that are multiplied with another block at a time.
-ROWS = 1024
+#: Vectors of a block that are multiplied with another block at a time, and similarities, if all of which reach the threshold a task holds them as pairs.
+ROWS, SIMILARITIES = 1024, 1 << 19
 #: Pivots of a flashpoint for each of its blocks, and at most.
 PIVOTS, MOST_PIVOTS = 3, 192
 #: Distances are compared with this much room for rounding, of cosines to 6 places among others.
@@ -51,6 +53,11 @@ def _units(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return units / np.where(norm > 0, norm, 1.0)
 
 
+def rows_at_a_time(others: int) -> int:
+    """How many vectors are multiplied with so many others at a time."""
+    return max(1, min(ROWS, SIMILARITIES // max(1, others)))
+
+
 def _chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances of the rows of a and b, which have length 1 or 0; the shorter rows count as filled with zeros."""
     n = min(a.shape[1], b.shape[1])
@@ -148,15 +155,15 @@ def _blocked(vectors: DataFrame, threshold: float, k: int | None) -> DataFrame:
     paired = dealt.join(meets, ["flashpoint_id", "own"]).select("flashpoint_id", "src", "v", "own", "i", "j")
     schema = T.StructType([paired.schema["flashpoint_id"], T.StructField("src", paired.schema["src"].dataType), T.StructField("dst", paired.schema["src"].dataType), T.StructField("sim", T.DoubleType())])
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(batches).combine_chunks()
         units, own = _units(group.column("v").combine_chunks()), group.column("own").to_numpy()
         ids = group.column("src")
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         twice = [(left, right)] if i == j else [(left, right), (right, left)]
-        out = []
-        for a, b in ((whole[at : at + ROWS], b) for whole, b in twice for at in range(0, len(whole), ROWS)):
+        pieces = ((whole, b, rows_at_a_time(len(b))) for whole, b in twice)
+        for a, b in ((whole[at : at + step], b) for whole, b, step in pieces for at in range(0, len(whole), step)):
             sim = np.round(units[a] @ units[b].T, 6)
             near = (sim >= threshold) & (a[:, None] != b[None, :])
             x, y = np.nonzero(near)
@@ -168,10 +175,8 @@ def _blocked(vectors: DataFrame, threshold: float, k: int | None) -> DataFrame:
                 first = np.concatenate(([True], pc.not_equal(src[1:], src[:-1]).to_numpy(zero_copy_only=False)))
                 place = np.arange(len(first)) - np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
                 found = found.filter(pa.array(place < k))
-            out.append(found)
-        out = pa.concat_tables(out) if out else pa.table({"src": ids.slice(0, 0), "dst": ids.slice(0, 0), "sim": pa.array([], pa.float64())})
-        key = group.column("flashpoint_id")[0]
-        return out.add_column(0, "flashpoint_id", pa.array([key.as_py()] * out.num_rows, group.schema.field("flashpoint_id").type))
+            of = pa.array([key[0].as_py()] * found.num_rows, group.schema.field("flashpoint_id").type)
+            yield from found.add_column(0, "flashpoint_id", of).combine_chunks().to_batches()
 
     return paired.groupBy("flashpoint_id", "i", "j").applyInArrow(run, schema)
 

@@ -28,6 +28,7 @@ from newslens import runtime, schema
 from newslens.functions import chunks, html, responses, text
 from newslens.operators import activity, calls, clusters, dedupe, entities, jobs, models, ranks, score, summary
 from newslens.operators.models import ModelRegistry
+from newslens.plans import reports
 from newslens.plans import pipeline, service
 from newslens.sources import batch_files, catalog, fetch, timings
 from newslens.streaming import twins
@@ -846,3 +847,14 @@ def test_texts_become_words_in_pieces_of_bounded_size():
     cut = list(dedupe.pieces(iter([batch, batch.slice(0, 0)])))
     assert pa.concat_batches([x for x in cut if x.num_rows]).equals(batch)
     assert max(x.nbytes for x in cut) <= 1.1 * dedupe.PIECE
+
+
+def test_products_of_blocks_are_bounded():
+    """All similarities of a product may reach the threshold, and are pairs then: at most half a million at once."""
+    assert all(clusters.rows_at_a_time(n) * n <= 1 << 19 for n in (1, 700, clusters.BLOCK))
+    assert clusters.rows_at_a_time(0) >= 1 and clusters.rows_at_a_time(1 << 30) == 1
+
+
+def test_a_walk_over_texts_is_written_once(spark):
+    found = reports.QUERIES["mentioned_countries"](spark, "/root/testdata/sf0.001")
+    assert "_ahead" not in found._jdf.queryExecution().optimizedPlan().toString()
