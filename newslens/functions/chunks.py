@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import ship
+
 CHUNK_CHARS = 4000
 CHUNK_TOKENS, OVERLAP_TOKENS = 900, 80
+#: Characters of texts that are cut at a time; a longer text is alone.
+PIECE = 1 << 20
 
 
 def text_chunks_of(text: str, most: int = CHUNK_CHARS) -> list[str]:
@@ -83,3 +89,24 @@ def text_chunks(texts: pd.Series) -> pd.Series:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def token_chunks(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: token_chunks_of(x or ""))
+
+
+def each_chunk(docs: DataFrame, cut: Callable[[str], list[str]], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, place, chunk): the chunks of every text, one row each, in pieces of bounded size."""
+    ship(docs.sparkSession)
+    schema = T.StructType([docs.schema[key], T.StructField("place", T.IntegerType()), T.StructField("chunk", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple[int, int, str]] = []
+            size = 0
+            for at, x in enumerate(batch.column(1)):
+                found = cut(x.as_py() or "")
+                rows += [(at, place, chunk) for place, chunk in enumerate(found)]
+                size += sum(map(len, found))
+                if rows and (size >= PIECE or at + 1 == batch.num_rows):
+                    own, places, held = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(places, pa.int32()), pa.array(held, pa.string())], schema.names)
+                    rows, size = [], 0
+
+    return docs.select(key, text).mapInArrow(run, schema)

@@ -858,3 +858,11 @@ def test_products_of_blocks_are_bounded():
 def test_a_walk_over_texts_is_written_once(spark):
     found = reports.QUERIES["mentioned_countries"](spark, "/root/testdata/sf0.001")
     assert "_ahead" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chunks_come_in_pieces(spark):
+    """Every chunk of every text, none for null and empty ones, whatever the pieces."""
+    texts = [None, "", *(f"Word {k}. " * 30_000 for k in range(9)), "last one."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = sorted(map(tuple, chunks.each_chunk(docs, chunks.token_chunks_of).collect()))
+    assert got == [(k, place, x) for k, text in enumerate(texts) for place, x in enumerate(chunks.token_chunks_of(text or ""))]
