@@ -65,15 +65,25 @@ def _cut(docs: DataFrame, text: str, **keep: Column) -> DataFrame:
     return each.select(*keep, "place", F.col("x.f").alias("fragment"), last.alias("core"), _type(last).alias("type"), following.alias("next_core"), _type(following).alias("next_type"))
 
 
+def _ends(docs: DataFrame, text: str, **keep: Column) -> DataFrame:
+    """(keep, place, last, following): for all fragments but a text's last one, their last word and the first word after them."""
+    pieces = docs.select(*(c.alias(x) for x, c in keep.items()), fragments(F.col(text)).alias("_f"))
+    last = F.transform(F.slice("_f", F.lit(1), F.greatest(F.size("_f") - 1, F.lit(0))), lambda x: F.substring_index(x, " ", -1))
+    following = F.transform(F.slice("_f", F.lit(2), F.size("_f")), lambda x: F.substring_index(x, " ", 1))
+    return pieces.select(*keep, F.posexplode(F.arrays_zip(last.alias("last"), following.alias("following"))).alias("place", "x")).select(*keep, "place", "x.last", "x.following")
+
+
 def learn(docs: DataFrame, text: str = "text") -> dict[str, DataFrame]:
     """What the corpus says: "abbreviations" (type, score), "starters" (type, score), "collocations" (first, second, score).
 
     Defined results: null and empty texts say nothing; an empty table gives empty
     tables; repeated rows count each; words without letters are none of the three.
     """
-    split = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), f"[{_SPACE}]+"), lambda x: x != "")
-    words = docs.select(F.explode(split).alias("word")).select(_core(F.col("word")).alias("core")).select(_type(F.col("core")).alias("type"), _has_period(F.col("core")).alias("period"))
-    counts = stash(words.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("period"), 1)).alias("with_period")), "types")
+    split = F.split(F.coalesce(F.col(text), F.lit("")), f"[{_SPACE}]+")
+    # words and pairs are counted as they stand first, so patterns look at each different one once
+    words = docs.select(F.explode(split).alias("word")).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.select(_core(F.col("word")).alias("core"), "n").select(_type(F.col("core")).alias("type"), _has_period(F.col("core")).alias("period"), "n")
+    counts = stash(words.groupBy("type").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("period"), F.col("n")).otherwise(0)).alias("with_period")), "types")
     # one row, whatever the corpus
     totals = F.broadcast(counts.agg(F.sum("n").alias("all"), F.sum("with_period").alias("periods")))
     known = counts.where("type is not null")
@@ -83,15 +93,18 @@ def learn(docs: DataFrame, text: str = "text") -> dict[str, DataFrame]:
     likelihood = 2 * (F.col("with_period") * F.ln(F.lit(NEARLY) / rate) + without * F.ln(F.lit(1 - NEARLY) / (1 - rate)))
     score = likelihood * F.exp(-letters.cast("double")) * (1 + inner) * F.pow(letters.cast("double"), -without.cast("double"))
     abbreviations = stash(known.where("with_period > 0").crossJoin(totals).select("type", F.round(score, 6).alias("score")).where(F.col("score") >= ABBREVIATION), "abbreviations")
-    pairs = stash(_cut(docs, text).where("next_core <> ''").groupBy("core", "type", "next_type").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    met = _ends(docs, text).groupBy("last", "following").agg(F.count(F.lit(1)).alias("n"))
+    met = met.select(_core(F.col("last")).alias("core"), _core(F.col("following")).alias("next_core"), "n").where("next_core <> ''")
+    met = met.select(_has_period(F.col("core")).alias("period"), _type(F.col("core")).alias("type"), _type(F.col("next_core")).alias("next_type"), "n")
+    pairs = stash(met.groupBy("period", "type", "next_type").agg(F.sum("n").alias("n")), "pairs")
     # a period after an abbreviation ends no sentence, as far as is known by now
-    ends = pairs.join(abbreviations.select("type", F.lit(True).alias("short")), "type", "left").where(~(_has_period(F.col("core")) & F.coalesce("short", F.lit(False))))
+    ends = pairs.join(abbreviations.select("type", F.lit(True).alias("short")), "type", "left").where(~(F.col("period") & F.coalesce("short", F.lit(False))))
     n_ends = F.broadcast(ends.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("ends")))
     after = ends.where("next_type is not null").groupBy(F.col("next_type").alias("type")).agg(F.sum("n").alias("both"))
     joined = after.join(known.select("type", "n"), "type").crossJoin(totals).crossJoin(n_ends)
     starters = joined.select("type", F.round(ratio(F.col("both"), F.col("ends"), F.col("n"), F.col("all")), 4).alias("score"), (F.col("both") / F.col("ends") > F.col("n") / F.col("all")).alias("more"))
     starters = stash(starters.where("more").where(F.col("score") >= STARTER).drop("more"), "starters")
-    around = pairs.where(_has_period(F.col("core")) & F.col("type").isNotNull() & F.col("next_type").isNotNull()).groupBy("type", "next_type").agg(F.sum("n").alias("both")).where("both > 1")
+    around = pairs.where(F.col("period") & F.col("type").isNotNull() & F.col("next_type").isNotNull()).groupBy("type", "next_type").agg(F.sum("n").alias("both")).where("both > 1")
     first, second = known.select("type", F.col("n").alias("n1")), known.select(F.col("type").alias("next_type"), F.col("n").alias("n2"))
     # only words that may be abbreviations have collocations over a period: others end sentences too often
     close = around.join(abbreviations.select("type"), "type", "left_semi").join(first, "type").join(second, "next_type").crossJoin(totals)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -77,3 +78,19 @@ def test_ratio_is_that_of_two_binomials(spark):
     for a, b, c, n, x in got:
         want = 2 * (log_of(a, b, a / b) + log_of(c - a, n - b, (c - a) / (n - b)) - log_of(a, b, c / n) - log_of(c - a, n - b, c / n))
         assert abs(x - want) < 1e-6 * max(1, abs(want)) and x >= -1e-6
+
+
+def test_words_are_counted_before_patterns(spark, monkeypatch):
+    plans = {}
+
+    def seen(df, tag):
+        plans[tag] = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return df
+
+    monkeypatch.setattr(sentences, "stash", seen)
+    docs = spark.createDataFrame([(1, "One Mr. Two. Three")], "doc_id long, text string")
+    sentences.learn(docs)
+    for tag, words in (("types", "word"), ("pairs", "last|following")):
+        # the lowest line runs first: words are grouped before the patterns that read them
+        pattern = max(k for k, x in enumerate(plans[tag]) if re.search(rf"regexp_replace\(({words})#", x))
+        assert any(re.search(rf"Aggregate \[({words})#", x) for x in plans[tag][pattern:]), plans[tag]
