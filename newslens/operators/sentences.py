@@ -19,6 +19,8 @@ from ..runtime import stash
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
 #: How often a word has a period if it is an abbreviation.
 NEARLY = 0.99
+#: Rows of a table of the model that is sent to all tasks.
+SENT = 300_000
 _SPACE = r"\x20\x09-\x0D"
 _OPEN, _CLOSE = r"""^["'(\[{«„“‘]+""", r"""["')\]}»“”’,;:]+$"""
 _END = r"""([.!?]["')\]»”’]*)[\x20\x09-\x0D]+"""
@@ -57,14 +59,6 @@ def ratio(both: Column, first: Column, second: Column, n: Column) -> Column:
     return 2 * (_xlog(a, p1) + _xlog(b, 1 - p1) + _xlog(c, p2) + _xlog(d, 1 - p2) - _xlog(a + c, p) - _xlog(b + d, 1 - p))
 
 
-def _cut(docs: DataFrame, text: str, **keep: Column) -> DataFrame:
-    """(keep, place, fragment, core, type, next_core, next_type): fragments with their last word and the first one after them."""
-    pieces = docs.select(*(c.alias(x) for x, c in keep.items()), fragments(F.col(text)).alias("_f"))
-    each = pieces.select(*keep, F.posexplode(F.arrays_zip(F.col("_f").alias("f"), F.transform("_f", lambda x, k: F.get(F.col("_f"), k + 1)).alias("following"))).alias("place", "x"))
-    last, following = _core(F.regexp_extract("x.f", r"([^ ]+)$", 1)), _core(F.regexp_extract("x.following", r"^([^ ]+)", 1))
-    return each.select(*keep, "place", F.col("x.f").alias("fragment"), last.alias("core"), _type(last).alias("type"), following.alias("next_core"), _type(following).alias("next_type"))
-
-
 def _ends(docs: DataFrame, text: str, **keep: Column) -> DataFrame:
     """(keep, place, last, following): for all fragments but a text's last one, their last word and the first word after them."""
     pieces = docs.select(*(c.alias(x) for x, c in keep.items()), fragments(F.col(text)).alias("_f"))
@@ -73,6 +67,11 @@ def _ends(docs: DataFrame, text: str, **keep: Column) -> DataFrame:
     return pieces.select(*keep, F.posexplode(F.arrays_zip(last.alias("last"), following.alias("following"))).alias("place", "x")).select(*keep, "place", "x.last", "x.following")
 
 
+def _sent(told: DataFrame) -> DataFrame:
+    """A table to look words up in, sent to all tasks if it has up to SENT rows; a larger one is joined by a shuffle."""
+    return F.broadcast(told) if told.limit(SENT + 1).count() <= SENT else told
+
+
 def learn(docs: DataFrame, text: str = "text") -> dict[str, DataFrame]:
     """What the corpus says: "abbreviations" (type, score), "starters" (type, score), "collocations" (first, second, score).
 
@@ -124,27 +123,27 @@ def split(docs: DataFrame, model: dict[str, DataFrame], key: str = "doc_id", tex
     unique, rows of one key and equal text give one row; null keys are kept; an
     empty table gives no rows; texts are read whole; further columns are ignored.
     """
-    cut = _cut(docs, text, _key=F.col(key), _check=F.xxhash64(F.col(text)))
+    ident = {"_key": F.col(key), "_check": F.xxhash64(F.col(text))}
+    # only places go through the lookups: a fragment whose last word has a period, and what follows
+    ends = _ends(docs, text, **ident).where(F.contains("last", F.lit("."))).select(*ident, "place", _core(F.col("last")).alias("core"), _core(F.col("following")).alias("next_core"))
+    told = ends.where(_has_period(F.col("core"))).select(*ident, "place", _type(F.col("core")).alias("type"), "next_core", _type(F.col("next_core")).alias("next_type"))
     flag = lambda name: F.lit(True).alias(name)
-    told = cut.join(model["abbreviations"].select("type", flag("short")), "type", "left")
-    told = told.join(model["starters"].select(F.col("type").alias("next_type"), flag("starts")), "next_type", "left")
-    told = told.join(model["collocations"].select(F.col("first").alias("type"), F.col("second").alias("next_type"), flag("close")), ["type", "next_type"], "left")
+    told = told.join(_sent(model["abbreviations"].select("type", flag("short"))), "type", "left")
+    told = told.join(_sent(model["starters"].select(F.col("type").alias("next_type"), flag("starts"))), "next_type", "left")
+    told = told.join(_sent(model["collocations"].select(F.col("first").alias("type"), F.col("second").alias("next_type"), flag("close"))), ["type", "next_type"], "left")
     no = F.lit(False)
     begins = F.coalesce("starts", no) & F.col("next_core").rlike(r"^\p{Lu}")
     short = F.coalesce("short", no) | F.coalesce(F.col("type").rlike(r"^\p{L}$"), no)
-    goes_on = _has_period(F.col("core")) & (short & ~begins | F.coalesce("close", no) | F.col("next_core").rlike(r"^\p{Ll}"))
-    rows = told.groupBy("_key", "_check").agg(F.array_sort(F.collect_set(F.struct("place", "fragment", goes_on.alias("on")))).alias("rows"))
-    none = F.struct(F.lit(False).alias("on"), F.expr("cast(array() as array<string>)").alias("taken"))
-
-    def take(acc: Column, row: Column) -> Column:
-        n = F.size(acc["taken"])
-        longer = F.array_append(F.slice(acc["taken"], F.lit(1), F.greatest(n - 1, F.lit(0))), F.concat_ws(" ", F.get(acc["taken"], n - 1), row["fragment"]))
-        return F.struct(row["on"].alias("on"), F.when(acc["on"], longer).otherwise(F.array_append(acc["taken"], row["fragment"])).alias("taken"))
-
-    held = rows.select(F.col("_key").alias("_k"), F.col("_check").alias("_c"), F.when(~F.exists("rows", lambda x: x["on"]), F.transform("rows", lambda x: x["fragment"])).otherwise(F.aggregate("rows", none, take)["taken"]).alias("sentences"))
-    keys = docs.select(F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_check")).distinct()
-    empty = F.expr("cast(array() as array<string>)")
-    return keys.join(held, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_check") == F.col("_c")), "left").select(F.col("_key").alias(key), F.coalesce("sentences", empty).alias("sentences"))
+    on = told.where(short & ~begins | F.coalesce("close", no) | F.col("next_core").rlike(r"^\p{Ll}")).select(*ident, "place")
+    # texts are shuffled once, to the places after which their sentences go on
+    rows = docs.select(*(c.alias(x) for x, c in ident.items()), F.col(text).alias("_text")).unionByName(on, allowMissingColumns=True)
+    held = rows.groupBy(*ident).agg(F.max("_text").alias("_text"), F.collect_set("place").alias("_on"))
+    each = held.select("_key", "_on", fragments(F.col("_text")).alias("_f"))
+    stops = F.when(F.size("_on") > 0, F.array_except(F.sequence(F.lit(0), F.size("_f") - 1), F.col("_on")))
+    each = each.select("_key", "_f", stops.alias("_stops"))
+    starts = F.concat(F.array(F.lit(0)), F.transform(F.slice("_stops", F.lit(1), F.size("_stops") - 1), lambda x: x + 1))
+    joined = F.zip_with(starts, "_stops", lambda x, y: F.array_join(F.slice("_f", x + 1, y - x + 1), " "))
+    return each.select(F.col("_key").alias(key), F.when(F.col("_stops").isNull(), F.col("_f")).otherwise(joined).alias("sentences"))
 
 
 def lead(sentences: Column, most: int, min_chars: int) -> Column:

@@ -94,3 +94,28 @@ def test_words_are_counted_before_patterns(spark, monkeypatch):
         # the lowest line runs first: words are grouped before the patterns that read them
         pattern = max(k for k, x in enumerate(plans[tag]) if re.search(rf"regexp_replace\(({words})#", x))
         assert any(re.search(rf"Aggregate \[({words})#", x) for x in plans[tag][pattern:]), plans[tag]
+
+
+_MODEL = {"abbreviations": "type string, score double", "starters": "type string, score double", "collocations": "first string, second string, score double"}
+
+
+def test_texts_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(1, "One Mr. Two. Three")], "doc_id long, text string")
+    plan = sentences.split(docs, {k: spark.createDataFrame([], x) for k, x in _MODEL.items()})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_joins_of_sentences_with_large_tables(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(_corpus(random.Random(4)))], "doc_id long, text string")
+    model = sentences.learn(docs)
+    cases = spark.createDataFrame(list(enumerate([*HARD, "A\x01b Dr. \x01 Smith. x", " . U.S. They U.S.", "x.\x01Dr. Y. dr. \x0b Z!"])), "doc_id long, text string")
+    sent = {r.doc_id: r.sentences for r in sentences.split(cases, model).collect()}
+    monkeypatch.setattr(sentences, "SENT", 0)
+    assert sent == {r.doc_id: r.sentences for r in sentences.split(cases, model).collect()}
+    assert [sent[len(HARD) + k] for k in range(3)] == [["A", "b Dr. Smith. x"], [".", "U.S.", "They U.S."], ["x. Dr. Y. dr. Z!"]]
+
+
+def test_many_fragments_of_one_sentence(spark):
+    docs = spark.createDataFrame([(1, "Dr. " * 60000 + "Smith. He ran.")], "doc_id long, text string")
+    model = {k: spark.createDataFrame([("dr", 1.0)] if k == "abbreviations" else [], x) for k, x in _MODEL.items()}
+    assert [len(x) for x in sentences.split(docs, model).first().sentences] == [4 * 60000 + 6, 7]
