@@ -152,8 +152,9 @@ def geo_aggregate(mentions: DataFrame, sources: DataFrame, lookup: DataFrame, ke
 
 def softmax_top(logits: Column, k: int = 3) -> Column:
     """The k largest of an array of logits as (place, probability), by probability, then place."""
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    rows = F.transform(powers, lambda x, i: F.struct((-x / total).alias("o"), i.alias("place"), F.round(x / total, 4).alias("p")))
-    return F.transform(F.slice(F.array_sort(rows), 1, k), lambda x: F.struct(x["place"].alias("place"), x["p"].alias("p")))
+    # an array of one element names a value, so it is computed once for all places
+    one = lambda value, use: F.get(F.transform(F.array(value), use), 0)
+    row = lambda total: lambda x, i: F.struct((-x / total).alias("o"), i.alias("place"), F.round(x / total, 4).alias("p"))
+    rows = lambda powers: one(F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(powers, row(total)))
+    ranked = lambda values: one(F.array_max(values), lambda top: F.array_sort(one(F.transform(values, lambda x: F.exp(x - top)), rows)))
+    return F.transform(F.slice(one(logits, ranked), 1, k), lambda x: F.struct(x["place"].alias("place"), x["p"].alias("p")))
