@@ -22,7 +22,10 @@ NEARLY = 0.99
 #: Rows of a table of the model that is sent to all tasks.
 SENT = 300_000
 _SPACE = r"\x20\x09-\x0D"
-_OPEN, _CLOSE = r"""^["'(\[{«„“‘]+""", r"""["')\]}»“”’,;:]+$"""
+#: What is cut off around a fragment: all space separators of Unicode, as the SQL's trim has it.
+_BLANK = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+# \z, not $, which Java also matches before a line end of Unicode
+_OPEN, _CLOSE = r"""^["'(\[{«„“‘]+""", r"""["')\]}»“”’,;:]+\z"""
 _END = r"""([.!?]["')\]»”’]*)[\x20\x09-\x0D]+"""
 _LETTER = r"\p{L}"
 
@@ -38,18 +41,20 @@ def _has_period(core: Column) -> Column:
 
 def _type(core: Column) -> Column:
     """The lower-case word without its final period; null if it has no letter."""
-    low = F.lower(F.regexp_replace(core, r"[.!?]+$", ""))
+    # each letter by itself: Java looks at a capital sigma's place in the word, and makes two of a dotted I
+    low = F.lower(F.translate(F.regexp_replace(core, r"[.!?]+\z", ""), "\u03a3\u0130", "\u03c3i"))
     return F.when(low.rlike(_LETTER), low)
 
 
 def fragments(text: Column) -> Column:
     """The text cut after every mark that may end a sentence; white space within becomes one space."""
     flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), _END, "$1\x01"), f"[{_SPACE}]+", " ")
-    return F.filter(F.transform(F.split(flat, "\x01"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(flat, "\x01"), lambda x: F.trim(x, F.lit(_BLANK))), lambda x: x != "")
 
 
 def _xlog(count: Column, p: Column) -> Column:
-    return F.when(count == 0, 0.0).otherwise(count * F.ln(p))
+    # a text's own \x01 cuts words, so that more may follow ends than there are: no number in the SQL, and above any threshold
+    return F.when(count == 0, 0.0).when(p < 0, float("nan")).otherwise(count * F.ln(p))
 
 
 def ratio(both: Column, first: Column, second: Column, n: Column) -> Column:
@@ -133,7 +138,7 @@ def split(docs: DataFrame, model: dict[str, DataFrame], key: str = "doc_id", tex
     told = told.join(_sent(model["collocations"].select(F.col("first").alias("type"), F.col("second").alias("next_type"), flag("close"))), ["type", "next_type"], "left")
     no = F.lit(False)
     begins = F.coalesce("starts", no) & F.col("next_core").rlike(r"^\p{Lu}")
-    short = F.coalesce("short", no) | F.coalesce(F.col("type").rlike(r"^\p{L}$"), no)
+    short = F.coalesce("short", no) | F.coalesce(F.col("type").rlike(r"^\p{L}\z"), no)
     on = told.where(short & ~begins | F.coalesce("close", no) | F.col("next_core").rlike(r"^\p{Ll}")).select(*ident, "place")
     # texts are shuffled once, to the places after which their sentences go on
     rows = docs.select(*(c.alias(x) for x, c in ident.items()), F.col(text).alias("_text")).unionByName(on, allowMissingColumns=True)

@@ -6,9 +6,12 @@ import math
 import random
 import re
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from newslens.operators import sentences
+from newslens.plans import reports
 
 HARD = {
     "The U.S. officials met. They left.": ["The U.S. officials met.", "They left."],
@@ -119,3 +122,25 @@ def test_many_fragments_of_one_sentence(spark):
     docs = spark.createDataFrame([(1, "Dr. " * 60000 + "Smith. He ran.")], "doc_id long, text string")
     model = {k: spark.createDataFrame([("dr", 1.0)] if k == "abbreviations" else [], x) for k, x in _MODEL.items()}
     assert [len(x) for x in sentences.split(docs, model).first().sentences] == [4 * 60000 + 6, 7]
+
+
+#: Texts without a sentence; blanks that aren't white space; line ends of Unicode; a text's own \x01; letters whose case is odd.
+ODD = {
+    "empty": [None, "", " \n\t", "\u00a0 \u3000"],
+    "blanks": ["\u00a0The house.\u00a0 \u2003He left.\u3000 It rained.", "Dr.\u00a0 Smith ran. \u202fThey ran."] * 2,
+    "line ends": ["They saw Q\u2028. Smith and Q.\u2028 it."] * 20 + ["He saw Dr.\u2028 Smith, \u2029 and it.\u0085 They a.\u2028 ran,\u2028 He", "It,\u2029 approx.\u2029 ten. We"] * 20,
+    "cuts": ["The ho\x01use. He\x01y ran ho\x01use.", "us\x01e. Dr.\x01Smith"] * 20,
+    "letters": ["\u0130t \u01c5. \u03a3\u0391\u03a3. The \U00010400. \u01c5 It \u2167. \ufb01 saw \u1c90."] * 3,
+}
+
+
+@pytest.mark.parametrize("name", ["sentence_statistics", "learnt_sentences"])
+@pytest.mark.parametrize("kind", sorted(ODD))
+def test_odd_texts_give_the_rows_of_the_sql(spark, tmp_path, kind, name):
+    texts = [*_corpus(random.Random(4)), *ODD[kind]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = reports.QUERIES[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({reports.ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
