@@ -852,6 +852,28 @@ def test_similar_pairs_are_compared_once_for_all_copies_and_bitmaps_lose_none(sp
     assert {(r["a"], r["b"]): r["sim"] for r in dedupe.lsh_pairs(entries).collect()} == high
 
 
+def test_near_copies_meet_in_few_shingles(spark):
+    """Sets that share most of a prefix are a pair in the first shared shingle, not in each; no pair is lost."""
+    from newslens.operators import dedupe
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):  # a group of near copies and smaller and larger ones, at all similarities
+        body = [f"w{j}" for j in range(rng.choice((90, 90, 120, 150)))]
+        for _ in range(rng.randrange(6)):
+            body[rng.randrange(len(body))] = f"x{rng.randrange(30)}"
+        rows.append((k, rng.randrange(9), " ".join(body)))
+    sets = dedupe.shingle_sets(spark.createDataFrame(rows, "id long, seq long, text string")).drop("content_hash").cache()
+    held = [(r["id"], r["seq"], frozenset(r["sh"])) for r in sets.collect()]
+    for similar in (0.5, 0.8, 1.0):
+        pairs = {tuple(r)[:2] for r in dedupe.pairs_of_sets(sets, similar).collect()}
+        assert pairs == {(a, b) for a, p, x in held for b, q, y in held if (p, a) < (q, b) and len(x & y) >= similar * len(x | y)}
+    prefix = dedupe.prefixes(sets, 0.5)
+    assert {tuple(r) for r in dedupe._meeting(prefix, prefix, 0.5).collect()} == {tuple(r) for r in dedupe._meeting_each_other(prefix, 0.5).collect()}
+    joined = prefix.join(dedupe._as_other(prefix), "s").where("id < b")
+    assert joined.where(dedupe._placed(0.5)).count() < joined.count() / 5
+
+
 def test_texts_become_words_in_pieces_of_bounded_size():
     import pyarrow as pa
 
